@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import chat, packing, topk
+from trackforge.llm import chat, html_content, packing, secrets, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,29 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op5_maximum_subsequence_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
+
+
+#: For pages whose content is one article element of headings and paragraphs, as in the tables.
+OP5_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)>') AS blocks
+  FROM pages),
+cleaned AS (
+  SELECT page_id, url, list_filter(list_transform(blocks, lambda x:
+    trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
+  FROM parts)
+SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, length(array_to_string(blocks, chr(10))) AS n_chars FROM cleaned
+"""
+
+
 def op7_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = topk.nra_topk(vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -63,11 +86,14 @@ FROM escaped GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+    "op4_crf_secret_scan": op4_crf_secret_scan,
+    "op5_maximum_subsequence_text": op5_maximum_subsequence_text,
     "op7_no_random_access_topk": op7_no_random_access_topk,
     "op10_grammar_round_trip": op10_grammar_round_trip,
 }
 
 SQL: dict[str, str] = {
+    "op5_maximum_subsequence_text": OP5_SQL,
     "op7_no_random_access_topk": OP7_SQL,
     "op10_grammar_round_trip": OP10_SQL,
 }
