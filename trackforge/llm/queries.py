@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import chat, html_content, packing, secrets, topk
+from trackforge.llm import chat, html_content, packing, quality, secrets, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "log_weight", "gumbel_key")
+
+
 def op4_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -86,6 +91,7 @@ FROM escaped GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+    "op2_importance_resampling": op2_importance_resampling,
     "op4_crf_secret_scan": op4_crf_secret_scan,
     "op5_maximum_subsequence_text": op5_maximum_subsequence_text,
     "op7_no_random_access_topk": op7_no_random_access_topk,
