@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from trackforge.llm.tokens import WordEncoder
+from trackforge.llm.tokens import shared_encoder
 
 #: (doc_id, ids of the document before the piece, ids of the piece, ids of the document)
 Piece = tuple[int | None, int, np.ndarray, int]
@@ -122,7 +122,7 @@ def pack(documents: DataFrame, size: int = 2048, end_id: int = 1, tokenizer_path
     schema = PACKED.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else PACKED
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(tokenizer_path), SumOfSquares(size, max_open)
+        encoder, packer = shared_encoder(tokenizer_path), SumOfSquares(size, max_open)
         context = TaskContext.get()
         next_id = (context.partitionId() if context else 0) << 40
         rows: list[list] = []

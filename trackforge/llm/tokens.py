@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+from functools import cache
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
 
-#: The word pattern of the tokenizer file (fixed values).
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The tokenizer file's words, for lower-case texts of the characters that _UNUSUAL leaves.
+_LETTERS = "a-zªµºß-öø-įı-ž"
+_WORDS = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\s{_LETTERS}0-9²³¹¼½¾]+")
 #: A text with any other character, or with what may be a special token, is left to the tokenizer as a whole.
 _UNUSUAL = re.compile("[^\t\n\r -~\xa1-\xac\xae-įı-ž‐-‧€]|<\\|")
 
@@ -33,6 +34,9 @@ class WordEncoder:
 
     def __init__(self, path: str | None = None, max_words: int = 400_000) -> None:
         self.tokenizer, self.max_words = Tokenizer.from_file(path or default_path()), max_words
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -41,15 +45,17 @@ class WordEncoder:
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        """Encode unknown words and append them to the memory."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
+        """Encode unknown words, all at once (the last id of each word says so), and append them to the memory."""
+        found = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        length = np.diff(np.flatnonzero(self.ends[found]) + 1, prepend=0)
+        if len(length) != len(words):
+            raise ValueError("the tokenizer splits a word")
         n, total = len(self.index), int(length.sum())
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        self.ids[self.used : self.used + total] = np.concatenate(found)
+        self.ids[self.used : self.used + total] = found
         self.start[n : n + len(words)], self.length[n : n + len(words)] = self.used + np.cumsum(length) - length, length
         self.used += total
         self.index.update(zip(words, range(n, n + len(words))))
@@ -67,3 +73,9 @@ class WordEncoder:
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(words) else 0
         return self.ids[np.repeat(self.start[at] - ends + length, length) + np.arange(total)]
+
+
+@cache
+def shared_encoder(path: str | None = None) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, which so knows ever more words."""
+    return WordEncoder(path)
