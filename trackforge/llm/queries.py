@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import chat, html_content, packing, quality, secrets, topk
+from trackforge.llm import chat, decontamination, html_content, packing, quality, secrets, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,39 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "log_weight", "gumbel_key")
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+OP3_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+item AS (
+  SELECT item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+item_window AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT item_id, w, least(len(w), 13) AS m, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT m FROM item_window),
+doc_window AS (
+  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM doc, lengths WHERE len(w) >= m)),
+hit AS (SELECT DISTINCT r, d.m, i, item_id FROM doc_window d JOIN item_window x ON d.m = x.m AND d.t = x.t),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hit) GROUP BY r),
+held AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(k, ',' ORDER BY k)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS k FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN held USING (r)
+"""
+
+
 def op4_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -92,6 +125,7 @@ FROM escaped GROUP BY conv_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_importance_resampling": op2_importance_resampling,
+    "op3_winnowing": op3_winnowing,
     "op4_crf_secret_scan": op4_crf_secret_scan,
     "op5_maximum_subsequence_text": op5_maximum_subsequence_text,
     "op7_no_random_access_topk": op7_no_random_access_topk,
@@ -99,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_winnowing": OP3_SQL,
     "op5_maximum_subsequence_text": OP5_SQL,
     "op7_no_random_access_topk": OP7_SQL,
     "op10_grammar_round_trip": OP10_SQL,
