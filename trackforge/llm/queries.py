@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import chat, decontamination, html_content, packing, quality, secrets, topk
+from trackforge.llm import chat, decontamination, html_content, packing, quality, secrets, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,45 @@ SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, length(array_to_s
 """
 
 
+def op6_bounded_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), n_shards=24)
+
+
+def op8_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(warc.captures(table(spark, sf_dir, "pages")))
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))), ";")
+    return found.select("record_id", "url", "ts", "response_id", "status", headers.alias("headers"))
+
+
+OP8_SQL = r"""
+WITH page AS (SELECT page_id AS p, url, md5(coalesce(html, '')) AS tag FROM pages),
+response AS (
+  SELECT p * 2 AS id, url, p % 5000 * 60 AS ts, tag AS etag, CAST(p % 9 AS VARCHAR) AS modified, p FROM page),
+revisit AS (
+  SELECT p * 2 + 1 AS id, p,
+    upper(regexp_extract(url, '^[a-z]*://[^/]*')) || regexp_replace(url, '^[a-z]*://[^/]*', '') || CASE WHEN p % 2 = 0 THEN '#part' ELSE '' END AS url,
+    p % 5000 * 60 + CASE WHEN p % 11 = 0 THEN -30 ELSE p % 8000 END AS ts,
+    CASE p % 7 WHEN 0 THEN 'stale' WHEN 1 THEN NULL ELSE tag END AS etag,
+    CAST(p % 9 + CASE WHEN p % 14 = 1 THEN 1 ELSE 0 END AS VARCHAR) AS modified
+  FROM page),
+keyed AS (
+  SELECT *, lower(regexp_extract(url, '^[A-Za-z]+://[^/]*')) || regexp_replace(regexp_replace(url, '^[A-Za-z]+://[^/]*', ''), '#.*$', '') AS key FROM revisit),
+full_response AS (
+  SELECT max(id) AS id, lower(regexp_extract(url, '^[A-Za-z]+://[^/]*')) || regexp_replace(regexp_replace(url, '^[A-Za-z]+://[^/]*', ''), '#.*$', '') AS key, ts
+  FROM response GROUP BY 2, 3),
+nearest AS (
+  SELECT k.*, f.id AS found FROM keyed k ASOF LEFT JOIN full_response f ON k.key = f.key AND k.ts > f.ts),
+checked AS (
+  SELECT a.*, r.etag AS old_etag, r.modified AS old_modified,
+    CASE WHEN found IS NULL THEN 'no_response'
+      WHEN coalesce(a.etag = r.etag, a.modified = r.modified, TRUE) THEN 'resolved' ELSE 'mismatch' END AS status
+  FROM nearest a LEFT JOIN response r ON a.found = r.id)
+SELECT id AS record_id, url, ts, CASE WHEN status = 'resolved' THEN found END AS response_id, status,
+  'content-type=' || CASE WHEN status = 'resolved' THEN 'text/html' ELSE 'text/plain' END || ';date=' || p || ';etag=' || coalesce(etag, '') || ';last-modified=' || modified AS headers
+FROM checked
+"""
+
+
 def op7_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = topk.nra_topk(vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -128,7 +167,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_winnowing": op3_winnowing,
     "op4_crf_secret_scan": op4_crf_secret_scan,
     "op5_maximum_subsequence_text": op5_maximum_subsequence_text,
+    "op6_bounded_hash_ring": op6_bounded_hash_ring,
     "op7_no_random_access_topk": op7_no_random_access_topk,
+    "op8_revisit_resolution": op8_revisit_resolution,
     "op10_grammar_round_trip": op10_grammar_round_trip,
 }
 
@@ -136,5 +177,6 @@ SQL: dict[str, str] = {
     "op3_winnowing": OP3_SQL,
     "op5_maximum_subsequence_text": OP5_SQL,
     "op7_no_random_access_topk": OP7_SQL,
+    "op8_revisit_resolution": OP8_SQL,
     "op10_grammar_round_trip": OP10_SQL,
 }
