@@ -7,18 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows as written to the folder that all executors share; later reads do not compute them again.
-
-    The folder is the one in spark.checkpoint.dir; only where the session names
-    none (as in local tests) a temporary one is set.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where the session names none (local tests)."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as written to the shared folder; later reads do not compute them again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

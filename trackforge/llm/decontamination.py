@@ -145,3 +145,11 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, broadcast_rows: in
         ((n_hit > 0) & (n_hit * 20 >= n_words)).alias("contaminated"),
         "text_hash",
     )
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """The documents that are not contaminated."""
+    judged = decontaminate(documents, benchmark, broadcast_rows).filter("contaminated")
+    gone = checkpointed(judged.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct())
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
+    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left_anti")
