@@ -82,6 +82,7 @@ def plan(offered: DataFrame, n_shards: int) -> tuple[DataFrame, DataFrame]:
     walk = Window.orderBy("turn")
     cells = cells.withColumn("rank", before("out", walk)).withColumn("place", before("room", walk))
     cells = cells.withColumn("lag", F.max(F.when(F.col("out") > 0, F.col("place") - F.col("rank"))).over(walk))
+    cells = checkpointed(cells.select("cell", "shard", "keep", "base", "out", "room", "room_before", "load", "rank", "place", "lag").coalesce(1))
     leaving = cells.filter("out > 0").select((F.col("rank") + F.col("lag")).alias("at"), F.struct(F.col("cell"), (F.col("rank") + F.col("lag")).alias("from"), F.col("out").alias("n")).alias("leaving"))
     taking = cells.filter("room > 0").select(
         F.col("place").alias("at"),
