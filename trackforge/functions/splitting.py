@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from trackforge.functions.text import strip
+from trackforge.functions.text import bound, strip
 
 # Words between artists, most telling first; a word's place is its rank.
 DELIMITERS = ("presents", "feat.", "featuring", "ft.", "ft", "feat", "vs.", "versus", "vs", "with", "w/", "x", "×", "&", "and")
@@ -22,12 +22,11 @@ def _by_word(s: Column, rank: int, word: str) -> Column:
     escaped = "".join(rf"\{c}" if c in ".&/" else c for c in word)
     guard = r"(?<![\d\s])" if word == "ft" else ""  # "MC 900 Ft" is a name
     sides = F.split(s, rf"(?iU){guard}\s+{escaped}\s+", 2)
-    return F.when(F.size(sides) == 2, _cut(rank, 3, sides[0], F.try_element_at(sides, F.lit(2))))
+    return bound(sides, lambda x: F.when(F.size(x) == 2, _cut(rank, 3, x[0], F.try_element_at(x, F.lit(2)))))
 
 
 def _by_mark(s: Column, mark: str) -> Column:
-    sides = F.split(s, mark, 2)
-    return F.when(F.size(sides) == 2, _cut(MARK_RANK, 3, sides[0], F.try_element_at(sides, F.lit(2))))
+    return bound(F.split(s, mark, 2), lambda x: F.when(F.size(x) == 2, _cut(MARK_RANK, 3, x[0], F.try_element_at(x, F.lit(2)))))
 
 
 def _by_slash(s: Column) -> Column:
@@ -43,18 +42,24 @@ def _by_slash(s: Column) -> Column:
         return ~with_ & (spaced | left.contains(" ") | right.contains(" ") | ((F.length(left) >= 3) & (F.length(right) >= 3)))
 
     first = F.try_element_at(F.filter(sides, separates), F.lit(1))
-    return F.when(first.isNotNull(), _cut(MARK_RANK, 2, first["l"], first["r"]))
+    return bound(first, lambda x: F.when(x.isNotNull(), _cut(MARK_RANK, 2, x["l"], x["r"])))
 
 
 def split_artists(s: Column) -> Column:
     """[left, right] at the most telling delimiter (the first of its rank), or [s] where that one does not separate names."""
     cuts = [_by_word(s, i, w) for i, w in enumerate(DELIMITERS)] + [_by_mark(s, ","), _by_mark(s, ";"), _by_slash(s)]
     best = F.array_min(F.filter(F.array(*cuts), lambda c: c.isNotNull()))
-    by_mark = (best["rank"] == MARK_RANK) & (best["least"] == 3) & F.substr(s, best["at"] + 1, F.lit(1)).isin(",", ";")
-    side = lambda name: F.when(by_mark, strip(F.regexp_replace(strip(best[name]), CONJUNCTION, ""))).otherwise(strip(best[name]))
-    left, right = side("left"), side("right")
-    fits = (F.length(left) >= best["least"]) & (F.length(right) >= best["least"])
-    return F.when(F.coalesce(fits, F.lit(False)) & (strip(s) != ""), F.array(left, right)).otherwise(F.array(s))
+
+    def sides(b: Column) -> Column:
+        by_mark = (b["rank"] == MARK_RANK) & (b["least"] == 3) & F.substr(s, b["at"] + 1, F.lit(1)).isin(",", ";")
+        side = lambda x: F.when(by_mark, strip(F.regexp_replace(strip(x), CONJUNCTION, ""))).otherwise(strip(x))
+        return F.struct(b["least"].alias("least"), side(b["left"]).alias("l"), side(b["right"]).alias("r"))
+
+    def parts(x: Column) -> Column:
+        fits = (F.length(x["l"]) >= x["least"]) & (F.length(x["r"]) >= x["least"])
+        return F.when(F.coalesce(fits, F.lit(False)) & (strip(s) != ""), F.array(x["l"], x["r"])).otherwise(F.array(s))
+
+    return bound(bound(best, sides), parts)
 
 
 def comma_parts(s: Column) -> Column:

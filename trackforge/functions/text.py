@@ -36,6 +36,11 @@ _LONGEST_FIRST = "|".join(sorted(VERSION_PHRASES, key=len, reverse=True))
 VERSION_PATTERNS = (rf"(?iU) \((?:{_LONGEST_FIRST})\)", rf"(?iU) - (?:{_LONGEST_FIRST}$)", rf"(?iU) \[(?:{_LONGEST_FIRST})\]")
 
 
+def bound(c: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(c), use)[0]
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
@@ -103,7 +108,7 @@ def _present(items: Column) -> Column:
 def _name_forms(lower: Column) -> Column:
     """Spellings under which a lower-case name may be filed, likeliest first."""
     heads = [filled(strip(F.regexp_replace(F.regexp_extract(lower, f"(?i){p}", 1), TRAILING_CONJUNCTION, ""))) for p in NAME_HEADS]
-    forms = lambda x: F.array(x, latin_lookalikes(x), plain(x), latin_lookalikes(plain(x)))
+    forms = lambda x: bound(plain(x), lambda p: F.array(x, latin_lookalikes(x), p, latin_lookalikes(p)))
     whole = F.flatten(F.transform(_present(F.array(lower, *heads)), forms))
     left, right = strip(F.substring_index(lower, "/", 1)), strip(F.substring_index(lower, "/", -1))
     two = (F.size(F.split(lower, "/")) == 2) & (F.length(left) >= 3) & (F.length(right) >= 3) & ~left.endswith(" w")
@@ -114,10 +119,8 @@ def _name_forms(lower: Column) -> Column:
 def artist_variations(name: Column) -> Column:
     """Distinct spellings of an artist's name in order of preference; empty for a blank name."""
     lower = filled(strip(F.regexp_replace(straight_quotes(F.lower(name)), r"(?U)\s+\.?\s*$", "")))
-    bare = strip_track_number(lower)
-    none = F.array().cast("array<string>")
-    found = F.concat(F.when(lower.isNotNull(), _name_forms(lower)).otherwise(none), F.when(bare.isNotNull(), _name_forms(bare)).otherwise(none))
-    return F.array_distinct(_present(found))
+    spellings = bound(lower, lambda x: _present(F.array(x, strip_track_number(x))))
+    return F.array_distinct(_present(F.flatten(F.transform(spellings, _name_forms))))
 
 
 def conservative_variations(name: Column) -> Column:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackforge.plans import text_queries
+from trackforge.plans import cache_queries, catalog_queries, text_queries
 
-_MODULES = (text_queries,)
+_MODULES = (catalog_queries, text_queries, cache_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["release_facts"](spark, sf_dir)
+    return catalog_queries.best_release(spark, sf_dir)
