@@ -18,6 +18,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def in_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """The frame, in a session whose Arrow batches hold at most ``rows`` rows: texts are long, and a batch is held in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    set_ = int(df.sparkSession.conf.get(name, "10000"))
+    if set_ <= 0 or set_ > rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows as written to the shared folder; later reads do not compute them again."""
     shared_folder(df.sparkSession)
@@ -26,7 +35,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column one after another, and where each row starts and the last ends; null is empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
@@ -60,7 +69,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((running[ends] - running[starts]) * _powers(_INVERSE, len(data) + 1)[starts])
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def pieces(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray, size: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Cut the bytes into parts of about ``size`` that end before a blank byte or at the end of a row."""
     at, n = 0, len(data)
     while at < n:

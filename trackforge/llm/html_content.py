@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from trackforge.llm.common import in_batches
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+>|[^>]*>)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|data-label)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -238,4 +240,4 @@ def extract(pages: DataFrame, labelled: tuple[str, ...] | None = None) -> DataFr
             )
 
     columns = [F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")]
-    return pages.select(*columns).mapInArrow(work, "page_id long, url string, text string, n_chars long")
+    return in_batches(pages.select(*columns)).mapInArrow(work, "page_id long, url string, text string, n_chars long")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trackforge.llm.common import checkpointed, mixed, span_hashes, utf8
+from trackforge.llm.common import checkpointed, in_batches, mixed, span_hashes, utf8
 from trackforge.llm.components import components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -38,7 +38,7 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def shingle_sets(texts: pa.Array, n: int = 5, size: int = 1 << 22) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, n: int = 5, size: int = 1 << 20) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each row, row by row."""
     data, offsets = utf8(texts)
     step = np.uint64(0x9FB21C651E98DF25)
@@ -114,7 +114,7 @@ def signatures(documents: DataFrame, depth: int, trees: int, n: int = 5, seed: i
     """doc_id, text_hash, n_bytes, n_grams, a 128-bit hash of the n-gram set (low, high) and the trees' prefixes."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             sets = list(shingle_sets(b.column("text"), n))
             used = [i for i, s in enumerate(sets) if len(s)]
             prefixes = np.zeros((len(sets), trees), np.uint64)
@@ -128,7 +128,7 @@ def signatures(documents: DataFrame, depth: int, trees: int, n: int = 5, seed: i
             )
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
-    return source.mapInArrow(work, "doc_id long, text_hash long, n_bytes long, n_grams long, low long, high long, prefixes array<long>")
+    return in_batches(source).mapInArrow(work, "doc_id long, text_hash long, n_bytes long, n_grams long, low long, high long, prefixes array<long>")
 
 
 def linked_in_block(sets: list[np.ndarray], weights: np.ndarray, split: int, similarity: float, width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +201,7 @@ def _verified(members: DataFrame, similarity: float, n: int) -> DataFrame:
         if len(rows) > 1:
             yield compared(rows)
 
-    return members.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(work, "node long, links long, label long")
+    return in_batches(members).repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(work, "node long, links long, label long")
 
 
 def _classes(

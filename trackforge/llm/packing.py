@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from trackforge.llm.common import in_batches
 from trackforge.llm.tokens import shared_encoder
 
 #: (doc_id, ids of the document before the piece, ids of the piece, ids of the document)
@@ -151,4 +152,4 @@ def pack(documents: DataFrame, size: int = 2048, end_id: int = 1, tokenizer_path
             yield take()
 
     types = ", ".join(f"{f.name} long" for f in PACKED) + (", ids array<int>" if with_ids else "")
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, types)
+    return in_batches(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(work, types)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from trackforge.llm.common import checkpointed, mixed, pieces, span_hashes, utf8
+from trackforge.llm.common import checkpointed, in_batches, mixed, pieces, span_hashes, utf8
 
 #: 0 blank, 1 word (letters, digits, all non-ASCII), 2 other marks; marks in a row are one token.
 _CLASS = np.full(256, 2, np.uint8)
@@ -79,7 +79,7 @@ def ngram_counts(documents: DataFrame, is_target: Column, bits: int) -> DataFram
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"])
 
-    each = documents.select("text", F.coalesce(is_target, F.lit(False)).alias("good")).mapInArrow(work, "bucket int, raw long, target long")
+    each = in_batches(documents.select("text", F.coalesce(is_target, F.lit(False)).alias("good"))).mapInArrow(work, "bucket int, raw long, target long")
     return each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -111,7 +111,7 @@ def score(documents: DataFrame, ratios: np.ndarray, reference: int, shrink: int)
                 n += np.bincount(row, minlength=b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(reference * total / (n + shrink))], names=[*b.schema.names, "log_weight"])
 
-    return source.mapInArrow(work, T.StructType([*source.schema.fields, T.StructField("log_weight", T.DoubleType())]))
+    return in_batches(source).mapInArrow(work, T.StructType([*source.schema.fields, T.StructField("log_weight", T.DoubleType())]))
 
 
 def gumbel(seed: int) -> Column:
