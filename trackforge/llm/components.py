@@ -9,13 +9,13 @@ from trackforge.llm.common import checkpointed
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = checkpointed(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -25,7 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Both star steps keep the components; they are repeated until the edges no
     longer change and every component is one star around its least node.  No
-    node's neighbours are gathered: each step is a minimum and a join.
+    node's neighbours are gathered: each step is a minimum and a join.  The
+    minima are written out before the join, so that Spark sees two plain
+    exchanges there and splits the neighbours of a large node between tasks.
     """
     edges = checkpointed(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
