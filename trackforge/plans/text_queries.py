@@ -102,45 +102,45 @@ def s_safe(x: str) -> str:
 
 # ---- queries of one value per track
 
-_raw, _artist = F.col("raw"), F.col("artist")
 _join = lambda c: F.array_join(c, "|")
 
 
-def _values() -> dict[str, tuple[Column, str]]:
-    ids = F.concat(F.lit(" a"), F.col("size").cast("string"), F.lit("; b,, c\0 "))
-    mbid = F.when(F.col("track_id") % 3 == 0, F.concat(F.lit("urn:uuid:"), F.md5(_raw))).when(F.col("track_id") % 3 == 1, F.concat(F.lit("{"), F.md5(_raw), F.lit("}"))).otherwise(_raw)
+def _values() -> dict[str, tuple[Callable[[], Column], str]]:
+    """name: (the value, the same in SQL)."""
+    ids = lambda: F.concat(F.lit(" a"), F.col("size").cast("string"), F.lit("; b,, c\0 "))
+    mbid = lambda: F.when(F.col("track_id") % 3 == 0, F.concat(F.lit("urn:uuid:"), F.md5(F.col("raw")))).when(F.col("track_id") % 3 == 1, F.concat(F.lit("{"), F.md5(F.col("raw")), F.lit("}"))).otherwise(F.col("raw"))
     return {
-        "unsmart_quotes": (text.straight_quotes(_raw), s_quotes("raw")),
-        "fold_chars": (text.latin_lookalikes(_raw), s_fold("raw")),
-        "normalize_text": (text.normalize_text(_raw), s_norm("raw")),
-        "normalize_nospace": (text.normalize(_raw, sizecheck=9, nospaces=True), f"CASE WHEN length(raw) < 9 THEN 'TEXT IS TOO SMALL IGNORE' ELSE {s_tight('raw')} END"),
-        "strip_track_prefix": (text.strip_track_number(_raw), s_track_number("raw")),
+        "unsmart_quotes": (lambda: text.straight_quotes(F.col("raw")), s_quotes("raw")),
+        "fold_chars": (lambda: text.latin_lookalikes(F.col("raw")), s_fold("raw")),
+        "normalize_text": (lambda: text.normalize_text(F.col("raw")), s_norm("raw")),
+        "normalize_nospace": (lambda: text.normalize(F.col("raw"), sizecheck=9, nospaces=True), f"CASE WHEN length(raw) < 9 THEN 'TEXT IS TOO SMALL IGNORE' ELSE {s_tight('raw')} END"),
+        "strip_track_prefix": (lambda: text.strip_track_number(F.col("raw")), s_track_number("raw")),
         "conservative_variations": (
-            _join(text.conservative_variations(_artist)),
+            lambda: _join(text.conservative_variations(F.col("artist"))),
             "CASE WHEN lower(artist) LIKE 'the %' THEN artist || '|' || substr(artist, 5) WHEN regexp_matches(artist, '^\\d{1,4}[-.]') THEN artist || '|' || regexp_replace(artist, '^\\d{1,4}[-.]\\s*', '') ELSE artist END",
         ),
-        "clean_title": (text.clean_title(_raw), s_clean("raw")),
-        "clean_title_custom": (text.clean_title(_raw, (r"(?U)^\d+[-.]\s*", r" \(Live\)$")), r"coalesce(nullif(regexp_replace(regexp_replace(raw, '^\d+[-.]\s*', ''), ' \(Live\)$', ''), ''), raw)"),
+        "clean_title": (lambda: text.clean_title(F.col("raw")), s_clean("raw")),
+        "clean_title_custom": (lambda: text.clean_title(F.col("raw"), (r"(?U)^\d+[-.]\s*", r" \(Live\)$")), r"coalesce(nullif(regexp_replace(regexp_replace(raw, '^\d+[-.]\s*', ''), ' \(Live\)$', ''), ''), raw)"),
         "drop_artist_prefix": (
-            text.drop_artist_prefix(_raw, F.regexp_extract(_raw, "^(Act [0-9]+)", 1)),
+            lambda: text.drop_artist_prefix(F.col("raw"), F.regexp_extract(F.col("raw"), "^(Act [0-9]+)", 1)),
             r"CASE WHEN regexp_matches(raw, '^Act [0-9]+\s*[-–—]\s*.') THEN regexp_replace(raw, '^Act [0-9]+\s*[-–—]\s*', '') ELSE raw END",
         ),
-        "featured_title": (text.featured_artists(_raw)["title"], s_featured_title("raw")),
-        "featured_artists": (_join(text.featured_artists(_raw)["artists"]), s_featured_names("raw")),
-        "id_clean": (text.clean_identifier(F.concat(_raw, F.lit(" \0\t"))), s_strip("raw")),
-        "id_list_clean": (_join(text.clean_identifiers(ids)), "'a' || CAST(size AS VARCHAR) || '|b|c'"),
-        "id_array_clean": (_join(text.clean_identifier_array(F.array(F.lit(" a b "), F.lit("\0"), _artist))), f"'a b|' || {s_strip('artist')}"),
-        "sanitize_query": (text.sanitize_query(F.concat(_raw, F.lit('\\"'))), s_safe("raw || '\\\"'")),
-        "title_match_key": (text.title_key(_raw), s_title_key("raw")),
-        "norm_no_article": (text.norm_no_article(_artist), s_no_article("artist")),
-        "version_base": (text.version_base(_raw), r"CASE WHEN regexp_matches(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$') THEN regexp_extract(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$', 1) END"),
-        "valid_mbid": (text.valid_mbid(mbid), "track_id % 3 < 2"),
-        "is_ascii": (text.is_ascii(_artist), r"NOT regexp_matches(artist, '[^\x00-\x7F]')"),
-        "lucene_artist_query": (lucene.artist_query(_artist), f"'(artist:\"' || {s_safe('artist')} || '\" OR alias:\"' || {s_safe('artist')} || '\" OR sortname:\"' || {s_safe('artist')} || '\")'"),
+        "featured_title": (lambda: text.featured_artists(F.col("raw"))["title"], s_featured_title("raw")),
+        "featured_artists": (lambda: _join(text.featured_artists(F.col("raw"))["artists"]), s_featured_names("raw")),
+        "id_clean": (lambda: text.clean_identifier(F.concat(F.col("raw"), F.lit(" \0\t"))), s_strip("raw")),
+        "id_list_clean": (lambda: _join(text.clean_identifiers(ids())), "'a' || CAST(size AS VARCHAR) || '|b|c'"),
+        "id_array_clean": (lambda: _join(text.clean_identifier_array(F.array(F.lit(" a b "), F.lit("\0"), F.col("artist")))), f"'a b|' || {s_strip('artist')}"),
+        "sanitize_query": (lambda: text.sanitize_query(F.concat(F.col("raw"), F.lit('\\"'))), s_safe("raw || '\\\"'")),
+        "title_match_key": (lambda: text.title_key(F.col("raw")), s_title_key("raw")),
+        "norm_no_article": (lambda: text.norm_no_article(F.col("artist")), s_no_article("artist")),
+        "version_base": (lambda: text.version_base(F.col("raw")), r"CASE WHEN regexp_matches(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$') THEN regexp_extract(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$', 1) END"),
+        "valid_mbid": (lambda: text.valid_mbid(mbid()), "track_id % 3 < 2"),
+        "is_ascii": (lambda: text.is_ascii(F.col("artist")), r"NOT regexp_matches(artist, '[^\x00-\x7F]')"),
+        "lucene_artist_query": (lambda: lucene.artist_query(F.col("artist")), f"'(artist:\"' || {s_safe('artist')} || '\" OR alias:\"' || {s_safe('artist')} || '\" OR sortname:\"' || {s_safe('artist')} || '\")'"),
         "lucene_recording_query": (
-            lucene.recording_query(
-                _raw,
-                artist_name=_artist,
+            lambda: lucene.recording_query(
+                F.col("raw"),
+                artist_name=F.col("artist"),
                 artist_ids=F.when(F.col("track_id") % 4 == 1, F.array(F.lit("i1"), F.lit("i2"))).otherwise(F.array().cast("array<string>")),
                 artist_id_groups=F.when(F.col("track_id") % 4 == 2, F.array(F.array(F.lit("g1")), F.array(F.lit("g2"), F.lit("g3")))).otherwise(F.array().cast("array<array<string>>")),
                 album=F.when(F.col("track_id") % 2 == 0, F.col("album")),
@@ -153,11 +153,11 @@ def _values() -> dict[str, tuple[Column, str]]:
             || CASE WHEN track_id % 5 = 0 THEN ' AND firstreleasedate:[' || (1999 + size) || ' TO ' || (2001 + size) || ']' ELSE '' END""",
         ),
         "track_year": (
-            dates.track_year(F.when(F.col("track_id") % 4 == 0, F.concat(F.lit("ca. "), F.lit(1950) + F.col("size"))), F.when(F.col("track_id") % 3 == 0, F.lit("85")), F.concat((F.lit(1960) + F.col("size")).cast("string"), F.lit("-05"))),
+            lambda: dates.track_year(F.when(F.col("track_id") % 4 == 0, F.concat(F.lit("ca. "), F.lit(1950) + F.col("size"))), F.when(F.col("track_id") % 3 == 0, F.lit("85")), F.concat((F.lit(1960) + F.col("size")).cast("string"), F.lit("-05"))),
             "CASE WHEN track_id % 4 = 0 THEN 1950 + size ELSE 1960 + size END",
         ),
         "comma_parts": (
-            _join(splitting.comma_parts(_artist)),
+            lambda: _join(splitting.comma_parts(F.col("artist"))),
             r"CASE WHEN contains(artist, ',') THEN array_to_string(list_transform(string_split(artist, ','), lambda x: regexp_replace(trim(x), '(?i)^(?:&|and)\s+', '')), '|') END",
         ),
     }
@@ -165,7 +165,7 @@ def _values() -> dict[str, tuple[Column, str]]:
 
 def _value_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return view(spark, sf_dir, "track").select("track_id", _values()[name][0].alias("value"))
+        return view(spark, sf_dir, "track").select("track_id", _values()[name][0]().alias("value"))
 
     return run
 
@@ -222,17 +222,15 @@ SELECT track_id, CAST(0 AS INTEGER) AS ord, a AS part FROM good UNION ALL SELECT
 UNION ALL SELECT track_id, 0, artist FROM track WHERE track_id NOT IN (SELECT track_id FROM good)"""
 
 
-_secondary = F.when(F.col("secondary_type") != "", F.array("secondary_type")).otherwise(F.array().cast("array<string>"))
-
-
 def release_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year, reissue, kind points, kind flag and title flag of every release."""
+    secondary = F.when(F.col("secondary_type") != "", F.array("secondary_type")).otherwise(F.array().cast("array<string>"))
     return view(spark, sf_dir, "track_release").select(
         "rec_id", "release_id",
         dates.year_of(F.col("date")).alias("year"),
         dates.is_reissue(F.col("date"), F.col("first_date")).alias("reissue"),
-        dates.release_group_points(F.col("primary_type"), _secondary).alias("points"),
-        dates.is_compilation_or_live(F.col("primary_type"), _secondary).alias("comp_or_live"),
+        dates.release_group_points(F.col("primary_type"), secondary).alias("points"),
+        dates.is_compilation_or_live(F.col("primary_type"), secondary).alias("comp_or_live"),
         dates.looks_like_compilation(F.col("title")).alias("comp_title"),
         dates.days_before_2100(F.col("date")).alias("days"),
     )
