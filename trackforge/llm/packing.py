@@ -142,9 +142,10 @@ def pack(documents: DataFrame, size: int = 2048, end_id: int = 1, tokenizer_path
             rows.clear()
             return batch
 
-        for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                write(packer.add(doc_id, np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id))))
+        for b in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
+            encoded = encoder.encode_all([t or "" for t in b.column("text").to_pylist()])
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoded):
+                write(packer.add(doc_id, np.append(ids, np.uint32(end_id))))
                 if len(rows) >= 4096:
                     yield take()
         write(packer.close())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -29,20 +30,32 @@ class WordEncoder:
 
     The tokenizer splits normalised text into words and encodes each word by
     itself, so a word always has the same ids; most words of a text are known.
-    ``max_words`` bounds the memory, which starts anew when it is full.
+    ``max_words`` bounds the memory: when it is full, the words that were met
+    only once are forgotten, and more if they do not make half of it free.
     """
 
-    def __init__(self, path: str | None = None, max_words: int = 400_000) -> None:
+    def __init__(self, path: str | None = None, max_words: int = 500_000) -> None:
         self.tokenizer, self.max_words = Tokenizer.from_file(path or default_path()), max_words
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.forget()
+        self.clear()
 
-    def forget(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.start, self.length, self.met = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def forget(self) -> None:
+        """Keep the words that were met most, at most half of the memory."""
+        n, words = len(self.index), list(self.index)
+        met = self.met[:n].copy()
+        least = max(2, int(np.partition(met, n - self.max_words // 2)[n - self.max_words // 2]) + 1)
+        kept = np.flatnonzero(met >= least)
+        start, length, ids = self.start[kept], self.length[kept], self.ids
+        self.clear()
+        ends = np.cumsum(length)
+        self._append([words[i] for i in kept.tolist()], length, ids[np.repeat(start - ends + length, length) + np.arange(int(length.sum()))])
 
     def learn(self, words: list[str]) -> None:
         """Encode unknown words, all at once (the last id of each word says so), and append them to the memory."""
@@ -50,29 +63,43 @@ class WordEncoder:
         length = np.diff(np.flatnonzero(self.ends[found]) + 1, prepend=0)
         if len(length) != len(words):
             raise ValueError("the tokenizer splits a word")
-        n, total = len(self.index), int(length.sum())
+        self._append(words, length, found)
+
+    def _append(self, words: list[str], length: np.ndarray, ids: np.ndarray) -> None:
+        n, total = len(self.index), len(ids)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) > len(self.start):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        self.ids[self.used : self.used + total] = found
+            self.start, self.length, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.met))
+        self.ids[self.used : self.used + total] = ids
         self.start[n : n + len(words)], self.length[n : n + len(words)] = self.used + np.cumsum(length) - length, length
         self.used += total
         self.index.update(zip(words, range(n, n + len(words))))
 
     def encode(self, text: str) -> np.ndarray:
-        if _UNUSUAL.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the texts' unknown words are learnt together."""
+        usual = [i for i, t in enumerate(texts) if not _UNUSUAL.search(t)]
+        split = [_WORDS.findall(texts[i].lower()) for i in usual]
         if len(self.index) > self.max_words:
             self.forget()
-        words = _WORDS.findall(text.lower())
-        if unknown := set(words).difference(self.index):
-            self.learn(list(unknown))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            self.learn(list(dict.fromkeys(unknown)))
+            at[missing] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(unknown))
+        self.met[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         length = self.length[at]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(words) else 0
-        return self.ids[np.repeat(self.start[at] - ends + length, length) + np.arange(total)]
+        ids = self.ids[np.repeat(self.start[at] - ends + length, length) + np.arange(total)]
+        last = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        found = dict(zip(usual, np.split(ids, last[1:-1]))) if usual else {}
+        return [found[i] if i in found else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for i, t in enumerate(texts)]
 
 
 @cache
