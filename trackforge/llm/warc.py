@@ -64,13 +64,16 @@ def resolve(records: DataFrame) -> DataFrame:
     revisits = records.filter("type = 'revisit'")
     matched = revisits.join(earlier, ["key", "ts"], "left")
     responses = records.filter("type = 'response' AND record_id IS NOT NULL").groupBy(F.col("record_id").alias("response_id")).agg(F.min(F.map_entries("headers")).alias("entries"))
-    matched = matched.join(responses.withColumn("old", F.map_from_entries("entries")), "response_id", "left")
+    # revisits without a response get keys of their own, which meet none and are spread over the tasks
+    spread = F.coalesce("response_id", -1 - F.pmod(F.xxhash64("record_id", "url", "ts"), F.lit(1 << 40)))
+    old = responses.select(F.col("response_id").alias("old_id"), F.map_from_entries("entries").alias("old"))
+    matched = matched.withColumn("wanted", spread).join(old, (F.col("wanted") == F.col("old_id")) & F.col("response_id").isNotNull(), "left")
     same = lambda name: F.col("headers")[name] == F.col("old")[name]
     agrees = F.coalesce(same("etag"), same("last-modified"), F.lit(True))
     status = F.when(F.col("response_id").isNull(), F.lit("no_response")).when(agrees, F.lit("resolved")).otherwise(F.lit("mismatch"))
     changed = F.map_filter("headers", lambda k, _: ~k.isin(*KEPT))
-    old = F.map_filter("old", lambda k, _: ~F.array_contains(F.map_keys(changed), k))
-    merged = F.when(status == "resolved", F.map_concat(old, changed)).otherwise(F.col("headers"))
+    kept = F.map_filter("old", lambda k, _: ~F.array_contains(F.map_keys(changed), k))
+    merged = F.when(status == "resolved", F.map_concat(kept, changed)).otherwise(F.col("headers"))
     return matched.select("record_id", "url", "ts", F.when(status == "resolved", F.col("response_id")).alias("response_id"), status.alias("status"), merged.alias("headers"))
 
 
