@@ -51,11 +51,11 @@ def filled(c: Column) -> Column:
 
 
 def straight_quotes(c: Column) -> Column:
-    return F.translate(c, "‘’“”", "''\"\"")
+    return F.when(c.rlike("[‘’“”]"), F.translate(c, "‘’“”", "''\"\"")).otherwise(c)
 
 
 def latin_lookalikes(c: Column) -> Column:
-    return F.translate(c, LOOKALIKES, LATIN)
+    return F.when(c.rlike(f"[{LOOKALIKES}]"), F.translate(c, LOOKALIKES, LATIN)).otherwise(c)
 
 
 @cache
@@ -75,14 +75,14 @@ def plain(c: Column) -> Column:
 
     Characters that decompose into several letters (ligatures) stay as they are.
     """
-    bare = F.translate(F.lower(c), *_accents())
+    lower = F.lower(c)
+    bare = F.when(lower.rlike(r"[^\x00-\x7F]"), F.translate(lower, *_accents())).otherwise(lower)
     bare = F.regexp_replace(bare, r"[\p{Mn}\p{Me}\p{Lm}\p{Sc}\p{Sk}\p{No}]", "")
     return filled(F.trim(F.regexp_replace(bare, r"[\p{P}\p{Z}\p{So}\p{Sm}\p{Cc}\p{Cf}\p{Mc}]+", " ")))
 
 
 def normalize_text(c: Column) -> Column:
-    text = straight_quotes(latin_lookalikes(c))
-    return filled(F.coalesce(plain(text), text))
+    return bound(straight_quotes(latin_lookalikes(c)), lambda x: filled(F.coalesce(plain(x), x)))
 
 
 def normalize(c: Column, sizecheck: int = 0, nospaces: bool = False) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trackforge.operators.ranking import best_release, release_score10
+from trackforge.operators.ranking import best_release, with_release_score10
 
 
 def first_tags(*levels: Column) -> Column:
@@ -25,7 +25,7 @@ def label_of(releases: DataFrame, first: int = 100) -> DataFrame:
 def enrich(recordings: DataFrame, hints: DataFrame, releases: DataFrame, credits: DataFrame, artists: DataFrame) -> DataFrame:
     """One completed row per recording: its best release under the hints (rec_id, wanted, year), credits, label, kind and tags."""
     hinted = releases.join(hints, "rec_id").join(recordings.select("rec_id", F.col("title").alias("recording_title")), "rec_id")
-    scored = hinted.withColumn("score10", release_score10(F.col("wanted"), F.col("year"), F.col("recording_title")))
+    scored = with_release_score10(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
     best = best_release(scored).select(
         "rec_id", F.col("title").alias("album"), "date", "release_id", F.when(F.coalesce("label_type", F.lit("")) != "", F.col("label")).alias("label"), F.col("secondary_type").alias("kind")
     )

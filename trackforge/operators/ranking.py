@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackforge.functions import dates
 from trackforge.functions.matching import has_marker, shares_marker
-from trackforge.functions.text import VERSION_SUFFIX, normalize, plain, title_key
+from trackforge.functions.text import VERSION_SUFFIX, normalize, title_key
 
 # What makes a package a physical album.
 PHYSICAL = ("Cardboard/Paper Sleeve", "Jewel Case", "Digipak", "Box", "Keep Case")
@@ -34,20 +34,25 @@ def secondary_types(c: Column) -> Column:
     return F.when(c != "", F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
-def release_score10(album: Column, year: Column, recording_title: Column) -> Column:
-    """Ten times the score of a release (columns title, date, first_date, primary_type, secondary_type, packaging) under hints."""
-    released, secondary = dates.year_of(F.col("date")), secondary_types(F.col("secondary_type"))
+def with_release_score10(releases: DataFrame, album: Column, year: Column, recording_title: Column) -> DataFrame:
+    """Adds score10, ten times the score of a release (columns title, date, first_date, primary_type, secondary_type, packaging) under hints.
+
+    The keys that are compared more than once are columns of their own first.
+    """
+    keyed = releases.withColumns({"_key": title_key(F.col("title")), "_wanted": title_key(album), "_year": dates.year_of(F.col("date"))})
+    secondary = secondary_types(F.col("secondary_type"))
     score = (
-        _match(title_key(F.col("title")), title_key(album), 100, 50)
-        + stepped(F.abs(released - year), {0: 75, 1: 40, 5: 20})
+        _match(F.col("_key"), F.col("_wanted"), 100, 50)
+        + stepped(F.abs(F.col("_year") - year), {0: 75, 1: 40, 5: 20})
         + dates.release_group_points(F.col("primary_type"), secondary)
         - F.when(dates.looks_like_compilation(F.col("title")) & ~F.array_contains(secondary, "Compilation"), 10).otherwise(0)
-        - F.when(dates.is_reissue(F.col("date"), F.col("first_date")), 10).otherwise(0)
+        - F.when(F.coalesce(F.col("_year") > dates.year_of(F.col("first_date")) + dates.REISSUE_AFTER_YEARS, F.lit(False)), 10).otherwise(0)
         + F.when((F.col("primary_type") == "Album") & (normalize(recording_title) == normalize(F.col("title"))), 20).otherwise(0)
         + F.when(F.col("packaging").isin(*PHYSICAL), 5).when(F.col("packaging") == "None", 1).otherwise(0)
     )
     unguided = (F.coalesce(album, F.lit("")) == "") & (F.coalesce(year, F.lit(0)) == 0)
-    return (score * 10 + F.when(unguided, F.coalesce(2100 - released, F.lit(0))).otherwise(0)).cast("long")
+    total = (score * 10 + F.when(unguided, F.coalesce(2100 - F.col("_year"), F.lit(0))).otherwise(0)).cast("long")
+    return keyed.withColumn("score10", total).drop("_key", "_wanted", "_year")
 
 
 def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -58,13 +63,6 @@ def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
     return releases.join(best, [key, "pos"])
 
 
-def context_points(album: Column, year: Column) -> Column:
-    """What a release tells about a recording under hints."""
-    released = dates.year_of(F.col("date"))
-    titled = F.when(plain(album).isNotNull() | (album != ""), _match(normalize(F.col("title")), normalize(album), 100, 50)).otherwise(0)
-    return F.coalesce(titled, F.lit(0)) + stepped(F.abs(released - F.when(year != 0, year)), {0: 75, 1: 40, 5: 20})
-
-
 def era_points(date: Column) -> Column:
     year = dates.year_of(date)
     return F.coalesce(F.when(year < 2000, 15).when(year < 2010, 10).when(year < 2020, 5), F.lit(0))
@@ -91,15 +89,18 @@ def release_summary(pairs: DataFrame, releases: DataFrame, keys: list[str]) -> D
     plain_ok and any_ok: a release qualifies without, or also with,
     compilations and live releases; various: one is by various artists.
     """
-    r = pairs.select(*keys, F.col("album").alias("wanted"), F.col("year").alias("when")).join(releases, "rec_id")
     secondary = secondary_types(F.col("secondary_type"))
-    on_album = F.when(normalize(F.col("wanted")).isNull(), F.lit(True)).otherwise(F.coalesce(normalize(F.col("wanted")) == normalize(F.col("title")), F.lit(False)))
+    known = releases.select(
+        "rec_id", "various", normalize(F.col("title")).alias("release_key"), dates.year_of(F.col("date")).alias("released"),
+        (dates.release_group_points(F.col("primary_type"), secondary) + era_points(F.col("date"))).alias("points"),
+        dates.is_compilation_or_live(F.col("primary_type"), secondary).alias("other_kind"),
+    )
+    r = pairs.select(*keys, normalize(F.col("album")).alias("wanted"), F.when(F.col("year") != 0, F.col("year")).alias("when")).join(known, "rec_id")
+    context = _match(F.col("release_key"), F.col("wanted"), 100, 50) + stepped(F.abs(F.col("released") - F.col("when")), {0: 75, 1: 40, 5: 20})
+    on_album = F.col("wanted").isNull() | F.coalesce(F.col("wanted") == F.col("release_key"), F.lit(False))
     own = on_album & ~F.col("various")
     return r.groupBy(*keys).agg(
-        (F.max(context_points(F.col("wanted"), F.col("when"))) + F.sum(dates.release_group_points(F.col("primary_type"), secondary)) + F.sum(era_points(F.col("date")))).alias("release_points"),
-        F.max(own & ~dates.is_compilation_or_live(F.col("primary_type"), secondary)).alias("plain_ok"),
-        F.max(own).alias("any_ok"),
-        F.max(on_album & F.col("various")).alias("various"),
+        (F.max(context) + F.sum("points")).alias("release_points"), F.max(own & ~F.col("other_kind")).alias("plain_ok"), F.max(own).alias("any_ok"), F.max(on_album & F.col("various")).alias("various")
     )
 
 

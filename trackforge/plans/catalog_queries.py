@@ -21,7 +21,7 @@ def best_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     releases, recordings, requests = _views(spark, sf_dir, "track_release", "recording", "request")
     hints = requests.select(F.col("request_id").alias("rec_id"), F.col("album").alias("wanted"), "year")
     hinted = releases.join(hints, "rec_id").join(recordings.select("rec_id", F.col("title").alias("recording_title")), "rec_id")
-    scored = hinted.withColumn("score10", ranking.release_score10(F.col("wanted"), F.col("year"), F.col("recording_title")))
+    scored = ranking.with_release_score10(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
     return ranking.best_release(scored).select("rec_id", F.col("title").alias("album"), "release_id", "date", "score10")
 
 
