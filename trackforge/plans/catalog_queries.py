@@ -180,6 +180,33 @@ def select_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.select_recordings(ready, ["request_id"])
 
 
+SELECT_SQL = rf"""
+, forms AS (SELECT DISTINCT rec_id, title_key FROM (SELECT rec_id, unnest([{s_plain('title')},
+    CASE WHEN regexp_matches(title, '^\s*(.*)\s+[\(\[].*[\)\]]$') THEN {s_plain(r"regexp_extract(title, '^\s*(.*)\s+[\(\[].*[\)\]]$', 1)")} END,
+    {s_plain(r"regexp_replace(regexp_replace(title, ' [\(\[](?:Radio Edit|Remastered)[\)\]]', ''), ' - Single Version$', '')")}]) AS title_key FROM recording) WHERE title_key IS NOT NULL),
+asked AS (SELECT request_id, q.title AS asked, album, year, artist_id, {s_plain("regexp_replace(q.title, '^03-', '')")} AS title_key FROM request q JOIN credit c ON c.rec_id = q.request_id AND c.pos = 0),
+hits AS (SELECT a.*, r.rec_id, r.title, r.isrc, r.length, r.disambiguation, r.first_date FROM asked a JOIN forms f USING (title_key) JOIN credit c ON c.rec_id = f.rec_id AND c.artist_id = a.artist_id JOIN recording r ON r.rec_id = f.rec_id),
+rel AS (SELECT rec_id, title, {s_norm('title')} AS release_key, {s_year('date')} AS released, {s_points('primary_type', 'secondary_type')} AS points, secondary_type IN ('Compilation', 'Live') AS other_kind, various FROM track_release),
+summed AS (
+  SELECT request_id, h.rec_id, max(CASE WHEN album IS NULL THEN 0 WHEN release_key = {s_norm('album')} THEN 100 WHEN contains(release_key, {s_norm('album')}) OR contains({s_norm('album')}, release_key) THEN 50 ELSE 0 END
+      + {_step("abs(released - year)", (0, 75), (1, 40), (5, 20))}) + sum(points) + sum(CASE WHEN released < 2000 THEN 15 WHEN released < 2010 THEN 10 WHEN released < 2020 THEN 5 ELSE 0 END) AS points,
+    bool_or((album IS NULL OR release_key = {s_norm('album')}) AND NOT various AND NOT other_kind) AS qualifies, bool_or((album IS NULL OR release_key = {s_norm('album')}) AND various) AS va
+  FROM hits h JOIN rel USING (rec_id) GROUP BY request_id, h.rec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY exact DESC, score DESC, rec_id) AS rk, bool_or(exact) OVER (PARTITION BY request_id) AS any_exact FROM (
+    SELECT h.request_id, h.rec_id, asked, isrc IS NOT NULL AS has_isrc, qualifies, va, coalesce({s_tight('asked')} = {s_tight('title')}, FALSE) AS exact,
+      CASE WHEN isrc IS NULL THEN 0 ELSE 50 END + (2100 - CAST(substr(first_date, 1, 4) AS INTEGER)) * 10 + {_step("abs(CAST(substr(first_date, 1, 4) AS INTEGER) - year)", (0, 500), (1, 300), (2, 150), (5, 50))}
+      + CASE WHEN length IS NULL THEN 0 ELSE 5 END + 5
+      + CASE WHEN disambiguation = '' THEN 0 WHEN disambiguation = '1995 remaster' OR (disambiguation = 'live' AND regexp_matches(asked, '(?i)\blive\b')) THEN 10 ELSE -50 END + points AS score
+    FROM hits h JOIN summed s ON s.request_id = h.request_id AND s.rec_id = h.rec_id)),
+kept AS (SELECT * FROM ranked WHERE any_exact OR NOT regexp_matches(asked, '^\s*(.*)\s+[\(\[].*[\)\]]$')),
+firsts AS (
+  SELECT request_id, min(rk) FILTER (qualifies) AS w, min(rk) FILTER (exact AND has_isrc AND NOT qualifies) AS f, min(rk) FILTER (va) AS v FROM kept GROUP BY request_id),
+answer AS (
+  SELECT x.request_id, CASE WHEN w IS NOT NULL THEN CASE WHEN f < w AND NOT k.has_isrc THEN f ELSE w END ELSE coalesce(f, v) END AS rk FROM firsts x LEFT JOIN kept k ON k.request_id = x.request_id AND k.rk = x.w)
+SELECT request_id, rec_id FROM answer JOIN kept USING (request_id, rk)"""
+
+
 def resolve_isrc(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests, recordings, releases = _views(spark, sf_dir, "request", "recording", "track_release")
     codes = F.filter(F.array(F.lower("isrc"), F.concat(F.lit("US"), F.lpad((F.col("request_id") + 1).cast("string"), 10, "0"))), lambda x: x.isNotNull())
@@ -363,6 +390,28 @@ def quorum_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("ask_id", "artist_id", F.array_join(F.transform("rec_ids", lambda x: x.cast("string")), "|").alias("rec_ids"))
 
 
+def _lookup_sql(always: bool) -> str:
+    needs = "TRUE" if always else "(song IS NOT NULL AND n > 1)"
+    return rf"""
+, {_ARTIST_KEY_SQL}
+, q AS (SELECT request_id AS ask_id, artist, CASE WHEN request_id % 2 = 0 THEN regexp_replace(title, '^03-', '') END AS song FROM request),
+v AS (SELECT *, 0 AS ord, artist AS variation FROM q UNION ALL SELECT *, 1, substr(artist, 5) FROM q WHERE lower(artist) LIKE 'the %'),
+h AS (
+  SELECT v.*, k.artist_id, {s_plain('v.artist')} AS whole, k.artist_key, count(*) OVER (PARTITION BY ask_id, ord) AS n, row_number() OVER (PARTITION BY ask_id, ord ORDER BY k.score DESC, k.artist_id) AS place
+  FROM v JOIN artist_key k ON k.artist_key = {s_plain('v.variation')}),
+p AS (
+  SELECT h.*, {needs} AS needs, CASE WHEN {s_plain('a.name')} IN (whole, artist_key) OR {s_plain('a.alias')} IN (whole, artist_key) THEN 0 WHEN place = 1 THEN 1 END AS phase
+  FROM h JOIN artist a USING (artist_id)),
+made AS (SELECT c.artist_id, coalesce({s_plain('r.title')}, '') AS song_key, r.rec_id FROM credit c JOIN recording r USING (rec_id)),
+proven AS (
+  SELECT ask_id, ord, artist_id, array_to_string(list_sort(list(DISTINCT m.rec_id)), '|') AS rec_ids
+  FROM p JOIN made m USING (artist_id) WHERE needs AND m.song_key = coalesce({s_plain('song')}, '') GROUP BY ask_id, ord, artist_id),
+pick AS (
+  SELECT p.ask_id, p.artist_id, coalesce(rec_ids, '') AS rec_ids, row_number() OVER (PARTITION BY p.ask_id ORDER BY p.ord, phase, place) AS rn
+  FROM p LEFT JOIN proven USING (ask_id, ord, artist_id) WHERE phase IS NOT NULL AND (NOT needs OR rec_ids IS NOT NULL))
+SELECT ask_id, artist_id, rec_ids FROM pick WHERE rn = 1"""
+
+
 def validate_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _songs(spark, sf_dir).join(view(spark, sf_dir, "credit").filter("pos = 0").select(F.col("rec_id").alias("ask_id"), "artist_id"), "ask_id").filter("song IS NOT NULL")
     return who.recordings_by(asked, *_views(spark, sf_dir, "recording", "credit")).select("ask_id", "artist_id", "rec_id")
@@ -485,6 +534,7 @@ def sql() -> dict[str, str]:
         "recording_artist_match": with_views(RECORDING_ARTIST_SQL, *all_),
         "variant_marker": with_views(VARIANT_SQL, "recording"),
         "score_recording": with_views(SCORE_SQL, *all_),
+        "select_recording": with_views(SELECT_SQL, *all_),
         "resolve_isrc": with_views(ISRC_SQL, *all_),
         "search_artists": with_views(SEARCH_ARTISTS_SQL, *all_),
         "search_recordings": with_views(SEARCH_RECORDINGS_SQL, *all_),
@@ -498,6 +548,8 @@ def sql() -> dict[str, str]:
         "json_guard": JSON_SQL,
         "and_of_ors": with_views(AND_OF_ORS_SQL, *all_),
         "validate_recordings": with_views(VALIDATE_SQL, *all_),
+        "lookup_artist": with_views(_lookup_sql(False), *all_),
+        "quorum_lookup": with_views(_lookup_sql(True), *all_),
         "names_by_ids": with_views(NAMES_SQL, *all_),
         "label_for_recording": with_views(LABEL_SQL, "track_release"),
         "tag_fallback": with_views(TAG_SQL, "recording"),
