@@ -261,7 +261,8 @@ def near_duplicates(documents: DataFrame, **options) -> DataFrame:
     ``broadcast_rows`` what is broadcast; these three do not change the result.
     """
     found = _classes(documents, **options)
-    names = found.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # written out, so that the join is of two plain exchanges and Spark splits a large class between tasks
+    names = checkpointed(found.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id")))
     classed = found.filter("root IS NOT NULL").join(names, "root").select("doc_id", "class_id", "n_links")
     return classed.unionByName(found.filter("root IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), "n_links"))
 
@@ -274,7 +275,7 @@ def one_of_each(documents: DataFrame, broadcast_rows: int = 500_000, **options)
     found = _classes(documents, broadcast_rows=broadcast_rows, **options).filter("root IS NOT NULL")
     texts = found.groupBy("root", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(F.count("*").alias("n"))
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("hash").alias("hash"))
-    first = texts.groupBy("root").agg(F.min(rank).alias("first"))
+    first = checkpointed(texts.groupBy("root").agg(F.min(rank).alias("first")))
     judged = texts.join(first, "root").select("id", "hash", "n", (rank == F.col("first")).alias("stays"))
     gone = checkpointed(judged.filter("NOT stays OR n > 1"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & F.xxhash64("text").eqNullSafe(F.col("hash"))
