@@ -231,6 +231,12 @@ def test_main_text_of_labelled_and_broken_pages(spark):
     assert html_content.extract(df.limit(0)).count() == 0
 
 
+def test_links_and_lists_of_an_article_stay():
+    weights = html_content.fit()
+    page = "<nav><ul><li><a href=/>Home</a></ul></nav><article><h1>T</h1><ul><li>one<li><a href=x>two</a> three</ul><table><tr><td>c<td>d</table><pre>a  b</pre></article><ol class=comment-list><li class=comment><p>No</p></ol>"
+    assert html_content.main_text(page, weights) == "T\none\ntwo three\nc\nd\na b"
+
+
 def test_best_region_equals_all_regions():
     r = random.Random(9)
     for _ in range(200):

@@ -5,7 +5,8 @@ elements around it (their names, classes, ids and roles), a tag scores
 negatively; both weights are fitted on labelled pages.  One linear scan finds
 the contiguous run of blocks with the greatest sum.  The run grows to the
 article or main element that it lies in, and blocks inside it whose words score
-negatively (adverts, forms, reader comments) are left out.
+negatively by where they stand (adverts, forms, reader comments) are left out;
+links tell where content ends, but are not left out of it.
 
 Defined results: a null or empty page, and one without text, gives an empty
 text; broken markup is read as far as it goes (an element that is never closed
@@ -43,6 +44,7 @@ _LISTS = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd":
 class _Element:
     name: str
     weight: float
+    unlinked: float  # the weight, were there no link around
     section: int
     label: str
     own: list[str]
@@ -55,6 +57,7 @@ class Block:
     parts: list[str] = field(default_factory=list)
     words: int = 0
     score: float = 0.0
+    place: float = 0.0  # what the words score by where they stand, links and tags aside
     tags: list[str] = field(default_factory=list)
     section: int = 0
     seen: list[tuple[int, tuple[str, ...], str]] = field(default_factory=list)
@@ -98,6 +101,7 @@ def blocks(page: str, weights: Weights | None = None) -> list[Block]:
             block.words += words
             block.section = block.section or (stack[-1].section if stack else 0)
             block.score += words * (base + (stack[-1].weight if stack else 0.0))
+            block.place += words * (base + (stack[-1].unlinked if stack else 0.0))
             if not weights:
                 block.seen.append((words, tuple(x for n in named for x in n), stack[-1].label if stack else ""))
 
@@ -161,14 +165,15 @@ def blocks(page: str, weights: Weights | None = None) -> list[Block]:
                 elif open_ not in _INLINE:
                     break
         own, label = features(name, m[3])
-        parent = stack[-1] if stack else _Element("", 0.0, 0, "", [])
+        parent = stack[-1] if stack else _Element("", 0.0, 0.0, 0, "", [])
         sections += name in _SECTION
-        weight = parent.weight
+        weight, unlinked = parent.weight, parent.unlinked
         for x in own:
             if not around[x]:  # what is around a word counts once, however often
                 weight += element.get(x, 0.0)
+                unlinked += element.get(x, 0.0) * (x != "a")
             around[x] += 1
-        stack.append(_Element(name, weight, parent.section or (sections if name in _SECTION else 0), label or parent.label, own))
+        stack.append(_Element(name, weight, unlinked, parent.section or (sections if name in _SECTION else 0), label or parent.label, own))
         named.append(own if not weights else [])
     cut()
     return out
@@ -224,7 +229,7 @@ def main_text(page: str, weights: Weights, least: float = -4.0) -> str:
     chosen = set(range(start, end))
     if sections := {found[i].section for i in chosen if found[i].score > 0} - {0}:
         chosen |= {i for i, b in enumerate(found) if b.section in sections}
-    texts = (" ".join(html.unescape("".join(found[i].parts)).split()) for i in sorted(chosen) if found[i].score > 0)
+    texts = (" ".join(html.unescape("".join(found[i].parts)).split()) for i in sorted(chosen) if found[i].place > 0)
     return "\n".join(x for x in texts if x)
 
 
