@@ -43,7 +43,7 @@ CASES = {
     text.collapse_repeated_brackets: [("Title (A) (A) (B) (B)", "Title (A) (B)"), ("Song (Edit) (EDIT)", "Song (Edit)"), ("Song [Remix] (Remix)", "Song (Remix)"), ("X" + " (a)" * 100, "X (a)"), ("", ""), (None, None)],
     text.title_key: [("a feat. b", "a feat. b"), ("a ft. b", "a feat. b"), ("a featuring b", "a feat b"), ("Youth & Young  Manhood ", "youth and young manhood")],
     text.version_base: [("Song (Radio Edit)", "Song"), ("A (b) [c]", "A (b)"), ("Song", None), ("(x)", None)],
-    text.valid_mbid: [("", False), ("not-a-uuid", False), ("12345", False), (None, False), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600d", True), ("{b10bbbfccf9e42e0be17e2c3e1d2600d}", True), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600z", False)],
+    text.valid_uuid: [("", False), ("not-a-uuid", False), ("12345", False), (None, False), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600d", True), ("{b10bbbfccf9e42e0be17e2c3e1d2600d}", True), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600z", False)],
     text.clean_identifiers: [(" a;b,, c\0 ", ["a", "b", "c"]), (" ; ", None), (None, None)],
     text.sanitize_query: [('a"b\\c', 'a\\"b\\\\c'), (None, "")],
     splitting.split_artists: [

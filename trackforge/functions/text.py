@@ -199,7 +199,7 @@ def version_base(title: Column) -> Column:
     return F.when(title.rlike(VERSION_SUFFIX), F.regexp_extract(title, VERSION_SUFFIX, 1))
 
 
-def valid_mbid(c: Column) -> Column:
+def valid_uuid(c: Column) -> Column:
     """Whether the text is a UUID, with or without dashes, braces and prefix."""
     bare = F.regexp_replace(F.regexp_replace(F.replace(F.replace(c, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit("")), r"^[{}]+|[{}]+$", ""), "-", "")
     return F.coalesce(bare.rlike("^[0-9a-fA-F]{32}$"), F.lit(False))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trackforge.functions.text import clean_title, is_ascii, norm_no_article, plain, valid_mbid, version_base
+from trackforge.functions.text import clean_title, is_ascii, norm_no_article, plain, valid_uuid, version_base
 
 # Names that are filed under another.
 REPLACED_NAMES = {'lil b "the based god"': "Lil B", 'lil b "the basedgod"': "Lil B"}
@@ -62,9 +62,9 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
 
 
 def get_by_id(asked: DataFrame, documents: DataFrame, key: str, fold: bool = True) -> DataFrame:
-    """Asked rows (ask_id, mbid) with the document of that id, or null: invalid ids and unknown ones are not found."""
-    wanted = F.lower(F.trim("mbid")) if fold else F.col("mbid")
-    valid = asked.select("ask_id", F.when(valid_mbid(F.trim("mbid") if fold else F.col("mbid")), wanted).alias(key))
+    """Asked rows (ask_id, uuid) with the document of that id, or null: invalid ids and unknown ones are not found."""
+    wanted = F.lower(F.trim("uuid")) if fold else F.col("uuid")
+    valid = asked.select("ask_id", F.when(valid_uuid(F.trim("uuid") if fold else F.col("uuid")), wanted).alias(key))
     return valid.join(documents.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 

@@ -269,8 +269,8 @@ def get_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recordings by id, some of the ids in capitals, with blanks, or no ids."""
     r = view(spark, sf_dir, "recording").select(F.md5(F.concat(F.lit("r"), F.col("rec_id").cast("string"))).alias("id"), "rec_id", "title")
     wanted = F.md5(F.concat(F.lit("r"), (F.col("request_id") * 2).cast("string")))
-    mbid = F.when(F.col("request_id") % 3 == 0, F.concat(F.lit(" "), F.upper(wanted))).when(F.col("request_id") % 7 == 0, F.lit("not-an-id")).otherwise(wanted)
-    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), mbid.alias("mbid"))
+    uuid = F.when(F.col("request_id") % 3 == 0, F.concat(F.lit(" "), F.upper(wanted))).when(F.col("request_id") % 7 == 0, F.lit("not-an-id")).otherwise(wanted)
+    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), uuid.alias("uuid"))
     return lookup.get_by_id(asked, r, "id").select("ask_id", "rec_id", "title", "found")
 
 

@@ -108,7 +108,7 @@ _join = lambda c: F.array_join(c, "|")
 def _values() -> dict[str, tuple[Callable[[], Column], str]]:
     """name: (the value, the same in SQL)."""
     ids = lambda: F.concat(F.lit(" a"), F.col("size").cast("string"), F.lit("; b,, c\0 "))
-    mbid = lambda: F.when(F.col("track_id") % 3 == 0, F.concat(F.lit("urn:uuid:"), F.md5(F.col("raw")))).when(F.col("track_id") % 3 == 1, F.concat(F.lit("{"), F.md5(F.col("raw")), F.lit("}"))).otherwise(F.col("raw"))
+    uuid = lambda: F.when(F.col("track_id") % 3 == 0, F.concat(F.lit("urn:uuid:"), F.md5(F.col("raw")))).when(F.col("track_id") % 3 == 1, F.concat(F.lit("{"), F.md5(F.col("raw")), F.lit("}"))).otherwise(F.col("raw"))
     return {
         "unsmart_quotes": (lambda: text.straight_quotes(F.col("raw")), s_quotes("raw")),
         "fold_chars": (lambda: text.latin_lookalikes(F.col("raw")), s_fold("raw")),
@@ -134,7 +134,7 @@ def _values() -> dict[str, tuple[Callable[[], Column], str]]:
         "title_match_key": (lambda: text.title_key(F.col("raw")), s_title_key("raw")),
         "norm_no_article": (lambda: text.norm_no_article(F.col("artist")), s_no_article("artist")),
         "version_base": (lambda: text.version_base(F.col("raw")), r"CASE WHEN regexp_matches(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$') THEN regexp_extract(raw, '^\s*(.*)\s+[\(\[].*[\)\]]$', 1) END"),
-        "valid_mbid": (lambda: text.valid_mbid(mbid()), "track_id % 3 < 2"),
+        "valid_uuid": (lambda: text.valid_uuid(uuid()), "track_id % 3 < 2"),
         "is_ascii": (lambda: text.is_ascii(F.col("artist")), r"NOT regexp_matches(artist, '[^\x00-\x7F]')"),
         "lucene_artist_query": (lambda: lucene.artist_query(F.col("artist")), f"'(artist:\"' || {s_safe('artist')} || '\" OR alias:\"' || {s_safe('artist')} || '\" OR sortname:\"' || {s_safe('artist')} || '\")'"),
         "lucene_recording_query": (
@@ -244,7 +244,7 @@ FROM track_release"""
 
 QUERIES: dict[str, Query] = {name: _value_query(name) for name in (
     "unsmart_quotes fold_chars normalize_text normalize_nospace strip_track_prefix conservative_variations clean_title clean_title_custom drop_artist_prefix featured_title "
-    "featured_artists id_clean id_list_clean id_array_clean sanitize_query title_match_key norm_no_article version_base valid_mbid is_ascii lucene_artist_query "
+    "featured_artists id_clean id_list_clean id_array_clean sanitize_query title_match_key norm_no_article version_base valid_uuid is_ascii lucene_artist_query "
     "lucene_recording_query track_year comma_parts"
 ).split()}
 QUERIES |= {"dup_parens": dup_parens, "document_plain": document_plain, "artist_variations": artist_variations, "split_artists": split_artists, "release_facts": release_facts}

@@ -48,8 +48,8 @@ def json_object(text: Column, status: Column) -> Column:
     return F.struct(error.isNull().alias("ok"), error.alias("error"))
 
 
-def image_path(entity: Column, mbid: Column, size: Column) -> Column:
-    return F.concat(F.lit("/"), entity, F.lit("/"), mbid, F.lit("/front-"), F.coalesce(size, F.lit("500")))
+def image_path(entity: Column, uuid: Column, size: Column) -> Column:
+    return F.concat(F.lit("/"), entity, F.lit("/"), uuid, F.lit("/front-"), F.coalesce(size, F.lit("500")))
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
