@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackforge.functions import matching, nested
 from trackforge.functions.text import plain
 from trackforge.operators import artists as who, collaboration, enrich as completing, lookup, ranking
 from trackforge.plans import cascade
-from trackforge.plans.text_queries import Query, s_norm, s_plain, s_points, s_tight, s_title_key, s_year
+from trackforge.plans.text_queries import Query, s_norm, s_plain, s_points, s_tight, s_title_key, s_year, variations_sql
 from trackforge.sources import documents
 from trackforge.sources.catalog import view, with_views
 
@@ -366,6 +368,34 @@ def find_artist_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return who.find_artist_ids(asked, view(spark, sf_dir, "artist"))
 
 
+def _variations(source: str, key: str, column: str, name: str) -> str:
+    """CTEs that end in ``name``: key, ord, variation of a table's names."""
+    steps = variations_sql().replace("FROM track", f"FROM {source}").replace("track_id", key).replace("lower(artist)", f"lower({column})")
+    for step in ("base", "both_forms", "listed", "firsts"):
+        steps = re.sub(rf"\b{step}\b", f"{step}_{name}", steps)
+    steps = re.sub(r"\bt AS \(", f"t_{name} AS (", steps).replace("FROM t)", f"FROM t_{name} t)")
+    head, last = steps.rsplit("\nSELECT ", 1)
+    return f"{head},\n{name} AS (SELECT {last})"
+
+
+def _find_sql() -> str:
+    return rf"""
+, {_ARTIST_KEY_SQL}
+{_variations('track', 'track_id', 'artist', 'tv')}
+{_variations('artist', 'artist_id', 'name', 'av')}
+, hits AS (
+  SELECT track_id, ord, artist_id, score, row_number() OVER (PARTITION BY track_id, ord ORDER BY score DESC, artist_id) AS place
+  FROM tv JOIN artist_key k ON k.artist_key = {s_plain('tv.variation')} WHERE score >= 70),
+seen AS (SELECT track_id, artist_id, max(score) AS score, min(ord * 1000 + place) AS first FROM hits WHERE place <= 10 GROUP BY track_id, artist_id),
+alike AS (SELECT DISTINCT tv.track_id, av.artist_id FROM tv JOIN av ON tv.variation = av.variation),
+aliased AS (SELECT DISTINCT tv.track_id, a.artist_id FROM tv JOIN artist a ON {s_tight('tv.variation')} = {s_tight('a.alias')}),
+fit AS (
+  SELECT s.* FROM seen s JOIN track USING (track_id) JOIN artist a ON a.artist_id = s.artist_id
+  LEFT JOIN alike x ON x.track_id = s.track_id AND x.artist_id = s.artist_id LEFT JOIN aliased y ON y.track_id = s.track_id AND y.artist_id = s.artist_id
+  WHERE x.artist_id IS NOT NULL OR y.artist_id IS NOT NULL OR {s_tight('track.artist')} = {s_tight('a.name')})
+SELECT track_id AS ask_id, artist_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY score DESC, first) - 1 AS INTEGER) AS ord FROM fit"""
+
+
 def and_of_ors(spark: SparkSession, sf_dir: str) -> DataFrame:
     credits = view(spark, sf_dir, "credit")
     groups = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.explode(F.array(F.struct(F.lit(0).alias("g"), (F.col("request_id") % 5).alias("a")), F.struct(F.lit(0).alias("g"), (F.col("request_id") % 3).alias("a")), F.struct(F.lit(1).alias("g"), F.lit(95).cast("bigint").alias("a")))).alias("x"))
@@ -546,6 +576,7 @@ def sql() -> dict[str, str]:
         "search_release_groups": with_views(GROUPS_SQL, *all_),
         "images": with_views(IMAGES_SQL, "track_release"),
         "json_guard": JSON_SQL,
+        "find_artist_ids": with_views(_find_sql(), *all_, "track"),
         "and_of_ors": with_views(AND_OF_ORS_SQL, *all_),
         "validate_recordings": with_views(VALIDATE_SQL, *all_),
         "lookup_artist": with_views(_lookup_sql(False), *all_),

@@ -183,7 +183,7 @@ def artist_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "track").select("track_id", F.posexplode(text.artist_variations(F.col("artist"))).alias("ord", "variation"))
 
 
-def _variations_sql() -> str:
+def variations_sql() -> str:
     lower = "t.low"
     heads = [lower] + [rf"nullif(trim(regexp_replace(regexp_extract({lower}, '{p}', 1), '(?i)\s+(?:and|&|or|with|feat\.?|ft\.?)\s*$', '')), '')" for p in text.NAME_HEADS]
     forms = [f for h in heads for f in (h, s_fold(h), s_plain(h), s_fold(s_plain(h)))]
@@ -252,8 +252,10 @@ QUERIES |= {"dup_parens": dup_parens, "document_plain": document_plain, "artist_
 
 def sql() -> dict[str, str]:
     found = {name: with_views(f"SELECT track_id, {expression} AS value FROM track", "track") for name, (_, expression) in _values().items()}
+    collapsed = "replace(replace(raw || ' [Mix] (mix)', '(Edit) (EDIT)', '(Edit)'), '[Mix] (mix)', '(Mix)')"
+    found["dup_parens"] = with_views(f"SELECT track_id, {s_strip(collapsed)} AS value FROM track", "track")
     found["document_plain"] = f"SELECT doc_id, md5({s_norm('text')}) AS digest FROM documents"
-    found["artist_variations"] = with_views(_variations_sql(), "track")
+    found["artist_variations"] = with_views(variations_sql(), "track")
     found["split_artists"] = with_views(_split_sql(), "track")
     found["release_facts"] = with_views(RELEASE_FACTS_SQL, "track_release")
     return found
