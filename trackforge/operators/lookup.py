@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trackforge.functions.text import clean_title, is_ascii, norm_no_article, plain, valid_uuid, version_base
+from trackforge.functions.text import clean_title, plain, valid_uuid, version_base
 
 # Names that are filed under another.
 REPLACED_NAMES = {'lil b "the based god"': "Lil B", 'lil b "the basedgod"': "Lil B"}
 PAGE, SEARCH_CAP, BROWSE_CAP = 100, 500, 1000
 SCORE_FLOOR, AMBIGUOUS_ABOVE = 70, 150
 
-__all__ = ["is_ascii", "norm_no_article"]
-
 
 def replaced_name(name: Column) -> Column:
     out = name

@@ -6,6 +6,7 @@ can derive the same catalog without this library.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,8 +90,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of ``sf_dir``, or a view of its tables."""
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    import re
-
     text = reduce(lambda s, n: re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", s), NEEDS[name], VIEWS[name])
     return spark.sql(text, **{n: view(spark, sf_dir, n) for n in NEEDS[name]})
 
