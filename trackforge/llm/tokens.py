@@ -34,7 +34,7 @@ class WordEncoder:
     only once are forgotten, and more if they do not make half of it free.
     """
 
-    def __init__(self, path: str | None = None, max_words: int = 500_000) -> None:
+    def __init__(self, path: str | None = None, max_words: int = 250_000) -> None:
         self.tokenizer, self.max_words = Tokenizer.from_file(path or default_path()), max_words
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
