@@ -56,6 +56,12 @@ def test_selection_equals_a_walk(spark):
         assert found.get(k) == chosen
 
 
+def test_best_release_beyond_a_million_places(spark):
+    rows = [(1, 50, 1_000_000, "Official"), (1, 40, 3, "Official"), (2, 50, 1_000_001, "Official"), (2, 50, 2_147_483_647, "Official"), (2, 49, 1, "Official"), (3, -20, 2_500_000, None), (3, -30, 7, None)]
+    df = spark.createDataFrame(rows, "rec_id long, score10 long, pos int, status string")
+    assert sorted((r.rec_id, r.pos) for r in ranking.best_release(df).collect()) == [(1, 1_000_000), (2, 1_000_001), (3, 2_500_000)]
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     recordings = spark.createDataFrame(

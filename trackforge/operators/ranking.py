@@ -14,7 +14,8 @@ from trackforge.functions.text import VERSION_SUFFIX, normalize, title_key
 
 # What makes a package a physical album.
 PHYSICAL = ("Cardboard/Paper Sleeve", "Jewel Case", "Digipak", "Box", "Keep Case")
-_PLACES = 1_000_000
+#: Every position is an int, so that it fits beside a score of up to 32 bits.
+_PLACES = 1 << 31
 
 
 def stepped(difference: Column, steps: dict[int, int]) -> Column:
@@ -57,7 +58,7 @@ def with_release_score10(releases: DataFrame, album: Column, year: Column, recor
 
 def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
     """The best release of each key, by columns score10, pos and status: among the official ones where there are any."""
-    packed = F.col("score10") * _PLACES + (_PLACES - 1 - F.col("pos"))
+    packed = F.col("score10").cast("long") * _PLACES + (_PLACES - 1 - F.col("pos").cast("long"))
     best = releases.groupBy(key).agg(F.max(F.when(F.col("status") == "Official", packed)).alias("official"), F.max(packed).alias("any"))
     best = best.select(key, (_PLACES - 1 - F.pmod(F.coalesce("official", "any"), F.lit(_PLACES))).cast("int").alias("pos"))
     return releases.join(best, [key, "pos"])
