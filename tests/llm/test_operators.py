@@ -381,6 +381,14 @@ def test_near_duplicates_equal_brute_force(spark, no_docs, options):
     assert near_duplicates.near_duplicates(no_docs).count() == 0 and near_duplicates.one_of_each(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"block_rows": 1, "broadcast_rows": 0}])
+def test_a_repeated_row_is_one_node(spark, options):
+    base = words(random.Random(19), 200)
+    docs = [(1, base)] * 3 + [(2, base + " tail"), (None, base + " end"), (None, base + " end")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), **options)
+    assert rows(found.select("doc_id", "class_id", "n_links")) == sorted([(d, 1, 5) for d, _ in docs], key=repr)
+
+
 def test_prefixes_are_shortened_to_the_target_recall():
     depth = near_duplicates.prefix_depth(30, 10, 0.8, 0.999)
     assert near_duplicates.recall(depth, 30, 0.8) >= 0.999 > near_duplicates.recall(depth + 1, 30, 0.8)

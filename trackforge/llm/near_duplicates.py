@@ -181,8 +181,8 @@ def _verified(members: DataFrame, similarity: float, n: int) -> DataFrame:
         rows.sort(key=lambda r: (r[0], r[1]))
         node, copies = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float)
         sides = np.array([r[0] for r in rows])
-        split = int((sides == 1).sum()) if (sides > 0).any() else 0
-        if split == len(rows):
+        split = int((sides == 1).sum())
+        if (sides > 0).any() and split in (0, len(rows)):  # the other block is empty
             links, label = np.zeros(len(rows)), np.arange(len(rows))
         else:
             links, label = linked_in_block([r[3] for r in rows], copies, split, similarity)
@@ -236,7 +236,9 @@ def _classes(
     keyed = placed.select(F.col("root").alias("group"), "node", "copies", "block", "blocks", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     keyed = F.broadcast(keyed) if sized.count() <= broadcast_rows else keyed
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    with_text = texts.join(keyed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    matched = texts.join(keyed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    # rows that repeat both id and text match one node more than once; the node has one text
+    with_text = matched.groupBy("group", "node", "copies", "block", "blocks").agg(F.first("text").alias("text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     meeting = with_text.withColumn("other", other).select(
         "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
