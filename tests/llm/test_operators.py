@@ -116,6 +116,15 @@ def test_resampling_keeps_good_and_drops_junk(spark, no_docs):
     assert quality.resample(all_, labels.filter("quality = 1")).count() == len(good + junk + extra)
 
 
+def test_toxic_documents_are_not_good(spark):
+    r = random.Random(18)
+    good = [(i, words(r, r.randrange(20, 200)), "en", "s", 0) for i in range(600)]
+    toxic = [(1000 + i, " ".join(f"w{r.randrange(400)}***" for _ in range(r.randrange(20, 200))), "en", "s", 0) for i in range(150)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)] + [(1000 + i, 1, 1) for i in range(60)], "doc_id long, quality int, toxic int")
+    kept = [x.doc_id for x in quality.resample(spark.createDataFrame(good + toxic, DOCS), labels).collect()]
+    assert sum(d < 600 for d in kept) >= 599 and sum(d >= 1000 for d in kept) <= 3
+
+
 def test_ngram_buckets_do_not_depend_on_the_cut(monkeypatch):
     r = random.Random(5)
     texts = pa.array([words(r, n) + " x*** a a" for n in (0, 1, 3, 2000, 7)] + [None, "z" * 3000])

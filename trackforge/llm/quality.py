@@ -12,7 +12,9 @@ fitted on at most ``max_labelled`` labelled documents (those with the smallest
 hashes of their ids).  Log weights are centred: the target's own mean per
 n-gram is taken off, so that a good document's weight does not grow with its
 length.  How many documents are drawn follows from the labels: as many as score
-at least the ``cut`` that best separates the labelled documents.
+at least the ``cut`` that best separates the labelled documents.  Good are those
+labelled as of quality and not toxic, for the model and for the cut; all others
+are bad.
 
 Defined results: a null or empty text has no n-grams and weight 0; documents
 without id share the noise of a null id; rows that tie with the k-th (repeated
@@ -168,8 +170,9 @@ def resample(
     ratios = log_ratios(ngram_counts(marked, F.expr("fits AND quality = 1 AND toxic = 0"), bits), bits, smoothing)
     key = F.col("log_weight") + gumbel(seed)
     scored = checkpointed(score(text, ratios, reference, shrink).select("doc_id", "log_weight", key.alias("gumbel_key")))
-    held = [(r.quality, r.log_weight) for r in scored.join(labelled.filter("NOT fits"), "doc_id").select("quality", "log_weight").dropDuplicates().limit(2 * max_labelled).collect()]
-    cut = best_cut(np.array([w for q, w in held if q == 1]), np.array([w for q, w in held if q != 1]), loss)
+    is_good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    held = [(r.good, r.log_weight) for r in scored.join(labelled.filter("NOT fits"), "doc_id").select(is_good.alias("good"), "log_weight").dropDuplicates().limit(2 * max_labelled).collect()]
+    cut = best_cut(np.array([w for good, w in held if good]), np.array([w for good, w in held if not good]), loss)
     k = scored.filter(F.col("log_weight") >= cut).count()
     least = kth_largest(scored, "gumbel_key", k) if k else float("inf")
     return score(documents, ratios, reference, shrink).withColumn("gumbel_key", key).filter(F.col("gumbel_key") >= least)
