@@ -31,6 +31,11 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert found == sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in result.fetchall())
 
 
+def test_browsing_goes_on_after_place_twenty(spark, sf_dir):
+    found = catalog_queries.browse_all_releases(spark, sf_dir).groupBy("ask_id", "total").agg(F.max("pos").alias("last")).collect()
+    assert any(r.total > 20 for r in found) and all(r.last == min(r.total, 1000) for r in found)
+
+
 def test_selection_equals_a_walk(spark):
     r = random.Random(1)
     rows = []

@@ -267,6 +267,15 @@ def paged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGED_SQL = SEARCH_RECORDINGS_SQL.replace("WHERE rank <= 100", "WHERE rank > 10 AND rank <= 20")
 
 
+def all_candidate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of each search, up to its cap."""
+    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), "title", "artist")
+    return lookup.search_recordings(asked, *_views(spark, sf_dir, "recording", "credit", "artist"), limit=lookup.SEARCH_CAP)
+
+
+ALL_PAGES_SQL = SEARCH_RECORDINGS_SQL.replace("WHERE rank <= 100", "WHERE rank <= 500")
+
+
 def get_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recordings by id, some of the ids in capitals, with blanks, or no ids."""
     r = view(spark, sf_dir, "recording").select(F.md5(F.concat(F.lit("r"), F.col("rec_id").cast("string"))).alias("id"), "rec_id", "title")
@@ -298,6 +307,15 @@ SELECT rec_id AS ask_id, release_id, CAST(place AS INTEGER) AS pos, total FROM (
   FROM track_release WHERE rec_id % 2 = 1 OR status = 'Official') WHERE place <= 20"""
 
 
+def browse_all_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The releases of each recording, up to the cap of browsing."""
+    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.col("request_id").alias("rec_id"), F.when(F.col("request_id") % 2 == 0, F.array(F.lit("Official"))).alias("statuses"))
+    return lookup.browse_releases(asked, view(spark, sf_dir, "track_release").select("rec_id", "release_id", "status"))
+
+
+BROWSE_ALL_SQL = BROWSE_SQL.replace("WHERE place <= 20", "WHERE place <= 1000")
+
+
 def _albums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Releases as documents of their own, with an artist and a barcode."""
     releases, credits = _views(spark, sf_dir, "track_release", "credit")
@@ -546,7 +564,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         best_release, credit_string, genre_rank, primary_label, url_map, artist_match, recording_artist_match, variant_marker, score_recording, select_recording, resolve_isrc, search_artists,
-        search_recordings, paged_candidates, get_by_id, get_by_isrc, browse_releases, search_releases, search_release_groups, images, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
+        search_recordings, paged_candidates, all_candidate_pages, get_by_id, get_by_isrc, browse_releases, browse_all_releases, search_releases, search_release_groups, images, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
         validate_recordings, names_by_ids, label_for_recording, tag_fallback, enrich, search_cascade, find_recording, hierarchical, hierarchical_partial, quorum, resolve_collab,
     )
 }
@@ -569,9 +587,11 @@ def sql() -> dict[str, str]:
         "search_artists": with_views(SEARCH_ARTISTS_SQL, *all_),
         "search_recordings": with_views(SEARCH_RECORDINGS_SQL, *all_),
         "paged_candidates": with_views(PAGED_SQL, *all_),
+        "all_candidate_pages": with_views(ALL_PAGES_SQL, *all_),
         "get_by_id": with_views(GET_SQL, *all_),
         "get_by_isrc": with_views("SELECT q.request_id AS ask_id, r.rec_id FROM request q LEFT JOIN recording r ON r.isrc = q.isrc", *all_),
         "browse_releases": with_views(BROWSE_SQL, "track_release"),
+        "browse_all_releases": with_views(BROWSE_ALL_SQL, "track_release"),
         "search_releases": with_views(SEARCH_RELEASES_SQL, *all_),
         "search_release_groups": with_views(GROUPS_SQL, *all_),
         "images": with_views(IMAGES_SQL, "track_release"),
