@@ -1,13 +1,13 @@
-"""Near duplicates by an n-gram Jaccard self-join with a MinHash LSH forest.
+"""Near duplicates by an n-gram Jaccard self-join with MinHash banding.
 
 A text is the set of its word 5-grams (words: runs of digits, letters and
 non-ASCII characters, A-Z lower-cased; a text of fewer words is one n-gram of
 all of them).  Texts of equal sets are one node, so copies cost nothing more.
 
-Each tree of the forest sorts the nodes by a label of MinHash values; texts
-that share a prefix of a label are candidates.  Prefixes begin at ``deepest``
-values and are shortened until the forest finds a pair at the threshold with
-the target recall.  Nodes under one prefix are tied to the least of them, and
+Fixed-depth banding replaces an LSH forest: each tree gives a node a label of
+MinHash values, and texts that share its prefix are candidates.  The depth of
+the prefixes, ``deepest`` at most, is the greatest that by formula finds a pair
+at the threshold with the target recall; it does not depend on the data.  Nodes under one prefix are tied to the least of them, and
 nodes so tied together form a candidate group.  Within a group every pair of
 nodes is then compared exactly, in blocks: a task holds two blocks, counts
 their links and gives each node the least node it is linked to; pairs are
