@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from page_layouts import LAYOUTS
 from trackforge.llm import chat, components, decontamination, html_content, near_duplicates, packing, quality, secrets, sharding, tokens, topk, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -240,6 +242,21 @@ def test_main_text_of_labelled_and_broken_pages(spark):
     assert html_content.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("layout", sorted(LAYOUTS))
+def test_main_text_of_common_layouts(layout):
+    page, want = LAYOUTS[layout]
+    assert html_content.main_text(page, html_content.fit()) == want
+
+
+def test_hostile_markup_takes_linear_time():
+    weights = html_content.fit()
+    parts = ("<a ", "<b '>'", "<b a='>' ", "<svg>", "<li>", "<!x", "<p class='a b'>x", "<b><div><i></b>", '<a ">', "</script ")
+    for page in [p * (400_000 // len(p)) for p in parts] + ["<div>" * 50000 + "</x>" * 50000, "<ul>" + "<b>" * 60000 + "<li>" * 60000, "<script>" + "</script " * 50000]:
+        began = time.process_time()
+        html_content.main_text(page, weights)
+        assert time.process_time() - began < 5, page[:20]
+
+
 def test_links_and_lists_of_an_article_stay():
     weights = html_content.fit()
     page = "<nav><ul><li><a href=/>Home</a></ul></nav><article><h1>T</h1><ul><li>one<li><a href=x>two</a> three</ul><table><tr><td>c<td>d</table><pre>a  b</pre></article><ol class=comment-list><li class=comment><p>No</p></ol>"

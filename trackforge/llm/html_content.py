@@ -8,10 +8,20 @@ article or main element that it lies in, and blocks inside it whose words score
 negatively by where they stand (adverts, forms, reader comments) are left out;
 links tell where content ends, but are not left out of it.
 
-Defined results: a null or empty page, and one without text, gives an empty
-text; broken markup is read as far as it goes (an element that is never closed
-ends with its parent, an unclosed comment or script runs to the end); text is
-never cut; repeated rows stay; further columns of the input are ignored.
+Names say what stands in a box, not what a whole page looks like: classes and
+ids of ``html``, ``body`` and ``main`` do not count, nor do those of any frame,
+an element that holds the main heading and at least half of the page's words;
+an ``article`` counts for single words only; names such as ``no-sidebar`` or
+``header-fixed`` tell of a state.  Where nothing at all is left of a page, the
+names of the elements that hold half of its words and at least three paragraphs
+(not those of comments) do not count either.
+
+Reading takes linear time whatever the markup.  Defined results: a null or
+empty page, and one without text, gives an empty text; broken markup is read as
+far as it goes (an element that is never closed ends with its parent, an
+unclosed comment or script runs to the end; once a quote inside a tag is never
+closed, tags end at the next ">" whatever the quotes); text is never cut;
+repeated rows stay; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -29,25 +39,37 @@ from pyspark.sql import DataFrame, functions as F
 
 from trackforge.llm.common import in_batches
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+>|[^>]*>)""", re.S)
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+_QUOTED = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|data-label)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
-_RAW = {x: re.compile(rf"</{x}\b[^>]*>", re.I) for x in ("script", "style", "noscript", "template", "svg", "textarea", "title", "iframe", "select", "object", "math", "canvas", "audio", "video")}
-_HEAD_END = re.compile(r"</head\b[^>]*>|(?=<body\b)", re.I)
+_RAW = {x: re.compile(rf"</{x}\b", re.I) for x in ("script", "style", "noscript", "template", "svg", "textarea", "title", "iframe", "select", "object", "math", "canvas", "audio", "video")}
+_TO_END = frozenset(("script", "style", "textarea", "title", "iframe"))
+_HEAD_END = re.compile(r"</head\b|(?=<body\b)", re.I)
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SECTION = frozenset(("article", "main"))
 _LISTS = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table", "tr")), "th": frozenset(("table", "tr"))}
+# Elements whose names describe the page, and words that make a name one of a state or of a title.
+_WHOLE_PAGE = frozenset(("html", "body", "main"))
+_STATE_FIRST = frozenset("no not non has have with without show hide".split())
+_STATE_LAST = frozenset("fixed sticky static dark light accepted enabled disabled on off none free visible shown style layout default transparent open closed collapsed expanded full wide boxed".split())
+_TITLED = frozenset("entry post article story content section".split())
+_TALK = frozenset((".comment", ".reply", ".replie", ".discussion", ".response", ".disqu"))
 
 
 @dataclass(slots=True)
 class _Element:
     name: str
-    weight: float
-    unlinked: float  # the weight, were there no link around
-    section: int
+    parent: int
+    own: list[str]  # what is known of it: its name and the words of its names
     label: str
-    own: list[str]
+    section: int
+    box: int  # place in the stack of the nearest open element that is not inline, itself included
+    inline: Counter[str] | None  # open inline elements since this one, if it is not inline
+    words: int = 0
+    paragraphs: int = 0
+    leads: bool = False  # the main heading stands in it
 
 
 @dataclass(slots=True)
@@ -55,12 +77,12 @@ class Block:
     """Text without a block tag inside; tags: those since the block before."""
 
     parts: list[str] = field(default_factory=list)
+    runs: list[tuple[int, int]] = field(default_factory=list)  # (element, words)
     words: int = 0
     score: float = 0.0
     place: float = 0.0  # what the words score by where they stand, links and tags aside
     tags: list[str] = field(default_factory=list)
     section: int = 0
-    seen: list[tuple[int, tuple[str, ...], str]] = field(default_factory=list)
 
 
 @dataclass(frozen=True)
@@ -70,6 +92,16 @@ class Weights:
     tag: dict[str, float]
 
 
+def _name_words(token: str, name: str) -> list[str]:
+    """The words of one class, id or role that tell what stands in the element."""
+    words = [x.lower() for x in _NAME.findall(token)]
+    if len(words) > 1 and (words[0] in _STATE_FIRST or words[-1] in _STATE_LAST or name == "article" or words[0] in _TITLED and words[-1] == "header"):
+        return []
+    if name[:1] == "h" and name[1:].isdigit():  # a heading's own style
+        words = [x for x in words if x not in ("header", "banner")]
+    return words
+
+
 def features(name: str, rest: str) -> tuple[list[str], str]:
     """What is known of an element, and its label on a labelled page."""
     found, label = [name], ""
@@ -80,30 +112,29 @@ def features(name: str, rest: str) -> tuple[list[str], str]:
                 label = value
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
                 found.append(".hidden")
-            elif key in ("class", "id", "role"):
-                found += [f".{x.lower().rstrip('s')}" for x in _NAME.findall(value)]
+            elif key in ("class", "id", "role") and name not in _WHOLE_PAGE:
+                found += [f".{x.rstrip('s')}" for token in value.split() for x in _name_words(token, name)]
     return found, label
 
 
-def blocks(page: str, weights: Weights | None = None) -> list[Block]:
-    """The page's blocks in order; with weights they are scored, without they keep their words' features and labels."""
-    base, element, tag = (weights.base, weights.element, weights.tag) if weights else (0.0, {}, {})
-    out, block = [], Block()
-    stack: list[_Element] = []
-    named: list[list[str]] = []  # features of the open elements, kept for fitting only
-    around: Counter[str] = Counter()
-    sections, at, end = 0, 0, len(page)
+def read(page: str) -> tuple[list[_Element], list[Block]]:
+    """The page's elements (the first is the page itself) and its blocks, both in order."""
+    root = _Element("", -1, [], "", 0, 0, Counter())
+    elements, out, block = [root], [], Block()
+    stack: list[int] = [0]
+    open_: Counter[str] = Counter()
+    sections, at, end, last = 0, 0, len(page), page.rfind(">")
+    quotes, unclosed = True, set()
 
     def text(chunk: str) -> None:
         words = len(chunk.split())
         block.parts.append(chunk)
         if words:
+            e = stack[-1]
             block.words += words
-            block.section = block.section or (stack[-1].section if stack else 0)
-            block.score += words * (base + (stack[-1].weight if stack else 0.0))
-            block.place += words * (base + (stack[-1].unlinked if stack else 0.0))
-            if not weights:
-                block.seen.append((words, tuple(x for n in named for x in n), stack[-1].label if stack else ""))
+            block.section = block.section or elements[e].section
+            block.runs.append((e, words))
+            elements[e].words += words
 
     def cut() -> None:
         nonlocal block
@@ -114,29 +145,50 @@ def blocks(page: str, weights: Weights | None = None) -> list[Block]:
             block.parts.clear()
 
     def pop_to(depth: int) -> None:
-        for e in stack[depth:]:
-            around.subtract(e.own)
+        for i in stack[depth:]:
+            e = elements[i]
+            open_[e.name] -= 1
+            if e.inline is None and (box := elements[stack[e.box]] if e.box < depth else None):
+                box.inline[e.name] -= 1
         del stack[depth:]
-        del named[depth:]
 
     while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        m = _OPEN.search(page, at)
+        if m is None or m.start() > last and not m[1]:
             text(page[at:])
             break
         if m.start() > at:
             text(page[at : m.start()])
-        at, name = m.end(), (m[2] or "").lower()
-        if not name:
+        if m[1]:
+            close = page.find("-->", m.end())
+            at = close + 3 if close >= 0 else end
+            continue
+        at = m.end()
+        if m[2]:
+            at = page.index(">", at) + 1
             continue
-        if name == "head" and not m[1]:
-            close = _HEAD_END.search(page, at)
-            at = close.end() if close else at
+        name = m[4].lower()
+        closed = _QUOTED.match(page, at) if quotes else None
+        if closed is None:
+            quotes = False
+        rest = page[at : (closed.end() if closed else page.index(">", at) + 1)]
+        at += len(rest)
+        if name == "head" and not m[3]:
+            close = None if "head" in unclosed else _HEAD_END.search(page, at)
+            if close:
+                at = page.find(">", close.end()) + 1 or end if close.end() > close.start() else close.end()
+            else:
+                unclosed.add("head")
             continue
         if name in _RAW:
-            if not m[1]:
-                close = _RAW[name].search(page, at)
-                at = close.end() if close else end
+            if not m[3]:
+                close = None if name in unclosed else _RAW[name].search(page, at)
+                if close:
+                    at = page.find(">", close.end()) + 1 or end
+                elif name in _TO_END:
+                    at = end
+                else:
+                    unclosed.add(name)
             continue
         if name == "br":
             block.parts.append(" ")
@@ -145,38 +197,78 @@ def blocks(page: str, weights: Weights | None = None) -> list[Block]:
         if not inline:
             cut()
         block.tags.append(name)
-        block.score += tag.get(name, 0.0)
-        if m[1]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].name == name:
-                    pop_to(depth)
-                    break
-                if inline and stack[depth].name not in _INLINE:
-                    break
+        if m[3]:
+            box = elements[stack[elements[stack[-1]].box]]
+            if (box.inline[name] if inline else open_[name]) > 0:
+                depth = len(stack) - 1
+                while elements[stack[depth]].name != name:
+                    depth -= 1
+                pop_to(depth)
             continue
         if name in _VOID:
             continue
         if not inline:  # a paragraph ends where another block begins, an item where the next begins
             stops = _LISTS.get(name, ())
-            for depth in range(len(stack) - 1, -1, -1):
-                open_ = stack[depth].name
-                if open_ == "p" or stops and open_ in _LISTS and open_ not in stops:
-                    pop_to(depth)
-                elif open_ not in _INLINE:
+            while (depth := elements[stack[-1]].box) > 0:
+                before = elements[stack[depth]].name
+                if not (before == "p" or stops and before in _LISTS and before not in stops):
                     break
-        own, label = features(name, m[3])
-        parent = stack[-1] if stack else _Element("", 0.0, 0.0, 0, "", [])
+                pop_to(depth)
+        own, label = features(name, rest)
+        parent = elements[stack[-1]]
         sections += name in _SECTION
-        weight, unlinked = parent.weight, parent.unlinked
+        e = _Element(name, stack[-1], own, label or parent.label, parent.section or (sections if name in _SECTION else 0), parent.box if inline else len(stack), None if inline else Counter())
+        e.leads = name in ("h1", "main") or ".main" in own and "role" in rest.lower()
+        e.paragraphs = int(name == "p")
+        if inline:
+            elements[stack[e.box]].inline[name] += 1
+        open_[name] += 1
+        stack.append(len(elements))
+        elements.append(e)
+    cut()
+    for e in reversed(elements[1:]):
+        parent = elements[e.parent]
+        parent.words += e.words
+        parent.paragraphs += e.paragraphs
+        parent.leads |= e.leads
+    return elements, out
+
+
+def _known(elements: list[_Element], weights: dict[str, float] | None, frame) -> Iterator[tuple[float, float, tuple[str, ...]]]:
+    """For each element what stands around its words: the weight, the weight without links, and (without weights) the features.
+
+    What is around a word counts once, however often it is; of frames only the
+    element's name counts.
+    """
+    around: Counter[str] = Counter()
+    path: list[tuple[int, list[str], float, float]] = []
+    for i, e in enumerate(elements):
+        while path and path[-1][0] != e.parent:
+            around.subtract(path.pop()[1])
+        weight, unlinked = path[-1][2:] if path else (0.0, 0.0)
+        own = e.own[:1] if len(e.own) > 1 and frame(e) else e.own
         for x in own:
-            if not around[x]:  # what is around a word counts once, however often
-                weight += element.get(x, 0.0)
-                unlinked += element.get(x, 0.0) * (x != "a")
+            if weights and not around[x]:
+                w = weights.get(x, 0.0)
+                weight += w
+                unlinked += w * (x != "a")
             around[x] += 1
-        stack.append(_Element(name, weight, unlinked, parent.section or (sections if name in _SECTION else 0), label or parent.label, own))
-        named.append(own if not weights else [])
-    cut()
-    return out
+        path.append((i, own, weight, unlinked))
+        yield weight, unlinked, () if weights else tuple(x for p in path for x in p[1])
+
+
+def blocks(elements: list[_Element], found: list[Block], weights: Weights, rescue: bool = False) -> list[Block]:
+    """The blocks with their scores; ``rescue`` takes every element that holds half of the words for a frame."""
+    half = elements[0].words / 2
+
+    def frame(e: _Element) -> bool:
+        return e.words >= half and (e.leads or rescue and e.paragraphs >= 3 and not _TALK.intersection(e.own))
+
+    known = [(w, u) for w, u, _ in _known(elements, weights.element, frame)]
+    for b in found:
+        b.score = sum(n * (weights.base + known[e][0]) for e, n in b.runs) + sum(weights.tag.get(t, 0.0) for t in b.tags)
+        b.place = sum(n * (weights.base + known[e][1]) for e, n in b.runs)
+    return found
 
 
 @cache
@@ -193,9 +285,11 @@ def fit(pages: tuple[str, ...] | None = None, steps: int = 3000, rate: float = 4
         pages = tuple(PAGES)
     rows, inside, outside = [], Counter(), Counter()
     for page in pages:
-        for b in blocks(page):
-            labels = [label == "content" for _, _, label in b.seen]
-            rows += [(set(known), y) for (_, known, _), y in zip(b.seen, labels)]
+        elements, found = read(page)
+        known = [k for _, _, k in _known(elements, None, lambda e: False)]
+        for b in found:
+            labels = [elements[e].label == "content" for e, _ in b.runs]
+            rows += [(set(known[e]), y) for (e, _), y in zip(b.runs, labels)]
             (inside if all(labels) else outside).update(b.tags)
     names = {x: i for i, x in enumerate(sorted({x for known, _ in rows for x in known}))}
     x = np.zeros((len(rows), len(names) + 1))
@@ -222,15 +316,26 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return at
 
 
+def _is_heading(elements: list[_Element], block: Block) -> bool:
+    e = elements[block.runs[0][0]]
+    return any(len(x) == 2 and x[0] == "h" and x[1].isdigit() for x in (e.name, elements[e.parent].name))
+
+
 def main_text(page: str, weights: Weights, least: float = -4.0) -> str:
     """``least`` bounds what one block can cost, so that an advert inside an article does not end it."""
-    found = blocks(page, weights)
-    start, end = best_region([max(least, b.score) for b in found])
-    chosen = set(range(start, end))
-    if sections := {found[i].section for i in chosen if found[i].score > 0} - {0}:
-        chosen |= {i for i, b in enumerate(found) if b.section in sections}
-    texts = (" ".join(html.unescape("".join(found[i].parts)).split()) for i in sorted(chosen) if found[i].place > 0)
-    return "\n".join(x for x in texts if x)
+    elements, found = read(page)
+    for rescue in (False, True):
+        blocks(elements, found, weights, rescue)
+        start, end = best_region([max(least, b.score) for b in found])
+        while 0 < start < end and found[start - 1].place > 0 and _is_heading(elements, found[start - 1]):  # the text's own headings
+            start -= 1
+        chosen = set(range(start, end))
+        if sections := {found[i].section for i in chosen if found[i].score > 0} - {0}:
+            chosen |= {i for i, b in enumerate(found) if b.section in sections}
+        texts = (" ".join(html.unescape("".join(found[i].parts)).split()) for i in sorted(chosen) if found[i].place > 0)
+        if text := "\n".join(x for x in texts if x):
+            return text
+    return ""
 
 
 def extract(pages: DataFrame, labelled: tuple[str, ...] | None = None) -> DataFrame:
