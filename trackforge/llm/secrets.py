@@ -1,15 +1,23 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field.
 
-Tokens that hold a digit, and those shortly after a word that announces a
-secret, are tagged begin, inside or outside; every other token is outside.
-Chains of such tokens with nothing but punctuation between them are decoded by
-Viterbi with an outside token before and after.  A token's features are its
-shape, the words and marks around it and what kind of file the text seems to
-be.  The field is fitted here, by gradient ascent on the likelihood of labelled
-lines that ``labelled_lines`` makes by rule from a fixed seed.
+Every token of a text is tagged begin, inside or outside; the tokens of a line
+are one chain, with outside before and after.  A token's features are its
+shape, the words and marks before and after it, how far the next word that
+announces a secret is on either side, and what kind of file the text seems to
+be.  What depends on the token alone is worked out once for each distinct token
+and remembered; scores are sums of looked-up weights for all tokens at once.
 
-Spans of the patterns always stay; a span of the field is added where it
-overlaps none of them.  Spans count code points, ends are exclusive.
+The labels are the likeliest by Viterbi.  A token whose score for outside is
+greater than any neighbours could make up for is outside on the likeliest path,
+whatever else is on it (``Field.margin``); chains are cut there, and only what
+lies between is walked.  This changes no label.
+
+The field is fitted by ``secret_lines`` on labelled lines made by rule; its
+weights are kept in secret_field.json, which ``python -m
+trackforge.llm.secret_lines`` writes.
+
+Spans of the patterns always stay; a span of the field is added unless one of
+them holds it.  Spans count code points, ends are exclusive.
 
 Defined results: a null text is empty and has no spans; texts are read whole;
 repeated rows stay; an empty table gives an empty result; columns named like
@@ -19,17 +27,20 @@ the results are replaced by them.
 from __future__ import annotations
 
 import hashlib
-import random
+import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import accumulate
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from trackforge.llm.common import in_batches
+from trackforge.llm.common import in_batches, span_hashes, utf8
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 #: Runs shorter than what is asked for are dropped, so they need not match.
@@ -54,83 +65,211 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[1], KINDS.index(span[0]), span[2]
 
 
-_TOKEN = re.compile(r"[A-Za-z0-9_+/-]+")
-_DIGITS = re.compile(r"[0-9]+")
-_BEFORE, _AFTER = re.compile(r"[A-Za-z0-9_+/-]*\Z"), re.compile(r"[A-Za-z0-9_+/-]*")
-_HINT = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authori[sz]ation|bearer", re.I | re.A)
-#: Every match of _HINT holds one of these.
-_HINT_PARTS = ("pass", "secret", "token", "key", "credential", "authori", "bearer")
-_MARK = re.compile(r"""([:=])\s*["'`]?\Z""")
-_REACH, _NEAR = 40, 4
-
-
-def chains(text: str) -> list[list[tuple[int, int]]]:
-    """Sequences of neighbouring tokens that may be secret, as (start, end)."""
-    found: set[tuple[int, int]] = set()
-    end = 0
-    for m in _DIGITS.finditer(text):
-        if m.start() >= end:
-            left = m.start()
-            while left and (c := text[left - 1]) < "\x7f" and (c.isalnum() or c in "_+/-"):
-                left -= 1
-            end = _AFTER.match(text, m.end()).end()
-            found.add((left, end))
-    low = text.lower()
-    for m in _HINT.finditer(text) if any(x in low for x in _HINT_PARTS) else ():
-        at = _AFTER.match(text, m.end()).end()
-        for _ in range(_NEAR):
-            t = _TOKEN.search(text, at, m.end() + 4 * _REACH)
-            if not t:
-                break
-            found.add((t.start(), _AFTER.match(text, t.end()).end()))
-            at = t.end()
-    out: list[list[tuple[int, int]]] = []
-    for start, end in sorted(found):
-        if out and start < (last := out[-1][-1][1]):
-            continue
-        if out and start - last <= 3 and not any(c.isalnum() or c in "\n\r" for c in text[last:start]):
-            out[-1].append((start, end))
+# ---- what is known of a token by itself
+
+_HINT = re.compile(r"pass(?:word|wd|phrase|code|wort)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authori[sz]ation|bearer|contrase|mot-?de-?passe|kennwort", re.I)
+_WEAK = re.compile(r"(?:^|[_-])(?:key|keys|login|auth|pin|pw|code|signature|salt|apikey|creds?|dsn|otp|seed)$", re.I)
+_PREFIX = re.compile(r"(?:gh[pousr]_|github_pat_|glpat-|sk[-_]|pk[-_]|rk_|xox[abprs]-|AKIA|ASIA|AIza|ya29\.|eyJ|SG\.|npm_|hf_|dop_v1_|shpat_|MII|LS0t|AAAA)")
+_PLACE = re.compile(r"https?|www\.|//|/[a-z]|[a-z0-9-]+\.(?:com|org|net|io|de|fr|es|html?|jpe?g|png|py|js|txt|csv|json|pdf)\b", re.I)
+# Words that tell something about their neighbours; all others are one.
+WORDS = {w: i + 1 for i, w in enumerate(
+    "is was are be it the a an of to for as with use used using my your our this that here and or not no must set get new old reset value equals bearer basic password passwd passphrase "
+    "passcode pwd pw secret token key api private access client auth authorization credential credentials login user username name id order number no. phone call tel isbn version page "
+    "chapter commit revision checksum sha256 sha1 md5 uuid model serial tracking invoice account iban card date time build export var const let string code pin otp seed salt ssh rsa begin end http https file path "
+    "est ist es la le der die das de für pour para con mit el y et und".split())}
+_SIZES = (1, 3, 6, 8, 12, 16, 20, 24, 32, 40, 64)
+_STRIP_LEFT, _STRIP_RIGHT = ".-!?*~%^&#", ".-?*~"
+_ALNUM = re.compile(r"[^\W_]")
+_REPEATED = re.compile(r"([-.!?*~%^&#$])\1+$")
+_CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{5,}", re.I)
+LOOKS = 18
+HINT, WEAK, LOWER, TITLE, UPPER, SHORT_NUMBER, NUMBER, MIXED_SHORT, MIXED, MIXED_LONG, ODD_CASE, LONG_LOWER, PLACE, HEXLIKE, MARKED, PREFIXED, COMPOUND = range(1, LOOKS)
+
+
+@dataclass(frozen=True, slots=True)
+class Shape:
+    lead: int  # bytes of punctuation before the token proper and after it
+    trail: int
+    look: int
+    kinds: int
+    size: int
+    turns: int
+    odd: int
+    word: int
+    marks: int
+
+
+def shape(raw: str) -> Shape | None:
+    """What a token looks like; null if it has neither letter nor digit."""
+    t = raw.lstrip(_STRIP_LEFT)
+    lead = len(raw) - len(t)
+    t = _REPEATED.sub("", t).rstrip(_STRIP_RIGHT)
+    if t.endswith("!") and not any(c.isdigit() for c in t):
+        t = t.rstrip("!")
+    if not _ALNUM.search(t):
+        return None
+    trail = len(raw) - lead - len(t)
+    n = len(t)
+    digits = upper = lower = turns = vowels = special = 0
+    before = ""
+    for c in t:
+        if c.isdigit():
+            digits, kind = digits + 1, "d"
+        elif c.isupper():
+            upper, kind = upper + 1, "U"
+        elif c.isalpha():
+            lower, kind = lower + 1, "l"
         else:
-            out.append([(start, end)])
-    return out
-
+            special += c in "&!#$%^*~?"
+            kind = "s"
+        vowels += c in "aeiouyAEIOUYäöüéèêàáíóú"
+        turns += kind != before and before not in ("", "s") and kind != "s" and not (kind == "l" and before == "U")
+        before = kind
+    letters, other = upper + lower, n - digits - upper - lower
+    size = sum(n >= x for x in _SIZES)
+    parts = re.split(r"[._/+-]+", t)
+    wordlike = all(not p or p.isalpha() and (p[1:].islower() or p.isupper() or len(p) < 2) or p.isdigit() and len(p) < 5 for p in parts)
+    odd = (letters > 7 and vowels * 5 < letters) + (letters > 7 and vowels * 4 < letters) + bool(_CONSONANTS.search(t))
+    if _HINT.search(t) and digits * 3 < n and n < 40 and wordlike or t.lower() in ("apikey", "passwort"):
+        look = HINT
+    elif _PREFIX.match(t) and n >= 12 and not wordlike:
+        look = PREFIXED
+    elif _WEAK.search(t) and n < 24 and digits < 2:
+        look = WEAK
+    elif not letters:
+        look = NUMBER if digits > 4 else SHORT_NUMBER
+    elif special and (digits or upper and lower):
+        look = MARKED
+    elif n >= 16 and re.fullmatch("[0-9a-f]+|[0-9A-F]+|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", t):
+        look = HEXLIKE
+    elif _PLACE.match(t) and not (n > 30 and turns > n // 4):
+        look = PLACE
+    elif other and wordlike:
+        look = COMPOUND
+    elif digits:
+        look = MIXED_LONG if n >= 16 else MIXED if n >= 8 else MIXED_SHORT
+    elif turns > 2 or turns > 1 and n >= 16:
+        look = ODD_CASE
+    elif lower == letters:
+        look = LONG_LOWER if n >= 14 else LOWER
+    else:
+        look = UPPER if upper == letters else TITLE
+    kinds = (digits > 0) + 2 * (upper > 0) + 4 * (lower > 0) + 8 * (other > 0)
+    marks = min(2, t.count(".")) + 3 * min(2, t.count("-")) + 9 * min(2, t.count("/"))
+    return Shape(len(raw[:lead].encode()), len(raw[len(raw) - trail :].encode()) if trail else 0, look, kinds, size, min(7, turns), odd, WORDS.get(t.lower(), 0), marks)
+
+
+class Shapes:
+    """Shapes by token, remembered; beyond ``most`` tokens the memory starts anew."""
+
+    def __init__(self, most: int = 400_000) -> None:
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[int, int] = {}
+        self.table = np.zeros((1 << 12, 9), np.int32)
+
+    def rows(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A row (lead, trail, look, kinds, size, turns, odd, word, marks) for each token; look 0: no token."""
+        kept, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.index) + len(kept) > self.most:
+            self.clear()
+        at = np.fromiter((self.index.get(h, -1) for h in kept.tolist()), np.int64, len(kept))
+        new = np.flatnonzero(at < 0)
+        n = len(self.index)
+        while n + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for i, h, j in zip(new.tolist(), kept[new].tolist(), first[new].tolist()):
+            found = shape(data[starts[j] : ends[j]].tobytes().decode("utf-8", "replace"))
+            if found:
+                self.table[n] = (found.lead, found.trail, found.look, found.kinds, found.size, found.turns, found.odd, found.word, found.marks)
+            self.index[h] = at[i] = n
+            n += 1
+        return self.table[at[inverse]]
+
+
+# ---- what is known of a token where it stands
+
+_TOKEN = np.zeros(256, bool)
+_TOKEN[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/.-&!#$%^*~?", *range(128, 256)]] = True
+_SIDE = np.full(256, 14, np.int64)
+for _i, _chars in enumerate((b"\n\r\x0b\x0c", b" \t", b"\"'`", b"=", b":", b"(", b"[{", b"<", b">", b"@", b",;", b")]}", b"|"), start=1):
+    _SIDE[list(_chars)] = _i
+SIDES, DISTANCES, N_WORDS = 15, 7, len(WORDS) + 1
+#: Sizes of the weight tables, one for each column of ``features``.
+TABLES = (LOOKS * DISTANCES * 4, LOOKS * 5, LOOKS * LOOKS, LOOKS * LOOKS, 16 * 12, 8 * 12, 16 * 4, N_WORDS, N_WORDS, N_WORDS, N_WORDS, SIDES * LOOKS, SIDES * LOOKS, 4 * LOOKS, 27 * LOOKS, 12 * LOOKS)
 
-def file_features(text: str) -> list[str]:
-    """What kind of file the whole text seems to be."""
-    marks = sum(map(text.count, "={};"))
-    return ["file:code" if marks * 60 > len(text) else "file:prose", "file:short" if len(text) < 400 else "file:long"]
 
-
-def token_features(text: str, start: int, end: int) -> list[str]:
-    t, before = text[start:end], text[max(0, start - _REACH) : start]
-    digits, upper, lower = (sum(map(str.isdigit, t)), sum(map(str.isupper, t)), sum(map(str.islower, t)))
-    n = len(t)
-    kinds = "".join(k for k, x in (("d", digits), ("U", upper), ("l", lower), ("s", n - digits - upper - lower)) if x)
-    turns = sum(a.isdigit() != b.isdigit() or a.isupper() != b.isupper() for a, b in zip(t, t[1:]))
-    size = next(str(k) for k in (64, 32, 20, 12, 8, 6, 4, 0) if n >= k)
-    hints = list(_HINT.finditer(before))
-    mark = _MARK.search(before)
-    words = re.findall(r"[^\W\d_]+", before.lower())
-    found = [
-        f"kinds:{kinds}",
-        f"size:{size}",
-        f"kinds:{kinds}:size:{size}",
-        f"turns:{min(6, turns * 10 // n)}",
-        f"varied:{len(set(t)) * 4 // n}" if n >= 8 else "varied:-",
-        f"hex:{bool(re.fullmatch('[0-9a-f-]+|[0-9A-F-]+', t))}:{n >= 24}",
-        f"mark:{mark[1] if mark else '-'}",
-        f"hint:{bool(hints)}",
-        f"hint:{bool(hints)}:mark:{bool(mark)}:long:{n >= 8}:digit:{digits > 0}",
-        f"word:{words[-1] if words else '-'}",
-        f"prior:{before[-1:]}",
-        f"next:{text[end : end + 1]}",
-        f"start:{re.match('[A-Za-z]{0,6}[_-]?', t)[0].lower()}",
-        f"dashes:{min(4, t.count('-'))}",
-        "bias",
-    ]
-    if hints and len(before) - hints[-1].end() <= 6:
-        found.append("hint:close")
-    return found
+@dataclass(frozen=True)
+class Tokens:
+    starts: np.ndarray  # bytes
+    ends: np.ndarray
+    row: np.ndarray
+    line: np.ndarray  # increasing over the rows
+    codes: np.ndarray  # a column for each table
+
+
+def features(data: np.ndarray, offsets: np.ndarray, shapes: Shapes) -> Tokens:
+    """All tokens of the rows and their features, as places in one table of all weights."""
+    token = np.concatenate([[False], _TOKEN[data], [False]])
+    edge = token[1:] != token[:-1]
+    cut = offsets[1:-1]
+    inner = cut[token[cut] & token[cut + 1]] if len(data) else cut[:0]  # rows that meet without a gap
+    starts, ends = np.union1d(np.flatnonzero(edge & token[1:]), inner), np.union1d(np.flatnonzero(edge & token[:-1]), inner)
+    known = shapes.rows(data, starts, ends).astype(np.int64)
+    real = known[:, 2] > 0
+    known, starts, ends = known[real], starts[real] + known[real, 0], ends[real] - known[real, 1]
+    n = len(starts)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    breaks = np.cumsum(np.isin(data, [10, 13]))
+    line = (breaks[starts] if n else starts) + row
+    look, kinds, size, turns, odd, word, marks = known[:, 2:].T
+    first = np.ones(n, bool)
+    first[1:] = line[1:] != line[:-1]
+    last = np.ones(n, bool)
+    last[:-1] = first[1:]
+
+    def beside(x: np.ndarray, by: int) -> np.ndarray:
+        """x of the token ``by`` places before (negative) or after in the same line, else 0."""
+        out = np.zeros_like(x)
+        if by < 0 and n > -by:
+            out[-by:] = np.where(line[-by:] == line[:by], x[:by], 0)
+        elif by > 0 and n > by:
+            out[:-by] = np.where(line[by:] == line[:-by], x[by:], 0)
+        return out
+
+    place = np.arange(n)
+    hint = look == HINT
+    announced = np.maximum.accumulate(np.where(hint, place, -1)) if n else place
+    before = np.concatenate([[-1], announced[:-1]])
+    gap = np.where((before >= 0) & (line[before] == line), place - before, 0) if n else place
+    distance = np.select([gap == 0, gap < 4, gap < 7, gap < 13], [0, gap, 4, 5], 6)
+    weak = look == WEAK
+    distance = np.where((distance == 0) & beside(weak.astype(np.int64), -1).astype(bool), 6, distance)
+    ahead = np.select([beside(hint.astype(np.int64), k) > 0 for k in (1, 2, 3)], [1, 2, 3], np.where(beside(weak.astype(np.int64), 1) > 0, 4, 0))
+    previous_end = np.where(first, np.maximum(offsets[row], starts - 4), np.concatenate([[0], ends[:-1]])[:n])
+    equals, colon, blank = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+    for k in range(1, 5):
+        at = starts - k
+        inside = at >= previous_end
+        byte = np.where(inside, data[np.maximum(at, 0)] if n else at, 0)
+        equals |= byte == 61
+        colon |= byte == 58
+        blank |= inside & (byte <= 32)
+    glued = ~first & ~blank & (starts - previous_end <= 4)
+    mark = np.select([equals, colon, glued], [1, 2, 3], 0)
+    left = np.where(starts > offsets[row], _SIDE[data[np.maximum(starts - 1, 0)]] if n else starts, 0)
+    right = np.where(ends < offsets[row + 1], _SIDE[data[np.minimum(ends, len(data) - 1)]] if n else ends, 0)
+    signs = np.concatenate([[0], np.cumsum(np.isin(data, list(b"={};<>")))])
+    length = np.diff(offsets)
+    file = (np.diff(signs[offsets]) * 60 > length) + 2 * (length < 400)
+    columns = (
+        (look * DISTANCES + distance) * 4 + mark, look * 5 + ahead, beside(look, -1) * LOOKS + look, look * LOOKS + beside(look, 1), kinds * 12 + size, turns * 12 + size, kinds * 4 + odd, word, beside(word, -1),
+        beside(word, 1), beside(word, -2), left * LOOKS + look, right * LOOKS + look, file[row] * LOOKS + look, marks * LOOKS + look, size * LOOKS + look,
+    )
+    codes = np.stack([c + base for c, base in zip(columns, np.concatenate([[0], np.cumsum(TABLES)[:-1]]))], 1).astype(np.int32)
+    return Tokens(starts, ends, row, line, codes)
 
 
 OUTSIDE, BEGIN, INSIDE = range(3)
@@ -140,15 +279,22 @@ OUTSIDE, BEGIN, INSIDE = range(3)
 class Field:
     """A linear-chain conditional random field over outside, begin, inside."""
 
-    weights: dict[str, tuple[float, float, float]]
+    weights: np.ndarray  # (sum of TABLES, 3)
     moves: np.ndarray
 
-    def scores(self, text: str, chain: list[tuple[int, int]], file: list[str]) -> np.ndarray:
-        none = (0.0, 0.0, 0.0)
-        return np.array([np.sum([self.weights.get(f, none) for f in (*token_features(text, *t), *file)], axis=0) for t in chain])
+    def margin(self) -> np.ndarray:
+        """By how much begin and inside can gain from their neighbours over outside, at most."""
+        m = self.moves
+        return np.array([(m[:, None, x] + m[None, x, :] - m[:, None, OUTSIDE] - m[None, OUTSIDE, :]).max() for x in (BEGIN, INSIDE)])
+
+    def scores(self, codes: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(codes), 3))
+        for column in codes.T:
+            out += self.weights[column]
+        return out
 
     def decode(self, scores: np.ndarray) -> list[int]:
-        """The likeliest labels by Viterbi, with outside before and after."""
+        """The likeliest labels of a chain by Viterbi, with outside before and after."""
         best, back = self.moves[OUTSIDE] + scores[0], []
         for row in scores[1:]:
             through = best[:, None] + self.moves
@@ -159,145 +305,76 @@ class Field:
             labels.append(int(b[labels[-1]]))
         return labels[::-1]
 
-    def spans(self, text: str) -> list[Span]:
-        found: list[Span] = []
-        file: list[str] = []
-        for chain in chains(text):
-            file = file or file_features(text)
-            open_ = False
-            for (start, end), label in zip(chain, self.decode(self.scores(text, chain, file))):
-                if label == BEGIN or label == INSIDE and not open_:
-                    found.append(("crf", start, end))
-                elif label == INSIDE:
-                    found[-1] = ("crf", found[-1][1], end)
-                open_ = label != OUTSIDE
-        return found
-
-
-def fit(lines: Iterable[tuple[str, list[tuple[int, int]]]], steps: int = 250, rate: float = 0.1, decay: float = 1e-3) -> Field:
-    """Maximum likelihood (Adam, L2) on texts with the spans of their secrets."""
-    rows: list[tuple[list[list[str]], list[int]]] = []
-    for text, secrets in lines:
-        file = file_features(text)
-        for chain in chains(text):
-            labels, last = [], None
-            for start, end in chain:
-                own = next((s for s in secrets if s[0] <= start and end <= s[1]), None)
-                labels.append(OUTSIDE if own is None else INSIDE if own == last else BEGIN)
-                last = own
-            rows.append(([token_features(text, *t) + file for t in chain], labels))
-    names = {f: i for i, f in enumerate(sorted({f for tokens, _ in rows for t in tokens for f in t}))}
-    n, longest, most = len(rows), max(len(t) for t, _ in rows), max(len(f) for t, _ in rows for f in t)
-    index, gold, mask = np.full((n, longest, most), len(names)), np.zeros((n, longest), int), np.zeros((n, longest), bool)
-    for i, (tokens, labels) in enumerate(rows):
-        gold[i, : len(labels)], mask[i, : len(labels)] = labels, True
-        for j, t in enumerate(tokens):
-            index[i, j, : len(t)] = [names[f] for f in t]
-    w, moves = np.zeros((len(names) + 1, 3)), np.zeros((3, 3))
-    state = [np.zeros_like(x) for x in (w, w, moves, moves)]
-    lse = lambda x, axis: (m := x.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(x - m).sum(axis))
-    one = np.eye(3)
-    for step in range(1, steps + 1):
-        e = w[index].sum(2)
-        forward, backward = np.zeros((n, longest, 3)), np.zeros((n, longest, 3))
-        forward[:, 0] = moves[OUTSIDE] + e[:, 0]
-        for j in range(1, longest):
-            forward[:, j] = np.where(mask[:, j, None], lse(forward[:, j - 1, :, None] + moves, 1) + e[:, j], forward[:, j - 1])
-        total = lse(forward[:, -1] + moves[:, OUTSIDE], 1)
-        backward[:, -1] = moves[:, OUTSIDE]
-        for j in range(longest - 2, -1, -1):
-            backward[:, j] = np.where(mask[:, j + 1, None], lse(moves[None] + (e[:, j + 1] + backward[:, j + 1])[:, None, :], 2), backward[:, j + 1])
-        seen = np.exp(forward + backward - total[:, None, None]) * mask[..., None]
-        gw, gm = -decay * w, -decay * moves
-        np.add.at(gw, index, ((one[gold] * mask[..., None] - seen) / n)[:, :, None, :])
-        start = (one[gold[:, 0]] - seen[:, 0]).sum(0) / n
-        last = mask.sum(1) - 1
-        stop = (one[gold[np.arange(n), last]] - seen[np.arange(n), last]).sum(0) / n
-        gm[OUTSIDE] += start
-        gm[:, OUTSIDE] += stop
-        for j in range(1, longest):
-            both = np.exp(forward[:, j - 1, :, None] + moves + (e[:, j] + backward[:, j])[:, None, :] - total[:, None, None])
-            true = one[gold[:, j - 1]][:, :, None] * one[gold[:, j]][:, None, :]
-            gm += ((true - both) * mask[:, j, None, None]).sum(0) / n
-        gw[-1] = 0
-        for x, g, (m, v) in ((w, gw, state[:2]), (moves, gm, state[2:])):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            x += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return Field({f: tuple(map(float, w[i])) for f, i in names.items()}, moves)
-
-
-def labelled_lines(n: int = 1500, seed: int = 7) -> list[tuple[str, list[tuple[int, int]]]]:
-    """Lines with secrets, and lines with what only looks like one, made by rule."""
-    r = random.Random(seed)
-    low, high, number = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    take = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
-    word = lambda: "".join(r.choice(("the", "re", "on", "ti", "er", "sha", "in", "le", "ou", "es", "que", "ion", "ar", "mo")) for _ in range(r.randint(1, 4)))
-    prose = lambda k: " ".join(word() for _ in range(k))
-    secrets = (
-        lambda: take("0123456789abcdef", r.choice((24, 32, 40, 64))),
-        lambda: take(low + high + number, r.randint(16, 48)),
-        lambda: take(low + high + number + "+/", r.randint(20, 64)),
-        lambda: r.choice(("ghp_", "sk-", "xoxb-", "pk_live_", "AKIA", "glpat-")) + take(high + low + number, r.randint(16, 40)),
-        lambda: take(low + high, 5) + r.choice("!@#$%") + take(number, 3) + r.choice("!@#$%") + take(low + number, 4),
-        lambda: take(low, 6) + take(number, 3),
-    )
-    names = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "private_key", "client_secret", "auth_token", "credential", "passphrase")
-    spoken = ("my {k} is {s}", "{k} {s}", "the {k} for it: {s}", "Authorization: Bearer {s}", "use {s} as {k} 2")
-    signs = ('{k} = "{s}"', "{k}={s}", "{k}: {s}", '"{k}": "{s}",', "export {K}={s}", "{k} := '{s}'", "--{k} {s}")
-    harmless = (
-        lambda: f"+{take(number, 2)} {take(number, 3)} {take(number, 7)}",
-        lambda: f"{word()}.{take(number, 2)}@mail.example.com",
-        lambda: f"{r.randint(1900, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}T{r.randint(0, 23):02}:{take('012345', 2)}:00Z",
-        lambda: ".".join(str(r.randint(0, 255)) for _ in range(4)),
-        lambda: f"version {r.randint(1, 9)}.{r.randint(0, 30)}.{r.randint(0, 9)}",
-        lambda: f"http://{word()}.example.org/en/{take(number, 5)}?page={r.randint(1, 9)}",
-        lambda: f"{take(number, 4)} {take(number, 4)} {take(number, 4)} {take(number, 4)}",
-        lambda: f"{word()}{r.randint(1, 99)}",
-        lambda: f"chapter {r.randint(1, 60)}, page {r.randint(1, 900)}",
-        lambda: f"{word()}_{take(number, 4)}.jpg",
-        lambda: f"DE{take(number, 20)}",
-        lambda: f"({take(number, 3)}) {take(number, 3)}-{take(number, 4)}",
-        lambda: f"{take(number, 3)}-{take(number, 2)}-{take(number, 4)}",
-        lambda: f"{r.randint(1, 999)},{take(number, 3)} {word()}",
-        lambda: f"id {take(number, r.randint(3, 12))}",
-        lambda: f"x{take(number, 2)}_64 utf-8 int32 sha256 md5",
-        lambda: f"the {r.choice(names)} of {prose(4)}",
-        lambda: f"a {r.choice(names)} must not be {prose(3)}",
-        lambda: f"{r.choice(names)}: {prose(5)}",
-        lambda: f"copyright {r.randint(1990, 2030)} {word()}",
-    )
-    out = []
-    for _ in range(n):
-        code = r.random() < 0.4
-        filler = (lambda: f"{word()} = {word()}({word()});\n") if code else (lambda: prose(r.randint(4, 12)) + r.choice((". ", ", ", "\n")))
-        text, spans = filler(), []
-        for _ in range(r.randint(1, 3)):
-            if r.random() < 0.45:
-                name, secret = r.choice(names), r.choice(secrets)()
-                before, after = r.choice(spoken if not code and r.random() < 0.5 else signs).split("{s}")
-                before = before.format(k=name, K=name.upper())
-                spans.append((len(text) + len(before), len(text) + len(before) + len(secret)))
-                text += before + secret + after.format(k=name, K=name.upper()) + " "
-            else:
-                text += r.choice(harmless)() + r.choice((" ", ". ", "### ", "\n"))
-            text += filler()
-        for _ in range(r.choice((0, 0, 6))):  # some long ones
-            text += filler() * 3
-        out.append((text, spans))
-    return out
+    def labels(self, tokens: Tokens) -> np.ndarray:
+        """The likeliest label of every token, its line being the chain."""
+        scores = self.scores(tokens.codes)
+        out = np.zeros(len(scores), np.int64)
+        undecided = np.flatnonzero((scores[:, OUTSIDE, None] - scores[:, 1:] <= self.margin()).any(axis=1))
+        if len(undecided):
+            apart = (np.diff(undecided) > 1) | (np.diff(tokens.line[undecided]) > 0)
+            for run in np.split(undecided, np.flatnonzero(apart) + 1):
+                out[run] = self.decode(scores[run])
+        return out
+
+    def spans(self, texts: pa.Array, shapes: Shapes, size: int = 1 << 20) -> list[list[Span]]:
+        """Spans of each text; texts are read in parts of about ``size`` bytes, each whole."""
+        every, offsets = utf8(texts)
+        out: list[list[Span]] = [[] for _ in range(len(texts))]
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+            data, part = every[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+            tokens = features(data, part, shapes)
+            labels = self.labels(tokens)
+            secret, last = np.flatnonzero(labels).tolist(), -2
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if secret else part
+            for i in secret:
+                start, stop, row = int(tokens.starts[i]), int(tokens.ends[i]), int(tokens.row[i])
+                limit, base = int(part[row + 1]), int(points[part[row]])
+                for _ in range(2):  # padding of base 64
+                    stop += stop < limit and data[stop] == 61 and (stop + 1 == limit or not _TOKEN[data[stop + 1]])
+                first, after = int(points[start]) - base, int(points[stop]) - base
+                if i == last + 1 and labels[i] == INSIDE and tokens.line[i] == tokens.line[last]:
+                    out[at + row][-1] = ("crf", out[at + row][-1][1], after)
+                else:
+                    out[at + row].append(("crf", first, after))
+                last = i
+            at = end
+        return out
+
+
+_FILE = Path(__file__).with_name("secret_field.json")
+
+
+def stored(path: Path = _FILE) -> Field:
+    """The field of a file: rows of [place, outside, begin, inside], all others being zero, and the moves."""
+    kept = json.loads(path.read_text())
+    weights = np.zeros((sum(TABLES), 3))
+    rows = np.array(kept["weights"])
+    weights[rows[:, 0].astype(int)] = rows[:, 1:]
+    return Field(weights, np.array(kept["moves"]))
 
 
 @cache
 def trained() -> Field:
-    return fit(labelled_lines())
+    return stored()
 
 
-def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans."""
-    base = base_spans(text)
-    extra = [s for s in field.spans(text) if not any(b[1] < s[2] and s[1] < b[2] for b in base)]
-    return base, sorted(base + extra, key=_order)
+@cache
+def _shared_shapes() -> Shapes:
+    """One memory for all tasks of a Python worker."""
+    return Shapes()
+
+
+def find(texts: pa.Array, field: Field) -> list[tuple[list[Span], list[Span]]]:
+    """Base spans, and all spans, of each text."""
+    out = []
+    for text, own in zip(texts.to_pylist(), field.spans(texts, _shared_shapes())):
+        base = base_spans(text or "")
+        starts, reach = [b[1] for b in base], list(accumulate((b[2] for b in base), max))
+        extra = [s for s in own if not (i := bisect_right(starts, s[1])) or reach[i - 1] < s[2]]
+        out.append((base, sorted(base + extra, key=_order)))
+    return out
 
 
 def joined(spans: list[Span]) -> str:
@@ -313,7 +390,7 @@ def _apply(documents: DataFrame, fields: list[tuple[str, pa.DataType, T.DataType
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = dict(zip(b.schema.names, b.columns))
-            new = made([t or "" for t in columns["text"].to_pylist()], model)
+            new = made(columns["text"], model)
             columns |= {name: pa.array(values, kind) for (name, kind, _), values in zip(fields, new)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -326,8 +403,8 @@ def _apply(documents: DataFrame, fields: list[tuple[str, pa.DataType, T.DataType
 def scan(documents: DataFrame, field: Field | None = None) -> DataFrame:
     """Each row with n_assign, n_access, n_hex, base_sha256 and spans; no shuffle."""
 
-    def made(texts: list[str], model: Field) -> list[list]:
-        found = [find(t, model) for t in texts]
+    def made(texts: pa.Array, model: Field) -> list[list]:
+        found = find(texts, model)
         counts = [[sum(s[0] == kind for s in base) for base, _ in found] for kind in KINDS[:3]]
         return [*counts, [hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found], [joined(spans) for _, spans in found]]
 
@@ -338,9 +415,9 @@ def scan(documents: DataFrame, field: Field | None = None) -> DataFrame:
 def redact(documents: DataFrame, mask: str = "[secret]", field: Field | None = None) -> DataFrame:
     """The documents with ``mask`` in place of every secret, and n_chars as it is then (null texts stay null)."""
 
-    def hidden(text: str, model: Field) -> str:
+    def hidden(text: str, spans: list[Span]) -> str:
         out, at = [], 0
-        for _, start, end in find(text, model)[1]:
+        for _, start, end in spans:
             if end <= at:
                 continue
             if start >= at:
@@ -348,8 +425,8 @@ def redact(documents: DataFrame, mask: str = "[secret]", field: Field | None = N
             at = end
         return "".join(out) + text[at:]
 
-    def made(texts: list[str], model: Field) -> list[list]:
-        done = [hidden(t, model) for t in texts]
+    def made(texts: pa.Array, model: Field) -> list[list]:
+        done = [hidden(t, spans) for t, (_, spans) in zip(texts.to_pylist(), find(texts, model))]
         return [done, [len(t) for t in done]]
 
     absent = documents.filter("text IS NULL")
