@@ -455,9 +455,60 @@ def test_a_repeated_row_is_one_node(spark, options):
     assert rows(found.select("doc_id", "class_id", "n_links")) == sorted([(d, 1, 5) for d, _ in docs], key=repr)
 
 
-def test_prefixes_are_shortened_to_the_target_recall():
-    depth = near_duplicates.prefix_depth(30, 10, 0.8, 0.999)
-    assert near_duplicates.recall(depth, 30, 0.8) >= 0.999 > near_duplicates.recall(depth + 1, 30, 0.8)
+def test_prefixes_are_shortened_until_the_recall_meets_the_target():
+    few = near_duplicates.recalls([(0.97, 10, 40), (0.81, 8, 3)], 30, 10, 0.8, 0.05, 100)
+    assert near_duplicates.prefix_depth(few, 0.999) == 7  # too few links near the threshold: as at the threshold
+    far = near_duplicates.recalls([(0.97, 10, 4000), (0.83, 9, 600)], 30, 10, 0.8, 0.05, 100)
+    close = near_duplicates.recalls([(0.97, 10, 4000), (0.8, 9, 500), (0.8, 6, 100)], 30, 10, 0.8, 0.05, 100)
+    assert near_duplicates.prefix_depth(far, 0.99) == 9 and near_duplicates.prefix_depth(close, 0.99) == 6
+    assert all(a >= b for a, b in zip(close, close[1:]))
+
+
+def test_the_sample_tells_links_and_shared_prefixes():
+    docs = [d[1] for d in near_docs() if d[1]]
+    sets = list(near_duplicates.shingle_sets(pa.array(docs)))
+    sample = near_duplicates.Sample(docs[10:40], 10, 30, 5, 3)
+    for s in sets[:60]:
+        if len(s):
+            label = near_duplicates.labels_of([s], 10, 30, 3)[0]
+            want = []
+            for own, other in zip(sample.sets, sample.labels):
+                common, union = len(np.intersect1d(own, s)), len(np.union1d(own, s))
+                if 5 * common >= 4 * union and common < union:
+                    want.append((common / union, max(next((d for d in range(10) if other[t, d] != label[t, d]), 10) for t in range(30))))
+            assert np.allclose(sorted(sample.links(s, label, 0.8)), sorted(want)) if want else not sample.links(s, label, 0.8)
+
+
+def test_recall_of_links_at_the_threshold(spark):
+    """Pairs of similarity 0.80 to 0.82, which are the hardest to meet."""
+    r, docs = random.Random(20), []
+    for g in range(600):
+        base = [f"a{g}x{i}" for i in range(104)]
+        other = [*base[:-11], *(f"b{g}x{i}" for i in range(11))]  # 100 n-grams each, 89 in common
+        docs += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    r.shuffle(docs)
+    sets = list(near_duplicates.shingle_sets(pa.array([t for _, t in sorted(docs)[:2]])))
+    assert 0.8 <= len(np.intersect1d(*sets)) / len(np.union1d(*sets)) < 0.82
+    found = near_duplicates.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert found.filter("n_links = 1").count() >= 0.99 * len(docs) and found.filter("n_links > 1").count() == 0
+
+
+def test_a_chain_of_loose_ties_is_compared_prefix_by_prefix(spark, monkeypatch):
+    text, docs = words(random.Random(21), 150, 10**6).split(), []
+    for i in range(170):  # neighbours are linked, texts further apart less and less
+        docs.append((i, " ".join(text)))
+        at = 9 * i % 140
+        text[at : at + 6] = [f"n{i}x{k}" for k in range(6)]
+    docs.append((500, docs[7][1]))
+    df = spark.createDataFrame(random.Random(22).sample(docs, len(docs)), "doc_id long, text string").repartition(3)
+    pairs = brute_pairs([t for _, t in docs])
+    want = {d: sum(p[0] == i for p in pairs) for i, (d, _) in enumerate(docs)}
+    trees = []
+    original = near_duplicates._placed
+    monkeypatch.setattr(near_duplicates, "_placed", lambda *a: (found := original(*a), trees.extend(x.tree for x in found.select("tree").distinct().collect()))[0])
+    found = near_duplicates.near_duplicates(df, block_rows=12)
+    assert dict(map(tuple, found.select("doc_id", "n_links").collect())) == want
+    assert max(trees) > 0
 
 
 def test_components(spark):

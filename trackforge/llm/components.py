@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from trackforge.llm.common import checkpointed
+from trackforge.llm.common import checkpointed, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,5 +35,5 @@ def components(edges: DataFrame) -> DataFrame:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
-        state, edges = now, checkpointed(_small_star(_large_star(edges)))
+        state, edges = now, written(_small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
