@@ -128,6 +128,47 @@ def test_toxic_documents_are_not_good(spark):
     assert sum(d < 600 for d in kept) >= 599 and sum(d >= 1000 for d in kept) <= 3
 
 
+def test_resampling_equals_a_plain_version(spark):
+    r, n = random.Random(23), 400
+    docs = [(i, " ".join(("g" if i % 3 else "b") + str(r.randrange(60)) for _ in range(r.choice((0, 1, 30, 200))))) for i in range(n)] + [(7, "g1 g2"), (7, "g1 g2"), (None, None), (None, "b1")]
+    labels = [(i, int(i % 3 > 0), int(i % 10 == 1)) for i in range(0, n, 2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    noise = {x.doc_id: (x.g, x.f) for x in df.select("doc_id", quality.gumbel(17).alias("g"), (F.pmod(F.xxhash64(F.lit(18), "doc_id"), F.lit(2)) == 0).alias("f")).collect()}
+    grams = []
+    for _, t in docs:
+        w = (t or "").split()
+        grams.append(w + [("", "") if a == b else (a, b) for a, b in zip(w, w[1:])])
+    bucket = {}
+    for row, b in ((row, b) for (_, t), own in zip(docs, grams) for row, b in [(own, np.concatenate([x for _, x in quality.ngram_buckets(pa.array([t or ""]), 16)] or [[]]))]):
+        bucket.update(zip(row, b.tolist()))
+    good = {i for i, q, t in labels if q and not t}
+    raw, target = {}, {}
+    for (i, _), own in zip(docs, grams):
+        for x in own:
+            raw[bucket[x]] = raw.get(bucket[x], 0) + 1
+            target[bucket[x]] = target.get(bucket[x], 0) + (i in good and noise[i][1])
+    all_, known, strength = sum(raw.values()), sum(target.values()), 2.0 * len(raw)
+    p = {x: (target[x] + strength * raw[x] / all_) / (known + strength) for x in raw}
+    ratio = {x: np.log(p[x] / (raw[x] / all_)) for x in raw}
+    mean = sum(p[x] * ratio[x] for x in raw)
+    weight = [sum(ratio[bucket[x]] - mean for x in own) / (len(own) + 20) for own in grams]
+    held = {}
+    for (i, _), w in zip(docs, weight):
+        if i in {x[0] for x in labels} and not noise[i][1]:
+            held[i] = min(w, held.get(i, w))
+    unit = np.std([w for i, w in held.items() if i in good]) / 4
+    key = [w / unit + noise[i][0] for (i, _), w in zip(docs, weight)]
+    for k in (1, 100, len(docs)):
+        least = sorted(key, reverse=True)[k - 1]
+        want = sorted(((i, round(x, 3)) for (i, _), x in zip(docs, key) if x >= least - 1e-6), key=repr)
+        found = quality.resample(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), k=k).collect()
+        found = sorted(((x.doc_id, round(x.gumbel_key, 3)) for x in found), key=repr)
+        assert [i for i, _ in found] == [i for i, _ in want] and np.allclose([x for _, x in found], [x for _, x in want], atol=5e-3)
+    top = {i for i, _ in sorted(((d[0], w) for d, w in zip(docs, weight)), key=lambda x: -x[1])[:100]}
+    drawn = {i for i, _ in sorted(((d[0], x) for d, x in zip(docs, key)), key=lambda x: -x[1])[:100]}
+    assert len(top & drawn) < 98  # the draw decides
+
+
 def test_ngram_buckets_do_not_depend_on_the_cut(monkeypatch):
     r = random.Random(5)
     texts = pa.array([words(r, n) + " x*** a a" for n in (0, 1, 3, 2000, 7)] + [None, "z" * 3000])
@@ -138,10 +179,14 @@ def test_ngram_buckets_do_not_depend_on_the_cut(monkeypatch):
 
 
 def test_kth_largest(spark):
-    values = [random.Random(6).gauss(0, 1) for _ in range(3000)]
+    r = random.Random(6)
+    values = [r.gauss(0, 1) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "key double")
     for k in (1, 700, 3000):
         assert quality.kth_largest(df, "key", k, enough=200) == sorted(values, reverse=True)[k - 1]
+    ties = [float(v > 0) for v in values]
+    same = spark.createDataFrame([(v,) for v in ties], "key double")
+    assert [quality.kth_largest(same, "key", k, enough=20) for k in (1, 1400, 2900, 3001)] == [1.0, sorted(ties)[-1400], 0.0, None]
 
 
 # ---- 3 decontamination

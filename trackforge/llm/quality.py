@@ -2,25 +2,33 @@
 
 Two generative models over hashed word and word-pair buckets, one of target
 text (labelled good) and one of all raw text, give each document the logarithm
-of its importance weight: the sum over its n-grams of log p_target - log p_raw.
-Documents are then drawn without replacement with these weights by Gumbel
-top-k: the k greatest sums of a log weight and a Gumbel noise that depends on
-the document's id alone.
-
-The raw model counts every n-gram of every document.  The target model is
-fitted on at most ``max_labelled`` labelled documents (those with the smallest
-hashes of their ids).  Log weights are centred: the target's own mean per
-n-gram is taken off, so that a good document's weight does not grow with its
-length.  How many documents are drawn follows from the labels: as many as score
-at least the ``cut`` that best separates the labelled documents.  Good are those
-labelled as of quality and not toxic, for the model and for the cut; all others
-are bad.
+of its importance weight, log p_target - log p_raw over its n-grams.  Documents
+are then drawn without replacement with these weights by Gumbel top-k: the k
+greatest sums of a log weight and a Gumbel noise that depends on the document's
+id alone.
+
+The raw model counts every n-gram of every document, in a number of buckets
+that grows with the number of documents (2^16 to 2^20).  The target model is
+fitted on half of at most ``max_labelled`` labelled documents (those with the
+smallest hashes of their ids).  Good are those labelled as of quality and not
+toxic, for the model and for the cut; all others are bad.
+
+Tempering: the plain sum over n-grams grows with a text's length, so the mean
+per n-gram is taken (with ``shrink`` n-grams of weight 0 added, and the target's
+own mean taken off) and scaled so that the good documents of the other half
+spread by ``sharpness`` standard units.  Their weights then differ by a few
+units, beside a Gumbel noise that spreads by 1.3: among neighbours the draw
+decides.  ``k`` is how many documents are drawn; where it is not given, as many
+as score at least the cut that best separates the labelled documents.
+
+Texts are tokenised twice, once to count and once to score; the scored rows are
+written to the shared folder.
 
 Defined results: a null or empty text has no n-grams and weight 0; documents
 without id share the noise of a null id; rows that tie with the k-th (repeated
-rows) are all drawn; without labels of both kinds everything is; an empty table
-gives an empty result; further columns are kept, but log_weight and gumbel_key
-are replaced.
+rows) are all drawn; without labels of both kinds everything is, unless k is
+given; an empty table gives an empty result; further columns are kept, but
+log_weight and gumbel_key are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from trackforge.llm.common import checkpointed, in_batches, mixed, pieces, span_hashes, utf8
+from trackforge.llm.common import in_batches, mixed, pieces, span_hashes, utf8, written
 
 #: 0 blank, 1 word (letters, digits, all non-ASCII), 2 other marks; marks in a row are one token.
 _CLASS = np.full(256, 2, np.uint8)
@@ -88,8 +96,9 @@ def ngram_counts(documents: DataFrame, is_target: Column, bits: int) -> DataFram
 def log_ratios(counts: DataFrame, bits: int, smoothing: float = 2.0) -> np.ndarray:
     """Centred log p_target - log p_raw per bucket; the table has 2^bits rows at most, whatever the input."""
     raw, target = np.zeros(1 << bits), np.zeros(1 << bits)
-    for r in counts.collect():
-        raw[r.bucket], target[r.bucket] = r.raw, r.target
+    found = counts.toArrow()
+    at = found.column("bucket").to_numpy()
+    raw[at], target[at] = found.column("raw").to_numpy(), found.column("target").to_numpy()
     if not target.sum():
         return np.zeros(1 << bits, np.float32)
     # the target is smoothed towards the raw text, so that a bucket it has not seen says little unless it is common
@@ -100,18 +109,20 @@ def log_ratios(counts: DataFrame, bits: int, smoothing: float = 2.0) -> np.ndarr
     return (ratio - (p * ratio).sum()).astype(np.float32)
 
 
-def score(documents: DataFrame, ratios: np.ndarray, reference: int, shrink: int) -> DataFrame:
-    """Every row with its log_weight; no shuffle."""
+def score(documents: DataFrame, ratios: np.ndarray, shrink: int) -> DataFrame:
+    """Every row with its log_weight, not tempered yet; no shuffle."""
     bits = int(len(ratios)).bit_length() - 1
-    source = documents.drop("log_weight")
+    source = documents.drop("log_weight", "gumbel_key")
+    ratios_ = source.sparkSession.sparkContext.broadcast(ratios)  # 2^20 numbers at most
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratios = ratios_.value
         for b in batches:
             total, n = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             for row, bucket in ngram_buckets(b.column("text"), bits):
                 total += np.bincount(row, ratios[bucket], b.num_rows)
                 n += np.bincount(row, minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(reference * total / (n + shrink))], names=[*b.schema.names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total / (n + shrink))], names=[*b.schema.names, "log_weight"])
 
     return in_batches(source).mapInArrow(work, T.StructType([*source.schema.fields, T.StructField("log_weight", T.DoubleType())]))
 
@@ -133,31 +144,46 @@ def best_cut(good: np.ndarray, bad: np.ndarray, loss: float) -> float:
     return float(cuts[at]) if at == 0 else float(cuts[at] + cuts[at - 1]) / 2
 
 
-def kth_largest(df: DataFrame, key: str, k: int, enough: int = 100_000) -> float:
-    """The k-th largest value of a column: quantile sketches narrow the range until few rows are left to sort."""
-    inside, rank = df.select(key), k
+def kth_largest(df: DataFrame, key: str, k: int, enough: int = 100_000) -> float | None:
+    """The k-th largest value of a column, ties counted; null if there are fewer.
+
+    Two pivots from a quantile sketch, a little above and below, narrow the range
+    until few rows are left to sort.  A pivot never stays in the range, so rows
+    of equal values, however many, are settled by counting.
+    """
+    c, inside, rank = F.col(key), df.select(key), k
     while (n := inside.count()) > enough:
         q = 1 - rank / n
         low, high = inside.agg(F.percentile_approx(key, [max(0.0, q - 0.001), min(1.0, q + 0.001)], 10_000)).first()[0]
-        above = inside.filter(F.col(key) > high).count()
-        middle = inside.filter(F.col(key).between(low, high))
-        if not above < rank <= above + (kept := middle.count()) or kept == n:
-            break
-        inside, rank = middle, rank - above
-    return inside.orderBy(F.desc(key)).limit(rank).agg(F.min(key)).first()[0]
+        above, at_high, between, at_low = inside.agg(F.count_if(c > high), F.count_if(c == high), F.count_if((c < high) & (c > low)), F.count_if((c == low) & (c < high))).first()
+        for count, settled in ((above, c > high), (at_high, high), (between, (c < high) & (c > low)), (at_low, low), (n, c < low)):
+            if rank <= count:
+                if isinstance(settled, float):
+                    return settled
+                inside = inside.filter(settled)
+                break
+            rank -= count
+        else:
+            return None
+    rows = inside.groupBy(key).count().orderBy(F.desc(key)).collect()  # ``enough`` at most
+    for r in rows:
+        rank -= r["count"]
+        if rank <= 0:
+            return r[key]
+    return None
+
+
+def buckets_for(rows: int) -> int:
+    """Bits of the bucket number: it grows with the documents, within what a worker holds."""
+    return min(20, max(16, rows.bit_length()))
 
 
 def resample(
-    documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, bits: int = 16, smoothing: float = 2.0, reference: int = 400, shrink: int = 20, loss: float = 5.0, seed: int = 17
+    documents: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = 20_000, smoothing: float = 2.0, sharpness: float = 4.0, shrink: int = 20, loss: float = 5.0, seed: int = 17
 ) -> DataFrame:
-    """The documents drawn, with log_weight and gumbel_key.
-
-    Log weights are those of ``reference`` n-grams of the document's kind, so
-    that short and long documents compete alike; ``shrink`` n-grams of weight 0
-    are added to each document.  Half of the labelled documents (by the hash of
-    their ids) fits the target model, the other half places the cut.
-    """
-    text = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    """The documents drawn, with log_weight and gumbel_key; ``loss`` is what a good document below the cut costs, a bad one above it costing 1."""
+    bits = buckets_for(documents.count())
+    text = documents.withColumn("text", F.col("text").cast("string"))
     labelled = F.broadcast(  # max_labelled rows at most
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id")
@@ -166,13 +192,16 @@ def resample(
         .limit(max_labelled)
         .withColumn("fits", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(2)) == 0)
     )
-    marked = text.join(labelled, "doc_id", "left")
+    marked = text.select("doc_id", "text").join(labelled, "doc_id", "left")
     ratios = log_ratios(ngram_counts(marked, F.expr("fits AND quality = 1 AND toxic = 0"), bits), bits, smoothing)
-    key = F.col("log_weight") + gumbel(seed)
-    scored = checkpointed(score(text, ratios, reference, shrink).select("doc_id", "log_weight", key.alias("gumbel_key")))
-    is_good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    held = [(r.good, r.log_weight) for r in scored.join(labelled.filter("NOT fits"), "doc_id").select(is_good.alias("good"), "log_weight").dropDuplicates().limit(2 * max_labelled).collect()]
-    cut = best_cut(np.array([w for good, w in held if good]), np.array([w for good, w in held if not good]), loss)
-    k = scored.filter(F.col("log_weight") >= cut).count()
-    least = kth_largest(scored, "gumbel_key", k) if k else float("inf")
-    return score(documents, ratios, reference, shrink).withColumn("gumbel_key", key).filter(F.col("gumbel_key") >= least)
+    scored = written(score(text, ratios, shrink))
+    is_good = (F.max("quality") == 1) & (F.max("toxic") == 0)
+    held = scored.select("doc_id", "log_weight").join(labelled.filter("NOT fits"), "doc_id").groupBy("doc_id").agg(is_good.alias("good"), F.min("log_weight").alias("log_weight")).toArrow()
+    which, scores = held.column("good").to_numpy().astype(bool), held.column("log_weight").to_numpy()
+    good, bad = scores[which], scores[~which]
+    unit = float(good.std()) / sharpness if len(good) > 1 and good.std() > 0 else 1.0
+    weighed = scored.withColumn("log_weight", F.col("log_weight") / unit).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))
+    if k is None:
+        k = weighed.filter(F.col("log_weight") >= best_cut(good, bad, loss) / unit).count()
+    least = kth_largest(weighed, "gumbel_key", k) if k else float("inf")
+    return weighed if least is None else weighed.filter(F.col("gumbel_key") >= least)
