@@ -60,7 +60,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     known = _POWERS.get(base)
     if known is None or len(known) < n:
-        known = np.full(max(n, 1 << 20), base, np.uint64)
+        known = np.full(max(n, 1 << 18), base, np.uint64)
         known[0] = 1
         _POWERS[base] = known = np.cumprod(known)
     return known[:n]

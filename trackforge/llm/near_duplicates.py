@@ -47,7 +47,7 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def shingle_sets(texts: pa.Array, n: int = 5, size: int = 1 << 20) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, n: int = 5, size: int = 1 << 18) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each row, row by row."""
     data, offsets = utf8(texts)
     step = np.uint64(0x9FB21C651E98DF25)

@@ -81,6 +81,7 @@ _SIZES = (1, 3, 6, 8, 12, 16, 20, 24, 32, 40, 64)
 _STRIP_LEFT, _STRIP_RIGHT = ".-!?*~%^&#", ".-?*~"
 _ALNUM = re.compile(r"[^\W_]")
 _REPEATED = re.compile(r"([-.!?*~%^&#$])\1+$")
+_VOWELS = "aeiouyAEIOUYäöüéèêàáíóú"
 _CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{5,}", re.I)
 LOOKS = 18
 HINT, WEAK, LOWER, TITLE, UPPER, SHORT_NUMBER, NUMBER, MIXED_SHORT, MIXED, MIXED_LONG, ODD_CASE, LONG_LOWER, PLACE, HEXLIKE, MARKED, PREFIXED, COMPOUND = range(1, LOOKS)
@@ -110,6 +111,27 @@ def shape(raw: str) -> Shape | None:
         return None
     trail = len(raw) - lead - len(t)
     n = len(t)
+    if t.isalpha() and (t.islower() or t.isupper() or t[0].isupper() and t[1:].islower()):  # a plain word: as below, but at once
+        upper = n if t.isupper() else int(not t.islower())
+        odd = 0
+        if n > 7:
+            vowels = sum(map(t.count, _VOWELS))
+            odd = (vowels * 5 < n) + (vowels * 4 < n)
+        odd += bool(_CONSONANTS.search(t))
+        low = t.lower()
+        if n < 40 and _HINT.search(t) or low in ("apikey", "passwort"):
+            look = HINT
+        elif n < 24 and _WEAK.search(low):
+            look = WEAK
+        elif n >= 16 and re.fullmatch("[a-f]+|[A-F]+", t):
+            look = HEXLIKE
+        elif low.startswith("http"):
+            look = PLACE
+        elif not upper:
+            look = LONG_LOWER if n >= 14 else LOWER
+        else:
+            look = UPPER if upper == n else TITLE
+        return Shape(len(raw[:lead].encode()), len(raw[len(raw) - trail :].encode()) if trail else 0, look, 2 * (upper > 0) + 4 * (upper < n), sum(n >= x for x in _SIZES), 0, odd, WORDS.get(low, 0), 0)
     digits = upper = lower = turns = vowels = special = 0
     before = ""
     for c in t:
@@ -122,7 +144,7 @@ def shape(raw: str) -> Shape | None:
         else:
             special += c in "&!#$%^*~?"
             kind = "s"
-        vowels += c in "aeiouyAEIOUYäöüéèêàáíóú"
+        vowels += c in _VOWELS
         turns += kind != before and before not in ("", "s") and kind != "s" and not (kind == "l" and before == "U")
         before = kind
     letters, other = upper + lower, n - digits - upper - lower
@@ -162,7 +184,7 @@ def shape(raw: str) -> Shape | None:
 class Shapes:
     """Shapes by token, remembered; beyond ``most`` tokens the memory starts anew."""
 
-    def __init__(self, most: int = 400_000) -> None:
+    def __init__(self, most: int = 250_000) -> None:
         self.most = most
         self.clear()
 
@@ -217,6 +239,7 @@ def features(data: np.ndarray, offsets: np.ndarray, shapes: Shapes) -> Tokens:
     cut = offsets[1:-1]
     inner = cut[token[cut] & token[cut + 1]] if len(data) else cut[:0]  # rows that meet without a gap
     starts, ends = np.union1d(np.flatnonzero(edge & token[1:]), inner), np.union1d(np.flatnonzero(edge & token[:-1]), inner)
+    ends = ends - ((data[ends - 1] == 46) & (ends - starts > 1)) if len(ends) else ends  # a full stop is no part of a token; fewer tokens differ
     known = shapes.rows(data, starts, ends).astype(np.int64)
     real = known[:, 2] > 0
     known, starts, ends = known[real], starts[real] + known[real, 0], ends[real] - known[real, 1]
@@ -316,7 +339,7 @@ class Field:
                 out[run] = self.decode(scores[run])
         return out
 
-    def spans(self, texts: pa.Array, shapes: Shapes, size: int = 1 << 20) -> list[list[Span]]:
+    def spans(self, texts: pa.Array, shapes: Shapes, size: int = 1 << 18) -> list[list[Span]]:
         """Spans of each text; texts are read in parts of about ``size`` bytes, each whole."""
         every, offsets = utf8(texts)
         out: list[list[Span]] = [[] for _ in range(len(texts))]
