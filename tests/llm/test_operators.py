@@ -402,13 +402,13 @@ def test_sharding_walks_the_ring(spark, no_docs):
 def test_topk_equals_brute_force(spark):
     r = np.random.default_rng(11)
     vectors = [(int(i), [float(x) for x in r.normal(size=8).round(1 if i % 2 else 6)]) for i in range(700)]
-    vectors += [(800, None), (900, [1.0, None] + [0.0] * 6), (1000, [float("nan")] * 8), (1100, [float("inf")] * 8), (None, [1.0] * 8), (1200, [1.0, 2.0]), (1201, [3.0, 4.0]), (1300, []), (5, vectors[5][1])]
+    vectors += [(800, None), (900, [1.0, None] + [0.0] * 6), (1000, [float("nan")] * 8), (1100, [float("inf")] * 8), (None, [1.0] * 8), (1200, [1.0, 2.0]), (1201, [3.0, 4.0]), (1300, []), (5, vectors[5][1]), (3, [9.0] * 8), (3, [-9.0] * 8), (3, [9.0] * 8), (100, [1.0] * 8)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
     found = topk.nra_topk(df, F.col("vec_id") % 100 == 0, 10, block_rows=200, query_block_rows=3)
-    floors = {i: np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    floors = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in floors if i % 100 == 0):
-        best = sorted((-int(floors[q] @ floors[i]), i) for i in floors if i != q and len(floors[i]) == len(floors[q]))[:10]
+    for q in {i for i, _ in floors if i % 100 == 0}:
+        best = sorted((-int(a @ b), i) for own, a in floors if own == q for i, b in floors if i != q and len(a) == len(b))[:10]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert sorted(map(tuple, found.collect())) == sorted(want)
     assert topk.nra_topk(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
@@ -416,13 +416,17 @@ def test_topk_equals_brute_force(spark):
 
 def test_bounds_stop_early_and_stay_exact():
     r = np.random.default_rng(12)
-    x = r.integers(-1000, 1000, (3000, 3))
-    x[:5] *= 50
-    ids = np.arange(3000)
-    for q, i, s in topk.nra_block(x, ids, x[:40] // 40, ids[:40], 10):
-        exact = x @ (x[q] // 40)
-        order = [j for j in np.lexsort((ids, -exact)) if j != q][:10]
-        assert i.tolist() == order and s.tolist() == exact[order].tolist()
+    n = 4000
+    flat = (r.normal(size=(n, 3)) * (800, 300, 100)) @ r.normal(size=(3, 16)) + r.normal(size=(n, 16)) * 3  # three axes tell nearly all
+    even = r.integers(-1000, 1000, (n, 16))
+    for x, stops in ((flat.astype(np.int64), True), (even, False), (even * 10**6, False), (np.ones((n, 4), np.int64), False), (even[:40], True)):
+        ids, depths = np.arange(len(x)), []
+        for q, rows_, s, depth in topk.nra_block(x, ids, x[:40], ids[:40], 10):
+            exact = x @ x[q]
+            order = [j for j in np.lexsort((ids, -exact)) if j != q][:10]
+            assert rows_.tolist() == order and s.tolist() == exact[order].tolist()
+            depths.append(depth)
+        assert not stops or np.mean(depths) < 0.6 * len(x)
 
 
 # ---- 8 revisits

@@ -1,24 +1,26 @@
 """Exact top-k inner product search by no-random-access aggregation.
 
-Each dimension of a block of vectors is a list sorted by value.  A query reads
-every list from its better end (from the top where its own component is
-positive, from the bottom where it is negative), a round at a time.  What it
-has read of a vector gives a lower bound (unread components count as the
-list's worst value) and an upper bound (unread components count as the value
-that the list has reached).  Reading stops as soon as the vectors whose upper
-bound reaches the k-th best lower bound are few; only their final scores are
-resolved.  Nothing outside that set can be among the k best of the block, so
-the result is exact, ties included.
+A block of vectors is turned into its principal axes; each axis is a list sorted
+by value.  A query reads every list sequentially from its better end (from the
+top where its own component is positive, from the bottom where it is negative),
+a part at a time.  What it has read of a vector is its known sum; an unread
+component counts as the list's worst value for the lower bound and as the value
+that the list has reached for the upper one.  Reading stops as soon as at most
+``few`` vectors have upper bounds that reach the k-th best lower bound; their
+final scores are then resolved in whole numbers.  The axes only serve the
+bounds, which are widened by more than their rounding, so the result is exact,
+ties included.
 
 Queries are a stated set against all rows, in blocks: each block of candidates
 meets each block of queries once, in a task that holds one of either.  The k
 best of each block are ranked again over all blocks.
 
 Defined results: vectors that are null or hold null, NaN or infinite components
-take no part, nor do rows without an id; of rows that share an id the smallest
-vector counts; vectors only meet vectors of their own length; an empty table
-gives an empty result; further columns are ignored.  Scores are integers and
-exact while they fit into 53 bits (64 bits in a slower form beyond that).
+take no part, nor do rows without an id; rows that share an id are candidates
+each, but none of them for queries of that id, whose rows ask together; equal
+rows are worked out once and count each; vectors only meet vectors of their own
+length; an empty table gives an empty result; further columns are ignored.
+Scores are exact while they fit into 64 bits.
 """
 
 from __future__ import annotations
@@ -42,47 +44,51 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
 
 
-def nra_block(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, k: int, few: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, ids, scores) of the k best rows of ``x`` for each row of ``q``, best first, ties to the smaller id."""
-    n, d = x.shape
-    wide = d * float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) >= 2**53
-    if wide or n <= 2 * few or d == 0:  # lists this short are read to their end
-        for query, query_id in zip(q, query_ids):
-            yield (query_id, *_best(x @ query, ids, query_id, k))
-        return
-    xf, lists = x.astype(np.float64), np.sort(x, axis=0).astype(np.float64)
-    worst_up, worst_down = lists[0], lists[-1]
-    for first in range(0, len(q), 256):
-        part, part_ids = q[first : first + 256], query_ids[first : first + 256]
-        waiting = np.arange(len(part))
-        depth = max(n // 16, 1)
-        while len(waiting):
-            up, down = np.maximum(part[waiting], 0).astype(np.float64).T, np.minimum(part[waiting], 0).astype(np.float64).T
-            if depth >= n:
-                upper = lower = xf @ (up + down)
-            else:
-                top, bottom = lists[n - depth], lists[depth - 1]
-                upper = np.maximum(xf, top) @ up + np.minimum(xf, bottom) @ down
-                lower = np.where(xf >= top, xf, worst_up) @ up + np.where(xf <= bottom, xf, worst_down) @ down
-            own = ids[:, None] == part_ids[waiting][None, :]
-            lower = np.where(own, -np.inf, lower)
-            at = max(n - k, 0)
-            least = np.partition(lower, at, axis=0)[at]
-            open_ = (upper >= least) & ~own
-            done = (open_.sum(axis=0) <= few) | (depth >= n)
-            for j in np.flatnonzero(done):
-                rows = np.flatnonzero(open_[:, j])
-                query_id = part_ids[waiting[j]]
-                yield (query_id, *_best(x[rows] @ part[waiting[j]], ids[rows], query_id, k))
-            waiting = waiting[~done]
-            depth *= 2
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    keep = ids != own
-    scores, ids = scores[keep], ids[keep]
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+class Lists:
+    """A block of vectors as sorted lists along its principal axes."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x = x
+        exact = x.astype(np.float64)
+        scale = max(1.0, float(np.abs(exact).max(initial=0)))
+        _, self.axes = np.linalg.eigh((exact / scale).T @ (exact / scale)) if x.size else (None, np.eye(x.shape[1]))
+        self.along = exact @ self.axes
+        self.order = np.argsort(self.along, axis=0, kind="stable").astype(np.int32)
+        self.slack = 1e-9 * float(np.sqrt((exact * exact).sum(axis=1)).max(initial=0))
+
+    def best(self, query: np.ndarray, allowed: np.ndarray, k: int, few: int) -> tuple[np.ndarray, int]:
+        """Rows among which the k best allowed ones are, and how far the lists were read."""
+        n, d = self.x.shape
+        weight = query.astype(np.float64) @ self.axes
+        slack = self.slack * float(np.sqrt((weight * weight).sum())) + 1e-9
+        order = np.where(weight > 0, self.order[::-1], self.order) if n else self.order
+        worst = self.along[order[-1], np.arange(d)] * weight if n else np.zeros(d)
+        known, seen = np.zeros(n), np.zeros((n, d), bool)
+        depth, part = 0, max(n // 32, 1)
+        open_ = np.flatnonzero(allowed)
+        while len(open_) > few and depth < n:
+            end = min(depth + part, n)
+            for j in range(d):  # sequential reads; a list holds a row once
+                rows = order[depth:end, j]
+                known[rows] += self.along[rows, j] * weight[j]
+                seen[rows, j] = True
+            depth, part = end, part * 2
+            reached = self.along[order[depth - 1], np.arange(d)] * weight
+            lower = known[open_] + worst.sum() - seen[open_] @ worst - slack
+            upper = known[open_] + reached.sum() - seen[open_] @ reached + slack
+            if len(open_) > k:  # whoever cannot qualify now cannot later
+                open_ = open_[upper >= np.partition(lower, len(lower) - k)[len(lower) - k]]
+        return open_, depth
+
+
+def nra_block(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, k: int, few: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(place of the query, rows, scores, depth read) of the k best rows of ``x`` for each row of ``q``, best first, ties to the smaller id."""
+    lists = Lists(x)
+    for i, (query, query_id) in enumerate(zip(q, query_ids)):
+        rows, depth = lists.best(query, ids != query_id, k, few)
+        scores = x[rows] @ query
+        order = np.lexsort((ids[rows], -scores))[:k]
+        yield i, rows[order], scores[order], depth
 
 
 def _matrix(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,28 +108,30 @@ def nra_topk(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "v
     usable_rows = (
         vectors.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
         .select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"), quantized(F.col(vector_col)).alias("v"))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
+        .groupBy("id", "v")
+        .agg(F.count("*").alias("n"), F.max("asks").alias("asks"))
         .withColumn("dim", F.size("v"))
     )
     asking = usable_rows.filter("asks")
     n_query_blocks = max(1, -(-vectors.filter(is_query).count() // query_block_rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")
-    query_block = F.pmod(F.xxhash64("id"), F.lit(n_query_blocks)).cast("int")
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)).cast("int")
+    query_block = F.pmod(F.xxhash64("id", "v"), F.lit(n_query_blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = usable_rows.select("dim", "id", "v", block.alias("block"), every(n_query_blocks).alias("query_block"))
-    right = asking.select("dim", "id", "v", query_block.alias("query_block"), every(n_blocks).alias("block"))
-    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    left = usable_rows.select("dim", "id", "n", "v", block.alias("block"), every(n_query_blocks).alias("query_block"))
+    right = asking.select("dim", "id", "n", "v", query_block.alias("query_block"), every(n_blocks).alias("block"))
+    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("n", pa.int64())])
 
     def work(key: tuple, candidates: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(candidates) or not len(queries):
             return out.empty_table()
         dim = key[0].as_py()
         (x, ids), (q, query_ids) = _matrix(candidates, dim), _matrix(queries, dim)
-        found = [(np.full(len(i), query), i, s) for query, i, s in nra_block(x, ids, q, query_ids, k)]
+        copies, asked = candidates.column("n").to_numpy(), queries.column("n").to_numpy()
+        found = [(np.full(len(at), query_ids[i]), ids[at], scores, copies[at] * asked[i]) for i, at, scores, _ in nra_block(x, ids, q, query_ids, k)]
         return pa.table([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], schema=out)
 
     keys = ["dim", "query_block", "block"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, "query_id long, vec_id long, score long")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, "query_id long, vec_id long, score long, n long")
+    each = best.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.least("n", F.lit(k)).cast("int"))))  # equal rows count each
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return each.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
