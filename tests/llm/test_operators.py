@@ -421,6 +421,7 @@ def test_bounds_stop_early_and_stay_exact():
     even = r.integers(-1000, 1000, (n, 16))
     for x, stops in ((flat.astype(np.int64), True), (even, False), (even * 10**6, False), (np.ones((n, 4), np.int64), False), (even[:40], True)):
         ids, depths = np.arange(len(x)), []
+        assert sorted(q for q, *_ in topk.nra_block(x, ids, x[:40], ids[:40], 10, together=7)) == list(range(40))
         for q, rows_, s, depth in topk.nra_block(x, ids, x[:40], ids[:40], 10):
             exact = x @ x[q]
             order = [j for j in np.lexsort((ids, -exact)) if j != q][:10]

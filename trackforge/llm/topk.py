@@ -56,39 +56,52 @@ class Lists:
         self.order = np.argsort(self.along, axis=0, kind="stable").astype(np.int32)
         self.slack = 1e-9 * float(np.sqrt((exact * exact).sum(axis=1)).max(initial=0))
 
-    def best(self, query: np.ndarray, allowed: np.ndarray, k: int, few: int) -> tuple[np.ndarray, int]:
-        """Rows among which the k best allowed ones are, and how far the lists were read."""
+    def read(self, queries: np.ndarray, allowed: np.ndarray, k: int, few: int) -> Iterator[tuple[int, np.ndarray, int]]:
+        """(query, rows among which its k best allowed ones are, how far it read the lists), as queries come to their end.
+
+        Queries read side by side: what has been read of a list is the same for
+        all that read it from the same end.
+        """
         n, d = self.x.shape
-        weight = query.astype(np.float64) @ self.axes
-        slack = self.slack * float(np.sqrt((weight * weight).sum())) + 1e-9
-        order = np.where(weight > 0, self.order[::-1], self.order) if n else self.order
-        worst = self.along[order[-1], np.arange(d)] * weight if n else np.zeros(d)
-        known, seen = np.zeros(n), np.zeros((n, d), bool)
+        weights = queries.astype(np.float64) @ self.axes
+        slack = self.slack * np.sqrt((weights * weights).sum(axis=1)) + 1e-9
+        up, down = np.maximum(weights, 0).T.copy(), np.minimum(weights, 0).T.copy()
+        least, most = self.along.min(axis=0, initial=np.inf)[:, None], self.along.max(axis=0, initial=-np.inf)[:, None]
+        waiting, known, unread = np.arange(len(queries)), np.zeros((n, len(queries))), np.ones((n, 2 * d))
         depth, part = 0, max(n // 32, 1)
-        open_ = np.flatnonzero(allowed)
-        while len(open_) > few and depth < n:
+        open_ = allowed.copy()
+        while len(waiting):
+            done = (open_.sum(axis=0) <= few) | (depth >= n)
+            for i in np.flatnonzero(done):
+                yield int(waiting[i]), np.flatnonzero(open_[:, i]), depth
+            if done.any():
+                rest = ~done
+                waiting, slack, known, open_, up, down = waiting[rest], slack[rest], known[:, rest], open_[:, rest], up[:, rest], down[:, rest]
+                if not len(waiting):
+                    return
             end = min(depth + part, n)
-            for j in range(d):  # sequential reads; a list holds a row once
-                rows = order[depth:end, j]
-                known[rows] += self.along[rows, j] * weight[j]
-                seen[rows, j] = True
+            for j in range(d):  # the next rows of each list, from its top and from its bottom
+                for rows, w, place in ((self.order[n - end : n - depth, j], up[j], j), (self.order[depth:end, j], down[j], d + j)):
+                    known[rows] += np.outer(self.along[rows, j], w)
+                    unread[rows, place] = 0
             depth, part = end, part * 2
-            reached = self.along[order[depth - 1], np.arange(d)] * weight
-            lower = known[open_] + worst.sum() - seen[open_] @ worst - slack
-            upper = known[open_] + reached.sum() - seen[open_] @ reached + slack
-            if len(open_) > k:  # whoever cannot qualify now cannot later
-                open_ = open_[upper >= np.partition(lower, len(lower) - k)[len(lower) - k]]
-        return open_, depth
+            places = np.arange(d)
+            top, bottom = self.along[self.order[n - depth], places][:, None], self.along[self.order[depth - 1], places][:, None]
+            lower = known + unread @ np.concatenate([up * least, down * most]) - slack
+            upper = known + unread @ np.concatenate([up * top, down * bottom]) + slack
+            lower[~allowed[:, waiting]] = -np.inf
+            open_ &= upper >= np.partition(lower, max(n - k, 0), axis=0)[max(n - k, 0)]  # whoever cannot qualify now cannot later
 
 
-def nra_block(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, k: int, few: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+def nra_block(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, k: int, few: int = 64, together: int = 128) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(place of the query, rows, scores, depth read) of the k best rows of ``x`` for each row of ``q``, best first, ties to the smaller id."""
     lists = Lists(x)
-    for i, (query, query_id) in enumerate(zip(q, query_ids)):
-        rows, depth = lists.best(query, ids != query_id, k, few)
-        scores = x[rows] @ query
-        order = np.lexsort((ids[rows], -scores))[:k]
-        yield i, rows[order], scores[order], depth
+    for first in range(0, len(q), together):
+        part, part_ids = q[first : first + together], query_ids[first : first + together]
+        for i, rows, depth in lists.read(part, ids[:, None] != part_ids[None, :], k, few):
+            scores = x[rows] @ part[i]
+            order = np.lexsort((ids[rows], -scores))[:k]
+            yield first + i, rows[order], scores[order], depth
 
 
 def _matrix(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
