@@ -8,7 +8,7 @@ greatest sums of a log weight and a Gumbel noise that depends on the document's
 id alone.
 
 The raw model counts every n-gram of every document, in a number of buckets
-that grows with the number of documents (2^16 to 2^20).  The target model is
+that grows with the number of documents, as its fourth root (2^16 to 2^21).  The target model is
 fitted on half of at most ``max_labelled`` labelled documents (those with the
 smallest hashes of their ids).  Good are those labelled as of quality and not
 toxic, for the model and for the cut; all others are bad.
@@ -113,7 +113,7 @@ def score(documents: DataFrame, ratios: np.ndarray, shrink: int) -> DataFrame:
     """Every row with its log_weight, not tempered yet; no shuffle."""
     bits = int(len(ratios)).bit_length() - 1
     source = documents.drop("log_weight", "gumbel_key")
-    ratios_ = source.sparkSession.sparkContext.broadcast(ratios)  # 2^20 numbers at most
+    ratios_ = source.sparkSession.sparkContext.broadcast(ratios)  # 2^21 numbers at most
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = ratios_.value
@@ -174,8 +174,8 @@ def kth_largest(df: DataFrame, key: str, k: int, enough: int = 100_000) -> float
 
 
 def buckets_for(rows: int) -> int:
-    """Bits of the bucket number: it grows with the documents, within what a worker holds."""
-    return min(20, max(16, rows.bit_length()))
+    """Bits of the bucket number: it doubles whenever the documents grow sixteenfold, as every task sends a count of each bucket."""
+    return min(21, 16 + max(0, rows.bit_length() - 16) // 4)
 
 
 def resample(
