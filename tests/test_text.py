@@ -1,5 +1,8 @@
 """Known values of the text functions."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,7 +43,7 @@ CASES = {
         ("Song - Edited", "Song - Edited"),
         ("", None),
     ],
-    text.collapse_repeated_brackets: [("Title (A) (A) (B) (B)", "Title (A) (B)"), ("Song (Edit) (EDIT)", "Song (Edit)"), ("Song [Remix] (Remix)", "Song (Remix)"), ("X" + " (a)" * 100, "X (a)"), ("", ""), (None, None)],
+    text.collapse_repeated_brackets: [("Title (A) (A) (B) (B)", "Title (A) (B)"), ("Song (Edit) (EDIT)", "Song (Edit)"), ("Song [Remix] (Remix)", "Song (Remix)"), ("X" + " (a)" * 1000, "X (a)"), ("", ""), (None, None)],
     text.title_key: [("a feat. b", "a feat. b"), ("a ft. b", "a feat. b"), ("a featuring b", "a feat b"), ("Youth & Young  Manhood ", "youth and young manhood")],
     text.version_base: [("Song (Radio Edit)", "Song"), ("A (b) [c]", "A (b)"), ("Song", None), ("(x)", None)],
     text.valid_uuid: [("", False), ("not-a-uuid", False), ("12345", False), (None, False), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600d", True), ("{b10bbbfccf9e42e0be17e2c3e1d2600d}", True), ("b10bbbfc-cf9e-42e0-be17-e2c3e1d2600z", False)],
@@ -122,3 +125,18 @@ def test_credits(spark):
     assert ok("Danse Society", ["The Danse Society"]) and not ok("Kelly", ["Vance Kelly"])
     assert ok("Prince & The Revolution", ["Prince", "The Revolution"], " & ") and not ok("Prince", ["Prince", "The Revolution"], " & ")
     assert ok("Usher", ["Usher", "Lil Jon"], " feat. ") and not ok("A", []) and not ok("A", ["Various Artists"]) and ok("!!", ["x"]) is False
+
+
+def test_repeated_brackets_equal_the_fixpoint(spark):
+    r = random.Random(5)
+    titles = ["".join(r.choice(("(a)", "[A]", "(b)", "(", ")", "[", "]", "a", "b", " ", "x")) for _ in range(r.randrange(1, 16))) for _ in range(600)]
+    pair = re.compile(r"[\(\[]([^\)\]]+)[\)\]]\s*[\(\[]\1[\)\]]", re.I)
+
+    def fixpoint(t):
+        while (left := pair.sub(r"(\1)", t)) != t:
+            t = left
+        return t.strip()
+
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    found = [x[0] for x in df.select(text.collapse_repeated_brackets(F.col("t"))).collect()]
+    assert found == [fixpoint(t) for t in titles]

@@ -46,8 +46,8 @@ def strip(c: Column) -> Column:
 
 
 def filled(c: Column) -> Column:
-    """Null for an empty string."""
-    return F.when(c != "", c)
+    """Null for an empty string; names its argument once."""
+    return F.nullif(c, F.lit(""))
 
 
 def straight_quotes(c: Column) -> Column:
@@ -138,9 +138,9 @@ def clean_title(title: Column, patterns: tuple[str, ...] = VERSION_PATTERNS) ->
 
 
 def collapse_repeated_brackets(title: Column, passes: int = 7) -> Column:
-    """Adjacent brackets of equal content become one; each pass halves a run, so seven do for 128."""
-    twice = r"(?iU)[\(\[]([^\)\]]+)[\)\]]\s*[\(\[]\1[\)\]]"
-    return F.when(title == "", title).otherwise(strip(reduce(lambda c, _: F.regexp_replace(c, twice, "($1)"), range(passes), title)))
+    """Adjacent brackets of equal content become one, however often they repeat; each further pass serves brackets around such runs."""
+    run = r"(?iU)[\(\[]([^\)\]]+)[\)\]](?:\s*[\(\[]\1[\)\]])+"
+    return F.when(title == "", title).otherwise(strip(reduce(lambda c, _: F.regexp_replace(c, run, "($1)"), range(passes), title)))
 
 
 def drop_artist_prefix(title: Column, artist: Column) -> Column:

@@ -66,19 +66,25 @@ def get_by_id(asked: DataFrame, documents: DataFrame, key: str, fold: bool = Tru
     return valid.join(documents.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def search_releases(asked: DataFrame, releases: DataFrame) -> DataFrame:
-    """ask_id, release_id of releases that meet all given conditions (title, artist_id, barcode); none given, none found.
+def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, offset: int = 0) -> DataFrame:
+    """ask_id, release_id, rank of releases that meet all given conditions (title, artist_id, barcode), by id; none given, none found.
 
-    The most selective condition that is given is the join key, the others filter.
+    The most selective condition that is given is the join key, the others
+    filter.  Requests for all of an artist meet only as many of the artist's
+    releases as they can return.
     """
     given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    r = releases.select("release_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.col("barcode").alias("code"))
+    r = releases.select("release_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.col("barcode").alias("code")).distinct()
     by_code = asked.filter(given("barcode")).join(r, F.col("barcode") == F.col("code"))
     by_title = asked.filter(~given("barcode") & given("title")).join(r, plain(F.col("title")) == F.col("title_key"))
-    by_artist = asked.filter(~given("barcode") & ~given("title") & F.col("artist_id").isNotNull()).join(r, F.col("artist_id") == F.col("by"))
+    one = r.groupBy("by", "release_id").agg(F.first("title_key").alias("title_key"), F.first("code").alias("code"))
+    first = one.withColumn("place", F.row_number().over(Window.partitionBy("by").orderBy("release_id"))).filter(F.col("place") <= offset + limit).drop("place")
+    by_artist = asked.filter(~given("barcode") & ~given("title") & F.col("artist_id").isNotNull()).join(first, F.col("artist_id") == F.col("by"))
     hits = by_code.unionByName(by_title).unionByName(by_artist)
     met = (~given("title") | (plain(F.col("title")) == F.col("title_key"))) & (F.col("artist_id").isNull() | (F.col("artist_id") == F.col("by")))
-    return hits.filter(met).select("ask_id", "release_id").distinct()
+    found = hits.filter(met).select("ask_id", "release_id").distinct()
+    rank = F.row_number().over(Window.partitionBy("ask_id").orderBy("release_id"))
+    return found.withColumn("rank", rank).filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
 
 
 def browse_releases(asked: DataFrame, releases: DataFrame, cap: int = BROWSE_CAP) -> DataFrame:

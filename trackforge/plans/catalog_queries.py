@@ -337,8 +337,10 @@ def search_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SEARCH_RELEASES_SQL = f"""
 , {_ALBUMS_SQL}
+SELECT ask_id, release_id, CAST(row_number() OVER (PARTITION BY ask_id ORDER BY release_id) AS INTEGER) AS rank FROM (
 SELECT DISTINCT request_id AS ask_id, release_id FROM request q JOIN albums a ON
-  CASE q.request_id % 4 WHEN 0 THEN {s_plain('q.album')} = {s_plain('a.title')} AND a.artist_id = q.request_id % 7 WHEN 1 THEN a.artist_id = q.request_id % 7 WHEN 2 THEN a.barcode = 'BC' || q.request_id ELSE FALSE END"""
+  CASE q.request_id % 4 WHEN 0 THEN {s_plain('q.album')} = {s_plain('a.title')} AND a.artist_id = q.request_id % 7 WHEN 1 THEN a.artist_id = q.request_id % 7 WHEN 2 THEN a.barcode = 'BC' || q.request_id ELSE FALSE END)
+QUALIFY rank <= 100"""
 
 
 def search_release_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
