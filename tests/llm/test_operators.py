@@ -456,6 +456,15 @@ def test_revisits_equal_brute_force(spark):
     assert warc.resolve(df.limit(0)).count() == 0
 
 
+def test_canonical_urls(spark):
+    urls = {
+        "HTTP://User@Example.COM.:80/A?b#c": "http://example.com/A?b", "https://a.b:443": "https://a.b/", "https://a.b:8443?x": "https://a.b:8443/?x", "http://[2001:DB8::1]/x": "http://[2001:db8::1]/x",
+        "http://[2001:aaaa::9]:8080/x": "http://[2001:aaaa::9]:8080/x", "http://[::1]:80": "http://[::1]/", "mailto:x": "mailto:x",
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert dict(map(tuple, df.select("u", warc.canonical(F.col("u"))).collect())) == urls
+
+
 # ---- 9 near duplicates
 
 

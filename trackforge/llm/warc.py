@@ -33,8 +33,8 @@ def canonical(url: Column) -> Column:
     """Lower-case scheme and host, without default port, fragment, user and trailing dot; an empty path is "/"."""
     bare = F.regexp_replace(F.trim(url), r"#.*$", "")
     scheme = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    host = F.lower(F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)", 1), r"\.$", ""))
-    port = F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?[^/?:]*:([0-9]*)", 1)
+    host = F.lower(F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?(\[[^\]/?]*\]|[^/?:]*)", 1), r"\.$", ""))
+    port = F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?(?:\[[^\]/?]*\]|[^/?:]*):([0-9]*)", 1)
     rest = F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$", 1)
     usual = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
     path = F.when(rest == "", F.lit("/")).when(rest.startswith("?"), F.concat(F.lit("/"), rest)).otherwise(rest)
