@@ -388,10 +388,13 @@ def test_sharding_walks_the_ring(spark, no_docs):
         if c in out:
             queue += [c] * out.pop(c)
         while c in room and room[c][0] and queue:
-            moved[(queue.pop(0), room[c][1])] = moved.get((c, room[c][1]), 0) + 1
+            key = (queue.pop(0), room[c][1])
+            moved[key] = moved.get(key, 0) + 1
             room[c][0] -= 1
     assert not queue and segments.high.sub(segments.low).sum() == (ring.n - ring.cell.map(keep)).sum()
-    got = segments.assign(n=segments.high - segments.low).groupby("to_shard").n.sum().to_dict()
+    segments = segments.assign(n=segments.high - segments.low)
+    assert segments.groupby(["cell", "to_shard"]).n.sum().to_dict() == moved
+    got = segments.groupby("to_shard").n.sum().to_dict()
     assert got == {s: cap[s] - load[s] for s in range(5) if cap[s] > load[s]}
     assert sharding.shard(no_docs).count() == 0
 
