@@ -1,7 +1,8 @@
 """Scoring and choosing releases and recordings.
 
-A choice is "the greatest score, ties to the earlier": score and position are
-packed into one integer, so that it is a plain hash aggregation.
+A choice is "the greatest score, ties to the earlier": an aggregation that keeps
+the row of the greatest key, so that a key with very many releases is settled
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from trackforge.functions.text import VERSION_SUFFIX, normalize, title_key
 
 # What makes a package a physical album.
 PHYSICAL = ("Cardboard/Paper Sleeve", "Jewel Case", "Digipak", "Box", "Keep Case")
-#: Every position is an int, so that it fits beside a score of up to 32 bits.
-_PLACES = 1 << 31
 
 
 def stepped(difference: Column, steps: dict[int, int]) -> Column:
@@ -58,10 +57,10 @@ def with_release_score10(releases: DataFrame, album: Column, year: Column, recor
 
 def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
     """The best release of each key, by columns score10, pos and status: among the official ones where there are any."""
-    packed = F.col("score10").cast("long") * _PLACES + (_PLACES - 1 - F.col("pos").cast("long"))
-    best = releases.groupBy(key).agg(F.max(F.when(F.col("status") == "Official", packed)).alias("official"), F.max(packed).alias("any"))
-    best = best.select(key, (_PLACES - 1 - F.pmod(F.coalesce("official", "any"), F.lit(_PLACES))).cast("int").alias("pos"))
-    return releases.join(best, [key, "pos"])
+    official = F.coalesce(F.col("status") == "Official", F.lit(False))
+    rest = [c for c in releases.columns if c != key]
+    best = releases.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(official, "score10", -F.col("pos").cast("long"))).alias("best"))
+    return best.select(key, *(F.col("best")[c].alias(c) for c in rest))
 
 
 def era_points(date: Column) -> Column:

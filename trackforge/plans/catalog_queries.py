@@ -259,12 +259,11 @@ SELECT ask_id, rec_id, CAST(rank AS INTEGER) AS rank, total FROM (
 
 
 def paged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second page of ten of each search."""
-    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), "title", "artist")
-    return lookup.search_recordings(asked, *_views(spark, sf_dir, "recording", "credit", "artist"), limit=10, offset=10)
+    """Every search up to its cap, with the page on which each candidate comes."""
+    return all_candidate_pages(spark, sf_dir).withColumn("page", F.ceil(F.col("rank") / lookup.PAGE).cast("int"))
 
 
-PAGED_SQL = SEARCH_RECORDINGS_SQL.replace("WHERE rank <= 100", "WHERE rank > 10 AND rank <= 20")
+PAGED_SQL = SEARCH_RECORDINGS_SQL.replace("WHERE rank <= 100", "WHERE rank <= 500").replace("total FROM (\n  SELECT *, row_number", "total, CAST((rank + 99) // 100 AS INTEGER) AS page FROM (\n  SELECT *, row_number")
 
 
 def all_candidate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,23 +296,24 @@ def get_by_isrc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def browse_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The releases of each recording, of every second one the official ones only, up to the cap of browsing."""
     asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.col("request_id").alias("rec_id"), F.when(F.col("request_id") % 2 == 0, F.array(F.lit("Official"))).alias("statuses"))
-    return lookup.browse_releases(asked, view(spark, sf_dir, "track_release").select("rec_id", "release_id", "status"), cap=20)
+    return lookup.browse_releases(asked, view(spark, sf_dir, "track_release").select("rec_id", "release_id", "status"))
 
 
 BROWSE_SQL = """
 SELECT rec_id AS ask_id, release_id, CAST(place AS INTEGER) AS pos, total FROM (
   SELECT rec_id, release_id, row_number() OVER (PARTITION BY rec_id ORDER BY release_id) AS place, count(*) OVER (PARTITION BY rec_id) AS total
-  FROM track_release WHERE rec_id % 2 = 1 OR status = 'Official') WHERE place <= 20"""
+  FROM track_release WHERE rec_id % 2 = 1 OR status = 'Official') WHERE place <= 1000"""
 
 
 def browse_all_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The releases of each recording, up to the cap of browsing."""
-    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.col("request_id").alias("rec_id"), F.when(F.col("request_id") % 2 == 0, F.array(F.lit("Official"))).alias("statuses"))
+    """The releases of each recording whatever their status, up to the cap of browsing."""
+    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.col("request_id").alias("rec_id"), F.lit(None).cast("array<string>").alias("statuses"))
     return lookup.browse_releases(asked, view(spark, sf_dir, "track_release").select("rec_id", "release_id", "status"))
 
 
-BROWSE_ALL_SQL = BROWSE_SQL.replace("WHERE place <= 20", "WHERE place <= 1000")
+BROWSE_ALL_SQL = BROWSE_SQL.replace("WHERE rec_id % 2 = 1 OR status = 'Official'", "")
 
 
 def _albums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,13 +417,18 @@ SELECT track_id AS ask_id, artist_id, CAST(row_number() OVER (PARTITION BY track
 
 
 def and_of_ors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every request for a collaboration: recordings that credit, for each of its artists, that one or the one filed next."""
     credits = view(spark, sf_dir, "credit")
-    groups = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.explode(F.array(F.struct(F.lit(0).alias("g"), (F.col("request_id") % 5).alias("a")), F.struct(F.lit(0).alias("g"), (F.col("request_id") % 3).alias("a")), F.struct(F.lit(1).alias("g"), F.lit(95).cast("bigint").alias("a")))).alias("x"))
-    return who.by_group(groups.select("ask_id", F.col("x.g").alias("group_no"), F.col("x.a").alias("artist_id")), credits)
+    shared = credits.filter("pos > 0").select("rec_id").distinct().join(credits, "rec_id")
+    ids = F.explode(F.array("artist_id", F.col("artist_id") + 1)).alias("artist_id")
+    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("rec_id"))
+    return who.by_group(asked.join(shared, "rec_id").select(F.col("rec_id").alias("ask_id"), F.col("pos").alias("group_no"), ids), credits)
 
 
 AND_OF_ORS_SQL = """
-SELECT DISTINCT request_id AS ask_id, a.rec_id FROM request JOIN credit a ON a.artist_id IN (request_id % 5, request_id % 3) JOIN credit b ON b.rec_id = a.rec_id AND b.artist_id = 95"""
+SELECT DISTINCT q.request_id AS ask_id, a.rec_id
+FROM request q JOIN credit f ON f.rec_id = q.request_id AND f.pos = 0 JOIN credit s ON s.rec_id = q.request_id AND s.pos = 1
+JOIN credit a ON a.artist_id IN (f.artist_id, f.artist_id + 1) JOIN credit b ON b.rec_id = a.rec_id AND b.artist_id IN (s.artist_id, s.artist_id + 1)"""
 
 
 def _songs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,21 +468,23 @@ SELECT ask_id, artist_id, rec_ids FROM pick WHERE rn = 1"""
 
 
 def validate_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = _songs(spark, sf_dir).join(view(spark, sf_dir, "credit").filter("pos = 0").select(F.col("rec_id").alias("ask_id"), "artist_id"), "ask_id").filter("song IS NOT NULL")
-    return who.recordings_by(asked, *_views(spark, sf_dir, "recording", "credit")).select("ask_id", "artist_id", "rec_id")
+    """For every request, the recordings of its song by the first artist of its own recording."""
+    songs = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.regexp_replace("title", "^03-", "").alias("song"))
+    first = view(spark, sf_dir, "credit").filter("pos = 0").select(F.col("rec_id").alias("ask_id"), "artist_id")
+    return who.recordings_by(songs.join(first, "ask_id"), *_views(spark, sf_dir, "recording", "credit")).select("ask_id", "artist_id", "rec_id")
 
 
 VALIDATE_SQL = rf"""
 SELECT q.request_id AS ask_id, c.artist_id, d.rec_id FROM request q JOIN credit c ON c.rec_id = q.request_id AND c.pos = 0 JOIN credit d ON d.artist_id = c.artist_id
-JOIN recording r ON r.rec_id = d.rec_id AND {s_plain('r.title')} = {s_plain("regexp_replace(q.title, '^03-', '')")} WHERE q.request_id % 2 = 0"""
+JOIN recording r ON r.rec_id = d.rec_id AND coalesce({s_plain('r.title')}, '') = coalesce({s_plain("regexp_replace(q.title, '^03-', '')")}, '')"""
 
 
 def names_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = view(spark, sf_dir, "request").select((F.col("request_id") % 150).alias("artist_id"))
-    return who.artist_names(ids, view(spark, sf_dir, "artist"))
+    """The names of all artists that are credited."""
+    return who.artist_names(view(spark, sf_dir, "credit"), view(spark, sf_dir, "artist"))
 
 
-NAMES_SQL = "SELECT DISTINCT a.artist_id, a.name FROM request q JOIN artist a ON a.artist_id = q.request_id % 150"
+NAMES_SQL = "SELECT DISTINCT artist_id, name FROM credit JOIN artist USING (artist_id) WHERE name <> ''"
 
 
 def label_for_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
