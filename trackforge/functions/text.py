@@ -58,25 +58,48 @@ def latin_lookalikes(c: Column) -> Column:
     return F.when(c.rlike(f"[{LOOKALIKES}]"), F.translate(c, LOOKALIKES, LATIN)).otherwise(c)
 
 
+def _decomposed() -> dict[str, str]:
+    """Characters and their compatibility decompositions without marks, where these differ; syllables of Hangul stay whole."""
+    pairs = {}
+    for code in [*range(0xA0, 0xAC00), *range(0xF900, 0x1F300), *range(0x2F800, 0x2FA20)]:
+        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if unicodedata.category(x) != "Mn")
+        if base and base != chr(code) and unicodedata.category(chr(code)) not in ("Cn", "Cs", "Co"):
+            pairs[chr(code)] = base.lower()
+    return pairs
+
+
 @cache
 def _accents() -> tuple[str, str]:
-    """Characters whose compatibility decomposition is one character and marks, and those characters."""
-    pairs = {}
-    for code in [*range(0xA0, 0x3000), *range(0xFB00, 0xFFF0)]:
-        if unicodedata.category(chr(code)) not in ("Cn", "Cs", "Co"):
-            base = [x for x in unicodedata.normalize("NFKD", chr(code)) if unicodedata.category(x) != "Mn"]
-            if len(base) == 1 and base[0] != chr(code):
-                pairs[chr(code)] = base[0]
+    """Characters whose decomposition is one character, and those characters."""
+    pairs = {k: v for k, v in _decomposed().items() if len(v) == 1}
     return "".join(pairs), "".join(pairs.values())
 
 
-def plain(c: Column) -> Column:
-    """Lower case without accents, every run of punctuation, symbols and white space one space; null if nothing is left.
+@cache
+def _ligatures() -> tuple[str, dict[str, str]]:
+    """Characters whose decomposition is several, such as ligatures, fractions and units: a pattern for them, and what they stand for."""
+    pairs = {k: v for k, v in _decomposed().items() if len(v) > 1}
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, pairs)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]", pairs
+
+
+def _spelt_out(c: Column) -> Column:
+    """Ligatures and the like as the letters that they stand for; other texts are only looked at."""
+    pattern, pairs = _ligatures()
+    known = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
+    letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(known, x), x))
+    return F.when(c.rlike(pattern), F.array_join(letters, "")).otherwise(c)
 
-    Characters that decompose into several letters (ligatures) stay as they are.
-    """
+
+def plain(c: Column) -> Column:
+    """Lower case without accents, every run of punctuation, symbols and white space one space; null if nothing is left."""
     lower = F.lower(c)
-    bare = F.when(lower.rlike(r"[^\x00-\x7F]"), F.translate(lower, *_accents())).otherwise(lower)
+    bare = F.when(lower.rlike(r"[^\x00-\x7F]"), F.translate(_spelt_out(lower), *_accents())).otherwise(lower)
     bare = F.regexp_replace(bare, r"[\p{Mn}\p{Me}\p{Lm}\p{Sc}\p{Sk}\p{No}]", "")
     return filled(F.trim(F.regexp_replace(bare, r"[\p{P}\p{Z}\p{So}\p{Sm}\p{Cc}\p{Cf}\p{Mc}]+", " ")))
 

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """The rows as written to the folder in spark.checkpoint.dir (a temporary one only where the session names none).
+    """The rows as written to the folder in spark.checkpoint.dir (a temporary one only where a local session names none).
 
     Later steps read them instead of computing them again, and a lost executor costs no earlier step.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trackforge.functions.nested import genre_names
 from trackforge.operators.ranking import best_release, with_release_score10
 
 
@@ -22,12 +23,15 @@ def label_of(releases: DataFrame, first: int = 100) -> DataFrame:
     return seen.groupBy("rec_id").agg(F.min_by("label", F.struct("round", "place")).alias("label"))
 
 
-def enrich(recordings: DataFrame, hints: DataFrame, releases: DataFrame, credits: DataFrame, artists: DataFrame) -> DataFrame:
-    """One completed row per recording: its best release under the hints (rec_id, wanted, year), credits, label, kind and tags."""
+def enrich(recordings: DataFrame, hints: DataFrame, releases: DataFrame, credits: DataFrame, artists: DataFrame, genres: DataFrame, group_tags: DataFrame) -> DataFrame:
+    """One completed row per recording: its best release under the hints (rec_id, wanted, year), credits, label, genres and tags.
+
+    genres: rec_id, genres (arrays of name and count); group_tags: group_id, group_tags.
+    """
     hinted = releases.join(hints, "rec_id").join(recordings.select("rec_id", F.col("title").alias("recording_title")), "rec_id")
     scored = with_release_score10(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
     best = best_release(scored).select(
-        "rec_id", F.col("title").alias("album"), "date", "release_id", F.when(F.coalesce("label_type", F.lit("")) != "", F.col("label")).alias("label"), F.col("secondary_type").alias("kind")
+        "rec_id", F.col("title").alias("album"), "date", "release_id", "group_id", F.when(F.coalesce("label_type", F.lit("")) != "", F.col("label")).alias("label"), F.col("secondary_type").alias("kind")
     )
     named = credits.join(artists.select("artist_id", "name", "nation"), "artist_id")
     who = named.groupBy("rec_id").agg(F.sort_array(F.collect_list(F.struct("pos", "artist_id", "name", "joinphrase", "nation"))).alias("c"))
@@ -38,6 +42,9 @@ def enrich(recordings: DataFrame, hints: DataFrame, releases: DataFrame, credits
     own = F.when(F.col("rec_id") % 2 == 0, F.array("tag"))
     of_release = F.when(F.col("kind") != "", F.array("kind"))
     return (
-        recordings.join(best, "rec_id", "left").join(who, "rec_id", "left")
-        .select("rec_id", "title", "artist", "album", "date", "label", "isrc", "artist_ids", "release_id", F.array_join(first_tags(own, of_release, F.col("artist_tags")), "|").alias("tags"))
+        recordings.join(best, "rec_id", "left").join(who, "rec_id", "left").join(genres, "rec_id", "left").join(group_tags, "group_id", "left")
+        .select(
+            "rec_id", "title", "artist", "album", "date", "label", "isrc", "artist_ids", "release_id", "group_id", F.array_join(genre_names(F.col("genres")), "|").alias("genres"),
+            F.array_join(first_tags(own, of_release, F.col("group_tags"), F.col("artist_tags")), "|").alias("tags"),
+        )
     )

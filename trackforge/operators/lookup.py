@@ -8,8 +8,11 @@ ranking of a remote index by a rule that any engine can repeat.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trackforge.functions.dates import lead_year
 from trackforge.functions.text import clean_title, plain, valid_uuid, version_base
 
 # Names that are filed under another.
@@ -47,12 +50,51 @@ def search_artists(asked: DataFrame, artists: DataFrame, limit: int = PAGE) -> D
     return hits.select("ask_id", "artist_id", "score", rank.alias("rank")).filter(F.col("rank") <= limit)
 
 
-def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFrame, artists: DataFrame, limit: int = PAGE, offset: int = 0) -> DataFrame:
-    """ask_id, rec_id, rank, total for each asked (ask_id, title, artist); exact titles first, then by id."""
+def _with(asked: DataFrame, **missing: str) -> DataFrame:
+    """The asked rows with those columns that they lack, null."""
+    return asked.withColumns({n: F.lit(None).cast(t) for n, t in missing.items() if n not in asked.columns})
+
+
+def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFrame, artists: DataFrame, limit: int = PAGE, offset: int = 0, releases: DataFrame | None = None) -> DataFrame:
+    """ask_id, rec_id, rank, total for each asked row that has a title; exact titles first, then by id.
+
+    Asked: ask_id, title and any of artist, artist_ids, artist_id_groups (one of
+    each group must be credited), album, strict and year.  Groups beat ids, ids
+    beat the name; what is given must all hold.  Strict: some release is
+    official, none a compilation or live; year: first out within a year of it.
+    """
+    named_only = not {"artist_ids", "artist_id_groups"} & set(asked.columns)
+    conditions = [c for c in ("album", "strict", "year") if c in asked.columns]
+    wanted = _with(asked, artist="string", artist_ids="array<bigint>", artist_id_groups="array<array<bigint>>").filter("title <> ''").withColumns(
+        {"title_key": plain(F.col("title")), "artist_key": plain(F.col("artist")), "groups": F.filter("artist_id_groups", lambda g: F.size(g) > 0)}
+    )
+    mode = F.when(F.size("artist_id_groups") > 0, F.when(F.size("groups") > 0, "groups").otherwise("title")).when(F.size("artist_ids") > 0, "ids").when(F.col("artist") != "", "name").otherwise("title")
+    wanted = wanted.withColumn("mode", mode)
+    titles, pair = title_index(recordings), ("ask_id", "title_key", "rec_id")
     by_artist = credits.select("rec_id", "artist_id").join(artist_index(artists), "artist_id").select("rec_id", "artist_key").distinct()
-    index = title_index(recordings).join(by_artist, "rec_id")
-    wanted = asked.filter("title <> ''").select("ask_id", plain(F.col("title")).alias("title_key"), plain(F.col("artist")).alias("artist_key"))
-    hits = wanted.join(index, ["title_key", "artist_key"]).join(recordings.select("rec_id", plain(F.col("title")).alias("own_key")), "rec_id")
+    hits = wanted.filter("mode = 'name'").join(titles.join(by_artist, "rec_id"), ["title_key", "artist_key"]).select(*pair)
+    hits = hits.unionByName(wanted.filter("mode = 'title'").join(titles, "title_key").select(*pair))
+    if not named_only:
+        by_id = titles.join(credits.select("rec_id", "artist_id").distinct(), "rec_id")
+        ids = wanted.filter("mode = 'ids'").select("ask_id", "title_key", F.explode(F.array_distinct("artist_ids")).alias("artist_id"))
+        hits = hits.unionByName(ids.join(by_id, ["title_key", "artist_id"]).select(*pair).distinct())
+        groups = wanted.filter("mode = 'groups'").select("ask_id", "title_key", F.size("groups").alias("n"), F.posexplode("groups").alias("g", "ids"))
+        met = groups.select("ask_id", "title_key", "n", "g", F.explode("ids").alias("artist_id")).join(by_id, ["title_key", "artist_id"]).groupBy(*pair, "n").agg(F.count_distinct("g").alias("met"))
+        hits = hits.unionByName(met.filter("met = n").select(*pair))
+    own = recordings.select("rec_id", plain(F.col("title")).alias("own_key"), *([lead_year(F.col("first_date")).alias("born")] if "year" in conditions else []))
+    hits = hits.join(own, "rec_id")
+    if conditions:
+        hits = hits.join(asked.select("ask_id", *conditions), "ask_id")
+    if "album" in conditions:
+        on_album = releases.select("rec_id", plain(F.col("title")).alias("album_key")).distinct()
+        keyed = hits.withColumn("album_key", plain(F.col("album")))
+        any_album = F.coalesce(F.col("album"), F.lit("")) == ""
+        hits = keyed.filter(any_album).unionByName(keyed.filter(~any_album).join(on_album, ["rec_id", "album_key"], "left_semi"))
+    if "strict" in conditions:
+        kinds = releases.groupBy("rec_id").agg(F.max(F.col("status") == "Official").alias("official"), F.max(F.col("secondary_type").isin("Compilation", "Live")).alias("other_kind"))
+        hits = hits.join(kinds, "rec_id", "left").filter(~F.coalesce("strict", F.lit(False)) | (F.coalesce("official", F.lit(False)) & ~F.coalesce("other_kind", F.lit(False))))
+    if "year" in conditions:
+        hits = hits.filter((F.coalesce("year", F.lit(0)) == 0) | F.coalesce(F.abs(F.col("born") - F.col("year")) <= 1, F.lit(False)))
     each = Window.partitionBy("ask_id")
     rank = F.row_number().over(each.orderBy(F.desc(F.col("own_key") == F.col("title_key")), "rec_id"))
     found = hits.select("ask_id", "rec_id", rank.alias("rank"), F.count("*").over(each).alias("total"))
@@ -66,25 +108,80 @@ def get_by_id(asked: DataFrame, documents: DataFrame, key: str, fold: bool = Tru
     return valid.join(documents.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, offset: int = 0) -> DataFrame:
-    """ask_id, release_id, rank of releases that meet all given conditions (title, artist_id, barcode), by id; none given, none found.
+def get_entity(asked: DataFrame, documents: DataFrame, includes: list[str] | None, sections: dict[str, tuple[str, ...]], default: tuple[str, ...] = (), fold: bool = False) -> DataFrame:
+    """``get_by_id`` (key: id) with only the sections that are included: null means the default ones, an empty list none.
+
+    Recordings and artists are found whatever the case of their ids, releases and release groups are not.
+    """
+    inside = {c for columns in sections.values() for c in columns}
+    wanted = {c for name in (default if includes is None else includes) for c in sections[name]}
+    return get_by_id(asked, documents.select(*(c for c in documents.columns if c not in inside or c in wanted)), "id", fold)
+
+
+def _given(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
 
-    The most selective condition that is given is the join key, the others
-    filter.  Requests for all of an artist meet only as many of the artist's
-    releases as they can return.
+
+def _named(asked: DataFrame, artists: DataFrame | None) -> DataFrame:
+    """Asked rows with an artist's name, once for each artist of that name; ids that are given beat names."""
+    by_name = _given("artist") & F.col("artist_id").isNull()
+    if artists is None:
+        return asked.filter(~by_name)
+    named = asked.filter(by_name).withColumn("artist_key", plain(replaced_name(F.col("artist")))).drop("artist_id").join(artist_index(artists).select("artist_key", "artist_id"), "artist_key")
+    return asked.filter(~by_name).unionByName(named.select(*asked.columns))
+
+
+def _first_of(entities: DataFrame, by: list[str], key: str, n: int) -> DataFrame:
+    return entities.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(key))).filter(F.col("place") <= n).drop("place")
+
+
+def _page(found: DataFrame, key: str, limit: int, offset: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("ask_id").orderBy(key))
+    return found.select("ask_id", key).distinct().withColumn("rank", rank).filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+
+
+def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, offset: int = 0, artists: DataFrame | None = None) -> DataFrame:
+    """ask_id, release_id, rank of releases that meet all given conditions, by id; none given, none found.
+
+    Asked: ask_id and any of title, artist, artist_id, group_id, barcode.  The
+    conditions that are given decide the join key.  Requests for a title or an
+    artist alone meet only as many releases as they can return.
+    """
+    asked = _named(_with(asked, title="string", artist="string", artist_id="bigint", group_id="bigint", barcode="string"), artists)
+    asked = asked.select("ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.col("group_id").alias("want_group"), F.col("barcode").alias("want_code"))
+    r = _with(releases, group_id="bigint").select("release_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.col("group_id").alias("group"), F.col("barcode").alias("code")).distinct()
+    coded, grouped, credited = _given("want_code"), F.col("want_group").isNotNull(), F.col("want_by").isNotNull()
+    free = asked.filter(~coded & ~grouped)
+    n = offset + limit
+    hits = [
+        asked.filter(coded).join(r, F.col("want_code") == F.col("code")),
+        asked.filter(~coded & grouped & (F.col("titled") | credited)).join(r, F.col("want_group") == F.col("group")),
+        asked.filter(~coded & grouped & ~F.col("titled") & ~credited).join(_first_of(r, ["group"], "release_id", n), F.col("want_group") == F.col("group")),
+        free.filter(F.col("titled") & credited).join(r, (F.col("want_title") == F.col("title_key")) & (F.col("want_by") == F.col("by"))),
+        free.filter(F.col("titled") & ~credited).join(_first_of(r, ["title_key"], "release_id", n), F.col("want_title") == F.col("title_key")),
+        free.filter(~F.col("titled") & credited).join(_first_of(r, ["by"], "release_id", n), F.col("want_by") == F.col("by")),
+    ]
+    met = (~F.col("titled") | (F.col("want_title") == F.col("title_key"))) & (~credited | (F.col("want_by") == F.col("by"))) & (~grouped | (F.col("want_group") == F.col("group")))
+    return _page(reduce(DataFrame.unionByName, hits).filter(met), "release_id", limit, offset)
+
+
+def search_release_groups(asked: DataFrame, groups: DataFrame, limit: int = PAGE, offset: int = 0, artists: DataFrame | None = None) -> DataFrame:
+    """ask_id, group_id, rank of release groups (group_id, title, artist_id, kind) that meet all given conditions, by id.
+
+    Asked: ask_id and any of title, artist, artist_id (which beats the name) and
+    type; a type alone is not enough.
     """
-    given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    r = releases.select("release_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.col("barcode").alias("code")).distinct()
-    by_code = asked.filter(given("barcode")).join(r, F.col("barcode") == F.col("code"))
-    by_title = asked.filter(~given("barcode") & given("title")).join(r, plain(F.col("title")) == F.col("title_key"))
-    one = r.groupBy("by", "release_id").agg(F.first("title_key").alias("title_key"), F.first("code").alias("code"))
-    first = one.withColumn("place", F.row_number().over(Window.partitionBy("by").orderBy("release_id"))).filter(F.col("place") <= offset + limit).drop("place")
-    by_artist = asked.filter(~given("barcode") & ~given("title") & F.col("artist_id").isNotNull()).join(first, F.col("artist_id") == F.col("by"))
-    hits = by_code.unionByName(by_title).unionByName(by_artist)
-    met = (~given("title") | (plain(F.col("title")) == F.col("title_key"))) & (F.col("artist_id").isNull() | (F.col("artist_id") == F.col("by")))
-    found = hits.filter(met).select("ask_id", "release_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("ask_id").orderBy("release_id"))
-    return found.withColumn("rank", rank).filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+    asked = _named(_with(asked, title="string", artist="string", artist_id="bigint", type="string"), artists)
+    asked = asked.select("ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.when(_given("type"), F.lower("type")).alias("want_kind"))
+    g = groups.select("group_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.lower("kind").alias("kind_key")).distinct()
+    credited, n = F.col("want_by").isNotNull(), offset + limit
+    hits = [
+        asked.filter(F.col("titled") & credited).join(g, (F.col("want_title") == F.col("title_key")) & (F.col("want_by") == F.col("by"))),
+        asked.filter(F.col("titled") & ~credited).join(_first_of(g, ["title_key", "kind_key"], "group_id", n), F.col("want_title") == F.col("title_key")),
+        asked.filter(~F.col("titled") & credited).join(_first_of(g, ["by", "kind_key"], "group_id", n), F.col("want_by") == F.col("by")),
+    ]
+    met = F.col("want_kind").isNull() | (F.col("want_kind") == F.col("kind_key"))
+    return _page(reduce(DataFrame.unionByName, hits).filter(met), "group_id", limit, offset)
 
 
 def browse_releases(asked: DataFrame, releases: DataFrame, cap: int = BROWSE_CAP) -> DataFrame:

@@ -66,6 +66,51 @@ SELECT request_id, 'search_recording:title:' || lower(title) || CASE WHEN reques
   || CASE WHEN request_id % 3 = 0 THEN ':strict:1' ELSE '' END || coalesce(':year:' || year, '') || ':limit:100' AS cache_key FROM request"""
 
 
+def cache_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of all other look-ups, the last as it goes to a cache that files by three parts."""
+    q = view(spark, sf_dir, "request")
+    n, title, artist, album = F.col("request_id"), F.col("title"), F.col("artist"), F.col("album")
+    uuid, none = F.md5(n.cast("string")), F.lit(None).cast("string")
+    groups = F.when(n % 2 == 0, F.array(F.array(F.lit("d"), F.lit("c")), F.array(F.lit("e"))))
+    three = cache.three_part_key(F.lit("catalog"), cache.image_list_key(uuid))
+    return q.select(
+        "request_id",
+        cache.search_key(title, artist, album, F.lit(0), F.lit(False), F.array().cast("array<string>"), 100, 200, groups).alias("recordings"),
+        cache.artist_search_key(artist).alias("artists"),
+        cache.release_search_key(album, artist, F.when(n % 3 == 1, uuid), F.when(n % 3 == 2, n.cast("string")), ["media", "labels"], 25, 50).alias("releases"),
+        cache.group_search_key(album, artist, F.when(n % 2 == 0, uuid), F.lit("Album")).alias("release_groups"),
+        cache.browse_key(uuid, ["release-groups", "labels"], 100, None, ["official", "bootleg"]).alias("browsed"),
+        cache.entity_key("artist", uuid, ["tags"]).alias("artist"), cache.entity_key("release", uuid).alias("release"), cache.entity_key("release_group", none).alias("no_id"),
+        three["provider"].alias("provider"), three["artist_name"].alias("artist_name"), three["endpoint"].alias("endpoint"),
+    )
+
+
+KEYS_SQL = """
+SELECT request_id,
+  'search_recording:title:' || lower(title) || CASE WHEN request_id % 2 = 0 THEN ':arid_groups:c|d;e' ELSE ':artist:' || lower(artist) END || coalesce(':album:' || lower(album), '') || ':limit:100:offset:200' AS recordings,
+  'search_artist:' || lower(artist) || ':limit:100' AS artists,
+  'search_release' || coalesce(':title:' || lower(album), '') || ':artist:' || lower(artist) || CASE request_id % 3 WHEN 1 THEN ':rgid:' || md5(CAST(request_id AS VARCHAR)) WHEN 2 THEN ':barcode:' || request_id ELSE '' END
+    || ':inc:labels+media:limit:25:offset:50' AS releases,
+  'search_release_group' || coalesce(':title:' || lower(album), '') || CASE WHEN request_id % 2 = 0 THEN ':arid:' || md5(CAST(request_id AS VARCHAR)) ELSE ':artist:' || lower(artist) END || ':type:album:limit:100' AS release_groups,
+  'browse_releases:recording:' || md5(CAST(request_id AS VARCHAR)) || ':inc:labels+release-groups:limit:100:status:bootleg|official' AS browsed,
+  'get_artist:' || md5(CAST(request_id AS VARCHAR)) || ':tags' AS artist, 'get_release:' || md5(CAST(request_id AS VARCHAR)) || ':' AS release, 'get_release_group:' AS no_id,
+  'catalog' AS provider, '' AS artist_name, 'get_image_list:release:' || md5(CAST(request_id AS VARCHAR)) AS endpoint
+FROM request"""
+
+
+def last_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each user's latest response with limit headers had said, at every event."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    e = view(spark, sf_dir, "events").select("event_id", "user_id", _seconds("ts").alias("at"), F.when(k % 7 != 6, k % 4).alias("remaining"), F.when(k % 5 != 4, k * 1000).alias("reset"))
+    return cache.last_quota(e, ["user_id"], "at", "event_id").select("event_id", F.col("quota.remaining").alias("remaining"), F.col("quota.reset").alias("reset"))
+
+
+QUOTA_SQL = """
+WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS at, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+s AS (SELECT *, max(CASE WHEN k % 7 <> 6 AND k % 5 <> 4 THEN n END) OVER (PARTITION BY user_id ORDER BY n) AS said FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at, event_id) AS n FROM e))
+SELECT s.event_id, o.k % 4 AS remaining, o.k * 1000 AS reset FROM s LEFT JOIN s o ON o.user_id = s.user_id AND o.n = s.said"""
+
+
 def throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When each user's requests may start if they must be six hours apart."""
     e = view(spark, sf_dir, "events").select("event_id", "user_id", _seconds("ts").alias("arrived"))
@@ -126,7 +171,7 @@ SELECT CASE WHEN k = 1 THEN 'RateLimitError' WHEN k IN (2, 3, 4) THEN 'ServerBus
   count(*) AS n, CAST(sum(CASE WHEN k < 7 THEN 1 ELSE 0 END) AS BIGINT) AS responses
 FROM (SELECT event_id % 10 AS k FROM events) GROUP BY 1"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (cache_ttl, cache_live, cache_lookup, cache_key, throttle, adaptive_interval, retry_decision, error_classes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (cache_ttl, cache_live, cache_lookup, cache_key, cache_keys, last_quota, throttle, adaptive_interval, retry_decision, error_classes)}
 
 
 def sql() -> dict[str, str]:
@@ -135,6 +180,8 @@ def sql() -> dict[str, str]:
         "cache_live": LIVE_SQL,
         "cache_lookup": LOOKUP_SQL,
         "cache_key": with_views(KEY_SQL, "request"),
+        "cache_keys": with_views(KEYS_SQL, "request"),
+        "last_quota": QUOTA_SQL,
         "throttle": THROTTLE_SQL,
         "adaptive_interval": ADAPTIVE_SQL,
         "retry_decision": RETRY_SQL,

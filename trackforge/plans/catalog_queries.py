@@ -258,6 +258,41 @@ SELECT ask_id, rec_id, CAST(rank AS INTEGER) AS rank, total FROM (
   SELECT *, row_number() OVER (PARTITION BY ask_id ORDER BY same DESC, rec_id) AS rank, count(*) OVER (PARTITION BY ask_id) AS total FROM hits) WHERE rank <= 100"""
 
 
+def search_recordings_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches with each kind of condition in turn: album, ids, groups of ids, the title alone, strict, year."""
+    requests, recordings, credits, artists, releases = _views(spark, sf_dir, "request", "recording", "credit", "artist", "track_release")
+    first, second = (credits.filter(f"pos = {p}").select(F.col("rec_id").alias("request_id"), F.col("artist_id").alias(n)) for p, n in ((0, "a"), (1, "b")))
+    m = F.col("request_id") % 6
+    groups = F.array(F.array("a", F.col("a") + 1), F.when(F.col("b").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("b")))
+    asked = requests.join(first, "request_id").join(second, "request_id", "left").select(
+        F.col("request_id").alias("ask_id"), "title", F.when(m != 3, F.col("artist")).alias("artist"), F.when((m == 1) | (m == 2), F.array("a", F.col("a") + 1)).alias("artist_ids"),
+        F.when(m == 2, groups).alias("artist_id_groups"), F.when(m == 0, F.col("album")).alias("album"), (m == 4).alias("strict"), F.when(m == 5, F.lit(1996)).alias("year"),
+    )
+    return lookup.search_recordings(asked, recordings, credits, artists, releases=releases)
+
+
+SEARCH_BY_SQL = rf"""
+, {_ARTIST_KEY_SQL}
+, forms AS (SELECT rec_id, first_date, {s_plain('title')} AS own, unnest([{s_plain('title')},
+    CASE WHEN regexp_matches(title, '^\s*(.*)\s+[\(\[].*[\)\]]$') THEN {s_plain(r"regexp_extract(title, '^\s*(.*)\s+[\(\[].*[\)\]]$', 1)")} END,
+    {s_plain(r"regexp_replace(regexp_replace(title, ' [\(\[](?:Radio Edit|Remastered)[\)\]]', ''), ' - Single Version$', '')")}]) AS title_key FROM recording),
+w AS (SELECT request_id AS ask_id, request_id % 6 AS m, {s_plain('title')} AS title_key, {s_plain('artist')} AS artist_key, {s_plain('album')} AS album_key, f.artist_id AS a, g.artist_id AS b
+  FROM request JOIN credit f ON f.rec_id = request_id AND f.pos = 0 LEFT JOIN credit g ON g.rec_id = request_id AND g.pos = 1),
+h AS (SELECT DISTINCT ask_id, m, artist_key, album_key, a, b, f.rec_id, first_date, own = w.title_key AS same FROM w JOIN forms f USING (title_key)),
+named AS (SELECT DISTINCT c.rec_id, k.artist_key FROM credit c JOIN artist_key k USING (artist_id)),
+on_album AS (SELECT DISTINCT rec_id, {s_plain('title')} AS album_key FROM track_release),
+made AS (SELECT rec_id, list(artist_id) AS ids FROM credit GROUP BY rec_id),
+kinds AS (SELECT rec_id, bool_or(status = 'Official') AND NOT bool_or(secondary_type IN ('Compilation', 'Live')) AS strict FROM track_release GROUP BY rec_id),
+hits AS (
+  SELECT h.ask_id, h.rec_id, h.same FROM h JOIN made USING (rec_id) JOIN kinds USING (rec_id)
+    LEFT JOIN named n ON n.rec_id = h.rec_id AND n.artist_key = h.artist_key LEFT JOIN on_album o ON o.rec_id = h.rec_id AND o.album_key = h.album_key
+  WHERE CASE m WHEN 0 THEN n.rec_id IS NOT NULL AND (h.album_key IS NULL OR o.rec_id IS NOT NULL)
+    WHEN 1 THEN list_has_any(ids, [a, a + 1]) WHEN 2 THEN list_has_any(ids, [a, a + 1]) AND (b IS NULL OR list_contains(ids, b)) WHEN 3 THEN TRUE
+    WHEN 4 THEN n.rec_id IS NOT NULL AND strict ELSE n.rec_id IS NOT NULL AND CAST(substr(first_date, 1, 4) AS INTEGER) BETWEEN 1995 AND 1997 END)
+SELECT ask_id, rec_id, CAST(rank AS INTEGER) AS rank, total FROM (
+  SELECT *, row_number() OVER (PARTITION BY ask_id ORDER BY same DESC, rec_id) AS rank, count(*) OVER (PARTITION BY ask_id) AS total FROM hits) WHERE rank <= 100"""
+
+
 def paged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every search up to its cap, with the page on which each candidate comes."""
     return all_candidate_pages(spark, sf_dir).withColumn("page", F.ceil(F.col("rank") / lookup.PAGE).cast("int"))
@@ -289,6 +324,53 @@ SELECT request_id AS ask_id, r.rec_id, r.title, r.rec_id IS NOT NULL AS found
 FROM request q LEFT JOIN recording r ON r.rec_id = q.request_id * 2 AND NOT (q.request_id % 7 = 0 AND q.request_id % 3 <> 0)"""
 
 
+def _asked_ids(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
+    """Ids asked for, some of them in capitals, some not ids."""
+    n = F.col("request_id")
+    wanted = F.md5(F.concat(F.lit(letter), n.cast("string")))
+    return view(spark, sf_dir, "request").select(n.alias("ask_id"), F.when(n % 3 == 0, F.upper(wanted)).when(n % 7 == 0, F.lit("not-an-id")).otherwise(wanted).alias("uuid"))
+
+
+def get_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artists by id with the default section, tags; links are left out."""
+    a = view(spark, sf_dir, "artist")
+    documents_ = a.select(F.md5(F.concat(F.lit("a"), F.col("artist_id").cast("string"))).alias("id"), "name", F.concat(F.lit("nation "), F.col("nation").cast("string")).alias("tags"), F.col("alias").alias("relations"))
+    found = lookup.get_entity(_asked_ids(spark, sf_dir, "a"), documents_, None, {"tags": ("tags",), "url-rels": ("relations",)}, ("tags",), fold=True)
+    return found.select("ask_id", *(c for c in found.columns if c not in ("ask_id", "id")))
+
+
+GET_ARTIST_SQL = """
+SELECT request_id AS ask_id, name, 'nation ' || nation AS tags, artist_id IS NOT NULL AS found
+FROM request LEFT JOIN artist ON artist_id = request_id AND NOT (request_id % 7 = 0 AND request_id % 3 <> 0)"""
+
+
+def _releases_by_id(spark: SparkSession, sf_dir: str, letter: str, key: str, includes: list[str] | None) -> DataFrame:
+    each = view(spark, sf_dir, "track_release").groupBy(key).agg(F.min("title").alias("title"), F.min("label").alias("label"), F.max("primary_type").alias("kind"))
+    documents_ = each.select(F.md5(F.concat(F.lit(letter), F.col(key).cast("string"))).alias("id"), key, "title", "label", "kind")
+    found = lookup.get_entity(_asked_ids(spark, sf_dir, letter), documents_, includes, {"labels": ("label",), "release-groups": ("kind",)})
+    return found.drop("id")
+
+
+def get_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases by id, whose case counts, with their labels."""
+    return _releases_by_id(spark, sf_dir, "l", "release_id", ["labels"])
+
+
+GET_RELEASE_SQL = """
+SELECT request_id AS ask_id, release_id, r.title, label, release_id IS NOT NULL AS found
+FROM request LEFT JOIN (SELECT release_id, min(title) AS title, min(label) AS label FROM track_release GROUP BY release_id) r ON release_id = request_id AND request_id % 3 <> 0 AND request_id % 7 <> 0"""
+
+
+def get_release_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release groups by id, bare."""
+    return _releases_by_id(spark, sf_dir, "g", "group_id", None)
+
+
+GET_GROUP_SQL = """
+SELECT request_id AS ask_id, group_id, r.title, group_id IS NOT NULL AS found
+FROM request LEFT JOIN (SELECT group_id, min(title) AS title FROM track_release GROUP BY group_id) r ON group_id = request_id AND request_id % 3 <> 0 AND request_id % 7 <> 0"""
+
+
 def get_by_isrc(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests, recordings = _views(spark, sf_dir, "request", "recording")
     asked = requests.select(F.col("request_id").alias("ask_id"), F.upper(F.trim(F.concat(F.lit("  "), F.lower("isrc")))).alias("isrc"))
@@ -343,18 +425,50 @@ SELECT DISTINCT request_id AS ask_id, release_id FROM request q JOIN albums a ON
 QUALIFY rank <= 100"""
 
 
+def search_releases_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches by artist's name, by group, by title alone and by title and name."""
+    n = F.col("request_id")
+    m = n % 4
+    asked = view(spark, sf_dir, "request").select(
+        n.alias("ask_id"), F.when((m == 2) | (m == 3), F.col("album")).alias("title"), F.when((m == 0) | (m == 3), F.col("artist")).alias("artist"), F.when(m == 1, n - n % 4).alias("group_id")
+    )
+    albums = _albums(spark, sf_dir).withColumn("group_id", F.col("release_id") - F.col("release_id") % 4)
+    return lookup.search_releases(asked, albums, artists=view(spark, sf_dir, "artist"))
+
+
+SEARCH_RELEASES_BY_SQL = f"""
+, {_ALBUMS_SQL}
+, {_ARTIST_KEY_SQL}
+, q AS (SELECT request_id, request_id % 4 AS m, {s_plain('album')} AS title_key, {s_plain('artist')} AS artist_key FROM request),
+t AS (SELECT release_id, artist_id, {s_plain('title')} AS title_key FROM albums),
+hits AS (
+  SELECT request_id, release_id FROM q JOIN artist_key USING (artist_key) JOIN t USING (artist_id) WHERE m = 0 OR (m = 3 AND (q.title_key IS NULL OR q.title_key = t.title_key))
+  UNION SELECT request_id, release_id FROM q JOIN t ON t.release_id - t.release_id % 4 = q.request_id - q.request_id % 4 WHERE m = 1
+  UNION SELECT request_id, release_id FROM q JOIN t USING (title_key) WHERE m = 2)
+SELECT request_id AS ask_id, release_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY release_id) AS INTEGER) AS rank FROM hits QUALIFY rank <= 100"""
+
+
 def search_release_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of a kind by an artist; a kind alone is not enough."""
+    """Groups by title and type, by name, by an id that beats the name, and by a type alone, which finds none."""
     groups = _albums(spark, sf_dir).groupBy("title", "artist_id", "kind").agg(F.min("release_id").alias("group_id"))
-    asked = view(spark, sf_dir, "request").select(F.col("request_id").alias("ask_id"), F.when(F.col("request_id") % 3 < 2, F.col("album")).alias("title_asked"), F.lit("album").alias("type"))
-    hits = asked.filter("title_asked <> ''").join(groups, plain(F.col("title_asked")) == plain(F.col("title"))).filter(F.lower("kind") == F.lower("type"))
-    return hits.select("ask_id", "group_id")
+    n = F.col("request_id")
+    m = n % 4
+    asked = view(spark, sf_dir, "request").select(
+        n.alias("ask_id"), F.when(m == 0, F.col("album")).alias("title"), F.when((m == 1) | (m == 2), F.col("artist")).alias("artist"), F.when(m == 2, n % 7).alias("artist_id"), F.when(m != 1, F.lit("ALBUM")).alias("type")
+    )
+    return lookup.search_release_groups(asked, groups, artists=view(spark, sf_dir, "artist"))
 
 
 GROUPS_SQL = f"""
 , {_ALBUMS_SQL}
-, groups AS (SELECT title, artist_id, kind, min(release_id) AS group_id FROM albums GROUP BY title, artist_id, kind)
-SELECT request_id AS ask_id, group_id FROM request q JOIN groups g ON {s_plain('q.album')} = {s_plain('g.title')} WHERE kind = 'Album' AND request_id % 3 < 2"""
+, {_ARTIST_KEY_SQL}
+, groups AS (SELECT title, artist_id, kind, min(release_id) AS group_id FROM albums GROUP BY title, artist_id, kind),
+q AS (SELECT request_id, request_id % 4 AS m, {s_plain('album')} AS title_key, {s_plain('artist')} AS artist_key FROM request),
+hits AS (
+  SELECT request_id, group_id FROM q JOIN groups g ON {s_plain('g.title')} = q.title_key WHERE m = 0 AND kind = 'Album'
+  UNION SELECT request_id, group_id FROM q JOIN artist_key USING (artist_key) JOIN groups USING (artist_id) WHERE m = 1
+  UNION SELECT request_id, group_id FROM q JOIN groups ON artist_id = request_id % 7 WHERE m = 2 AND kind = 'Album')
+SELECT request_id AS ask_id, group_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY group_id) AS INTEGER) AS rank FROM hits QUALIFY rank <= 100"""
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -507,16 +621,21 @@ TAG_SQL = "SELECT rec_id, CASE rec_id % 4 WHEN 0 THEN tag WHEN 1 THEN 'release'
 def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     recordings, requests, releases, credits, artists = _views(spark, sf_dir, "recording", "request", "track_release", "credit", "artist")
     hints = requests.select(F.col("request_id").alias("rec_id"), F.col("album").alias("wanted"), "year")
-    return completing.enrich(recordings, hints, releases, credits, artists)
+    genres = _kinds(spark, sf_dir).withColumnRenamed("kinds", "genres")
+    groups = releases.select("group_id").distinct().filter("group_id % 3 = 0")
+    group_tags = groups.select("group_id", F.array(F.concat(F.lit("group "), (F.col("group_id") % 5).cast("string"))).alias("group_tags"))
+    return completing.enrich(recordings, hints, releases, credits, artists, genres, group_tags)
 
 
 ENRICH_SQL = (
     BEST_RELEASE_SQL[: BEST_RELEASE_SQL.rindex("SELECT rec_id, title")]
     + """, best AS (SELECT * FROM ranked WHERE rn = 1),
-who AS (SELECT rec_id, string_agg(CAST(artist_id AS VARCHAR), '|' ORDER BY pos) AS artist_ids, string_agg(name || joinphrase, '' ORDER BY pos) AS artist, arg_min(nation, pos) AS nation FROM credit JOIN artist USING (artist_id) GROUP BY rec_id)
-SELECT r.rec_id, r.title, who.artist, b.title AS album, b.date, CASE WHEN b.label_type IS NOT NULL THEN b.label END AS label, r.isrc, who.artist_ids, b.release_id,
-  CASE WHEN r.rec_id % 2 = 0 THEN r.tag WHEN b.secondary_type <> '' THEN b.secondary_type ELSE coalesce('nation ' || who.nation, '') END AS tags
-FROM recording r LEFT JOIN best b USING (rec_id) LEFT JOIN who USING (rec_id)"""
+who AS (SELECT rec_id, string_agg(CAST(artist_id AS VARCHAR), '|' ORDER BY pos) AS artist_ids, string_agg(name || joinphrase, '' ORDER BY pos) AS artist, arg_min(nation, pos) AS nation FROM credit JOIN artist USING (artist_id) GROUP BY rec_id),
+counted AS (SELECT rec_id, primary_type AS name, count(*) AS n FROM track_release GROUP BY rec_id, primary_type),
+g AS (SELECT rec_id, string_agg(name, '|' ORDER BY n DESC, name) AS genres FROM counted GROUP BY rec_id)
+SELECT r.rec_id, r.title, who.artist, b.title AS album, b.date, CASE WHEN b.label_type IS NOT NULL THEN b.label END AS label, r.isrc, who.artist_ids, b.release_id, b.group_id, g.genres,
+  CASE WHEN r.rec_id % 2 = 0 THEN r.tag WHEN b.secondary_type <> '' THEN b.secondary_type WHEN b.group_id % 3 = 0 THEN 'group ' || (b.group_id % 5) ELSE coalesce('nation ' || who.nation, '') END AS tags
+FROM recording r LEFT JOIN best b USING (rec_id) LEFT JOIN who USING (rec_id) LEFT JOIN g USING (rec_id)"""
 )
 
 
@@ -573,7 +692,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         best_release, credit_string, genre_rank, primary_label, url_map, artist_match, recording_artist_match, variant_marker, score_recording, select_recording, resolve_isrc, search_artists,
-        search_recordings, paged_candidates, all_candidate_pages, get_by_id, get_by_isrc, browse_releases, browse_all_releases, search_releases, search_release_groups, images, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
+        search_recordings, search_recordings_by, paged_candidates, all_candidate_pages, get_by_id, get_artist, get_release, get_release_group, get_by_isrc, browse_releases, browse_all_releases, search_releases, search_releases_by, search_release_groups, images, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
         validate_recordings, names_by_ids, label_for_recording, tag_fallback, enrich, search_cascade, find_recording, hierarchical, hierarchical_partial, quorum, resolve_collab,
     )
 }
@@ -595,6 +714,11 @@ def sql() -> dict[str, str]:
         "resolve_isrc": with_views(ISRC_SQL, *all_),
         "search_artists": with_views(SEARCH_ARTISTS_SQL, *all_),
         "search_recordings": with_views(SEARCH_RECORDINGS_SQL, *all_),
+        "search_recordings_by": with_views(SEARCH_BY_SQL, *all_),
+        "search_releases_by": with_views(SEARCH_RELEASES_BY_SQL, *all_),
+        "get_artist": with_views(GET_ARTIST_SQL, *all_),
+        "get_release": with_views(GET_RELEASE_SQL, *all_),
+        "get_release_group": with_views(GET_GROUP_SQL, *all_),
         "paged_candidates": with_views(PAGED_SQL, *all_),
         "all_candidate_pages": with_views(ALL_PAGES_SQL, *all_),
         "get_by_id": with_views(GET_SQL, *all_),

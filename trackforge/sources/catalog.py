@@ -40,7 +40,7 @@ VIEWS: dict[str, str] = {
         FROM supplier""",
     # a recording on a release
     "track_release": """
-        SELECT rec_id, release_id, title, date, status, primary_type, secondary_type, packaging, various, label, label_type,
+        SELECT rec_id, release_id, release_id - release_id % 4 AS group_id, title, date, status, primary_type, secondary_type, packaging, various, label, label_type,
           min(date) OVER (PARTITION BY rec_id) AS first_date, CAST(row_number() OVER (PARTITION BY rec_id ORDER BY release_id) AS INT) AS pos
         FROM (
           SELECT CAST(l.l_partkey AS BIGINT) AS rec_id, CAST(l.l_orderkey AS BIGINT) AS release_id,

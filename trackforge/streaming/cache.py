@@ -41,13 +41,67 @@ def lookup_as_of(asked: DataFrame, writes: DataFrame, keys: list[str]) -> DataFr
     return both.withColumn("entry", entry).filter("side = 1").select("ask_id", *keys, F.when(F.col("entry.expires") > F.col("at"), F.col("entry.data")).alias("data"))
 
 
-def search_key(title: Column, artist: Column, album: Column, year: Column, strict: Column, ids: Column, limit: int = 100, offset: int | None = None) -> Column:
-    """The cache key of a recording search."""
-    part = lambda name, c: F.when(c != "", F.concat(F.lit(f"{name}:"), F.lower(c)))
-    who = F.when(F.size(ids) > 0, F.concat(F.lit("arid:"), F.array_join(F.array_sort(ids), ","))).otherwise(part("artist", artist))
+def _part(name: str, c: Column) -> Column:
+    return F.when(c != "", F.concat(F.lit(f"{name}:"), F.lower(c)))
+
+
+def _tail(limit: int | None, offset: int | None) -> list[Column]:
+    return [F.lit(f"{name}:{n}") for name, n in (("limit", limit), ("offset", offset)) if n is not None]
+
+
+def _included(includes: list[str] | None) -> list[Column]:
+    return [F.lit("inc:" + "+".join(sorted(includes)))] if includes else []
+
+
+def search_key(title: Column, artist: Column, album: Column, year: Column, strict: Column, ids: Column, limit: int = 100, offset: int | None = None, groups: Column | None = None) -> Column:
+    """The cache key of a recording search: groups of ids beat ids, ids beat the name."""
+    who = F.when(F.size(ids) > 0, F.concat(F.lit("arid:"), F.array_join(F.array_sort(ids), ","))).otherwise(_part("artist", artist))
+    if groups is not None:
+        listed = F.array_join(F.transform(groups, lambda g: F.array_join(F.array_sort(g), "|")), ";")
+        who = F.when(F.size(groups) > 0, F.concat(F.lit("arid_groups:"), listed)).otherwise(who)
     when = F.when(year != 0, F.concat(F.lit("year:"), year.cast("string")))
-    tail = [F.lit(f"limit:{limit}")] + ([F.lit(f"offset:{offset}")] if offset is not None else [])
-    return F.concat_ws(":", F.lit("search_recording"), F.concat(F.lit("title:"), F.lower(title)), who, part("album", album), F.when(strict, F.lit("strict:1")), when, *tail)
+    return F.concat_ws(":", F.lit("search_recording"), F.concat(F.lit("title:"), F.lower(title)), who, _part("album", album), F.when(strict, F.lit("strict:1")), when, *_tail(limit, offset))
+
+
+def artist_search_key(name: Column, limit: int = 100) -> Column:
+    """The cache key of an artist search; the name is the one that is searched for."""
+    return F.concat_ws(":", F.lit("search_artist"), F.lower(name), *_tail(limit, None))
+
+
+def release_search_key(title: Column, artist: Column, group_id: Column, barcode: Column, includes: list[str] | None = None, limit: int = 100, offset: int | None = None) -> Column:
+    exact = lambda name, c: F.when(c != "", F.concat(F.lit(f"{name}:"), c))
+    return F.concat_ws(":", F.lit("search_release"), _part("title", title), _part("artist", artist), exact("rgid", group_id), exact("barcode", barcode), *_included(includes), *_tail(limit, offset))
+
+
+def group_search_key(title: Column, artist: Column, artist_id: Column, kind: Column, limit: int = 100, offset: int | None = None) -> Column:
+    who = F.when(artist_id != "", F.concat(F.lit("arid:"), artist_id)).otherwise(_part("artist", artist))
+    return F.concat_ws(":", F.lit("search_release_group"), _part("title", title), who, _part("type", kind), *_tail(limit, offset))
+
+
+def browse_key(recording: Column, includes: list[str] | None = None, limit: int | None = None, offset: int | None = None, statuses: list[str] | None = None) -> Column:
+    status = [F.lit("status:" + "|".join(sorted(statuses)))] if statuses else []
+    return F.concat_ws(":", F.lit("browse_releases"), F.concat(F.lit("recording:"), recording), *_included(includes), *_tail(limit, offset), *status)
+
+
+def entity_key(kind: str, id_: Column, includes: list[str] | None = None) -> Column:
+    """The cache key of a look-up by id; ids of artists and recordings come trimmed and in lower case."""
+    return F.concat_ws(":", F.lit(f"get_{kind}"), id_, F.lit("+".join(sorted(includes or []))))
+
+
+def image_list_key(id_: Column, entity: str = "release") -> Column:
+    return F.concat_ws(":", F.lit("get_image_list"), F.lit(entity), id_)
+
+
+def three_part_key(provider: Column, key: Column) -> Column:
+    """The key for a cache that files by provider, artist and endpoint: the artist stays empty, the address has no place."""
+    return F.struct(provider.alias("provider"), F.lit("").alias("artist_name"), key.alias("endpoint"))
+
+
+def last_quota(responses: DataFrame, by: list[str], at: str, tie: str) -> DataFrame:
+    """Adds quota (remaining, reset), what the latest response so far that stated both has said."""
+    so_far = Window.partitionBy(*by).orderBy(at, tie).rowsBetween(Window.unboundedPreceding, 0)
+    stated = F.when(F.col("remaining").isNotNull() & F.col("reset").isNotNull(), F.struct("remaining", "reset"))
+    return responses.withColumn("quota", F.last(stated, ignorenulls=True).over(so_far))
 
 
 def throttled(requests: DataFrame, interval: int, by: list[str], at: str, tie: str) -> DataFrame:
