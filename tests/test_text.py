@@ -3,6 +3,8 @@
 import random
 import re
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,21 @@ def test_repeated_brackets_equal_the_fixpoint(spark):
     df = spark.createDataFrame([(t,) for t in titles], "t string")
     found = [x[0] for x in df.select(text.collapse_repeated_brackets(F.col("t"))).collect()]
     assert found == [fixpoint(t) for t in titles]
+
+
+def test_letters_are_spelt_out(spark):
+    # characters that are old enough for every version of the tables, and whose kind has not changed
+    odd = [chr(c) for c in [*range(0xA0, 0x3400), *range(0xF900, 0xFFF0), *range(0x1D400, 0x1D800)] if unicodedata.ucd_3_2_0.category(chr(c)) not in ("Cn", "Cs", "Co") and c != 0x1734]
+    drop, blank = {"Mn", "Me", "Lm", "Sc", "Sk", "No"}, {"So", "Sm", "Cc", "Cf", "Mc"}
+
+    def expected(t):
+        letters = "".join(x for x in unicodedata.normalize("NFKD", t.lower()) if unicodedata.category(x) != "Mn").lower()
+        kept = (x for x in letters if unicodedata.category(x) not in drop)
+        return " ".join("".join(" " if unicodedata.category(x) in blank or unicodedata.category(x)[0] in "PZ" else x for x in kept).split()) or None
+
+    df = spark.createDataFrame([(i, f"a{c}b") for i, c in enumerate(odd)], "i int, t string")
+    found = {r.t: r.p for r in df.select("t", text.plain(F.col("t")).alias("p")).collect()}
+    wrong = {t: (found[t], expected(t)) for t in found if found[t] != expected(t)}
+    assert found["aﬁb"] == "afib" and found["a½b"] == expected("a½b")
+    assert not wrong
+    assert all(re.search(text.UNCOMMON, c) for c in text._ligatures()[1])

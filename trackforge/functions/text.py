@@ -29,6 +29,8 @@ TRAILING_CONJUNCTION = r"(?iU)\s+(?:and|&|or|with|feat\.?|ft\.?)\s*$"
 VERSION_SUFFIX = r"(?U)^\s*(.*)\s+[\(\[].*[\)\]]$"
 TRACK_NUMBER = r"(?U)^\d{1,4}[-.]\s*"
 FEATURED = r"(?iU)[\(\[](?:ft\.?|feat\.?|featuring|with|w/)\s+([^\)\]]+)[\)\]]"
+#: Beyond ASCII, letters of common scripts, quotes and dashes; none of these stands for several letters, and this class is quick to test.
+UNCOMMON = r"[^\x00-\x7F\xC0-\u0131\u0370-\u0586\u2010-\u201F\u3041-\u3096\u4E00-\u9FFF\uAC00-\uD7A3]"
 TOO_SMALL = "TEXT IS TOO SMALL IGNORE"
 
 _LONGEST_FIRST = "|".join(sorted(VERSION_PHRASES, key=len, reverse=True))
@@ -77,8 +79,12 @@ def _accents() -> tuple[str, str]:
 
 @cache
 def _ligatures() -> tuple[str, dict[str, str]]:
-    """Characters whose decomposition is several, such as ligatures, fractions and units: a pattern for them, and what they stand for."""
-    pairs = {k: v for k, v in _decomposed().items() if len(v) > 1}
+    """Characters whose decomposition is several, such as ligatures, fractions and units: a pattern for them, and what they stand for.
+
+    What is a blank either way, such as an ellipsis, is left out.
+    """
+    blank = lambda x: all(unicodedata.category(y)[0] in "PZ" for y in x)
+    pairs = {k: v for k, v in _decomposed().items() if len(v) > 1 and not (blank(k) and blank(v))}
     ranges: list[list[int]] = []
     for code in sorted(map(ord, pairs)):
         if ranges and code == ranges[-1][1] + 1:
@@ -89,11 +95,11 @@ def _ligatures() -> tuple[str, dict[str, str]]:
 
 
 def _spelt_out(c: Column) -> Column:
-    """Ligatures and the like as the letters that they stand for; other texts are only looked at."""
+    """Ligatures and the like as the letters that they stand for; the text is cut around them, and all else is only looked at."""
     pattern, pairs = _ligatures()
     known = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
-    letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(known, x), x))
-    return F.when(c.rlike(pattern), F.array_join(letters, "")).otherwise(c)
+    parts = F.transform(F.split(c, f"(?={pattern})|(?<={pattern})"), lambda x: F.when((F.length(x) == 1) & x.rlike(pattern), F.try_element_at(known, x)).otherwise(x))
+    return F.when(c.rlike(UNCOMMON) & c.rlike(pattern), F.array_join(parts, "")).otherwise(c)
 
 
 def plain(c: Column) -> Column:

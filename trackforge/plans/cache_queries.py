@@ -106,8 +106,8 @@ def last_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUOTA_SQL = """
-WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS at, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
-s AS (SELECT *, max(CASE WHEN k % 7 <> 6 AND k % 5 <> 4 THEN n END) OVER (PARTITION BY user_id ORDER BY n) AS said FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at, event_id) AS n FROM e))
+WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+s AS (SELECT *, max(CASE WHEN k % 7 <> 6 AND k % 5 <> 4 THEN n END) OVER (PARTITION BY user_id ORDER BY n) AS said FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS n FROM e))
 SELECT s.event_id, o.k % 4 AS remaining, o.k * 1000 AS reset FROM s LEFT JOIN s o ON o.user_id = s.user_id AND o.n = s.said"""
 
 
