@@ -8,9 +8,10 @@ N is a level array of the window's size; no other state decides.
 
 Every partition packs its own documents, in their order, so there is no
 shuffle, and a task that runs again gives the same sequences.  Open windows are
-bounded by ``max_open``: beyond it, and at the end of the partition, the
-emptiest windows are taken apart and cut to fill the others exactly, which
-leaves at most one partial sequence per partition.
+bounded by ``max_open``: for each one beyond it the fullest window is filled
+exactly with pieces cut from the emptiest, and the level array keeps all others.
+So are the windows that are open at the end of the partition, which leaves at
+most one partial sequence per partition.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no sequences; further columns are ignored; a
@@ -67,50 +68,44 @@ class SumOfSquares:
         if s := n - whole:
             level, pieces = self.level(s), []
             if level:
-                pieces = self.windows[level].pop()
-                self.count[level] -= 1
-                self.open -= 1
+                pieces = self._take(level)
             pieces.append((doc_id, whole, ids[whole:].copy(), n))
             if level + s == self.size:
                 full.append(pieces)
             else:
                 self._put(pieces, level + s)
-        if self.open > self.max_open:
-            full += self._merge()
-        return full
-
-    def _merge(self) -> list[list[Piece]]:
-        """Fill the fullest open windows with pieces cut from the emptiest; at most one stays open."""
-        waiting = [(level, w) for level in range(1, self.size) for w in self.windows[level]]
-        self.windows = [[] for _ in range(self.size)]
-        self.count[:] = 0
-        self.open = 0
-        full, low = [], 0
-        loose: list[Piece] = []
-        while len(waiting) > low:
-            level, pieces = waiting.pop()
-            while level < self.size:
-                if not loose:
-                    if len(waiting) == low:
-                        break
-                    loose = waiting[low][1][::-1]
-                    low += 1
-                doc_id, start, ids, n = loose.pop()
-                room = self.size - level
-                pieces.append((doc_id, start, ids[:room], n))
-                level += min(room, len(ids))
-                if len(ids) > room:
-                    loose.append((doc_id, start + room, ids[room:], n))
+        return full + self._fill(self.max_open)
+
+    def _take(self, level: int) -> list[Piece]:
+        self.count[level] -= 1
+        self.open -= 1
+        return self.windows[level].pop()
+
+    def _fill(self, keep: int) -> list[list[Piece]]:
+        """Fill the fullest open windows with pieces cut from the emptiest until ``keep`` are open; the others stay as they are."""
+        full = []
+        while self.open > max(keep, 1):
+            level = int(np.flatnonzero(self.count)[-1])
+            pieces = self._take(level)
+            while level < self.size and self.open:
+                loose = self._take(int(np.flatnonzero(self.count)[0]))
+                while loose and level < self.size:
+                    doc_id, start, ids, n = loose.pop()
+                    room = self.size - level
+                    pieces.append((doc_id, start, ids[:room], n))
+                    level += min(room, len(ids))
+                    if len(ids) > room:
+                        loose.append((doc_id, start + room, ids[room:], n))
+                if loose:
+                    self._put(loose, sum(len(p[2]) for p in loose))
             if level == self.size:
                 full.append(pieces)
             else:
                 self._put(pieces, level)
-        if loose:
-            self._put(loose[::-1], sum(len(p[2]) for p in loose))
         return full
 
     def close(self) -> list[list[Piece]]:
-        return self._merge() + [w for level in self.windows for w in level]
+        return self._fill(1) + [w for level in self.windows for w in level]
 
 
 PACKED = pa.schema(
