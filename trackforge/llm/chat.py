@@ -26,6 +26,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from trackforge.llm.common import in_batches
+
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(\\*)\|(im_start|im_end)\|>")
 _ESCAPED = re.compile(r"<\\(\\*)\|(im_start|im_end)\|>")
@@ -112,9 +114,8 @@ def format_turns(conversations: DataFrame, loss_role: str = "assistant") -> Data
                 names=["conv_id", "turn", "formatted", "loss_start", "loss_length"],
             )
 
-    return conversations.select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
-    ).mapInArrow(work, FORMATTED)
+    columns = F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
+    return in_batches(conversations.select(*columns)).mapInArrow(work, FORMATTED)
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -164,4 +165,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if digest is not None:
             yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip([current, *digest.row()], schema.types)], schema=schema)
 
-    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted").mapInArrow(work, DIGEST)
+    return in_batches(formatted).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted").mapInArrow(work, DIGEST)
