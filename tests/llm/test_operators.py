@@ -138,6 +138,36 @@ def test_toxic_documents_are_not_good(spark):
     assert sum(d < 600 for d in kept) >= 599 and sum(d >= 1000 for d in kept) <= 3
 
 
+def test_a_few_toxic_words_tell_of_a_long_text(spark):
+    r = random.Random(29)
+    docs = []
+    for i in range(900):
+        w = words(r, r.randrange(100, 400)).split()
+        for _ in range(0 if i % 6 else r.randrange(2, 5)):
+            w.insert(r.randrange(len(w)), f"slur{r.randrange(4)}")
+        docs.append((i, " ".join(w)))
+    df = spark.createDataFrame(docs + [(2000, None), (2001, "")], "doc_id long, text string").withColumn("toxic_evidence", F.lit("clash")).repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    kept = {x.doc_id for x in quality.resample(df, labels).collect()}
+    assert sum(i in kept for i in range(900) if i % 6 == 0) <= 3 and sum(i not in kept for i in range(900) if i % 6) <= 3 and {2000, 2001} <= kept
+
+    marked = df.filter("doc_id < 600").select("doc_id", "text", (F.col("doc_id") % 6 == 0).cast("int").alias("toxic"), (F.col("doc_id") % 2 == 0).alias("fits"))
+    found = dict(zip(*(x.tolist() for x in quality.telling_ngrams(marked, 5.0, 24.0, 2.0))))
+    a, n, A, B = {}, {}, 100, 200
+    for i, t in docs[:600:2]:
+        for x in set(np.concatenate([b for _, b in quality.ngram_buckets(pa.array([t]), quality.FINE_BITS)]).tolist()):
+            a[x], n[x] = a.get(x, 0) + (i % 6 == 0), n.get(x, 0) + 1
+    want = {}
+    for x, k in a.items():
+        b = n[x] - k
+        g = 2 * sum(c * np.log(c * (A + B) / (n[x] * of)) for c, of in ((k, A), (b, B)) if c)
+        if k >= 5 * (b + 1) and k * B > b * A and g >= 24:
+            share = 2.0 * n[x] / (A + B)
+            want[x] = np.log((k + share) / (A + 2)) - np.log((b + share) / (B + 2))
+    assert found.keys() == want.keys() and len(want) >= 4 and np.allclose([found[x] for x in want], list(want.values()))
+    assert all(len(x) == 0 for x in quality.telling_ngrams(marked.withColumn("toxic", F.lit(0)), 5.0, 24.0, 2.0))
+
+
 def test_resampling_equals_a_plain_version(spark):
     r, n = random.Random(23), 400
     docs = [(i, " ".join(("g" if i % 3 else "b") + str(r.randrange(60)) for _ in range(r.choice((0, 1, 30, 200))))) for i in range(n)] + [(7, "g1 g2"), (7, "g1 g2"), (None, None), (None, "b1")]

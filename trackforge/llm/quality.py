@@ -21,14 +21,22 @@ units, beside a Gumbel noise that spreads by 1.3: among neighbours the draw
 decides.  ``k`` is how many documents are drawn; where it is not given, as many
 as score at least the cut that best separates the labelled documents.
 
-Texts are tokenised twice, once to count and once to score; the scored rows are
+A few toxic words hardly move the mean of a long text, so a third model is set
+against the rest: n-grams that tell toxic text, in 2^31 buckets.  Telling is an
+n-gram of toxic labelled documents (of the half that fits) whose holders are
+toxic ``loss`` to one and whose excess is beyond chance (likelihood ratio test,
+``certain``).  Its log-ratio counts whole at each occurrence, however long the
+text: their sum, toxic_evidence, is taken off the weight ``sharpness`` times.
+Without toxic labels nothing is telling.
+
+Texts are tokenised twice (those of the labelled half three times), once to count and once to score; the scored rows are
 written to the shared folder.
 
 Defined results: a null or empty text has no n-grams and weight 0; documents
 without id share the noise of a null id; rows that tie with the k-th (repeated
 rows) are all drawn; without labels of both kinds everything is, unless k is
 given; an empty table gives an empty result; further columns are kept, but
-log_weight and gumbel_key are replaced.
+log_weight, toxic_evidence and gumbel_key are replaced.
 """
 
 from __future__ import annotations
@@ -109,22 +117,61 @@ def log_ratios(counts: DataFrame, bits: int, smoothing: float = 2.0) -> np.ndarr
     return (ratio - (p * ratio).sum()).astype(np.float32)
 
 
-def score(documents: DataFrame, ratios: np.ndarray, shrink: int) -> DataFrame:
-    """Every row with its log_weight, not tempered yet; no shuffle."""
+#: Bits of the buckets in which telling n-grams are told apart.
+FINE_BITS = 31
+
+
+def telling_ngrams(marked: DataFrame, loss: float, certain: float, smoothing: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted fine buckets of n-grams that tell toxic documents, and their log-ratios; from the labelled half that fits alone."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
+            toxic = b.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+            held = [np.unique(row.astype(np.int64) << FINE_BITS | bucket) for row, bucket in ngram_buckets(b.column("text"), FINE_BITS)]
+            each = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
+            bucket, at = np.unique(each & ((1 << FINE_BITS) - 1), return_inverse=True)
+            of_toxic = np.bincount(at, toxic[each >> FINE_BITS], len(bucket)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(of_toxic), pa.array(np.bincount(at, minlength=len(bucket)))], names=["bucket", "a", "n"])
+
+    fitting = marked.filter("fits").select("text", (F.col("toxic") > 0).alias("toxic"))
+    sizes = fitting.agg(F.count_if("toxic"), F.count("*")).first()
+    A, B = sizes[0], sizes[1] - sizes[0]
+    if not A or not B:
+        return np.zeros(0, np.int64), np.zeros(0)
+    counted = in_batches(fitting).mapInArrow(work, "bucket int, a long, n long").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
+    a, b = F.col("a"), F.col("n") - F.col("a")
+    term = lambda x, of: F.when(x > 0, x * F.log(x * (A + B) / (F.col("n") * of))).otherwise(0.0)
+    # every telling n-gram stands in several of the toxic documents of the bounded sample, which bounds their number
+    found = counted.filter((a >= loss * (b + 1)) & (a * B > b * A) & (2 * (term(a, A) + term(b, B)) >= certain)).orderBy("bucket").toArrow()
+    at, a, n = (found.column(c).to_numpy() for c in ("bucket", "a", "n"))
+    share = smoothing * n / (A + B)
+    return at.astype(np.int64), np.log((a + share) / (A + smoothing)) - np.log((n - a + share) / (B + smoothing))
+
+
+def score(documents: DataFrame, ratios: np.ndarray, shrink: int, telling: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Every row with its log_weight, not tempered yet, and its toxic_evidence; no shuffle."""
     bits = int(len(ratios)).bit_length() - 1
-    source = documents.drop("log_weight", "gumbel_key")
-    ratios_ = source.sparkSession.sparkContext.broadcast(ratios)  # 2^21 numbers at most
+    source = documents.drop("log_weight", "toxic_evidence", "gumbel_key")
+    model = source.sparkSession.sparkContext.broadcast((ratios, *telling))  # 2^21 ratios at most, and telling n-grams of the labelled sample
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = ratios_.value
+        ratios, fine, strengths = model.value
+        may_tell = np.zeros(len(ratios), bool)
+        may_tell[fine >> (FINE_BITS - bits)] = True
         for b in batches:
-            total, n = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
-            for row, bucket in ngram_buckets(b.column("text"), bits):
+            total, n, evidence = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
+            for row, exact in ngram_buckets(b.column("text"), FINE_BITS):
+                bucket = exact >> (FINE_BITS - bits)
                 total += np.bincount(row, ratios[bucket], b.num_rows)
                 n += np.bincount(row, minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total / (n + shrink))], names=[*b.schema.names, "log_weight"])
+                some = np.flatnonzero(may_tell[bucket])
+                if len(some):
+                    at = np.minimum(np.searchsorted(fine, exact[some]), len(fine) - 1)
+                    evidence += np.bincount(row[some], np.where(fine[at] == exact[some], strengths[at], 0.0), b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total / (n + shrink)), pa.array(evidence)], names=[*b.schema.names, "log_weight", "toxic_evidence"])
 
-    return in_batches(source).mapInArrow(work, T.StructType([*source.schema.fields, T.StructField("log_weight", T.DoubleType())]))
+    added = [T.StructField(name, T.DoubleType()) for name in ("log_weight", "toxic_evidence")]
+    return in_batches(source).mapInArrow(work, T.StructType([*source.schema.fields, *added]))
 
 
 def gumbel(seed: int) -> Column:
@@ -179,7 +226,7 @@ def buckets_for(rows: int) -> int:
 
 
 def resample(
-    documents: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = 20_000, smoothing: float = 2.0, sharpness: float = 4.0, shrink: int = 20, loss: float = 5.0, seed: int = 17
+    documents: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = 20_000, smoothing: float = 2.0, sharpness: float = 4.0, shrink: int = 20, loss: float = 5.0, certain: float = 24.0, seed: int = 17
 ) -> DataFrame:
     """The documents drawn, with log_weight and gumbel_key; ``loss`` is what a good document below the cut costs, a bad one above it costing 1."""
     bits = buckets_for(documents.count())
@@ -194,14 +241,16 @@ def resample(
     )
     marked = text.select("doc_id", "text").join(labelled, "doc_id", "left")
     ratios = log_ratios(ngram_counts(marked, F.expr("fits AND quality = 1 AND toxic = 0"), bits), bits, smoothing)
-    scored = written(score(text, ratios, shrink))
+    scored = written(score(text, ratios, shrink, telling_ngrams(marked, loss, certain, smoothing)))
     is_good = (F.max("quality") == 1) & (F.max("toxic") == 0)
-    held = scored.select("doc_id", "log_weight").join(labelled.filter("NOT fits"), "doc_id").groupBy("doc_id").agg(is_good.alias("good"), F.min("log_weight").alias("log_weight")).toArrow()
-    which, scores = held.column("good").to_numpy().astype(bool), held.column("log_weight").to_numpy()
-    good, bad = scores[which], scores[~which]
-    unit = float(good.std()) / sharpness if len(good) > 1 and good.std() > 0 else 1.0
-    weighed = scored.withColumn("log_weight", F.col("log_weight") / unit).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))
+    held = scored.select("doc_id", "log_weight", "toxic_evidence").join(labelled.filter("NOT fits"), "doc_id").groupBy("doc_id")
+    held = held.agg(is_good.alias("good"), F.min("log_weight").alias("log_weight"), F.max("toxic_evidence").alias("toxic_evidence")).toArrow()
+    which, scores, evidence = held.column("good").to_numpy().astype(bool), held.column("log_weight").to_numpy(), held.column("toxic_evidence").to_numpy()
+    spread = float(scores[which].std()) if which.sum() > 1 else 0.0
+    unit = spread / sharpness if spread > 0 else 1.0
+    scores = scores / unit - sharpness * evidence
+    weighed = scored.withColumn("log_weight", F.col("log_weight") / unit - sharpness * F.col("toxic_evidence")).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))
     if k is None:
-        k = weighed.filter(F.col("log_weight") >= best_cut(good, bad, loss) / unit).count()
+        k = weighed.filter(F.col("log_weight") >= best_cut(scores[which], scores[~which], loss)).count()
     least = kth_largest(weighed, "gumbel_key", k) if k else float("inf")
     return weighed if least is None else weighed.filter(F.col("gumbel_key") >= least)
