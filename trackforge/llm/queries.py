@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import chat, decontamination, html_content, near_duplicates, packing, quality, secrets, sharding, topk, warc
+from trackforge.llm import centroids, chat, decontamination, html_content, manifest, near_duplicates, packing, quality, secrets, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,6 +186,95 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    now = manifest.leaf(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns])
+    found = manifest.manifest(documents, columns, "lang", ["doc_id"], F.when(tampered, now).otherwise(manifest.leaf(*[F.col(c) for c in columns])))
+    return manifest.proofs(found)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT *, list_reduce(
+      [4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS register
+  FROM documents),
+fields AS (
+  SELECT *, n_chars + CASE WHEN doc_id IS NOT NULL AND (4294967295 - register) % 7 = 0 THEN 1 ELSE 0 END AS chars_now,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM doc),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(chars_now AS VARCHAR)) || ':' || chars_now, '-') || tail) AS leaf_now
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+node(lang, level, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM placed
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY lang, level, i // 2),
+subroot AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+upper_node(level, i, n, h) AS (
+  SELECT 0, i, n, subroot FROM subroot
+  UNION ALL
+  SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM upper_node WHERE n > 1 GROUP BY level, i // 2),
+path AS (
+  SELECT p.lang, p.i, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i < own.i THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY own.level) AS steps
+  FROM placed p JOIN node own ON own.lang IS NOT DISTINCT FROM p.lang AND own.i = p.i >> own.level AND own.n > 1
+  LEFT JOIN node s ON s.lang IS NOT DISTINCT FROM own.lang AND s.level = own.level AND s.i = xor(own.i, 1)
+  GROUP BY p.lang, p.i),
+upper_path AS (
+  SELECT p.lang, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i < own.i THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY own.level) AS steps
+  FROM subroot p JOIN upper_node own ON own.i = p.i >> own.level AND own.n > 1
+  LEFT JOIN upper_node s ON s.level = own.level AND s.i = xor(own.i, 1)
+  GROUP BY p.lang),
+whole AS (
+  SELECT p.*, s.subroot, (SELECT h FROM upper_node WHERE n = 1) AS root, coalesce(a.steps, []) || coalesce(b.steps, []) AS steps
+  FROM placed p JOIN subroot s ON s.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN path a ON a.lang IS NOT DISTINCT FROM p.lang AND a.i = p.i
+  LEFT JOIN upper_path b ON b.lang IS NOT DISTINCT FROM p.lang),
+proved AS (
+  SELECT *, sha256(array_to_string(list_transform(steps, lambda x: x[2:]), '')) AS proof_sha256,
+    list_reduce([leaf_now] || steps, lambda a, x: sha256(CASE x[1] WHEN 'L' THEN x[2:] || a WHEN 'R' THEN a || x[2:] ELSE a END)) AS folded_root
+  FROM whole)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM proved
+"""
+
+
+def op13_drake_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, centroids_ = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.report(state, centroids_).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+distance_{r} AS (SELECT x.r, c.c, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS d FROM part x JOIN centroid_{r} c ON x.i = c.i GROUP BY x.r, c.c),
+nearest_{r} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM distance_{r} GROUP BY r)""")
+        if r < rounds:
+            steps.append(f"""
+mean_{r} AS (SELECT n.c, x.i, sum(x.x) AS s, count(*) AS m FROM nearest_{r} n JOIN part x ON x.r = n.r GROUP BY n.c, x.i),
+centroid_{r + 1} AS MATERIALIZED (
+  SELECT c.c, c.i, CASE WHEN s IS NULL THEN c.x ELSE CAST((s - ((s % m) + m) % m) // m AS BIGINT) END AS x
+  FROM centroid_{r} c LEFT JOIN mean_{r} ON mean_{r}.c = c.c AND mean_{r}.i = c.i)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(v) AS x FROM kept),
+start AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c FROM kept QUALIFY c < 16),
+centroid_0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS i, unnest(v) AS x FROM start),{",".join(steps)},
+digest AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM centroid_{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN nearest_{rounds} USING (r) JOIN digest USING (c)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_importance_resampling": op2_importance_resampling,
@@ -197,6 +286,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_lsh_forest_join": op9_lsh_forest_join,
     "op10_grammar_round_trip": op10_grammar_round_trip,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_drake_clustering": op13_drake_clustering,
 }
 
 SQL: dict[str, str] = {
@@ -206,4 +297,6 @@ SQL: dict[str, str] = {
     "op8_revisit_resolution": OP8_SQL,
     "op9_lsh_forest_join": OP9_SQL,
     "op10_grammar_round_trip": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_drake_clustering": _op13_sql(),
 }
