@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackforge.llm import centroids, chat, decontamination, html_content, manifest, near_duplicates, packing, quality, secrets, sharding, topk, warc
+from trackforge.llm import centroids, chat, decontamination, fingerprints, html_content, manifest, near_duplicates, packing, quality, secrets, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,6 +186,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+def op11_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -286,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_lsh_forest_join": op9_lsh_forest_join,
     "op10_grammar_round_trip": op10_grammar_round_trip,
+    "op11_improbable_features": op11_improbable_features,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_drake_clustering": op13_drake_clustering,
 }
