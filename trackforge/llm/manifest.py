@@ -261,7 +261,8 @@ def tree(leaves: DataFrame, order: list[Column], fanout: int = 2, partition_rows
     ends = ends.select("part", F.col("first.start").alias("start"), F.col("last.total").alias("last_total"), "first_at", "last_at")
     each_part = F.broadcast(ends.drop("first_at", "last_at"))  # one row a partition
     edges = written(edges_of(placed.join(each_part, "part"), fanout))
-    known, open_, units = [edges], edges, n
+    known, open_ = [edges], edges
+    units = (ends.agg(F.max("part")).first()[0] or 0) + 1  # as many as Spark has made
     while True:
         last = units <= MERGED_AT_ONCE
         made = written(_merge_round(open_, fanout, last))
