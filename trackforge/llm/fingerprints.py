@@ -20,29 +20,28 @@ equal fingerprints.
 Texts are fingerprinted with all their bytes, in pieces of a fixed size that see
 as far as any window reaches, so memory beyond the text itself is bounded.
 
-``next to one another``: rows are sorted over range partitions, so a row's next
-one is at hand wherever it is in the same partition; the last row of each
-partition and the first of the next one are joined afterwards, one pair a
-partition.  Texts are shuffled once.
+``next to one another``: bounds of ranges are found on ids and hashes alone; then
+the texts are shuffled once, each to its range, and the first text of every range
+is sent to the one before as well, so a row's next one always is in its own task.
 
 Defined results: a null text is empty; an empty text has no features, is like
 another empty one (1) and unlike all others (0); a text shorter than a window is
 itself one feature; rows without doc_id come first; rows with equal doc_id follow
-one another by a hash of their text, equal rows are split over partitions however
-many they are; a row alone is its own next; an empty table gives an empty result;
+one another by a hash of their text; equal rows are worked out once, and put
+together before the shuffle; a row alone is its own next; an empty table gives an empty result;
 further columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from trackforge.llm.common import mixed, span_hashes, written
 
@@ -254,38 +253,53 @@ def _parts(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
         yield part
 
 
-OUT = "kind int, part long, doc_id long, text string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _SCHEMA = pa.schema(
     [
-        ("kind", pa.int32()), ("part", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+        ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+        ("near_edited", pa.float64()), ("near_next", pa.float64()),
     ]
 )
-ROW, FIRST, LAST = 0, 1, 2
+DEALT_DDL = "doc_id long, text string, id long, h long, n long, range int, follows int"
+DEALT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("range", pa.int32()), ("follows", pa.int32())])
+_LEAST_ID = -(1 << 63)
 
 
-def _compared(ids: list[int | None], texts: list[str], following: list[str], rank: np.ndarray) -> pa.RecordBatch:
-    """Result rows of texts and the ones that follow them; equal neighbours in the list are worked out once."""
+def _compared(ids: list[int | None], counts: list[int], texts: list[str], following: list[str], rank: np.ndarray) -> pa.RecordBatch:
+    """Result rows of texts and the ones that follow them; of a row that stands for several, all but one are followed by themselves."""
     changed = [edited(t, f) for t, f in zip(texts, following)]
-    place = {t: i for i, t in enumerate(dict.fromkeys([*texts, *following, *changed]))}
+    own_changed = {t: edited(t, t) for t, n in zip(texts, counts) if n > 1}
+    place = {t: i for i, t in enumerate(dict.fromkeys([*texts, *following, *changed, *own_changed.values()]))}
     found = chains(list(place), rank)
-    own, after, new = ([found[place[t]] for t in ts] for ts in (texts, following, changed))
     printed: dict[int, str] = {}
 
-    def text_of(c: Chain) -> str:
-        return printed.setdefault(id(c), c.text())
+    def row(doc_id: int | None, text: str, after: str, new: str) -> tuple:
+        a, b, c = place[text], place[new], place[after]
+        for i in (a, b):
+            if i not in printed:
+                printed[i] = found[i].text()
+        return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), printed[a], printed[b], likeness(found[a], found[b]), likeness(found[a], found[c])
 
-    n = len(ids)
-    columns = [
-        [ROW] * n, [None] * n, ids, [None] * n, [len(t) for t in texts], [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-        [text_of(c) for c in own], [text_of(c) for c in new], [likeness(a, b) for a, b in zip(own, new)], [likeness(a, b) for a, b in zip(own, after)],
-    ]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
+    rows = []
+    for doc_id, n, text, after, new in zip(ids, counts, texts, following, changed):
+        rows.append(row(doc_id, text, after, new))
+        rows += [row(doc_id, text, text, own_changed[text])] * (n - 1) if n > 1 else []
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
 
-def _end(kind: int, part: int, doc_id: int | None, text: str) -> pa.RecordBatch:
-    row = dict.fromkeys(_SCHEMA.names) | {"kind": kind, "part": part, "doc_id": doc_id, "text": text}
-    return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
+class Bounds:
+    """Where the ranges of (id, hash) begin."""
+
+    def __init__(self, keys: list[tuple[int, int]]) -> None:
+        self.keys = sorted(set(keys))
+        self.ids = np.array([k[0] for k in self.keys], np.int64)
+
+    def range_of(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The last range that does not begin after each key."""
+        low, high = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        for i in np.flatnonzero(low < high):  # the id is that of a bound: the hash decides
+            high[i] = bisect.bisect_right(self.keys, (int(ids[i]), int(hashes[i])))
+        return np.maximum(high - 1, 0)
 
 
 def neighbours(documents: DataFrame, rank: np.ndarray | None = None, id_col: str = "doc_id", text_col: str = "text", partition_rows: int = 1 << 14) -> DataFrame:
@@ -293,44 +307,45 @@ def neighbours(documents: DataFrame, rank: np.ndarray | None = None, id_col: str
 
     ``partition_rows`` says how many documents a task should have; it does not change the result.
     """
+    spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rank = corpus_ranks(docs) if rank is None else rank
-    rows = docs.count()
-    n = max(1, -(-rows // partition_rows), min(docs.sparkSession.sparkContext.defaultParallelism, -(-rows // 256)))
-    keys = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("tie")]
-    placed = docs.withColumn("h", F.xxhash64("text")).withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    placed = placed.select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "text")
+    order = F.coalesce("doc_id", F.lit(_LEAST_ID))
+    keyed = docs.select("doc_id", "text", order.alias("id"), F.xxhash64("text").alias("h"))
+    keys = written(keyed.select("id", "h"))
+    rows = keys.count()
+    n = max(1, -(-rows // partition_rows), min(spark.sparkContext.defaultParallelism, -(-rows // 256)))
+    ranges = keys.repartitionByRange(n, "id", "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct("id", "h")).alias("k"))
+    bounds = Bounds([(r["k"]["id"], r["k"]["h"]) for r in ranges.collect()])  # one key a range
+    if not bounds.keys:
+        return spark.createDataFrame([], OUT)
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes = batch.column("id").to_numpy(), batch.column("h").to_numpy()
+            _, first, count = np.unique(np.stack([ids, hashes], axis=1), axis=0, return_index=True, return_counts=True)  # equal rows become one
+            kept = batch.take(pa.array(first))
+            at = bounds.range_of(ids[first], hashes[first]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(count, pa.int64()), pa.array(at), pa.array(np.zeros(len(at), np.int32))], names=DEALT.names)
+
+    dealt = keyed.mapInArrow(deal, DEALT_DDL)
+    # the first document of every range, once more, behind the last one of the range before
+    before = [(k, h, (i - 1) % len(bounds.keys)) for i, (k, h) in enumerate(bounds.keys)]
+    first = F.broadcast(spark.createDataFrame(before, "id long, h long, range int"))
+    following = keyed.join(first, ["id", "h"]).dropDuplicates(["range"]).select("doc_id", "text", "id", "h", F.lit(0).cast("long").alias("n"), "range", F.lit(1).alias("follows"))
+    placed = dealt.unionByName(following).repartitionById(len(bounds.keys), F.col("range")).sortWithinPartitions("range", "follows", "id", "h")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held_id, held = None, None, None
+        held: tuple | None = None
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            if part is None and ids:
-                part = batch.column("part")[0].as_py()
-                yield _end(FIRST, part, ids[0], texts[0])
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "text", "follows"))))
             at = 0
-            for some in _parts(texts):
-                some_ids = ids[at : at + len(some)]
-                at += len(some)
-                if held is not None:
-                    some_ids, some = [held_id, *some_ids], [held, *some]
-                held_id, held = some_ids[-1], some[-1]
-                if len(some) > 1:
-                    yield _compared(some_ids[:-1], some[:-1], some[1:], rank)
-        if part is not None:
-            yield _end(LAST, part, held_id, held)
-
-    def work_ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, text, following in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following"))):
-                yield _compared([doc_id], [text], [following], rank)
-
-    found = written(placed.mapInArrow(work, OUT))
-    parts = found.filter(F.col("kind") == FIRST).select("part")  # one row a partition
-    along = Window.orderBy("part")
-    parts = parts.select("part", F.lead("part").over(along).alias("onward"), F.first("part").over(along).alias("least"))
-    onward = parts.select("part", F.coalesce("onward", "least").alias("onward"))
-    firsts = found.filter(F.col("kind") == FIRST).select(F.col("part").alias("onward"), F.col("text").alias("following"))
-    ends = found.filter(F.col("kind") == LAST).select("part", "doc_id", "text").join(F.broadcast(onward), "part").join(firsts, "onward")
-    last = ends.select("doc_id", "text", "following").mapInArrow(work_ends, OUT)
-    return found.filter(F.col("kind") == ROW).unionByName(last).drop("kind", "part", "text")
+            for texts in _parts([r[2] for r in rows]):
+                some = [*([held] if held else []), *rows[at : at + len(texts)]]
+                at += len(texts)
+                held = some[-1] if not some[-1][3] else None
+                pairs = [(a, b) for a, b in zip(some, some[1:]) if not a[3]]
+                if pairs:
+                    yield _compared([a[0] for a, _ in pairs], [a[1] for a, _ in pairs], [a[2] for a, _ in pairs], [b[2] for _, b in pairs], rank)
+
+    return placed.select("doc_id", "n", "text", "follows").mapInArrow(work, OUT)
