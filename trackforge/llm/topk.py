@@ -17,8 +17,8 @@ best of each block are ranked again over all blocks.
 
 Defined results: vectors that are null or hold null, NaN or infinite components
 take no part, nor do rows without an id; rows that share an id are candidates
-each, but none of them for queries of that id, whose rows ask together; equal
-rows are worked out once and count each; vectors only meet vectors of their own
+each, but none of them for queries of that id, and ask each on its own; equal
+rows are worked out once and count each, as candidates and as queries; vectors only meet vectors of their own
 length; an empty table gives an empty result; further columns are ignored.
 Scores are exact while they fit into 64 bits.
 """
@@ -131,20 +131,22 @@ def nra_topk(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "v
     query_block = F.pmod(F.xxhash64("id", "v"), F.lit(n_query_blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = usable_rows.select("dim", "id", "n", "v", block.alias("block"), every(n_query_blocks).alias("query_block"))
-    right = asking.select("dim", "id", "n", "v", query_block.alias("query_block"), every(n_blocks).alias("block"))
-    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("n", pa.int64())])
+    right = asking.select("dim", "id", "n", "v", F.xxhash64("v").alias("which"), query_block.alias("query_block"), every(n_blocks).alias("block"))
+    out = pa.schema([(c, pa.int64()) for c in ("query_id", "which", "asked", "vec_id", "score", "n")])
 
     def work(key: tuple, candidates: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(candidates) or not len(queries):
             return out.empty_table()
         dim = key[0].as_py()
         (x, ids), (q, query_ids) = _matrix(candidates, dim), _matrix(queries, dim)
-        copies, asked = candidates.column("n").to_numpy(), queries.column("n").to_numpy()
-        found = [(np.full(len(at), query_ids[i]), ids[at], scores, copies[at] * asked[i]) for i, at, scores, _ in nra_block(x, ids, q, query_ids, k)]
+        copies, asked, which = candidates.column("n").to_numpy(), queries.column("n").to_numpy(), queries.column("which").to_numpy()
+        same = lambda value, at: np.full(len(at), value)
+        found = [(same(query_ids[i], at), same(which[i], at), same(asked[i], at), ids[at], scores, copies[at]) for i, at, scores, _ in nra_block(x, ids, q, query_ids, k)]
         return pa.table([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], schema=out)
 
     keys = ["dim", "query_block", "block"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, "query_id long, vec_id long, score long, n long")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, "query_id long, which long, asked long, vec_id long, score long, n long")
     each = best.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.least("n", F.lit(k)).cast("int"))))  # equal rows count each
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return each.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), F.asc("vec_id"))
+    answers = each.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    return answers.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), "asked"))).select("query_id", "rank", "vec_id", "score")
