@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from trackforge.operators import artists, collaboration, lookup, ranking
+from trackforge.operators import artists, collaboration, enrich, lookup, ranking
 from trackforge.plans import cascade, catalog_queries, registry
 from trackforge.sources import catalog, documents
 from trackforge.streaming import cache
@@ -36,6 +36,12 @@ def test_browsing_goes_on_after_place_twenty(spark, sf_dir):
     assert any(r.total > 20 for r in found) and all(r.last == min(r.total, 1000) for r in found)
 
 
+def test_label_is_sought_among_the_first_releases(spark):
+    rows = [(1, i, "late" if i == 120 else "never", "Imprint" if i == 120 else None, "Official") for i in range(1, 131)] + [(2, i, f"label {i}", "Imprint" if i > 99 else None, "Bootleg") for i in range(1, 131)]
+    releases = spark.createDataFrame(rows, "rec_id long, release_id long, label string, label_type string, status string")
+    assert [tuple(r) for r in enrich.label_of(releases).collect()] == [(2, "label 100")]
+
+
 def test_selection_equals_a_walk(spark):
     r = random.Random(1)
     rows = []

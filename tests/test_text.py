@@ -160,3 +160,19 @@ def test_letters_are_spelt_out(spark):
     assert found["aﬁb"] == "afib" and found["a½b"] == expected("a½b")
     assert not wrong
     assert all(re.search(text.UNCOMMON, c) for c in text._ligatures()[1])
+
+
+def test_nested_repeated_brackets_come_to_an_end(spark):
+    def plainly(title):
+        while True:
+            new = re.sub(r"[\(\[]([^\)\]]+)[\)\]]\s*[\(\[]\1[\)\]]", r"(\1)", title, flags=re.I)
+            if new == title:
+                return title.strip()
+            title = new
+
+    r = random.Random(9)
+    nested = "x"
+    for i in range(12):
+        nested = f"({nested} ({'ab'[i % 2]}) [{'ab'[i % 2]}])({nested})"[:4000]
+    titles = [nested] + ["".join(r.choice(["(", ")", "[", "]", "a", "A", " "]) for _ in range(40)) for _ in range(300)] + ["(a)" * 500, "((((a)(a)(a)(a)"]
+    assert values(spark, text.collapse_repeated_brackets, titles) == [plainly(t) if t else t for t in titles]

@@ -166,10 +166,15 @@ def clean_title(title: Column, patterns: tuple[str, ...] = VERSION_PATTERNS) ->
     return F.when(title != "", F.when(left == "", title).otherwise(left))
 
 
-def collapse_repeated_brackets(title: Column, passes: int = 7) -> Column:
-    """Adjacent brackets of equal content become one, however often they repeat; each further pass serves brackets around such runs."""
+def collapse_repeated_brackets(title: Column) -> Column:
+    """Adjacent brackets of equal content become one, however often they repeat and however deep such runs are nested.
+
+    A pass that changes anything takes away a bracket, so as many passes as there are brackets come to an end.
+    """
     run = r"(?iU)[\(\[]([^\)\]]+)[\)\]](?:\s*[\(\[]\1[\)\]])+"
-    return F.when(title == "", title).otherwise(strip(reduce(lambda c, _: F.regexp_replace(c, run, "($1)"), range(passes), title)))
+    passes = F.sequence(F.lit(1), F.regexp_count(title, F.lit(r"[\(\[]")))
+    collapsed = F.aggregate(passes, title, lambda c, _: F.regexp_replace(c, run, "($1)"))
+    return F.when(title == "", title).otherwise(strip(F.when(title.rlike(run), collapsed).otherwise(title)))
 
 
 def drop_artist_prefix(title: Column, artist: Column) -> Column:

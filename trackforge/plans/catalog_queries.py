@@ -605,7 +605,11 @@ def label_for_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completing.label_of(view(spark, sf_dir, "track_release"))
 
 
-LABEL_SQL = "SELECT rec_id, arg_min(label, CASE status WHEN 'Official' THEN 0 ELSE 1000000 END + pos) AS label FROM track_release WHERE label_type IS NOT NULL GROUP BY rec_id"
+LABEL_SQL = """
+, listed AS (
+  SELECT rec_id, label, label_type, round, row_number() OVER (PARTITION BY rec_id, round ORDER BY release_id) AS place
+  FROM (SELECT *, 0 AS round FROM track_release WHERE status = 'Official' UNION ALL SELECT *, 1 AS round FROM track_release) r)
+SELECT rec_id, arg_min(label, (round, place)) AS label FROM listed WHERE place <= 100 AND label_type IS NOT NULL GROUP BY rec_id"""
 
 
 def tag_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
