@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from trackforge.operators.common import shared_folder
 from trackforge.plans.text_queries import Query
 from trackforge.sources.catalog import view, with_views
-from trackforge.streaming import cache
+from trackforge.streaming import cache, state
 
 AS_OF = "2024-01-20 00:00:00"
 KIND = {"purchase": "recording", "signup": "artist", "view": "release", "click": "cover_art", "error": "not_found"}
@@ -54,6 +57,21 @@ SELECT a.event_id AS ask_id, a.user_id, CASE WHEN v.t + 7200 > a.t THEN v.event_
 FROM asked a ASOF LEFT JOIN v ON v.user_id = a.user_id AND a.t >= v.t"""
 
 
+def cache_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stream of look-ups and writes with keyed state, replayed from files in any order."""
+    w = _writes(spark, sf_dir)
+    asked = w.select(F.col("data").alias("ask_id"), "user_id", (F.col("written_at") + 3600).alias("asked_at"))
+    events = state.cache_events(asked, w.filter("event_type = 'view'").withColumn("ttl", F.lit(7200)), F.col("user_id"))
+    latest = events.agg(F.max("at").alias("at")).select(F.lit("").alias("key"), (F.col("at") + 86400 * 30).alias("at"), F.lit(0).cast("long").alias("ttl"))
+    folder = f"{shared_folder(spark)}/cache-stream-{uuid.uuid4()}"
+    events.unionByName(latest, allowMissingColumns=True).write.parquet(f"{folder}/in")  # the last event lets the watermark pass all others
+    stream = state.stream_lookups(spark.readStream.schema(state.EVENT).parquet(f"{folder}/in"))
+    with state.with_rocks(spark):
+        query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(state.ANSWER).parquet(f"{folder}/out").select("ask_id", F.col("key").cast("long").alias("user_id"), "data")
+
+
 def cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = view(spark, sf_dir, "request")
     ids = F.when(F.col("request_id") % 4 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array().cast("array<string>"))
@@ -171,7 +189,7 @@ SELECT CASE WHEN k = 1 THEN 'RateLimitError' WHEN k IN (2, 3, 4) THEN 'ServerBus
   count(*) AS n, CAST(sum(CASE WHEN k < 7 THEN 1 ELSE 0 END) AS BIGINT) AS responses
 FROM (SELECT event_id % 10 AS k FROM events) GROUP BY 1"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (cache_ttl, cache_live, cache_lookup, cache_key, cache_keys, last_quota, throttle, adaptive_interval, retry_decision, error_classes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (cache_ttl, cache_live, cache_lookup, cache_lookup_stream, cache_key, cache_keys, last_quota, throttle, adaptive_interval, retry_decision, error_classes)}
 
 
 def sql() -> dict[str, str]:
@@ -179,6 +197,7 @@ def sql() -> dict[str, str]:
         "cache_ttl": f"SELECT event_id, {_TTL} AS ttl FROM events",
         "cache_live": LIVE_SQL,
         "cache_lookup": LOOKUP_SQL,
+        "cache_lookup_stream": LOOKUP_SQL,
         "cache_key": with_views(KEY_SQL, "request"),
         "cache_keys": with_views(KEYS_SQL, "request"),
         "last_quota": QUOTA_SQL,
