@@ -65,3 +65,43 @@ LAYOUTS = {
     ),
     "nothing but boilerplate": ("""<body><nav><a href="/">Home</a></nav><div class="ad">Buy a boat</div><footer>All rights reserved</footer></body>""", ""),
 }
+
+#: Pages whose frames, sections and boxes are not those of the ones above.
+COMMENTS = "<p>I read this on the train.</p><p>So did I, twice.</p>"
+MORE_LAYOUTS = {
+    "article inside one form": (f"""<html><body><form id="aspnetForm" action="/x"><div class="topbar"><a href="/">Start</a></div><article><h1>{TITLE}</h1>{BODY}</article><div class="footer">Made here</div></form></body></html>""", f"{TITLE}\n{TEXT}"),
+    "div with a heading inside a form": (f"""<html><body><form method="post"><div class="content"><h1>{TITLE}</h1>{BODY}</div></form></body></html>""", f"{TITLE}\n{TEXT}"),
+    "div without a heading inside a form": (f"""<html><body><form method="post"><div>{BODY}</div><div id="footer"><p>Imprint</p></div></form></body></html>""", TEXT),
+    "main inside a form, second form inside": (f"""<html><body><form><main><h1>{TITLE}</h1>{BODY}<div class="newsletter"><form><p>Get our letter</p><input></form></div></main></form></body></html>""", f"{TITLE}\n{TEXT}"),
+    "comments in a section": (f"""<html><head><title>x</title></head><body><article><h1>{TITLE}</h1>{BODY}</article><section class="comments">{COMMENTS}</section></body></html>""", f"{TITLE}\n{TEXT}"),
+    "headed comments, footer and aside": (
+        f"""<html><body><article><h1>{TITLE}</h1>{BODY}</article><section class="comments"><h3>What readers say</h3>{COMMENTS}</section><aside><h3>Most read</h3><p>The mill that burned</p></aside>
+        <footer><h3>About this paper</h3><p>Printed since the war.</p></footer></body></html>""",
+        f"{TITLE}\n{TEXT}",
+    ),
+    "the same without html": (
+        f"""<article><h1>{TITLE}</h1>{BODY}</article><section class="comments"><h3>What readers say</h3>{COMMENTS}</section><aside><h3>Most read</h3><p>The mill that burned</p></aside><footer><h3>About this paper</h3></footer>""",
+        f"{TITLE}\n{TEXT}",
+    ),
+    "notices in sections": (
+        f"""<html><body><article><h1>{TITLE}</h1>{BODY}</article><section class="cookie"><p>We store things on your disk.</p></section><section class="newsletter"><p>Read us every Friday.</p></section>
+        <section class="related"><h2>More of it</h2><p>How the dam was built</p></section></body></html>""",
+        f"{TITLE}\n{TEXT}",
+    ),
+    "comment list named in one word": (f"""<html><body><div class="post"><h1>{TITLE}</h1>{BODY}</div><ol class="commentlist"><li><p>First!</p></li><li><div>That river is a stream.</div></li></ol></body></html>""", f"{TITLE}\n{TEXT}"),
+    "header block around everything": (f"""<html><body><h1>{TITLE}</h1><div class="section header-block">{BODY}</div><footer>All rights reserved</footer></body></html>""", f"{TITLE}\n{TEXT}"),
+    "promo text around half": (f"""<html><body><main><h1>{TITLE}</h1>{''.join(f'<p>{p}</p>' for p in P[:3])}<div class="promo-text">{''.join(f'<p>{p}</p>' for p in P[3:])}</div></main></body></html>""", f"{TITLE}\n{TEXT}"),
+    "header block around half": (f"""<html><body><main><div class="header-block"><h1>{TITLE}</h1>{''.join(f'<p>{p}</p>' for p in P[:3])}</div>{''.join(f'<p>{p}</p>' for p in P[3:])}</main></body></html>""", f"{TITLE}\n{TEXT}"),
+    "sections of divs": (
+        f"""<html><body><section class="hero"><h1>{TITLE}</h1></section><section>{''.join(f'<div>{p}</div>' for p in P[:3])}</section><section>{''.join(f'<div>{p}</div>' for p in P[3:])}</section>
+        <section class="site-footer"><div>Call us on Mondays</div></section></body></html>""",
+        f"{TITLE}\n{TEXT}",
+    ),
+    "comments with articles and quotes": (
+        f"""<html><body><div id="wrap"><div id="content"><h2>{TITLE}</h2>{BODY}</div><div id="disqus_thread"><article><blockquote><p>The town again.</p></blockquote><p>Always the town.</p></article></div></div></body></html>""",
+        f"{TITLE}\n{TEXT}",
+    ),
+    "aside and form inside a bare div": (f"""<html><body><div>{''.join(f'<p>{p}</p>' for p in P[:3])}<aside><h4>In short</h4><p>Rivers move.</p></aside><form><h4>Vote</h4><p>Which river?</p></form>{''.join(f'<p>{p}</p>' for p in P[3:])}</div></body></html>""", TEXT),
+    "dialog and cookie bar first": (f"""<html><body><dialog open><h2>Welcome</h2><p>Please choose a region.</p></dialog><div class="cookiebar"><p>Crumbs everywhere.</p></div><div><div><h1>{TITLE}</h1>{BODY}</div></div></body></html>""", f"{TITLE}\n{TEXT}"),
+}
+LAYOUTS |= MORE_LAYOUTS

@@ -8,13 +8,19 @@ article or main element that it lies in, and blocks inside it whose words score
 negatively by where they stand (adverts, forms, reader comments) are left out;
 links tell where content ends, but are not left out of it.
 
-Names say what stands in a box, not what a whole page looks like: classes and
-ids of ``html``, ``body`` and ``main`` do not count, nor do those of any frame,
-an element that holds the main heading and at least half of the page's words;
-an ``article`` counts for single words only; names such as ``no-sidebar`` or
-``header-fixed`` tell of a state.  Where nothing at all is left of a page, the
-names of the elements that hold half of its words and at least three paragraphs
-(not those of comments) do not count either.
+Elements that only give a page its shape (``html``, ``body``, ``div``,
+``section`` and the like) have no weight.  Names say what stands in a box, not
+what a whole page looks like: nothing counts of ``html``, ``body`` and ``main``
+but the element itself, and nothing at all of a frame, which is an element that
+holds the main heading and at least half of the page's words, or a form that
+does either; an ``article`` counts for single words only; names such as
+``no-sidebar`` or ``header-fixed`` tell of a state, and ``header-block`` or
+``promo-text`` of a place.  Words in a box that is clearly something else
+(navigation, asides, footers, forms, notices, adverts, reader comments) never
+score positively, whatever else is around them.  Where less than a seventh of a
+page is left, the names of the elements that hold half of its words and at least
+three paragraphs (not those of comments) do not count either, if that gives
+more; where nothing is left, all words outside those boxes are the text.
 
 Reading takes linear time whatever the markup.  Defined results: a null or
 empty page, and one without text, gives an empty text; broken markup is read as
@@ -50,6 +56,16 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SECTION = frozenset(("article", "main"))
 _LISTS = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table", "tr")), "th": frozenset(("table", "tr"))}
+# Elements that only give a page its shape; boxes that are clearly something else, by element and by name; what their names are run together with;
+# words that do so only by themselves, and words after them that make the name one of a place.
+_SHAPE = frozenset("html body div section center font span tbody thead tfoot".split())
+_ELSE = "nav aside footer form dialog button".split()
+_ELSE_NAMED = """ad advert advertisement advertising sponsor sponsored cookie consent gdpr popup modal newsletter subscribe subscription share social related recommended comment reply replie
+discussion response disqu sidebar widget menu nav navigation navbar breadcrumb pagination pager login signup search toolbar footer complementary contentinfo hidden""".split()
+_CLEARLY_ELSE = frozenset([*_ELSE, *(f".{x}" for x in _ELSE_NAMED)])
+_BOX = frozenset("list box area bar wrap wrapper container section form link left right widget banner notice block body text item thread count feed".split())
+_FAINT = frozenset("header banner promo teaser notice warning alert legal".split())
+_PLACE = frozenset("block text content body inner copy story section".split())
 # Elements whose names describe the page, and words that make a name one of a state or of a title.
 _WHOLE_PAGE = frozenset(("html", "body", "main"))
 _STATE_FIRST = frozenset("no not non has have with without show hide".split())
@@ -95,8 +111,10 @@ class Weights:
 def _name_words(token: str, name: str) -> list[str]:
     """The words of one class, id or role that tell what stands in the element."""
     words = [x.lower() for x in _NAME.findall(token)]
-    if len(words) > 1 and (words[0] in _STATE_FIRST or words[-1] in _STATE_LAST or name == "article" or words[0] in _TITLED and words[-1] == "header"):
+    state = words[:1] and (words[0] in _STATE_FIRST or words[-1] in _STATE_LAST)
+    if len(words) > 1 and (state or name == "article" or words[0] in _TITLED and words[-1] == "header" or words[0] in _FAINT and words[-1] in _PLACE):
         return []
+    words += [x for w in words for x in _ELSE_NAMED if len(x) > 5 and w.startswith(x) and w[len(x) :].removesuffix("s") in _BOX]
     if name[:1] == "h" and name[1:].isdigit():  # a heading's own style
         words = [x for x in words if x not in ("header", "banner")]
     return words
@@ -104,7 +122,7 @@ def _name_words(token: str, name: str) -> list[str]:
 
 def features(name: str, rest: str) -> tuple[list[str], str]:
     """What is known of an element, and its label on a labelled page."""
-    found, label = [name], ""
+    found, label = [] if name in _SHAPE else [name], ""
     if len(rest) > 1:
         for key, value in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), value.strip("\"'")
@@ -234,40 +252,51 @@ def read(page: str) -> tuple[list[_Element], list[Block]]:
     return elements, out
 
 
-def _known(elements: list[_Element], weights: dict[str, float] | None, frame) -> Iterator[tuple[float, float, tuple[str, ...]]]:
-    """For each element what stands around its words: the weight, the weight without links, and (without weights) the features.
+def _known(elements: list[_Element], weights: dict[str, float] | None, frame) -> Iterator[tuple[float, float, bool, tuple[str, ...]]]:
+    """For each element what stands around its words: the weight, the weight without links, whether it is clearly something else, and (without weights) the features.
 
-    What is around a word counts once, however often it is; of frames only the
-    element's name counts.
+    What is around a word counts once, however often it is; of frames nothing counts.
     """
     around: Counter[str] = Counter()
-    path: list[tuple[int, list[str], float, float]] = []
+    path: list[tuple[int, list[str], float, float, bool]] = []
     for i, e in enumerate(elements):
         while path and path[-1][0] != e.parent:
             around.subtract(path.pop()[1])
-        weight, unlinked = path[-1][2:] if path else (0.0, 0.0)
-        own = e.own[:1] if len(e.own) > 1 and frame(e) else e.own
+        weight, unlinked, other = path[-1][2:] if path else (0.0, 0.0, False)
+        own = [] if e.own and frame(e) else e.own
         for x in own:
             if weights and not around[x]:
                 w = weights.get(x, 0.0)
                 weight += w
                 unlinked += w * (x != "a")
             around[x] += 1
-        path.append((i, own, weight, unlinked))
-        yield weight, unlinked, () if weights else tuple(x for p in path for x in p[1])
+        other |= not _CLEARLY_ELSE.isdisjoint(own)
+        path.append((i, own, weight, unlinked, other))
+        yield weight, unlinked, other, () if weights else tuple(x for p in path for x in p[1])
 
 
-def blocks(elements: list[_Element], found: list[Block], weights: Weights, rescue: bool = False) -> list[Block]:
-    """The blocks with their scores; ``rescue`` takes every element that holds half of the words for a frame."""
+def blocks(elements: list[_Element], found: list[Block], weights: Weights, way: str = "") -> list[Block]:
+    """The blocks with their scores.
+
+    ``rescue`` takes every element that holds half of the words for a frame;
+    ``rest`` asks only whether words stand in boxes that are clearly something else.
+    """
     half = elements[0].words / 2
 
     def frame(e: _Element) -> bool:
-        return e.words >= half and (e.leads or rescue and e.paragraphs >= 3 and not _TALK.intersection(e.own))
+        if e.name == "form" and e.leads:
+            return True
+        return e.words >= half and (e.leads or e.name == "form" or way == "rescue" and e.paragraphs >= 3 and not _TALK.intersection(e.own))
+
+    def score(weight: float, other: bool) -> float:
+        if way == "rest":
+            return -1.0 if other else 1.0
+        return min(weights.base + weight, -1.0) if other else weights.base + weight
 
-    known = [(w, u) for w, u, _ in _known(elements, weights.element, frame)]
+    known = [(score(w, o), score(u, o)) for w, u, o, _ in _known(elements, weights.element, frame)]
     for b in found:
-        b.score = sum(n * (weights.base + known[e][0]) for e, n in b.runs) + sum(weights.tag.get(t, 0.0) for t in b.tags)
-        b.place = sum(n * (weights.base + known[e][1]) for e, n in b.runs)
+        b.score = sum(n * known[e][0] for e, n in b.runs) + sum(weights.tag.get(t, 0.0) for t in b.tags)
+        b.place = sum(n * known[e][1] for e, n in b.runs)
     return found
 
 
@@ -286,7 +315,7 @@ def fit(pages: tuple[str, ...] | None = None, steps: int = 3000, rate: float = 4
     rows, inside, outside = [], Counter(), Counter()
     for page in pages:
         elements, found = read(page)
-        known = [k for _, _, k in _known(elements, None, lambda e: False)]
+        known = [k for *_, k in _known(elements, None, lambda e: False)]
         for b in found:
             labels = [elements[e].label == "content" for e, _ in b.runs]
             rows += [(set(known[e]), y) for (e, _), y in zip(b.runs, labels)]
@@ -321,21 +350,28 @@ def _is_heading(elements: list[_Element], block: Block) -> bool:
     return any(len(x) == 2 and x[0] == "h" and x[1].isdigit() for x in (e.name, elements[e.parent].name))
 
 
+def _region(elements: list[_Element], found: list[Block], least: float) -> list[Block]:
+    """The blocks of the best region and of the sections that it lies in, without those inside that score negatively."""
+    start, end = best_region([max(least, b.score) for b in found])
+    while 0 < start < end and found[start - 1].place > 0 and _is_heading(elements, found[start - 1]):  # the text's own headings
+        start -= 1
+    chosen = set(range(start, end))
+    if sections := {found[i].section for i in chosen if found[i].score > 0} - {0}:
+        chosen |= {i for i, b in enumerate(found) if b.section in sections}
+    return [found[i] for i in sorted(chosen) if found[i].place > 0]
+
+
 def main_text(page: str, weights: Weights, least: float = -4.0) -> str:
     """``least`` bounds what one block can cost, so that an advert inside an article does not end it."""
     elements, found = read(page)
-    for rescue in (False, True):
-        blocks(elements, found, weights, rescue)
-        start, end = best_region([max(least, b.score) for b in found])
-        while 0 < start < end and found[start - 1].place > 0 and _is_heading(elements, found[start - 1]):  # the text's own headings
-            start -= 1
-        chosen = set(range(start, end))
-        if sections := {found[i].section for i in chosen if found[i].score > 0} - {0}:
-            chosen |= {i for i, b in enumerate(found) if b.section in sections}
-        texts = (" ".join(html.unescape("".join(found[i].parts)).split()) for i in sorted(chosen) if found[i].place > 0)
-        if text := "\n".join(x for x in texts if x):
-            return text
-    return ""
+    held = lambda chosen: sum(b.words for b in chosen)
+    best = _region(elements, blocks(elements, found, weights), least)
+    if 7 * held(best) < elements[0].words:
+        best = max(best, _region(elements, blocks(elements, found, weights, "rescue"), least), key=held)
+    if not best:
+        best = [b for b in blocks(elements, found, weights, "rest") if b.place > 0]
+    texts = (" ".join(html.unescape("".join(b.parts)).split()) for b in best)
+    return "\n".join(x for x in texts if x)
 
 
 def extract(pages: DataFrame, labelled: tuple[str, ...] | None = None) -> DataFrame:

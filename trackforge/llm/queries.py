@@ -71,8 +71,8 @@ WITH parts AS (
   FROM pages),
 cleaned AS (
   SELECT page_id, url, list_filter(list_transform(blocks, lambda x:
-    trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
-      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
+      '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;?', '''', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
   FROM parts)
 SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, length(array_to_string(blocks, chr(10))) AS n_chars FROM cleaned
 """
