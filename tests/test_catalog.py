@@ -162,3 +162,43 @@ def test_headline_plans_have_no_products_or_python(spark, sf_dir, name):
 def test_views_are_whole(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/part.parquet").count()
     assert catalog.view(spark, sf_dir, "recording").count() == n and catalog.view(spark, sf_dir, "track").count() == n
+
+
+def test_parts_of_any_depth_settle_in_order(spark):
+    """Against a plain recursion, for each depth; more than ten parts keep their order."""
+    from trackforge.functions.splitting import split_artists
+
+    r = random.Random(6)
+    known = {f"artist {c}": i for i, c in enumerate("abcdef")} | {"artist a & artist b": 50}
+    marks = [" feat. ", " & ", ", ", " vs. ", " x "]
+    strings = ["".join(f"artist {r.choice('abcdefgh')}{r.choice(marks)}" for _ in range(r.randrange(1, 6))) + "artist a" for _ in range(60)]
+    names = spark.createDataFrame(list(known.items()), "name string, artist_id long")
+    pool, todo = {}, set(strings)
+    while todo:
+        rows = spark.createDataFrame([(t,) for t in sorted(todo)], "t string").select("t", split_artists(F.col("t")).alias("h")).collect()
+        pool |= {x.t: [y.strip() for y in x.h] for x in rows}
+        todo = {y for x in rows if len(x.h) > 1 for y in (z.strip() for z in x.h)} - set(pool)
+
+    def walk(parts, depth, most):
+        if depth >= most:
+            return None
+        out = []
+        for i, p in enumerate(parts):
+            if p in known:
+                out.append(([i], p))
+                continue
+            below = walk(pool[p], depth + 1, most) if len(pool[p]) > 1 else None
+            if below is None:
+                return None
+            out += [([i, *path], name) for path, name in below]
+        return out
+
+    asked = spark.createDataFrame(list(enumerate(strings)), "ask_id long, artist string")
+    for most in (1, 2, 3, 5):
+        found = {}
+        for row in collaboration.hierarchical(collaboration.first_parts(asked), names, most).collect():
+            found.setdefault(row.ask_id, []).append((row.path, row.name))
+        want = {i: w for i, t in enumerate(strings) if len(pool[t]) > 1 and (w := walk(pool[t], 0, most))}
+        assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
+    many = spark.createDataFrame([(1, [i], f"artist {'abcdef'[i % 6]}") for i in range(14)], "ask_id long, path array<int>, name string")
+    assert [x.path for x in collaboration.hierarchical(many, names).collect()] == [[i] for i in range(14)]

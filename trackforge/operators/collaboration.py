@@ -1,59 +1,73 @@
 """Resolving strings that name several artists.
 
-The recursion is three levels deep and unrolled: each level is one join of its
-parts with the names, and what is not found is split and passed on.
+A string is split into parts, a part into halves, and these again, to a depth
+that is a parameter.  How a string splits does not depend on what is known of its
+parts, so all parts are made first, by projections without a shuffle; then one
+join looks up all of them, and per string a part counts if no part around it is
+found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackforge.functions.splitting import split_artists
 from trackforge.functions.text import strip
 from trackforge.operators.artists import lookup_artists
 from trackforge.operators.common import materialized
 
+MAX_DEPTH = 3
 
-LEVELS = 3
 
-def _levels(parts: DataFrame, found_in) -> tuple[DataFrame, DataFrame]:
-    """(resolved parts, parts that stay unresolved) from ask_id, path, name; found_in joins names with what is known of them."""
-    resolved, lost = None, None
-    level = parts.withColumn("name", strip(F.col("name")))
-    for depth in range(LEVELS):
-        known = materialized(found_in(level))
-        hit, miss = known.filter("artist_id IS NOT NULL"), known.filter("artist_id IS NULL")
-        halves = materialized(miss.withColumn("halves", split_artists(F.col("name"))))
-        splits = (F.size("halves") > 1) & F.lit(depth + 1 < LEVELS)
-        gone = halves.filter(~F.coalesce(splits, F.lit(False))).select("ask_id", "path", "name")
-        resolved = hit if resolved is None else resolved.unionByName(hit)
-        lost = gone if lost is None else lost.unionByName(gone)
-        level = halves.filter(splits).select("ask_id", "path", F.posexplode("halves").alias("i", "half")).select("ask_id", F.concat("path", F.lit("."), "i").alias("path"), strip(F.col("half")).alias("name"))
-    return resolved, lost
+def first_parts(asked: DataFrame) -> DataFrame:
+    """ask_id, path, name of the parts of each asked (ask_id, artist) that splits; a path is the place on each level."""
+    halves = materialized(asked.select("ask_id", split_artists(F.col("artist")).alias("halves"))).filter(F.size("halves") > 1)
+    return halves.select("ask_id", F.posexplode("halves").alias("i", "name")).select("ask_id", F.array("i").alias("path"), "name")
 
 
-def first_parts(asked: DataFrame) -> DataFrame:
-    """ask_id, path, name of the parts of each asked (ask_id, artist) that splits."""
-    halves = asked.select("ask_id", split_artists(F.col("artist")).alias("halves")).filter(F.size("halves") > 1)
-    return halves.select("ask_id", F.posexplode("halves").alias("i", "name")).select("ask_id", F.col("i").cast("string").alias("path"), "name")
+def all_parts(parts: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """ask_id, path, name, splits of the parts and of all that they split into; ``splits`` is false on the last level."""
+    level, out = parts.select("ask_id", "path", strip(F.col("name")).alias("name")), None
+    for depth in range(max_depth):
+        halves = materialized(level.withColumn("halves", split_artists(F.col("name"))))
+        splits = F.coalesce(F.size("halves") > 1, F.lit(False)) & F.lit(depth + 1 < max_depth)
+        nodes = halves.select("ask_id", "path", "name", splits.alias("splits"))
+        out = nodes if out is None else out.unionByName(nodes)
+        level = halves.filter(splits).select("ask_id", "path", F.posexplode("halves").alias("i", "half")).select("ask_id", F.concat("path", F.array("i")).alias("path"), strip(F.col("half")).alias("name"))
+    return level.select("ask_id", "path", "name", F.lit(False).alias("splits")).limit(0) if out is None else out
 
 
-def hierarchical(parts: DataFrame, names: DataFrame) -> DataFrame:
-    """ask_id, path, name, artist_id where every part is found at some level (all or nothing); names: name, artist_id."""
-    resolved, lost = _levels(parts, lambda level: level.join(names, "name", "left").select("ask_id", "path", "name", "artist_id"))
-    return resolved.join(lost.select("ask_id").distinct(), "ask_id", "left_anti")
+def _settled(known: DataFrame, *more: str) -> DataFrame:
+    """ask_id, found, lost of all parts with artist_id (null: not found): the parts that count in the order of their paths, and how many are found at no level.
 
+    A string has at most 2 ** max_depth parts for each of its first ones.
+    """
+    part = F.struct("path", "name", "artist_id", *more, "splits")
+    trees = known.groupBy("ask_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
 
-def hierarchical_with_recordings(parts: DataFrame, songs: DataFrame, artists: DataFrame, recordings: DataFrame, credits: DataFrame) -> DataFrame:
-    """ask_id, path, name, artist_id, rec_ids of the parts that are found with a recording of the song; the others are left out."""
+    def covered(x: Column) -> Column:
+        around = lambda y: (F.size(y["path"]) < F.size(x["path"])) & (F.slice(x["path"], F.lit(1), F.size(y["path"])) == y["path"])
+        return F.exists("parts", lambda y: y["artist_id"].isNotNull() & around(y))
 
-    def found_in(level: DataFrame) -> DataFrame:
-        keyed = level.join(songs, "ask_id").withColumn("part", F.struct("ask_id", "path"))
-        hits = lookup_artists(keyed.select(F.col("part").alias("ask_id"), "name", "song"), artists, recordings, credits, always_validate=True)
-        hits = hits.select(F.col("ask_id").alias("part"), "artist_id", "rec_ids")
-        return keyed.join(hits, "part", "left").select("ask_id", "path", "name", "artist_id", "rec_ids")
+    found = F.filter("parts", lambda x: x["artist_id"].isNotNull() & ~covered(x))
+    lost = F.filter("parts", lambda x: x["artist_id"].isNull() & ~x["splits"] & ~covered(x))
+    return trees.select("ask_id", found.alias("found"), F.size(lost).alias("lost"))
 
-    return _levels(parts, found_in)[0]
+
+def hierarchical(parts: DataFrame, names: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """ask_id, path, name, artist_id where every part is found at some level (all or nothing); names: name, artist_id."""
+    known = all_parts(parts, max_depth).join(names, "name", "left")
+    whole = _settled(known).filter("lost = 0")
+    return whole.select("ask_id", F.explode("found").alias("p")).select("ask_id", "p.path", "p.name", "p.artist_id")
+
+
+def hierarchical_with_recordings(parts: DataFrame, songs: DataFrame, artists: DataFrame, recordings: DataFrame, credits: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """ask_id, path, name, artist_id, rec_ids of the parts that are found with a recording of the song; the others are left out."""
+    nodes = materialized(all_parts(parts, max_depth).join(songs, "ask_id").withColumn("part", F.struct("ask_id", "path")))
+    hits = lookup_artists(nodes.select(F.col("part").alias("ask_id"), "name", "song"), artists, recordings, credits, always_validate=True)
+    known = nodes.join(hits.select(F.col("ask_id").alias("part"), "artist_id", "rec_ids"), "part", "left")
+    found = _settled(known.select("ask_id", "path", "name", "artist_id", "rec_ids", "splits"), "rec_ids")
+    return found.select("ask_id", F.explode("found").alias("p")).select("ask_id", "p.path", "p.name", "p.artist_id", "p.rec_ids")
 
 
 def quorum(lookups: DataFrame, credits: DataFrame, artists: DataFrame) -> DataFrame:

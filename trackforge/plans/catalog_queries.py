@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackforge.functions import matching, nested
 from trackforge.functions.text import plain
@@ -668,15 +668,20 @@ def _collaborations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return asked, names
 
 
+def _dotted(path: str) -> Column:
+    return F.array_join(F.transform(path, lambda x: x.cast("string")), ".")
+
+
 def hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked, names = _collaborations(spark, sf_dir)
-    return collaboration.hierarchical(collaboration.first_parts(asked), names)
+    found = collaboration.hierarchical(collaboration.first_parts(asked), names)
+    return found.withColumn("path", _dotted("path"))
 
 
 def hierarchical_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked, _ = _collaborations(spark, sf_dir)
     found = collaboration.hierarchical_with_recordings(collaboration.first_parts(asked), asked.select("ask_id", "song"), *_views(spark, sf_dir, "artist", "recording", "credit"))
-    return found.select("ask_id", "path", "name", "artist_id", F.array_join(F.transform("rec_ids", lambda x: x.cast("string")), "|").alias("rec_ids"))
+    return found.select("ask_id", _dotted("path").alias("path"), "name", "artist_id", F.array_join(F.transform("rec_ids", lambda x: x.cast("string")), "|").alias("rec_ids"))
 
 
 def quorum(spark: SparkSession, sf_dir: str) -> DataFrame:
