@@ -1,4 +1,4 @@
-"""The resolution cascade: ever looser searches, each for what the ones before have left over."""
+"""The resolution cascade: ever looser searches, of which the first that gives a choice counts."""
 
 from __future__ import annotations
 
@@ -33,46 +33,55 @@ class Catalog:
         self.by_artist_id = materialized(self.titles.join(credits.select("rec_id", "artist_id"), "rec_id"))
 
 
-def _choose(c: Catalog, hits: DataFrame, check_artist: bool, allow: Column) -> DataFrame:
-    """ask_id, slot, rec_id from hits (ask_id, slot, rec_id, place, title, artist, album, year)."""
+_TRY = ["ask_id", "slot", "rec_id", "place", "title", "artist", "album", "year", "checked", "loose"]
+_STEP = 100_000  # slots of one step
+
+
+def _choose(c: Catalog, tries: DataFrame) -> DataFrame:
+    """ask_id, slot, rec_id of the choice in every slot of the tries (columns ``_TRY``).
+
+    checked: the credits must fit the artist; loose: compilations and live
+    releases count too.  What a recording's releases add up to is worked out once
+    for a request with its album and once without, whatever the slots.
+    """
     keys = ["ask_id", "slot", "rec_id"]
-    hits = hits.withColumnRenamed("title", "asked").join(c.recordings, "rec_id")
-    if check_artist:
-        hits = hits.filter(credits_match(F.col("artist"), F.col("names"), F.col("first_join")))
-    summary = release_summary(hits, c.releases, keys)
+    hits = tries.withColumnRenamed("title", "asked").join(c.recordings, "rec_id")
+    hits = materialized(hits.filter(~F.col("checked") | credits_match(F.col("artist"), F.col("names"), F.col("first_join"))).withColumn("with_album", F.coalesce("album", F.lit("")) != ""))
+    pairs = ["ask_id", "rec_id", "with_album"]
+    summary = release_summary(hits.select(*pairs, "album", "year").dropDuplicates(pairs), c.releases, pairs)
     own = recording_points(
         F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.coalesce(F.size("names"), F.lit(0)), F.col("length"), F.col("disambiguation"), F.col("first_date")
     )
-    ready = hits.join(summary, keys).select(
+    ready = hits.join(summary, pairs).select(
         *keys, "asked", "title", "place", (own + F.col("release_points")).alias("score"), dates.days_before_2100(F.col("first_date")).alias("days"), F.col("isrc").isNotNull().alias("has_isrc"),
-        F.when(allow, F.col("any_ok")).otherwise(F.col("plain_ok")).alias("qualifies"), "various",
+        F.when(F.col("loose"), F.col("any_ok")).otherwise(F.col("plain_ok")).alias("qualifies"), "various",
     )
     return select_recordings(ready, ["ask_id", "slot"])
 
 
-def _first(chosen: DataFrame) -> DataFrame:
-    return chosen.groupBy("ask_id").agg(F.min_by("rec_id", "slot").alias("rec_id"))
-
-
 def _on_album(c: Catalog, hits: DataFrame) -> DataFrame:
     """Hits (with album) of recordings that are on a release of that name."""
     return hits.withColumn("album_key", plain(F.col("album"))).join(c.albums, ["rec_id", "album_key"], "left_semi").drop("album_key")
 
 
+def _without_album(hits: DataFrame) -> DataFrame:
+    return hits.withColumn("album", F.lit(None).cast("string"))
+
+
 def by_name(c: Catalog, asked: DataFrame) -> DataFrame:
-    """Searches by the artist's variations: on the album, without it, and with compilations and live releases."""
+    """Tries of the artist's variations: on the album, without it, and with compilations and live releases."""
     each = asked.select("*", plain(F.col("title")).alias("title_key"), F.posexplode(artist_variations(F.col("artist"))).alias("ord", "variation"))
     hits = each.withColumn("artist_key", plain(F.col("variation"))).join(c.by_artist, ["title_key", "artist_key"]).drop("title_key", "artist_key", "variation")
-    strict = _on_album(c, hits.filter("album <> ''"))
-    every = [strict.withColumn("round", F.lit(1)), *(hits.withColumn("round", F.lit(r)).withColumn("album", F.lit(None).cast("string")) for r in (2, 3))]
-    rows = every[0].unionByName(every[1]).unionByName(every[2]).withColumn("slot", F.col("round") * 1000 + F.col("ord"))
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("ask_id", "slot").orderBy("rec_id"))).filter(F.col("place") <= SEARCH_CAP)
-    return _first(_choose(c, rows, True, F.col("slot") >= 3000))
+    placed = lambda df: df.withColumn("place", F.row_number().over(Window.partitionBy("ask_id", "ord").orderBy("rec_id"))).filter(F.col("place") <= SEARCH_CAP)
+    strict = placed(_on_album(c, hits.filter("album <> ''"))).withColumn("round", F.lit(1))
+    every = placed(_without_album(hits)).withColumn("round", F.explode(F.array(F.lit(2), F.lit(3))))
+    rows = strict.unionByName(every).withColumn("slot", F.col("round") * 1000 + F.col("ord"))
+    return rows.withColumn("checked", F.lit(True)).withColumn("loose", F.col("round") == 3).select(*_TRY)
 
 
 def _by_ids(c: Catalog, pairs: DataFrame, ceiling: bool) -> DataFrame:
-    """Choice among pairs (ask_id, rec_id, with the request), on the album first."""
-    tries = _on_album(c, pairs.filter("album <> ''")).withColumn("slot", F.lit(0)).unionByName(pairs.withColumn("album", F.lit(None).cast("string")).withColumn("slot", F.lit(1)))
+    """Tries of pairs (ask_id, rec_id, with the request), on the album first."""
+    tries = _on_album(c, pairs.filter("album <> ''")).withColumn("slot", F.lit(0)).unionByName(_without_album(pairs).withColumn("slot", F.lit(1)))
     search = Window.partitionBy("ask_id", "slot")
     tries = tries.withColumn("n", F.count("*").over(search))
     if ceiling:  # too many for a choice: only those of about the year count, if it is known
@@ -80,22 +89,19 @@ def _by_ids(c: Catalog, pairs: DataFrame, ceiling: bool) -> DataFrame:
         near = F.coalesce(F.abs(born - F.when(F.col("year") != 0, F.col("year"))) <= 1, F.lit(False))
         tries = tries.join(c.recordings.select("rec_id", F.col("first_date").alias("born")), "rec_id").filter((F.col("n") <= AMBIGUOUS_ABOVE) | near).drop("born")
     tries = tries.drop("n").withColumn("place", F.row_number().over(search.orderBy("rec_id"))).filter(F.col("place") <= 100)
-    return _first(_choose(c, tries, False, F.lit(False)))
+    return tries.withColumn("checked", F.lit(False)).withColumn("loose", F.lit(False)).select(*_TRY)
 
 
-def by_artist_ids(c: Catalog, asked: DataFrame) -> DataFrame:
-    """Searches by the ids under which the artist is filed."""
-    ids = find_artist_ids(asked.select("ask_id", "artist"), c.artists).select("ask_id", "artist_id")
-    hits = asked.withColumn("title_key", plain(F.col("title"))).join(ids, "ask_id").join(c.by_artist_id, ["title_key", "artist_id"]).drop("title_key", "artist_id").distinct()
+def by_artist_ids(c: Catalog, asked: DataFrame, ids: DataFrame) -> DataFrame:
+    """Tries of the ids (artist, artist_id) under which the artist is filed."""
+    hits = asked.withColumn("title_key", plain(F.col("title"))).join(ids, "artist").join(c.by_artist_id, ["title_key", "artist_id"]).drop("title_key", "artist_id").distinct()
     return _by_ids(c, hits, True)
 
 
-def by_every_artist(c: Catalog, asked: DataFrame) -> DataFrame:
-    """For comma-separated artists: recordings that credit one of the ids of each of them."""
-    listed = asked.filter(F.col("artist").contains(",")).select("ask_id", F.posexplode(comma_parts(F.col("artist"))).alias("group_no", "part"))
-    keyed = listed.withColumn("part_id", F.struct("ask_id", "group_no"))
-    ids = find_artist_ids(keyed.select(F.col("part_id").alias("ask_id"), F.col("part").alias("artist")), c.artists)
-    groups = keyed.join(ids.select(F.col("ask_id").alias("part_id"), "artist_id"), "part_id", "left").select("ask_id", "group_no", "artist_id")
+def by_every_artist(c: Catalog, asked: DataFrame, ids: DataFrame) -> DataFrame:
+    """For comma-separated artists: tries of recordings that credit one of the ids of each of them."""
+    listed = asked.filter(F.col("artist").contains(",")).select("ask_id", F.posexplode(comma_parts(F.col("artist"))).alias("group_no", "artist"))
+    groups = listed.join(ids, "artist", "left").select("ask_id", "group_no", "artist_id")
     unknown = groups.filter("artist_id IS NULL").select("ask_id").distinct()
     recs = by_group(groups.join(unknown, "ask_id", "left_anti"), c.credits)
     titled = recs.join(asked, "ask_id").withColumn("title_key", plain(F.col("title"))).join(c.titles, ["rec_id", "title_key"], "left_semi").drop("title_key")
@@ -103,20 +109,21 @@ def by_every_artist(c: Catalog, asked: DataFrame) -> DataFrame:
 
 
 def search(c: Catalog, asked: DataFrame) -> DataFrame:
-    """ask_id, rec_id, step for each asked (ask_id, title, artist, album, year) that is found."""
+    """ask_id, rec_id, step for each asked (ask_id, title, artist, album, year) that is found.
+
+    Steps: 0 ids of artists that are not ASCII, 1 names, 4 every one of several
+    artists, 5 ids.  The tries of all steps are made side by side, since none
+    depends on another; one choice per step and slot follows, and the first step
+    that has one counts.  Ids are found once for each string.
+    """
     asked = materialized(asked.filter("title <> '' AND artist <> ''").select("ask_id", "title", "artist", "album", "year"))
-    steps = (
-        (0, lambda left: by_artist_ids(c, left.filter(~is_ascii(F.col("artist"))))),
-        (1, lambda left: by_name(c, left)),
-        (4, lambda left: by_every_artist(c, left)),
-        (5, lambda left: by_artist_ids(c, left)),
-    )
-    found, left = None, asked
-    for step, look in steps:
-        hit = materialized(look(left).withColumn("step", F.lit(step)))
-        found = hit if found is None else found.unionByName(hit)
-        left = materialized(left.join(hit.select("ask_id"), "ask_id", "left_anti"))
-    return found
+    strings = asked.select("artist").unionByName(asked.filter(F.col("artist").contains(",")).select(F.explode(comma_parts(F.col("artist"))).alias("artist"))).distinct()
+    ids = materialized(find_artist_ids(strings.select(F.col("artist").alias("ask_id"), "artist"), c.artists).select(F.col("ask_id").alias("artist"), "artist_id"))
+    at = lambda tries, step: tries.withColumn("slot", (F.col("slot") + step * _STEP).cast("long"))
+    first = F.when(~is_ascii(F.col("artist")), F.lit(0)).otherwise(F.lit(5))
+    tries = at(by_artist_ids(c, asked, ids), first).unionByName(at(by_name(c, asked), F.lit(1))).unionByName(at(by_every_artist(c, asked, ids), F.lit(4)))
+    chosen = _choose(c, materialized(tries)).groupBy("ask_id").agg(F.min(F.struct("slot", "rec_id")).alias("b"))
+    return materialized(chosen.select("ask_id", "b.rec_id", F.floor(F.col("b.slot") / _STEP).cast("int").alias("step")))
 
 
 def find_recordings(c: Catalog, asked: DataFrame) -> DataFrame:
