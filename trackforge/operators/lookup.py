@@ -28,10 +28,10 @@ def replaced_name(name: Column) -> Column:
     return out
 
 
-def title_index(recordings: DataFrame) -> DataFrame:
-    """rec_id, title_key: every key under which a recording's title is filed."""
+def title_index(recordings: DataFrame, *more: Column) -> DataFrame:
+    """rec_id, title_key and ``more``: every key under which a recording's title is filed."""
     forms = F.array(plain(F.col("title")), plain(version_base(F.col("title"))), plain(clean_title(F.col("title"))))
-    return recordings.select("rec_id", F.explode(F.array_distinct(F.filter(forms, lambda x: x.isNotNull()))).alias("title_key"))
+    return recordings.select("rec_id", F.explode(F.array_distinct(F.filter(forms, lambda x: x.isNotNull()))).alias("title_key"), *more)
 
 
 def artist_index(artists: DataFrame) -> DataFrame:
@@ -62,29 +62,34 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
     each group must be credited), album, strict and year.  Groups beat ids, ids
     beat the name; what is given must all hold.  Strict: some release is
     official, none a compilation or live; year: first out within a year of it.
+    album and strict need the releases.  Where a title is all that is asked for,
+    requests meet only the page of its key, however many recordings it has.
     """
     named_only = not {"artist_ids", "artist_id_groups"} & set(asked.columns)
     conditions = [c for c in ("album", "strict", "year") if c in asked.columns]
+    if {"album", "strict"} & set(conditions) and releases is None:
+        raise ValueError("album and strict need the releases")
     wanted = _with(asked, artist="string", artist_ids="array<bigint>", artist_id_groups="array<array<bigint>>").filter("title <> ''").withColumns(
         {"title_key": plain(F.col("title")), "artist_key": plain(F.col("artist")), "groups": F.filter("artist_id_groups", lambda g: F.size(g) > 0)}
     )
     mode = F.when(F.size("artist_id_groups") > 0, F.when(F.size("groups") > 0, "groups").otherwise("title")).when(F.size("artist_ids") > 0, "ids").when(F.col("artist") != "", "name").otherwise("title")
     wanted = wanted.withColumn("mode", mode)
-    titles, pair = title_index(recordings), ("ask_id", "title_key", "rec_id")
+    born = lead_year(F.col("first_date")) if "year" in conditions else F.lit(None).cast("int")
+    titles = title_index(recordings, plain(F.col("title")).alias("own_key"), born.alias("born")).withColumn("exact", F.coalesce(F.col("own_key") == F.col("title_key"), F.lit(False))).drop("own_key")
+    hit = ("ask_id", "rec_id", "exact", "born")
+    best = (F.desc("exact"), F.asc("rec_id"))
     by_artist = credits.select("rec_id", "artist_id").join(artist_index(artists), "artist_id").select("rec_id", "artist_key").distinct()
-    hits = wanted.filter("mode = 'name'").join(titles.join(by_artist, "rec_id"), ["title_key", "artist_key"]).select(*pair)
-    hits = hits.unionByName(wanted.filter("mode = 'title'").join(titles, "title_key").select(*pair))
+    hits = wanted.filter("mode = 'name'").join(titles.join(by_artist, "rec_id"), ["title_key", "artist_key"]).select(*hit)
     if not named_only:
         by_id = titles.join(credits.select("rec_id", "artist_id").distinct(), "rec_id")
         ids = wanted.filter("mode = 'ids'").select("ask_id", "title_key", F.explode(F.array_distinct("artist_ids")).alias("artist_id"))
-        hits = hits.unionByName(ids.join(by_id, ["title_key", "artist_id"]).select(*pair).distinct())
+        hits = hits.unionByName(ids.join(by_id, ["title_key", "artist_id"]).select(*hit).distinct())
         groups = wanted.filter("mode = 'groups'").select("ask_id", "title_key", F.size("groups").alias("n"), F.posexplode("groups").alias("g", "ids"))
-        met = groups.select("ask_id", "title_key", "n", "g", F.explode("ids").alias("artist_id")).join(by_id, ["title_key", "artist_id"]).groupBy(*pair, "n").agg(F.count_distinct("g").alias("met"))
-        hits = hits.unionByName(met.filter("met = n").select(*pair))
-    own = recordings.select("rec_id", plain(F.col("title")).alias("own_key"), *([lead_year(F.col("first_date")).alias("born")] if "year" in conditions else []))
-    hits = hits.join(own, "rec_id")
+        met = groups.select("ask_id", "title_key", "n", "g", F.explode("ids").alias("artist_id")).join(by_id, ["title_key", "artist_id"]).groupBy(*hit, "n").agg(F.count_distinct("g").alias("met"))
+        hits = hits.unionByName(met.filter("met = n").select(*hit))
+    by_title = wanted.filter("mode = 'title'").select("ask_id", "title_key")
     if conditions:
-        hits = hits.join(asked.select("ask_id", *conditions), "ask_id")
+        hits = hits.unionByName(by_title.join(titles, "title_key").select(*hit)).join(asked.select("ask_id", *conditions), "ask_id")
     if "album" in conditions:
         on_album = releases.select("rec_id", plain(F.col("title")).alias("album_key")).distinct()
         keyed = hits.withColumn("album_key", plain(F.col("album")))
@@ -96,9 +101,14 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
     if "year" in conditions:
         hits = hits.filter((F.coalesce("year", F.lit(0)) == 0) | F.coalesce(F.abs(F.col("born") - F.col("year")) <= 1, F.lit(False)))
     each = Window.partitionBy("ask_id")
-    rank = F.row_number().over(each.orderBy(F.desc(F.col("own_key") == F.col("title_key")), "rec_id"))
-    found = hits.select("ask_id", "rec_id", rank.alias("rank"), F.count("*").over(each).alias("total"))
-    return found.filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+    found = hits.select("ask_id", "rec_id", F.row_number().over(each.orderBy(*best)).alias("rank"), F.count("*").over(each).alias("total"))
+    found = found.filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+    if conditions:
+        return found
+    # a title alone: every key has its page and its count, whoever asks
+    page = titles.withColumn("rank", F.row_number().over(Window.partitionBy("title_key").orderBy(*best))).filter(F.col("rank") <= offset + limit).filter(F.col("rank") > offset)
+    totals = titles.groupBy("title_key").agg(F.count("*").alias("total"))
+    return found.unionByName(by_title.join(page, "title_key").join(totals, "title_key").select("ask_id", "rec_id", "rank", "total"))
 
 
 def get_by_id(asked: DataFrame, documents: DataFrame, key: str, fold: bool = True) -> DataFrame:
