@@ -200,3 +200,21 @@ def browse_releases(asked: DataFrame, releases: DataFrame, cap: int = BROWSE_CAP
     hits = asked.filter("rec_id IS NOT NULL").join(releases, "rec_id").filter(F.col("statuses").isNull() | F.array_contains("statuses", F.col("status")))
     found = hits.select("ask_id", "release_id", F.row_number().over(each.orderBy("release_id")).alias("pos"), F.count("*").over(each).alias("total"))
     return found.filter(F.col("pos") <= cap)
+
+
+def image_lists(asked: DataFrame, images: DataFrame) -> DataFrame:
+    """id, images of each asked id: structs of all columns of its images (id, image_id, ...) in the order of image_id.
+
+    An id without images, or that is null or unknown, has an empty list.  A list
+    gathers the images of one id, of which there are as many as a cover has pages.
+    """
+    rest = sorted(set(images.columns) - {"id", "image_id"})
+    item = F.struct("image_id", *rest)
+    listed = images.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.sort_array(F.collect_list(item)).alias("images"))
+    none = F.array().cast(listed.schema["images"].dataType)
+    return asked.join(listed, "id", "left").withColumn("images", F.coalesce("images", none))
+
+
+def front_image(images: Column) -> Column:
+    """The first approved image of a list that is marked as the front; null if there is none."""
+    return F.try_element_at(F.filter(images, lambda x: x["front"] & x["approved"]), F.lit(1))

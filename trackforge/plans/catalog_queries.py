@@ -471,20 +471,6 @@ hits AS (
 SELECT request_id AS ask_id, group_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY group_id) AS INTEGER) AS rank FROM hits QUALIFY rank <= 100"""
 
 
-def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image lists of releases, empty where there are none, and the path of the front image."""
-    albums = _albums(spark, sf_dir).select("release_id")
-    known = albums.filter("release_id % 3 = 0").withColumn("images", F.array(F.lit("front"), F.lit("back")))
-    listed = albums.join(known, "release_id", "left")
-    size = F.when(F.col("release_id") % 2 == 0, F.lit("1200"))
-    return listed.select("release_id", F.array_join(F.coalesce("images", F.array().cast("array<string>")), "|").alias("images"), documents.image_path(F.lit("release"), F.col("release_id").cast("string"), size).alias("path"))
-
-
-IMAGES_SQL = """
-SELECT release_id, CASE WHEN release_id % 3 = 0 THEN 'front|back' ELSE '' END AS images, '/release/' || release_id || '/front-' || CASE WHEN release_id % 2 = 0 THEN '1200' ELSE '500' END AS path
-FROM (SELECT DISTINCT release_id FROM track_release)"""
-
-
 def json_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = view(spark, sf_dir, "events")
     n = F.col("event_id")
@@ -701,7 +687,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         best_release, credit_string, genre_rank, primary_label, url_map, artist_match, recording_artist_match, variant_marker, score_recording, select_recording, resolve_isrc, search_artists,
-        search_recordings, search_recordings_by, paged_candidates, all_candidate_pages, get_by_id, get_artist, get_release, get_release_group, get_by_isrc, browse_releases, browse_all_releases, search_releases, search_releases_by, search_release_groups, images, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
+        search_recordings, search_recordings_by, paged_candidates, all_candidate_pages, get_by_id, get_artist, get_release, get_release_group, get_by_isrc, browse_releases, browse_all_releases, search_releases, search_releases_by, search_release_groups, json_guard, find_artist_ids, and_of_ors, lookup_artist, quorum_lookup,
         validate_recordings, names_by_ids, label_for_recording, tag_fallback, enrich, search_cascade, find_recording, hierarchical, hierarchical_partial, quorum, resolve_collab,
     )
 }
@@ -736,7 +722,6 @@ def sql() -> dict[str, str]:
         "browse_all_releases": with_views(BROWSE_ALL_SQL, "track_release"),
         "search_releases": with_views(SEARCH_RELEASES_SQL, *all_),
         "search_release_groups": with_views(GROUPS_SQL, *all_),
-        "images": with_views(IMAGES_SQL, "track_release"),
         "json_guard": JSON_SQL,
         "find_artist_ids": with_views(_find_sql(), *all_, "track"),
         "and_of_ors": with_views(AND_OF_ORS_SQL, *all_),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackforge.plans import cache_queries, cascade_sql, catalog_queries, collaboration_sql, phrase_queries, text_queries
+from trackforge.plans import cache_queries, cascade_sql, catalog_queries, collaboration_sql, document_queries, phrase_queries, text_queries
 
-_MODULES = (catalog_queries, text_queries, cache_queries, phrase_queries, collaboration_sql, cascade_sql)
+_MODULES = (catalog_queries, text_queries, cache_queries, phrase_queries, document_queries, collaboration_sql, cascade_sql)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

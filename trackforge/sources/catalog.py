@@ -63,6 +63,11 @@ VIEWS: dict[str, str] = {
         SELECT rec_id, CAST(1 AS INT) AS pos, second_id AS artist_id, '' AS joinphrase
         FROM (SELECT CAST(l_partkey AS BIGINT) AS rec_id, CAST(min(l_suppkey) AS BIGINT) AS first_id, CAST(max(l_suppkey) AS BIGINT) AS second_id FROM lineitem GROUP BY l_partkey) c
         WHERE rec_id % 4 = 0 AND first_id <> second_id""",
+    # images of releases: a release whose lines are all accepted has none
+    "image": """
+        SELECT release_id, image_id, flag = 'R' AS front, line_status = 'F' AS approved, CASE flag WHEN 'R' THEN 'Front' ELSE 'Back' END AS kind
+        FROM (SELECT CAST(l_orderkey AS BIGINT) AS release_id, CAST(l_linenumber AS BIGINT) AS image_id, max(l_returnflag) AS flag, max(l_linestatus) AS line_status
+          FROM lineitem WHERE l_returnflag <> 'A' GROUP BY l_orderkey, l_linenumber) l""",
     # recordings with their first release date
     "recording": """
         SELECT CAST(p_partkey AS BIGINT) AS rec_id,
@@ -81,7 +86,7 @@ VIEWS: dict[str, str] = {
         FROM part JOIN recording r ON r.rec_id = p_partkey JOIN credit c ON c.rec_id = p_partkey AND c.pos = 0 JOIN artist a ON a.artist_id = c.artist_id""",
 }
 NEEDS = {
-    "track": ("part",), "artist": ("supplier",), "track_release": ("lineitem", "orders", "part"), "credit": ("lineitem",),
+    "track": ("part",), "artist": ("supplier",), "track_release": ("lineitem", "orders", "part"), "credit": ("lineitem",), "image": ("lineitem",),
     "recording": ("part", "track_release"), "request": ("part", "recording", "credit", "artist"),
 }
 

@@ -36,6 +36,11 @@ def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*(F.col(f"`{f.name}`").cast(_underscored(f.dataType)).alias(f.name.replace("-", "_")) for f in kind.fields))
 
 
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """One row per JSON file, the whole document as the VARIANT ``doc`` (see ``functions.variants``); a file that is no JSON fails."""
+    return spark.read.format("json").option("singleVariantColumn", "doc").option("multiLine", True).option("mode", "FAILFAST").load(path)
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
