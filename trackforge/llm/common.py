@@ -31,6 +31,14 @@ def in_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores as it takes for no column of the frame to bear it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows as written to the shared folder; later reads do not compute them again."""
     shared_folder(df.sparkSession)

@@ -148,8 +148,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, broadcast_rows: in
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
-    """The documents that are not contaminated."""
+    """The documents that are not contaminated, with all their columns, whatever these are named; none without id or text is."""
     judged = decontaminate(documents, benchmark, broadcast_rows).filter("contaminated")
     gone = checkpointed(judged.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct())
     gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
-    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left_anti")
+    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["id"]) & (F.xxhash64(documents["text"]) == gone["hash"]), "left_anti")

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trackforge.llm.common import checkpointed, in_batches, mixed, span_hashes, utf8
+from trackforge.llm.common import checkpointed, fresh, in_batches, mixed, span_hashes, utf8
 from trackforge.llm.components import components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -393,11 +393,12 @@ def one_of_each(documents: DataFrame, broadcast_rows: int = 500_000, **options)
     first = checkpointed(texts.groupBy("root").agg(F.min(rank).alias("first")))
     judged = texts.join(first, "root").select("id", "hash", "n", (rank == F.col("first")).alias("stays"))
     gone = checkpointed(judged.filter("NOT stays OR n > 1"))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.xxhash64("text").eqNullSafe(F.col("hash"))
+    same = lambda other: documents["doc_id"].eqNullSafe(other["id"]) & F.xxhash64(documents["text"]).eqNullSafe(other["hash"])
     gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
-    kept = documents.join(gone, same, "left_anti")
+    kept = documents.join(gone, same(gone), "left_anti")
     repeated = gone.filter("stays")
     if repeated.isEmpty():
         return kept
-    once = documents.join(repeated, same, "left_semi").withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]).select(*documents.columns)
+    key = fresh(documents, "text_hash")
+    once = documents.join(repeated, same(repeated), "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
     return kept.unionByName(once)

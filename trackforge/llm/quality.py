@@ -117,6 +117,9 @@ def log_ratios(counts: DataFrame, bits: int, smoothing: float = 2.0) -> np.ndarr
     return (ratio - (p * ratio).sum()).astype(np.float32)
 
 
+#: Columns that ``resample`` adds, in place of any of these names.
+ADDED = ("log_weight", "toxic_evidence", "gumbel_key")
+
 #: Bits of the buckets in which telling n-grams are told apart.
 FINE_BITS = 31
 
@@ -151,7 +154,7 @@ def telling_ngrams(marked: DataFrame, loss: float, certain: float, smoothing: fl
 def score(documents: DataFrame, ratios: np.ndarray, shrink: int, telling: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Every row with its log_weight, not tempered yet, and its toxic_evidence; no shuffle."""
     bits = int(len(ratios)).bit_length() - 1
-    source = documents.drop("log_weight", "toxic_evidence", "gumbel_key")
+    source = documents.drop(*ADDED)
     model = source.sparkSession.sparkContext.broadcast((ratios, *telling))  # 2^21 ratios at most, and telling n-grams of the labelled sample
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
