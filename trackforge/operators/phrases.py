@@ -38,8 +38,10 @@ class PhraseIndex:
     """The index of values (key, field, text); fields and keys are plain columns, texts any."""
 
     def __init__(self, values: DataFrame) -> None:
-        worded = values.select("key", "field", plain(F.col("text")).alias("value")).filter("value IS NOT NULL").distinct().withColumn("words", F.split("value", " "))
-        worded = materialized(worded)
+        # equal texts are normalised once, and the plain form stands in one small plan
+        forms = materialized(values.select("text").distinct().select("text", plain(F.col("text")).alias("value")))
+        worded = values.join(forms.filter("value IS NOT NULL"), "text").select("key", "field", "value").distinct()
+        worded = materialized(worded.withColumn("words", F.split("value", " ")))
         holders = worded.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
         self.n_values = worded.count()
         self.weights = holders.select("word", F.length(F.bin(F.floor(F.lit(self.n_values) / F.col("n")).cast("long"))).alias("weight"))
@@ -54,21 +56,22 @@ class PhraseIndex:
         """
         given = F.filter("conditions", lambda c: F.coalesce(c["phrase"], F.lit("")) != "")
         norm = F.array_sort(F.array_distinct(F.transform(given, lambda c: F.struct(c["field"].alias("field"), plain(c["phrase"]).alias("phrase")))))
-        wanted = asked.select("ask_id", norm.alias("conditions")).filter((F.size("conditions") > 0) & F.forall("conditions", lambda c: c["phrase"].isNotNull()))
+        # written first: each later use of a plain form would repeat its whole expression in the plan
+        wanted = materialized(asked.select("ask_id", norm.alias("conditions"))).filter((F.size("conditions") > 0) & F.forall("conditions", lambda c: c["phrase"].isNotNull()))
         wanted = wanted.withColumn("request", F.to_json("conditions"))
         requests = wanted.groupBy("request").agg(F.any_value("conditions").alias("conditions"))
         each = materialized(requests.select("request", F.size("conditions").alias("n"), F.posexplode("conditions").alias("no", "c")).select("request", "n", "no", "c.field", "c.phrase"))
         worded = each.withColumn("words", F.split("phrase", " "))
         terms = worded.select("request", "no", "field", "phrase", "words", F.explode(_terms(F.col("words"))).alias("t")).select("request", "no", "field", "phrase", "words", "t.pos", "t.term")
         terms = terms.filter((F.size("words") == 1) | F.col("term").contains(" "))  # pairs tell more than their words
-        known = self.postings.join(terms.select("field", "term").distinct(), ["field", "term"], "left_semi")
+        known = materialized(self.postings.join(terms.select("field", "term").distinct(), ["field", "term"], "left_semi"))
         counts = known.groupBy("field", "term").agg(F.count("*").alias("places"))
         rarity = terms.join(counts, ["field", "term"], "left").withColumn("places", F.coalesce("places", F.lit(0).cast("long")))
         anchor = rarity.groupBy("request").agg(F.min(F.struct("places", "no", "pos", "field", "term", "phrase")).alias("a")).filter("a.places > 0")
         anchor = anchor.select("request", "a.no", F.col("a.pos").alias("offset"), "a.field", "a.term", "a.phrase")
         at = anchor.join(known, ["field", "term"]).filter(F.col("pos") >= F.col("offset"))
         there = F.array_join(F.slice(F.split("value", " "), F.col("pos") - F.col("offset") + 1, F.size(F.split("phrase", " "))), " ") == F.col("phrase")
-        candidates = at.filter(there).select("request", "key").distinct()
+        candidates = materialized(at.filter(there).select("request", "key").distinct())
         weights = self.weights.withColumnRenamed("weight", "w")
         covered = worded.select("request", "no", F.explode("words").alias("word")).join(weights, "word").groupBy("request", "no").agg(F.sum("w").alias("covers"))
         checks = candidates.join(each.join(covered, ["request", "no"]), "request").join(self.values, ["key", "field"])
