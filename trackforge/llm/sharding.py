@@ -12,13 +12,15 @@ overflows, not the rest.
 How many rows overflow where is worked out on the table of cells alone, whose
 size is fixed (``cells``): prefix sums and a running maximum give the same
 places as walking the ring with each overflowing row in turn.  The rows
-themselves are only ranked within their cell.
+themselves are only ranked within their cell: equal rows are counted first, a
+cell with many different rows is ranked in parts (by a hash of the row, about
+``cell_rows`` each) whose sums are added up, and the copies of a row are
+numbered ``chunk`` at a time.  So an id, or a lack of one, that holds a large
+part of all rows is spread over the tasks, be its rows equal or not.
 
 Defined results: a null text has no bytes; rows without an id share one place on
 the ring, as do rows that repeat an id; equal rows are interchangeable; an empty
-table gives an empty result; further columns are ignored.  Ranking puts the
-rows of one cell into one task, so one id must not hold a large part of all
-rows; equal texts may.
+table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -104,19 +106,45 @@ def plan(offered: DataFrame, n_shards: int) -> tuple[DataFrame, DataFrame]:
     return cells.select("cell", "shard", "keep", "base"), segments
 
 
-def shard(documents: DataFrame, n_shards: int = 24, n_nodes: int = 128) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
+def _ranked(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Different rows with ``first``, the number of rows in their cell before them, copies counted."""
+    parted = rows.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.col("parts")))  # 2^BITS rows
+    before = lambda w: F.coalesce(F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    sums = parted.groupBy("cell", "part").agg(F.sum("copies").alias("copies"))
+    sums = sums.select("cell", "part", before(Window.partitionBy("cell").orderBy("part")).alias("ahead"))
+    within = parted.withColumn("nth", before(Window.partitionBy("cell", "part").orderBy("position", "doc_id", "size", "text_crc32")))
+    return within.join(sums, ["cell", "part"]).select("cell", "doc_id", "size", "text_crc32", "copies", (F.col("ahead") + F.col("nth")).alias("first"))
+
+
+def _each(ranked: DataFrame, chunk: int) -> DataFrame:
+    """One row with its rank for every copy; a row of more than ``chunk`` copies is dealt over the tasks."""
+    step = F.lit(chunk).cast("long")
+    few = ranked.filter(F.col("copies") <= step).withColumn("from", F.lit(0).cast("long"))
+    many = ranked.filter(F.col("copies") > step).withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, step)))
+    many = many.repartition(int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "text_crc32", "from")
+    copy = F.explode(F.sequence("from", F.least(F.col("from") + step, F.col("copies")) - 1))
+    return few.unionByName(many).withColumn("copy", copy).select("cell", "doc_id", "size", "text_crc32", (F.col("first") + F.col("copy")).alias("rank"))
+
+
+def shard(documents: DataFrame, n_shards: int = 24, n_nodes: int = 128, cell_rows: int = 1 << 18, chunk: int = 1 << 16) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row.
+
+    ``cell_rows`` is how many different rows of a cell a task ranks, ``chunk``
+    how many copies of a row it numbers; both bound tasks, not results.
+    """
     spark = documents.sparkSession
-    position = F.xxhash64("doc_id")
-    counts = documents.select(_cell(position).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = documents.select(
+        F.xxhash64("doc_id").alias("position"), F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    rows = rows.groupBy("position", "doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
+    rows = checkpointed(rows.withColumn("cell", _cell(F.col("position"))))
+    counts = rows.groupBy("cell").agg(F.sum("copies").alias("n"), F.ceil(F.count("*") / cell_rows).alias("parts"))
     offered = ring(spark, n_shards, n_nodes).join(counts, "cell", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     offered = checkpointed(offered.coalesce(1))
     cells, segments = plan(offered, n_shards)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), position.alias("position"))
-    in_cell = Window.partitionBy("cell").orderBy("position", "doc_id", "size", "text_crc32")
-    ranked = rows.withColumn("cell", _cell(F.col("position"))).withColumn("rank", F.row_number().over(in_cell) - F.lit(1).cast("long"))
-    placed = ranked.join(F.broadcast(cells), "cell")  # 2^BITS rows
+    ranked = checkpointed(_ranked(rows, offered.filter("parts > 0").select("cell", "parts")))
+    placed = _each(ranked, chunk).join(F.broadcast(cells), "cell")  # 2^BITS rows
     moved = F.broadcast(segments.withColumnRenamed("cell", "from_cell"))  # two rows a cell at most
     beyond = F.col("rank") - F.col("keep")
     placed = placed.join(moved, (F.col("cell") == F.col("from_cell")) & (beyond >= 0) & (beyond >= F.col("low")) & (beyond < F.col("high")), "left")
