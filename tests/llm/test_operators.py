@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -442,6 +443,26 @@ def test_sharding_walks_the_ring(spark, no_docs):
     assert sharding.shard(no_docs).count() == 0
 
 
+def test_sharding_splits_hot_ids(spark):
+    """An id, or none, that holds many rows, equal ones too; how cells and copies are split changes neither loads nor places."""
+    hot = [(None, f"text {i % 90}", "en", "s", 1) for i in range(300)] + [(7, "same", "en", "s", 1)] * 250 + [(8, None, "en", "s", 1)] * 40
+    rows_ = hot + [(i, f"t{i}", "en", "s", 1) for i in range(100, 400)]
+    d = spark.createDataFrame(rows_, DOCS)
+    crc = lambda t: zlib.crc32((t or "").encode())
+    loads = []
+    for split in ({}, {"cell_rows": 7, "chunk": 5}, {"cell_rows": 1, "chunk": 1}):
+        found = sharding.shard(d, 6, 16, **split).toPandas()
+        key = lambda i, c: (-1 if pd.isna(i) else int(i), int(c))
+        assert sorted(key(i, c) for i, c in zip(found.doc_id, found.text_crc32)) == sorted((-1 if i is None else i, crc(t)) for i, t, *_ in rows_)
+        for _, g in found.groupby("shard"):
+            assert sorted(g.slot) == list(range(len(g)))
+        loads.append(found.groupby("shard").size().to_dict())
+        at = {key(i, c): s for i, c, s in zip(found.doc_id, found.text_crc32, found.shard) if i >= 100}
+        loads[-1]["single"] = at
+    assert max(loads[0][s] for s in range(6)) - min(loads[0][s] for s in range(6)) <= 1
+    assert loads[0] == loads[1] == loads[2]
+
+
 # ---- 7 top-k
 
 
@@ -502,6 +523,20 @@ def test_revisits_equal_brute_force(spark):
     assert warc.resolve(df.limit(0)).count() == 0
 
 
+def test_revisits_that_meet_nothing_are_spread(spark):
+    """Rows without URL, time, id or anything stay unresolved, each of them, and no key of theirs is shared."""
+    one = {"etag": "1"}
+    recs = [(None, None, None, "revisit", None)] * 300 + [(None, "http://a/x", None, "revisit", one)] * 50 + [(None, None, 9, "revisit", one)] * 50
+    recs += [(1, "http://a/x", 5, "response", one), (2, "http://A/x#y", 9, "revisit", one), (None, "http://a/x", 9, "revisit", one), (3, "http://a/none", 9, "revisit", one)]
+    df = spark.createDataFrame(recs, "record_id long, url string, ts long, type string, headers map<string,string>").repartition(3)
+    found = warc.resolve(df).groupBy("record_id", "url", "ts", "status", "response_id").count().collect()
+    want = {
+        (None, None, None, "no_response", None): 300, (None, "http://a/x", None, "no_response", None): 50, (None, None, 9, "no_response", None): 50,
+        (2, "http://A/x#y", 9, "resolved", 1): 1, (None, "http://a/x", 9, "resolved", 1): 1, (3, "http://a/none", 9, "no_response", None): 1,
+    }
+    assert {tuple(r)[:5]: r["count"] for r in found} == want
+
+
 def test_canonical_urls(spark):
     urls = {
         "HTTP://User@Example.COM.:80/A?b#c": "http://example.com/A?b", "https://a.b:443": "https://a.b/", "https://a.b:8443?x": "https://a.b:8443/?x", "http://[2001:DB8::1]/x": "http://[2001:db8::1]/x",

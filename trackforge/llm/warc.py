@@ -61,11 +61,13 @@ def resolve(records: DataFrame) -> DataFrame:
     empty = F.create_map().cast("map<string,string>")
     records = records.select("record_id", "url", "ts", "type", F.coalesce("headers", empty).alias("headers")).withColumn("key", canonical(F.col("url")))
     earlier = earlier_responses(records)
-    revisits = records.filter("type = 'revisit'")
-    matched = revisits.join(earlier, ["key", "ts"], "left")
+    # revisits that meet nothing have keys of their own in both joins, which spread them over the tasks
+    revisits = records.filter("type = 'revisit'").withColumn("alone", -1 - F.monotonically_increasing_id())
+    known = F.col("key").isNotNull() & F.col("ts").isNotNull()
+    revisits = revisits.withColumn("place", F.when(known, F.col("key")).otherwise(F.concat(F.lit(" "), F.col("alone"))))  # no URL begins with a blank
+    matched = revisits.join(earlier.withColumnRenamed("key", "place"), ["place", "ts"], "left")
     responses = records.filter("type = 'response' AND record_id IS NOT NULL").groupBy(F.col("record_id").alias("response_id")).agg(F.min(F.map_entries("headers")).alias("entries"))
-    # revisits without a response get keys of their own, which meet none and are spread over the tasks
-    spread = F.coalesce("response_id", -1 - F.pmod(F.xxhash64("record_id", "url", "ts"), F.lit(1 << 40)))
+    spread = F.coalesce("response_id", "alone")
     old = responses.select(F.col("response_id").alias("old_id"), F.map_from_entries("entries").alias("old"))
     matched = matched.withColumn("wanted", spread).join(old, (F.col("wanted") == F.col("old_id")) & F.col("response_id").isNotNull(), "left")
     same = lambda name: F.col("headers")[name] == F.col("old")[name]
