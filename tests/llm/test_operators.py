@@ -152,6 +152,14 @@ def test_a_few_toxic_words_tell_of_a_long_text(spark):
     kept = {x.doc_id for x in quality.resample(df, labels).collect()}
     assert sum(i in kept for i in range(900) if i % 6 == 0) <= 3 and sum(i not in kept for i in range(900) if i % 6) <= 3 and {2000, 2001} <= kept
 
+    # the filter holds however many are drawn, and the weight knows nothing of it
+    everything = quality.resample(df, labels, k=2000).collect()
+    assert sum(x.doc_id % 6 == 0 for x in everything if x.doc_id < 900) <= 3 and len(everything) >= 740
+    noise = {x.doc_id: x.g for x in df.select("doc_id", quality.gumbel(17).alias("g")).collect()}
+    told, scored = [x for x in everything if x.toxic_evidence > 0], [x.log_weight for x in everything if x.doc_id < 900]
+    assert np.allclose([x.gumbel_key - noise[x.doc_id] for x in everything], [x.log_weight for x in everything])
+    assert all(abs(x.log_weight - np.mean(scored)) < 8 * np.std(scored) for x in told)
+
     marked = df.filter("doc_id < 600").select("doc_id", "text", (F.col("doc_id") % 6 == 0).cast("int").alias("toxic"), (F.col("doc_id") % 2 == 0).alias("fits"))
     found = dict(zip(*(x.tolist() for x in quality.telling_ngrams(marked, 5.0, 24.0, 2.0))))
     a, n, A, B = {}, {}, 100, 200

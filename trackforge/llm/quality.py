@@ -21,12 +21,14 @@ units, beside a Gumbel noise that spreads by 1.3: among neighbours the draw
 decides.  ``k`` is how many documents are drawn; where it is not given, as many
 as score at least the cut that best separates the labelled documents.
 
-A few toxic words hardly move the mean of a long text, so a third model is set
-against the rest: n-grams that tell toxic text, in 2^31 buckets.  Telling is an
-n-gram of toxic labelled documents (of the half that fits) whose holders are
-toxic ``loss`` to one and whose excess is beyond chance (likelihood ratio test,
-``certain``).  Its log-ratio counts whole at each occurrence, however long the
-text: their sum, toxic_evidence, is taken off the weight ``sharpness`` times.
+A few toxic words hardly move the mean of a long text, so toxic documents are
+told apart by a filter of its own, before the draw and outside the weight:
+n-grams that tell toxic text, in 2^31 buckets.  Telling is an n-gram of toxic
+labelled documents (of the half that fits) whose holders are toxic ``loss`` to
+one and whose excess is beyond chance (likelihood ratio test, ``certain``).  Its
+log-ratio counts whole at each occurrence, however long the text: their sum is
+the column toxic_evidence.  Documents whose evidence is above the limit that
+best separates the toxic from the good ones of the other half are not drawn.
 Without toxic labels nothing is telling.
 
 Texts are tokenised twice (those of the labelled half three times), once to count and once to score; the scored rows are
@@ -231,7 +233,7 @@ def buckets_for(rows: int) -> int:
 def resample(
     documents: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = 20_000, smoothing: float = 2.0, sharpness: float = 4.0, shrink: int = 20, loss: float = 5.0, certain: float = 24.0, seed: int = 17
 ) -> DataFrame:
-    """The documents drawn, with log_weight and gumbel_key; ``loss`` is what a good document below the cut costs, a bad one above it costing 1."""
+    """The documents drawn, with log_weight, toxic_evidence and gumbel_key; ``loss`` is what a good document below the cut costs, a bad one above it costing 1."""
     bits = buckets_for(documents.count())
     text = documents.withColumn("text", F.col("text").cast("string"))
     labelled = F.broadcast(  # max_labelled rows at most
@@ -247,13 +249,15 @@ def resample(
     scored = written(score(text, ratios, shrink, telling_ngrams(marked, loss, certain, smoothing)))
     is_good = (F.max("quality") == 1) & (F.max("toxic") == 0)
     held = scored.select("doc_id", "log_weight", "toxic_evidence").join(labelled.filter("NOT fits"), "doc_id").groupBy("doc_id")
-    held = held.agg(is_good.alias("good"), F.min("log_weight").alias("log_weight"), F.max("toxic_evidence").alias("toxic_evidence")).toArrow()
+    held = held.agg(is_good.alias("good"), (F.max("toxic") > 0).alias("is_toxic"), F.min("log_weight").alias("log_weight"), F.max("toxic_evidence").alias("toxic_evidence")).toArrow()
     which, scores, evidence = held.column("good").to_numpy().astype(bool), held.column("log_weight").to_numpy(), held.column("toxic_evidence").to_numpy()
+    toxic = held.column("is_toxic").to_numpy().astype(bool)
+    allowed = -best_cut(-evidence[which], -evidence[toxic], loss)
     spread = float(scores[which].std()) if which.sum() > 1 else 0.0
     unit = spread / sharpness if spread > 0 else 1.0
-    scores = scores / unit - sharpness * evidence
-    weighed = scored.withColumn("log_weight", F.col("log_weight") / unit - sharpness * F.col("toxic_evidence")).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))
+    scores, stays = scores / unit, evidence <= allowed
+    weighed = scored.filter(F.col("toxic_evidence") <= allowed).withColumn("log_weight", F.col("log_weight") / unit).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))
     if k is None:
-        k = weighed.filter(F.col("log_weight") >= best_cut(scores[which], scores[~which], loss)).count()
+        k = weighed.filter(F.col("log_weight") >= best_cut(scores[which & stays], scores[~which & stays], loss)).count()
     least = kth_largest(weighed, "gumbel_key", k) if k else float("inf")
     return weighed if least is None else weighed.filter(F.col("gumbel_key") >= least)
