@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from trackforge.functions import matching, nested
 from trackforge.functions.text import plain
 from trackforge.operators import artists as who, collaboration, enrich as completing, lookup, ranking
+from trackforge.operators.common import materialized
 from trackforge.plans import cascade
 from trackforge.plans.text_queries import Query, s_norm, s_plain, s_points, s_tight, s_title_key, s_year, variations_sql
 from trackforge.sources import documents
@@ -168,11 +169,12 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = credits.filter("pos = 0").select(F.col("rec_id").alias("request_id"), "artist_id")
     by = credits.select("rec_id", "artist_id")
     asked = requests.select("request_id", F.col("title").alias("asked"), "album", "year", F.explode(F.array(plain(F.regexp_replace("title", "^03-", "")))).alias("title_key"))
-    return asked.join(own, "request_id").join(lookup.title_index(recordings), "title_key").join(by, ["rec_id", "artist_id"]).join(recordings, "rec_id")
+    filed = lookup.title_index(recordings).join(by, "rec_id")  # title and artist are one key: a frequent title alone joins nothing
+    return asked.join(own, "request_id").join(filed, ["title_key", "artist_id"]).join(recordings, "rec_id")
 
 
 def select_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits, releases = _candidates(spark, sf_dir), view(spark, sf_dir, "track_release")
+    hits, releases = materialized(_candidates(spark, sf_dir)), view(spark, sf_dir, "track_release")
     keys = ["request_id", "rec_id"]
     summary = ranking.release_summary(hits, releases, keys)
     own = ranking.recording_points(F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.lit(1), F.col("length"), F.col("disambiguation"), F.col("first_date"))
