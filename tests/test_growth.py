@@ -51,3 +51,24 @@ def test_candidates_of_a_frequent_title_join_on_the_artist_too(spark, one_title)
     n = spark.read.parquet(f"{one_title}/part.parquet").count()
     df = catalog_queries._candidates(spark, one_title)
     assert joined_rows(df) < n * n / 2  # the title alone joins more than half of n * n rows, title and artist a tenth of that
+
+
+def test_conditions_do_not_bring_back_all_recordings_of_a_title(spark):
+    n, limit = 400, 3
+    recordings = spark.range(n).select(F.col("id").alias("rec_id"), F.lit("Iris").alias("title"), F.concat(F.lit("19"), (50 + F.col("id") % 40).cast("string")).alias("first_date"))
+    releases = recordings.select("rec_id", F.concat(F.lit("Album "), (F.col("rec_id") % 100).cast("string")).alias("title"), F.when(F.col("rec_id") % 2 == 0, "Official").otherwise("Bootleg").alias("status"), F.lit("").alias("secondary_type"))
+    credits = recordings.select("rec_id", F.lit(0).alias("pos"), F.lit(1).cast("long").alias("artist_id"))
+    people = spark.createDataFrame([(1, "Goo", "Goo")], "artist_id long, name string, alias string")
+    k, m = F.col("id"), F.col("id") % 4
+    asked = spark.range(n).select(
+        k.alias("ask_id"), F.lit("iris").alias("title"), F.lit(None).cast("string").alias("artist"), F.when(m == 1, F.concat(F.lit("album "), (k % 100).cast("string"))).alias("album"), (m == 2).alias("strict"), F.when(m == 3, F.lit(1960)).alias("year")
+    )
+    df = lookup.search_recordings(asked, recordings, credits, people, limit=limit, releases=releases)
+    assert joined_rows(df) <= n * limit
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.ask_id, []).append((r["rank"], r.rec_id, r.total))
+    holds = {0: lambda i, a: True, 1: lambda i, a: i % 100 == a % 100, 2: lambda i, a: i % 2 == 0, 3: lambda i, a: 9 <= i % 40 <= 11}
+    for a in range(n):
+        mine = [i for i in range(n) if holds[a % 4](i, a)]
+        assert sorted(found[a]) == [(j + 1, i, len(mine)) for j, i in enumerate(mine[:limit])]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackforge.functions.dates import lead_year
 from trackforge.functions.text import clean_title, plain, valid_uuid, version_base
+from trackforge.operators.common import materialized
 
 # Names that are filed under another.
 REPLACED_NAMES = {'lil b "the based god"': "Lil B", 'lil b "the basedgod"': "Lil B"}
@@ -63,7 +64,8 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
     beat the name; what is given must all hold.  Strict: some release is
     official, none a compilation or live; year: first out within a year of it.
     album and strict need the releases.  Where a title is all that is asked for,
-    requests meet only the page of its key, however many recordings it has.
+    requests meet only the page of its key, however many recordings it has, and
+    titles under equal conditions are worked out once.
     """
     named_only = not {"artist_ids", "artist_id_groups"} & set(asked.columns)
     conditions = [c for c in ("album", "strict", "year") if c in asked.columns]
@@ -76,6 +78,7 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
     wanted = wanted.withColumn("mode", mode)
     born = lead_year(F.col("first_date")) if "year" in conditions else F.lit(None).cast("int")
     titles = title_index(recordings, plain(F.col("title")).alias("own_key"), born.alias("born")).withColumn("exact", F.coalesce(F.col("own_key") == F.col("title_key"), F.lit(False))).drop("own_key")
+    titles, wanted = materialized(titles), materialized(wanted)
     hit = ("ask_id", "rec_id", "exact", "born")
     best = (F.desc("exact"), F.asc("rec_id"))
     by_artist = credits.select("rec_id", "artist_id").join(artist_index(artists), "artist_id").select("rec_id", "artist_key").distinct()
@@ -87,28 +90,66 @@ def search_recordings(asked: DataFrame, recordings: DataFrame, credits: DataFram
         groups = wanted.filter("mode = 'groups'").select("ask_id", "title_key", F.size("groups").alias("n"), F.posexplode("groups").alias("g", "ids"))
         met = groups.select("ask_id", "title_key", "n", "g", F.explode("ids").alias("artist_id")).join(by_id, ["title_key", "artist_id"]).groupBy(*hit, "n").agg(F.count_distinct("g").alias("met"))
         hits = hits.unionByName(met.filter("met = n").select(*hit))
-    by_title = wanted.filter("mode = 'title'").select("ask_id", "title_key")
+    by_title = wanted.filter("mode = 'title'")
     if conditions:
-        hits = hits.unionByName(by_title.join(titles, "title_key").select(*hit)).join(asked.select("ask_id", *conditions), "ask_id")
+        hits = _held(hits.join(asked.select("ask_id", *conditions), "ask_id"), releases, conditions)
+        free = reduce(Column.__and__, [~_asks(c) for c in conditions])
+        narrowed, by_title = by_title.filter(~free), by_title.filter(free)
+    each = Window.partitionBy("ask_id")
+    found = hits.select("ask_id", "rec_id", F.row_number().over(each.orderBy(*best)).alias("rank"), F.count("*").over(each).alias("total"))
+    found = found.filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+
+    def paged(under: DataFrame, key: str) -> DataFrame:
+        """The page and the count of every key, whoever asks."""
+        page = under.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*best))).filter(F.col("rank") <= offset + limit).filter(F.col("rank") > offset)
+        return page.join(under.groupBy(key).agg(F.count("*").alias("total")), key).select(key, "rec_id", "rank", "total")
+
+    found = found.unionByName(by_title.select("ask_id", "title_key").join(paged(titles, "title_key"), "title_key").drop("title_key"))
+    if conditions:
+        narrowed = narrowed.select("ask_id", F.to_json(F.struct("title_key", *(F.when(_asks(c), F.col(c)).alias(c) for c in conditions))).alias("request"), "title_key", *conditions)
+        requests = narrowed.groupBy("request", "title_key").agg(*(F.any_value(c).alias(c) for c in conditions))
+        hits = materialized(_narrowed(requests, titles, releases, conditions))
+        found = found.unionByName(narrowed.select("ask_id", "request").join(paged(hits, "request"), "request").drop("request"))
+    return found
+
+
+def _asks(condition: str) -> Column:
+    """Whether a row makes that condition: a value that is empty, false or 0 makes none."""
+    none = {"album": F.lit(""), "strict": F.lit(False), "year": F.lit(0)}[condition]
+    return F.coalesce(condition, none) != none
+
+
+def _on_albums(releases: DataFrame) -> DataFrame:
+    return releases.select("rec_id", plain(F.col("title")).alias("album_key")).distinct()
+
+
+def _held(hits: DataFrame, releases: DataFrame | None, conditions: list[str]) -> DataFrame:
+    """The hits (rec_id, born and the conditions) that hold under their conditions."""
     if "album" in conditions:
-        on_album = releases.select("rec_id", plain(F.col("title")).alias("album_key")).distinct()
         keyed = hits.withColumn("album_key", plain(F.col("album")))
-        any_album = F.coalesce(F.col("album"), F.lit("")) == ""
-        hits = keyed.filter(any_album).unionByName(keyed.filter(~any_album).join(on_album, ["rec_id", "album_key"], "left_semi"))
+        hits = keyed.filter(~_asks("album")).unionByName(keyed.filter(_asks("album")).join(_on_albums(releases), ["rec_id", "album_key"], "left_semi")).drop("album_key")
     if "strict" in conditions:
         kinds = releases.groupBy("rec_id").agg(F.max(F.col("status") == "Official").alias("official"), F.max(F.col("secondary_type").isin("Compilation", "Live")).alias("other_kind"))
-        hits = hits.join(kinds, "rec_id", "left").filter(~F.coalesce("strict", F.lit(False)) | (F.coalesce("official", F.lit(False)) & ~F.coalesce("other_kind", F.lit(False))))
+        hits = hits.join(kinds, "rec_id", "left").filter(~_asks("strict") | (F.coalesce("official", F.lit(False)) & ~F.coalesce("other_kind", F.lit(False)))).drop("official", "other_kind")
     if "year" in conditions:
-        hits = hits.filter((F.coalesce("year", F.lit(0)) == 0) | F.coalesce(F.abs(F.col("born") - F.col("year")) <= 1, F.lit(False)))
-    each = Window.partitionBy("ask_id")
-    found = hits.select("ask_id", "rec_id", F.row_number().over(each.orderBy(*best)).alias("rank"), F.count("*").over(each).alias("total"))
-    found = found.filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
-    if conditions:
-        return found
-    # a title alone: every key has its page and its count, whoever asks
-    page = titles.withColumn("rank", F.row_number().over(Window.partitionBy("title_key").orderBy(*best))).filter(F.col("rank") <= offset + limit).filter(F.col("rank") > offset)
-    totals = titles.groupBy("title_key").agg(F.count("*").alias("total"))
-    return found.unionByName(by_title.join(page, "title_key").join(totals, "title_key").select("ask_id", "rec_id", "rank", "total"))
+        hits = hits.filter(~_asks("year") | F.coalesce(F.abs(F.col("born") - F.col("year")) <= 1, F.lit(False)))
+    return hits
+
+
+def _narrowed(requests: DataFrame, titles: DataFrame, releases: DataFrame | None, conditions: list[str]) -> DataFrame:
+    """request, rec_id, exact for requests (title_key and conditions): album and year are part of the join key, so a frequent title alone joins nothing."""
+    titles = titles.join(requests.select("title_key").distinct(), "title_key", "left_semi")
+    left, hits = requests, []
+    if "album" in conditions:
+        albums = titles.join(_on_albums(releases), "rec_id")
+        hits.append(left.filter(_asks("album")).withColumn("album_key", plain(F.col("album"))).join(albums, ["title_key", "album_key"]).drop("album_key"))
+        left = left.filter(~_asks("album"))
+    if "year" in conditions:
+        years = F.explode(F.array(*(F.col("year") + k for k in (-1, 0, 1)))).alias("born")
+        hits.append(left.filter(_asks("year")).select("*", years).join(titles, ["title_key", "born"]))
+        left = left.filter(~_asks("year"))
+    hits.append(left.join(titles, "title_key"))
+    return _held(reduce(DataFrame.unionByName, hits), releases, conditions).select("request", "rec_id", "exact")
 
 
 def get_by_id(asked: DataFrame, documents: DataFrame, key: str, fold: bool = True) -> DataFrame:
