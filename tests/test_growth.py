@@ -72,3 +72,14 @@ def test_conditions_do_not_bring_back_all_recordings_of_a_title(spark):
     for a in range(n):
         mine = [i for i in range(n) if holds[a % 4](i, a)]
         assert sorted(found[a]) == [(j + 1, i, len(mine)) for j, i in enumerate(mine[:limit])]
+
+
+def test_equal_release_searches_are_worked_out_once(spark):
+    n = 300
+    releases = spark.range(n).select(F.col("id").alias("release_id"), F.lit("Hits").alias("title"), F.lit(1).cast("long").alias("artist_id"), F.lit("x").alias("barcode"))
+    asked = spark.range(n).select(F.col("id").alias("ask_id"), F.lit("hits").alias("title"), F.lit(1).cast("long").alias("artist_id"))
+    df = lookup.search_releases(asked, releases, limit=2)
+    assert joined_rows(df) <= n and df.count() == 2 * n
+    groups = releases.select(F.col("release_id").alias("group_id"), "title", "artist_id", F.lit("Album").alias("kind"))
+    df = lookup.search_release_groups(asked, groups, limit=2)
+    assert joined_rows(df) <= n and df.count() == 2 * n

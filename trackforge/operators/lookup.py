@@ -186,9 +186,20 @@ def _first_of(entities: DataFrame, by: list[str], key: str, n: int) -> DataFrame
     return entities.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(key))).filter(F.col("place") <= n).drop("place")
 
 
-def _page(found: DataFrame, key: str, limit: int, offset: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("ask_id").orderBy(key))
-    return found.select("ask_id", key).distinct().withColumn("rank", rank).filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+def _once(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Asked rows (ask_id and conditions, one or more rows each) as (ask_id, request) and (request, conditions): equal requests are worked out once."""
+    conditions = [c for c in asked.columns if c != "ask_id"]
+    listed = asked.groupBy("ask_id").agg(F.array_sort(F.collect_set(F.struct(*conditions))).alias("rows"))
+    listed = materialized(listed.withColumn("request", F.to_json("rows")))
+    return listed.select("ask_id", "request"), materialized(listed.groupBy("request").agg(F.any_value("rows").alias("rows")).select("request", F.inline("rows")))
+
+
+def _page(asked: DataFrame, found: DataFrame, key: str, limit: int, offset: int) -> DataFrame:
+    """ask_id, key, rank: the page of every request (found: request, key) for those who asked; a list gathers one page."""
+    rank = F.row_number().over(Window.partitionBy("request").orderBy(key))
+    ranked = found.select("request", key).distinct().withColumn("rank", rank).filter((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+    pages = ranked.groupBy("request").agg(F.collect_list(F.struct(key, "rank")).alias("page"))
+    return asked.join(pages, "request").select("ask_id", F.inline("page"))
 
 
 def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, offset: int = 0, artists: DataFrame | None = None) -> DataFrame:
@@ -196,11 +207,15 @@ def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, of
 
     Asked: ask_id and any of title, artist, artist_id, group_id, barcode.  The
     conditions that are given decide the join key.  Requests for a title or an
-    artist alone meet only as many releases as they can return.
+    artist alone meet only as many releases as they can return.  Equal requests
+    are worked out once, and pages are joined with those who asked as lists.
     """
     asked = _named(_with(asked, title="string", artist="string", artist_id="bigint", group_id="bigint", barcode="string"), artists)
-    asked = asked.select("ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.col("group_id").alias("want_group"), F.col("barcode").alias("want_code"))
+    askers, asked = _once(asked.select(
+        "ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.col("group_id").alias("want_group"), F.col("barcode").alias("want_code")
+    ))
     r = _with(releases, group_id="bigint").select("release_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.col("group_id").alias("group"), F.col("barcode").alias("code")).distinct()
+    r = materialized(r)  # each kind of condition reads it
     coded, grouped, credited = _given("want_code"), F.col("want_group").isNotNull(), F.col("want_by").isNotNull()
     free = asked.filter(~coded & ~grouped)
     n = offset + limit
@@ -213,7 +228,7 @@ def search_releases(asked: DataFrame, releases: DataFrame, limit: int = PAGE, of
         free.filter(~F.col("titled") & credited).join(_first_of(r, ["by"], "release_id", n), F.col("want_by") == F.col("by")),
     ]
     met = (~F.col("titled") | (F.col("want_title") == F.col("title_key"))) & (~credited | (F.col("want_by") == F.col("by"))) & (~grouped | (F.col("want_group") == F.col("group")))
-    return _page(reduce(DataFrame.unionByName, hits).filter(met), "release_id", limit, offset)
+    return _page(askers, reduce(DataFrame.unionByName, hits).filter(met), "release_id", limit, offset)
 
 
 def search_release_groups(asked: DataFrame, groups: DataFrame, limit: int = PAGE, offset: int = 0, artists: DataFrame | None = None) -> DataFrame:
@@ -223,8 +238,8 @@ def search_release_groups(asked: DataFrame, groups: DataFrame, limit: int = PAGE
     type; a type alone is not enough.
     """
     asked = _named(_with(asked, title="string", artist="string", artist_id="bigint", type="string"), artists)
-    asked = asked.select("ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.when(_given("type"), F.lower("type")).alias("want_kind"))
-    g = groups.select("group_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.lower("kind").alias("kind_key")).distinct()
+    askers, asked = _once(asked.select("ask_id", plain(F.col("title")).alias("want_title"), _given("title").alias("titled"), F.col("artist_id").alias("want_by"), F.when(_given("type"), F.lower("type")).alias("want_kind")))
+    g = materialized(groups.select("group_id", plain(F.col("title")).alias("title_key"), F.col("artist_id").alias("by"), F.lower("kind").alias("kind_key")).distinct())
     credited, n = F.col("want_by").isNotNull(), offset + limit
     hits = [
         asked.filter(F.col("titled") & credited).join(g, (F.col("want_title") == F.col("title_key")) & (F.col("want_by") == F.col("by"))),
@@ -232,7 +247,7 @@ def search_release_groups(asked: DataFrame, groups: DataFrame, limit: int = PAGE
         asked.filter(~F.col("titled") & credited).join(_first_of(g, ["by", "kind_key"], "group_id", n), F.col("want_by") == F.col("by")),
     ]
     met = F.col("want_kind").isNull() | (F.col("want_kind") == F.col("kind_key"))
-    return _page(reduce(DataFrame.unionByName, hits).filter(met), "group_id", limit, offset)
+    return _page(askers, reduce(DataFrame.unionByName, hits).filter(met), "group_id", limit, offset)
 
 
 def browse_releases(asked: DataFrame, releases: DataFrame, cap: int = BROWSE_CAP) -> DataFrame:
