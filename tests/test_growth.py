@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from trackforge.functions.text import normalize_text
 from trackforge.operators import lookup
 from trackforge.plans import catalog_queries
 
@@ -83,3 +84,8 @@ def test_equal_release_searches_are_worked_out_once(spark):
     groups = releases.select(F.col("release_id").alias("group_id"), "title", "artist_id", F.lit("Album").alias("kind"))
     df = lookup.search_release_groups(asked, groups, limit=2)
     assert joined_rows(df) <= n and df.count() == 2 * n
+
+
+def test_plain_form_stands_once_in_the_plan(spark):
+    plan = spark.createDataFrame([("a",)], "t string").select(normalize_text(F.col("t")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"[\p{P}") == 1

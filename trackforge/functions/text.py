@@ -48,8 +48,8 @@ def strip(c: Column) -> Column:
 
 
 def filled(c: Column) -> Column:
-    """Null for an empty string; names its argument once."""
-    return F.nullif(c, F.lit(""))
+    """Null for an empty string; works its argument out once."""
+    return bound(c, lambda x: F.when(x != "", x))
 
 
 def straight_quotes(c: Column) -> Column:
@@ -102,16 +102,24 @@ def _spelt_out(c: Column) -> Column:
     return F.when(c.rlike(UNCOMMON) & c.rlike(pattern), F.array_join(parts, "")).otherwise(c)
 
 
-def plain(c: Column) -> Column:
-    """Lower case without accents, every run of punctuation, symbols and white space one space; null if nothing is left."""
-    lower = F.lower(c)
+def _bare(lower: Column) -> Column:
     bare = F.when(lower.rlike(r"[^\x00-\x7F]"), F.translate(_spelt_out(lower), *_accents())).otherwise(lower)
     bare = F.regexp_replace(bare, r"[\p{Mn}\p{Me}\p{Lm}\p{Sc}\p{Sk}\p{No}]", "")
-    return filled(F.trim(F.regexp_replace(bare, r"[\p{P}\p{Z}\p{So}\p{Sm}\p{Cc}\p{Cf}\p{Mc}]+", " ")))
+    return F.trim(F.regexp_replace(bare, r"[\p{P}\p{Z}\p{So}\p{Sm}\p{Cc}\p{Cf}\p{Mc}]+", " "))
+
+
+def plain(c: Column) -> Column:
+    """Lower case without accents, every run of punctuation, symbols and white space one space; null if nothing is left."""
+    return F.nullif(_bare(F.lower(c)), F.lit(""))
+
+
+def plain_once(c: Column) -> Column:
+    """``plain`` inside a lambda, where Spark works each repetition of an expression out anew."""
+    return filled(bound(F.lower(c), _bare))
 
 
 def normalize_text(c: Column) -> Column:
-    return bound(straight_quotes(latin_lookalikes(c)), lambda x: filled(F.coalesce(plain(x), x)))
+    return bound(bound(latin_lookalikes(c), straight_quotes), lambda x: filled(F.coalesce(plain_once(x), x)))
 
 
 def normalize(c: Column, sizecheck: int = 0, nospaces: bool = False) -> Column:
@@ -137,11 +145,11 @@ def _present(items: Column) -> Column:
 def _name_forms(lower: Column) -> Column:
     """Spellings under which a lower-case name may be filed, likeliest first."""
     heads = [filled(strip(F.regexp_replace(F.regexp_extract(lower, f"(?i){p}", 1), TRAILING_CONJUNCTION, ""))) for p in NAME_HEADS]
-    forms = lambda x: bound(plain(x), lambda p: F.array(x, latin_lookalikes(x), p, latin_lookalikes(p)))
+    forms = lambda x: bound(plain_once(x), lambda p: F.array(x, latin_lookalikes(x), p, latin_lookalikes(p)))
     whole = F.flatten(F.transform(_present(F.array(lower, *heads)), forms))
     left, right = strip(F.substring_index(lower, "/", 1)), strip(F.substring_index(lower, "/", -1))
     two = (F.size(F.split(lower, "/")) == 2) & (F.length(left) >= 3) & (F.length(right) >= 3) & ~left.endswith(" w")
-    sides = F.flatten(F.transform(F.array(left, right), lambda x: F.array(x, latin_lookalikes(x), plain(x))))
+    sides = F.flatten(F.transform(F.array(left, right), lambda x: F.array(x, latin_lookalikes(x), plain_once(x))))
     return F.concat(whole, F.when(two, sides).otherwise(F.array().cast("array<string>")))
 
 
