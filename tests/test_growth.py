@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackforge.functions.text import normalize_text
-from trackforge.operators import artists, lookup
+from trackforge.operators import artists, lookup, ranking
 from trackforge.plans import catalog_queries
 
 
@@ -96,3 +96,51 @@ def test_equal_artist_strings_are_looked_up_once(spark):
     asked = spark.range(300).select(F.col("id").alias("ask_id"), F.lit("Same").alias("artist"))
     df = artists.find_artist_ids(asked, people, best=2)
     assert joined_rows(df) <= 600 and df.count() == 600
+
+
+def test_candidates_of_a_division_are_held_against_all_groups_as_they_are_met(spark):
+    n = 200
+    credits = spark.range(n).select(F.col("id").alias("rec_id"), F.lit(1).cast("long").alias("artist_id")).unionByName(spark.range(n - 1, 2 * n).select(F.col("id").alias("rec_id"), F.lit(2).cast("long").alias("artist_id")))
+    who = F.explode(F.array(F.struct(F.lit(0).alias("g"), F.lit(1).cast("long").alias("a")), F.struct(F.lit(1).alias("g"), F.lit(2).cast("long").alias("a")), F.struct(F.lit(1).alias("g"), (F.col("id") + 1000).alias("a"))))
+    groups = spark.range(50).select(F.col("id").alias("ask_id"), who.alias("x")).select("ask_id", F.col("x.g").alias("group_no"), F.col("x.a").alias("artist_id"))
+    df = artists.by_group(groups, credits)
+    assert joined_rows(df) <= 4 * n  # every request meets all recordings of an artist: 50 * n rows, of which one fits
+    assert sorted(map(tuple, df.collect())) == [(i, n - 1) for i in range(50)]
+
+
+def test_releases_of_one_title_are_added_up_before_they_meet_requests(spark):
+    n, asks = 300, 40
+    k = F.col("id")
+    releases = spark.range(n).select(
+        F.lit(1).cast("long").alias("rec_id"), F.when(k % 2 == 0, "Iris").otherwise("Hits").alias("title"), (1990 + k % 10).cast("string").alias("date"), (k % 4 == 0).alias("various"),
+        F.lit("Album").alias("primary_type"), F.when(k % 4 == 2, "Live").otherwise("").alias("secondary_type"),
+    )
+    asked = spark.range(asks).select(k.alias("ask_id"), F.lit(1).cast("long").alias("rec_id"), F.when(k % 2 == 0, "iris").alias("album"), (1985 + k % 10).cast("int").alias("year"))
+    df = ranking.release_summary(asked, ranking.release_titles(releases), ["ask_id", "rec_id"])
+    assert joined_rows(df) <= 2 * asks
+    each = ranking.release_titles(releases).agg(F.sum("points"), F.sum("n_releases")).first()
+    assert each[1] == n
+    near = lambda d: 75 if d == 0 else 40 if d <= 1 else 20 if d <= 5 else 0
+    for r in df.collect():
+        year = 1985 + r.ask_id % 10
+        best = lambda parity: max(near(abs(1990 + i % 10 - year)) for i in range(n) if i % 2 == parity)
+        on = max(best(0) + 100, best(1)) if r.ask_id % 2 == 0 else max(best(0), best(1))
+        assert (r.release_points, r.bare_release_points) == (each[0] + on, each[0] + max(best(0), best(1)))
+        given = r.ask_id % 2 == 0  # of that album's releases the one half is by various artists, the other live
+        assert (r.plain_ok, r.any_ok, r.various) == (not given, True, True) and (r.bare_plain_ok, r.bare_any_ok, r.bare_various) == (True, True, True)
+
+
+def test_best_release_of_a_title_is_found_before_titles_are_compared(spark):
+    k = F.col("id")
+    releases = spark.range(64).select(
+        F.floor(k / 32).alias("rec_id"), F.when(k % 4 == 0, "Iris").when(k % 4 == 1, "Iris Volume 2").when(k % 4 == 2, "Dog & Cat").otherwise("dog and  cat").alias("title"), (1990 + k % 7).cast("string").alias("date"), F.lit("1990").alias("first_date"),
+        F.when(k % 3 == 0, "Album").when(k % 3 == 1, "Single").alias("primary_type"), F.when(k % 5 == 0, "Compilation").when(k % 5 < 4, "").alias("secondary_type"), F.when(k % 2 == 0, "Digipak").alias("packaging"),
+        F.when(k % 6 < 2, "Official").when(k % 6 < 4, "Bootleg").alias("status"), k.cast("int").alias("pos"),
+    )
+    hints = (F.when(F.col("rec_id") == 0, "DOG and cat"), F.when(F.col("rec_id") == 0, F.lit(1992)), F.lit("iris"))
+    alone = ranking.best_under_hints(releases.withColumn("key", F.col("pos")), *hints, key="key")  # every release by itself has its score
+    scores = {r.pos: (r.status == "Official", r.score10, -r.pos) for r in alone.collect()}
+    found = {r.rec_id: (r.pos, r.score10) for r in ranking.best_under_hints(releases, *hints).collect()}
+    for rec in (0, 1):
+        pos = max(range(32 * rec, 32 * rec + 32), key=scores.get)
+        assert found[rec] == (pos, scores[pos][1])

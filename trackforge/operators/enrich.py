@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackforge.functions.nested import genre_names
-from trackforge.operators.ranking import best_release, with_release_score10
+from trackforge.operators.ranking import best_under_hints
 
 
 def first_tags(*levels: Column) -> Column:
@@ -29,8 +29,7 @@ def enrich(recordings: DataFrame, hints: DataFrame, releases: DataFrame, credits
     genres: rec_id, genres (arrays of name and count); group_tags: group_id, group_tags.
     """
     hinted = releases.join(hints, "rec_id").join(recordings.select("rec_id", F.col("title").alias("recording_title")), "rec_id")
-    scored = with_release_score10(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
-    best = best_release(scored).select(
+    best = best_under_hints(hinted, F.col("wanted"), F.col("year"), F.col("recording_title")).select(
         "rec_id", F.col("title").alias("album"), "date", "release_id", "group_id", F.when(F.coalesce("label_type", F.lit("")) != "", F.col("label")).alias("label"), F.col("secondary_type").alias("kind")
     )
     named = credits.join(artists.select("artist_id", "name", "nation"), "artist_id")

@@ -34,25 +34,48 @@ def secondary_types(c: Column) -> Column:
     return F.when(c != "", F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
-def with_release_score10(releases: DataFrame, album: Column, year: Column, recording_title: Column) -> DataFrame:
-    """Adds score10, ten times the score of a release (columns title, date, first_date, primary_type, secondary_type, packaging) under hints.
-
-    The keys that are compared more than once are columns of their own first.
+def best_under_hints(releases: DataFrame, album: Column, year: Column, recording_title: Column, key: str = "rec_id") -> DataFrame:
+    """The best release of each key with score10, ten times its score under hints, as ``best_release`` would choose it.
+
+    Releases: columns title, date, first_date, primary_type, secondary_type,
+    packaging, pos, status and any that can be ordered.  Of the releases of one
+    title those of a kind (albums or not, compilations or not) differ in points
+    that need no look at texts, so the best of each kind is found first; what
+    the title is worth is then worked out once per key and title.
     """
-    keyed = releases.withColumns({"_key": title_key(F.col("title")), "_wanted": title_key(album), "_year": dates.year_of(F.col("date"))})
-    secondary = secondary_types(F.col("secondary_type"))
-    score = (
-        _match(F.col("_key"), F.col("_wanted"), 100, 50)
-        + stepped(F.abs(F.col("_year") - year), {0: 75, 1: 40, 5: 20})
+    secondary, born = secondary_types(F.col("secondary_type")), dates.year_of(F.col("date"))
+    hinted = releases.withColumns({"_album": album, "_asked_year": year, "_recording": recording_title, "_year": born})
+    points = (
+        stepped(F.abs(F.col("_year") - F.col("_asked_year")), {0: 75, 1: 40, 5: 20})
         + dates.release_group_points(F.col("primary_type"), secondary)
-        - F.when(dates.looks_like_compilation(F.col("title")) & ~F.array_contains(secondary, "Compilation"), 10).otherwise(0)
         - F.when(F.coalesce(F.col("_year") > dates.year_of(F.col("first_date")) + dates.REISSUE_AFTER_YEARS, F.lit(False)), 10).otherwise(0)
-        + F.when((F.col("primary_type") == "Album") & (normalize(recording_title) == normalize(F.col("title"))), 20).otherwise(0)
         + F.when(F.col("packaging").isin(*PHYSICAL), 5).when(F.col("packaging") == "None", 1).otherwise(0)
     )
-    unguided = (F.coalesce(album, F.lit("")) == "") & (F.coalesce(year, F.lit(0)) == 0)
-    total = (score * 10 + F.when(unguided, F.coalesce(2100 - F.col("_year"), F.lit(0))).otherwise(0)).cast("long")
-    return keyed.withColumn("score10", total).drop("_key", "_wanted", "_year")
+    unguided = (F.coalesce("_album", F.lit("")) == "") & (F.coalesce("_asked_year", F.lit(0)) == 0)
+    points = (points * 10 + F.when(unguided, F.coalesce(2100 - F.col("_year"), F.lit(0))).otherwise(0)).cast("long")
+    rest = [c for c in releases.columns if c not in (key, "title")]
+    order = (F.coalesce(F.col("status") == "Official", F.lit(False)).alias("official"), points.alias("points"), (-F.col("pos").cast("long")).alias("before"))
+    album_kind = F.coalesce(F.col("primary_type") == "Album", F.lit(False))
+    compiled = F.coalesce(F.array_contains(secondary, "Compilation"), F.lit(True))  # a null type is no reason to take points off
+    kinds = {f"_{a:d}{b:d}": (a, b) for a in (False, True) for b in (False, True)}
+    # columns of their own, which stand in the plan once however often they are named
+    hinted = hinted.withColumns({"_is_album": album_kind, "_is_compiled": compiled, "_ranked": F.struct(*order, F.struct(*rest).alias("rest"))})
+    firsts = [F.max(F.when((F.col("_is_album") == a) & (F.col("_is_compiled") == b), F.col("_ranked"))).alias(n) for n, (a, b) in kinds.items()]
+    titled = hinted.groupBy(key, "title", "_album", "_recording").agg(*firsts)
+    titled = titled.withColumns({"_key": title_key(F.col("title")), "_wanted": title_key(F.col("_album"))})
+    titled = titled.withColumns({
+        "_match": _match(F.col("_key"), F.col("_wanted"), 100, 50), "_collected": dates.looks_like_compilation(F.col("title")),
+        "_same": F.coalesce(normalize(F.col("_recording")) == normalize(F.col("title")), F.lit(False)),
+    })
+
+    def whole(name: str, is_album: bool, is_compiled: bool) -> Column:
+        found = F.col(name)
+        texts = F.col("_match") - (F.lit(0) if is_compiled else F.when(F.col("_collected"), 10).otherwise(0)) + (F.when(F.col("_same"), 20).otherwise(0) if is_album else F.lit(0))
+        score = (found["points"] + texts * 10).cast("long")
+        return F.when(found.isNotNull(), F.struct(found["official"].alias("official"), score.alias("score10"), found["before"].alias("before"), F.col("title"), found["rest"].alias("rest")))
+
+    best = titled.groupBy(key).agg(F.max(F.greatest(*(whole(n, a, b) for n, (a, b) in kinds.items()))).alias("best"))
+    return best.select(key, *(F.col("best.title") if c == "title" else F.col("best.rest")[c].alias(c) for c in releases.columns if c != key), F.col("best.score10").alias("score10"))
 
 
 def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -83,25 +106,40 @@ def recording_points(title: Column, year: Column, n_isrcs: Column, n_credits: Co
     )
 
 
-def release_summary(pairs: DataFrame, releases: DataFrame, keys: list[str]) -> DataFrame:
-    """For each pair of keys (with album, year and rec_id): what its recording's releases add up to, and which kinds qualify.
+def release_titles(releases: DataFrame) -> DataFrame:
+    """What the releases of a recording under one title add up to: a row for each rec_id and title.
 
-    plain_ok and any_ok: a release qualifies without, or also with,
-    compilations and live releases; various: one is by various artists.
+    date is the first, years are all years of theirs, plain and own tell whether
+    one is not by various artists (plain: nor a compilation or live).  None of
+    it depends on what is asked, and a title is normalised once, not per release.
     """
     secondary = secondary_types(F.col("secondary_type"))
     known = releases.select(
-        "rec_id", "various", normalize(F.col("title")).alias("release_key"), dates.year_of(F.col("date")).alias("released"),
-        (dates.release_group_points(F.col("primary_type"), secondary) + era_points(F.col("date"))).alias("points"),
+        "rec_id", "title", "date", "various", dates.year_of(F.col("date")).alias("released"), (dates.release_group_points(F.col("primary_type"), secondary) + era_points(F.col("date"))).alias("points"),
         dates.is_compilation_or_live(F.col("primary_type"), secondary).alias("other_kind"),
     )
-    r = pairs.select(*keys, normalize(F.col("album")).alias("wanted"), F.when(F.col("year") != 0, F.col("year")).alias("when")).join(known, "rec_id")
-    context = _match(F.col("release_key"), F.col("wanted"), 100, 50) + stepped(F.abs(F.col("released") - F.col("when")), {0: 75, 1: 40, 5: 20})
+    titled = known.groupBy("rec_id", "title").agg(
+        F.count("*").alias("n_releases"), F.min("date").alias("date"), F.collect_set("released").alias("years"), F.sum("points").alias("points"),
+        F.max(~F.col("various") & ~F.col("other_kind")).alias("plain"), F.max(~F.col("various")).alias("own"), F.max("various").alias("by_various"),
+    )
+    return titled.withColumn("release_key", normalize(F.col("title")))
+
+
+def release_summary(pairs: DataFrame, titles: DataFrame, keys: list[str]) -> DataFrame:
+    """For each pair of keys (with album, year and rec_id): what its recording's releases (``release_titles``) add up to, and which kinds qualify.
+
+    plain_ok and any_ok: a release qualifies without, or also with,
+    compilations and live releases; various: one is by various artists.  The
+    same with bare_ before it: as if no album had been asked for.
+    """
+    r = pairs.select(*keys, normalize(F.col("album")).alias("wanted"), F.when(F.col("year") != 0, F.col("year")).alias("when")).join(titles, "rec_id")
+    nearest = stepped(F.array_min(F.transform("years", lambda y: F.abs(y - F.col("when")))), {0: 75, 1: 40, 5: 20})
+    context = _match(F.col("release_key"), F.col("wanted"), 100, 50) + nearest
     on_album = F.col("wanted").isNull() | F.coalesce(F.col("wanted") == F.col("release_key"), F.lit(False))
-    own = on_album & ~F.col("various")
     return r.groupBy(*keys).agg(
-        (F.max(context) + F.sum("points")).alias("release_points"), F.max(own & ~F.col("other_kind")).alias("plain_ok"), F.max(own).alias("any_ok"), F.max(on_album & F.col("various")).alias("various")
-    )
+        (F.max(context) + F.sum("points")).alias("release_points"), F.max(on_album & F.col("plain")).alias("plain_ok"), F.max(on_album & F.col("own")).alias("any_ok"), F.max(on_album & F.col("by_various")).alias("various"),
+        (F.max(nearest) + F.sum("points")).alias("bare_release_points"), F.max("plain").alias("bare_plain_ok"), F.max("own").alias("bare_any_ok"), F.max("by_various").alias("bare_various"),
+    )
 
 
 def select_recordings(candidates: DataFrame, key: list[str]) -> DataFrame:
@@ -113,12 +151,21 @@ def select_recordings(candidates: DataFrame, key: list[str]) -> DataFrame:
     qualifies wins, unless it has no ISRC and an exact one with ISRC that does
     not qualify stands before it; else that one, else the first by various artists.
     """
-    exact = F.coalesce(normalize(F.col("asked"), nospaces=True) == normalize(F.col("title"), nospaces=True), F.lit(False))
-    c = candidates.withColumn("exact", exact)
+    return select_judged(candidates.withColumns(title_marks(F.col("asked"), F.col("title"))), key)
+
+
+def title_marks(asked: Column, title: Column) -> dict[str, Column]:
+    """exact: the titles are the same; versioned: the asked one names a version."""
+    exact = F.coalesce(normalize(asked, nospaces=True) == normalize(title, nospaces=True), F.lit(False))
+    return {"exact": exact, "versioned": F.coalesce(asked.rlike(VERSION_SUFFIX), F.lit(False))}
+
+
+def select_judged(c: DataFrame, key: list[str]) -> DataFrame:
+    """``select_recordings`` of candidates whose titles have been compared (``title_marks``)."""
     everyone = Window.partitionBy(*key)
     order = everyone.orderBy(F.desc("exact"), F.desc("score"), F.desc("days"), F.asc("place"))
     c = c.withColumn("rank", F.row_number().over(order)).withColumn("any_exact", F.max("exact").over(everyone))
-    c = c.filter(F.col("any_exact") | ~F.coalesce(F.col("asked").rlike(VERSION_SUFFIX), F.lit(False)))
+    c = c.filter(F.col("any_exact") | ~F.col("versioned"))
     first = lambda which: F.min(F.when(which, F.struct("rank", "rec_id", "has_isrc")))
     held = F.col("exact") & F.col("has_isrc") & ~F.col("qualifies")
     found = c.groupBy(*key).agg(first(F.col("qualifies")).alias("w"), first(held).alias("f"), first(F.col("various")).alias("v"))

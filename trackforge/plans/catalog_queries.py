@@ -24,8 +24,8 @@ def best_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     releases, recordings, requests = _views(spark, sf_dir, "track_release", "recording", "request")
     hints = requests.select(F.col("request_id").alias("rec_id"), F.col("album").alias("wanted"), "year")
     hinted = releases.join(hints, "rec_id").join(recordings.select("rec_id", F.col("title").alias("recording_title")), "rec_id")
-    scored = ranking.with_release_score10(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
-    return ranking.best_release(scored).select("rec_id", F.col("title").alias("album"), "release_id", "date", "score10")
+    best = ranking.best_under_hints(hinted, F.col("wanted"), F.col("year"), F.col("recording_title"))
+    return best.select("rec_id", F.col("title").alias("album"), "release_id", "date", "score10")
 
 
 def _step(x: str, *steps: tuple[int, int]) -> str:
@@ -135,17 +135,19 @@ def variant_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 VARIANT_SQL = r"""SELECT rec_id, regexp_matches(disambiguation, '\b(live|karaoke|acoustic|demo)\b') AS marked, disambiguation = 'live' AND regexp_matches(title, '(?i)\blive\b') AS shared FROM recording"""
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pairs(spark: SparkSession, sf_dir: str, titles: DataFrame) -> DataFrame:
     """Every recording with the request of its own id."""
-    recordings, requests = _views(spark, sf_dir, "recording", "request")
+    recordings, requests = view(spark, sf_dir, "recording", track_release=titles), view(spark, sf_dir, "request")
     return recordings.join(requests.select(F.col("request_id").alias("rec_id"), F.col("title").alias("asked"), "album", "year"), "rec_id")
 
 
 def score_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, releases, credits = _pairs(spark, sf_dir), *_views(spark, sf_dir, "track_release", "credit")
+    releases, credits = _views(spark, sf_dir, "track_release", "credit")
+    titles = materialized(ranking.release_titles(releases))  # the first dates of recordings are read from it too
+    pairs = _pairs(spark, sf_dir, titles)
     n = credits.groupBy("rec_id").agg(F.count("*").alias("n_credits"))
     own = ranking.recording_points(F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.col("n_credits"), F.col("length"), F.col("disambiguation"), F.col("first_date"))
-    summary = ranking.release_summary(pairs, releases, ["rec_id"])
+    summary = ranking.release_summary(pairs, titles, ["rec_id"])
     return pairs.join(n, "rec_id").join(summary, "rec_id").select("rec_id", (own + F.col("release_points")).cast("long").alias("score"))
 
 
@@ -176,7 +178,7 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def select_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits, releases = materialized(_candidates(spark, sf_dir)), view(spark, sf_dir, "track_release")
     keys = ["request_id", "rec_id"]
-    summary = ranking.release_summary(hits, releases, keys)
+    summary = ranking.release_summary(hits, ranking.release_titles(releases), keys)
     own = ranking.recording_points(F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.lit(1), F.col("length"), F.col("disambiguation"), F.col("first_date"))
     ready = hits.join(summary, keys).select(
         *keys, "asked", "title", F.col("rec_id").alias("place"), (own + F.col("release_points")).alias("score"), F.lit(0).alias("days"), F.col("isrc").isNotNull().alias("has_isrc"), F.col("plain_ok").alias("qualifies"), "various"
@@ -632,19 +634,23 @@ FROM recording r LEFT JOIN best b USING (rec_id) LEFT JOIN who USING (rec_id) LE
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> cascade.Catalog:
-    return cascade.Catalog(*_views(spark, sf_dir, "recording", "track_release", "credit", "artist"))
+    releases, credits, artists = _views(spark, sf_dir, "track_release", "credit", "artist")
+    titles, credits = materialized(ranking.release_titles(releases)), materialized(credits)
+    return cascade.Catalog(view(spark, sf_dir, "recording", track_release=titles), titles, credits, artists, titled=True)
 
 
-def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "request").withColumnRenamed("request_id", "ask_id")
+def _asked(spark: SparkSession, sf_dir: str, c: cascade.Catalog) -> DataFrame:
+    return view(spark, sf_dir, "request", recording=c.recordings, credit=c.credits).withColumnRenamed("request_id", "ask_id")
 
 
 def search_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cascade.search(_catalog(spark, sf_dir), _asked(spark, sf_dir))
+    c = _catalog(spark, sf_dir)
+    return cascade.search(c, _asked(spark, sf_dir, c))
 
 
 def find_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cascade.find_recordings(_catalog(spark, sf_dir), _asked(spark, sf_dir))
+    c = _catalog(spark, sf_dir)
+    return cascade.find_recordings(c, _asked(spark, sf_dir, c))
 
 
 def _collaborations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
