@@ -75,3 +75,22 @@ def test_no_product_and_pages_cut_before_the_join(spark):
     index = phrases.PhraseIndex(spark.createDataFrame([(i, "title", f"a b {i}") for i in range(50)], "key long, field string, text string"))
     plan = index.search(conditions(spark, [(1, [("title", "a b")])]), 5)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
+
+
+def test_values_are_worked_out_once_and_anchored_conditions_count(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    counted = F.udf(seen, "string").asNondeterministic()
+    assert phrases.PhraseIndex(spark.range(20).select(F.col("id").alias("key"), F.lit("title").alias("field"), counted(F.col("id").cast("string")).alias("text"))).n_values == 20
+    assert read.value == 20
+    index = phrases.PhraseIndex(spark.createDataFrame([(i, f, t) for i in range(30) for f, t in (("title", "hot ring"), ("title", f"hot ring {i}"), ("artist", f"act {i % 3}"))], "key long, field string, text string"))
+    asked = [(1, [("title", "hot ring")]), (2, [("title", "ring"), ("artist", "act 1")]), (3, [("title", "hot ring 4"), ("artist", "act 2")]), (4, [("title", "unknown"), ("artist", "act 1")]), (5, [("artist", "act 1"), ("title", "ring")])]
+    found = {}
+    for r in index.search(spark.createDataFrame(asked, "ask_id long, conditions array<struct<field: string, phrase: string>>")).collect():
+        found.setdefault(r.ask_id, {})[r.key] = (r.score, r.total)
+    assert found[1] == {i: (100, 30) for i in range(30)} and set(found[2]) == {i for i in range(30) if i % 3 == 1} and found[2] == found[5]
+    assert 3 not in found and 4 not in found

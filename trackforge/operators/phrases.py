@@ -5,8 +5,9 @@ names and aliases, albums.  Every word of a value's plain form and every pair of
 adjacent words is a term, filed with its place.  A request is a set of
 conditions, each a phrase in a field; all must hold, a phrase holds where its
 words stand in a row in one value.  The rarest term of all conditions names the
-candidates, at the places where that phrase would have to stand; what remains is
-checked value by value.  So a request never meets more documents than its rarest
+candidates, at the places where that phrase would have to stand; what remains of
+the conditions is checked value by value, and where nothing remains the value that
+was met has the score.  So a request never meets more documents than its rarest
 pair of words has places, and no document meets requests that share no term.
 
 A word weighs as many binary digits as the number of values over the number of
@@ -39,6 +40,7 @@ class PhraseIndex:
 
     def __init__(self, values: DataFrame) -> None:
         # equal texts are normalised once, and the plain form stands in one small plan
+        values = materialized(values.select("key", "field", "text").distinct())  # a table behind them is read once
         forms = materialized(values.select("text").distinct().select("text", plain(F.col("text")).alias("value")))
         worded = values.join(forms.filter("value IS NOT NULL"), "text").select("key", "field", "value").distinct()
         worded = materialized(worded.withColumn("words", F.split("value", " ")))
@@ -47,7 +49,8 @@ class PhraseIndex:
         self.weights = holders.select("word", F.length(F.bin(F.floor(F.lit(self.n_values) / F.col("n")).cast("long"))).alias("weight"))
         each = worded.select("key", "field", "value", F.explode("words").alias("word")).join(self.weights, "word")
         self.values = materialized(each.groupBy("key", "field", "value").agg(F.sum("weight").alias("whole")))
-        self.postings = worded.select("key", "field", "value", F.explode(_terms(F.col("words"))).alias("t")).select("key", "field", "value", "t.pos", "t.term")
+        placed = self.values.select("key", "field", "value", "whole", F.explode(_terms(F.split("value", " "))).alias("t"))
+        self.postings = placed.select("key", "field", "value", "whole", "t.pos", "t.term")
 
     def search(self, asked: DataFrame, limit: int = PAGE, offset: int = 0) -> DataFrame:
         """ask_id, key, score, rank, total for each asked (ask_id, conditions: array of field and phrase); best scores first, then by key.
@@ -58,8 +61,10 @@ class PhraseIndex:
         norm = F.array_sort(F.array_distinct(F.transform(given, lambda c: F.struct(c["field"].alias("field"), plain(c["phrase"]).alias("phrase")))))
         # written first: each later use of a plain form would repeat its whole expression in the plan
         wanted = materialized(asked.select("ask_id", norm.alias("conditions"))).filter((F.size("conditions") > 0) & F.forall("conditions", lambda c: c["phrase"].isNotNull()))
-        wanted = wanted.withColumn("request", F.to_json("conditions"))
-        requests = wanted.groupBy("request").agg(F.any_value("conditions").alias("conditions"))
+        wanted = wanted.withColumn("asked", F.to_json("conditions"))
+        # numbered once they are written, so that a number and not their text goes through the joins
+        requests = materialized(wanted.groupBy("asked").agg(F.any_value("conditions").alias("conditions")))
+        requests = materialized(requests.withColumn("request", F.monotonically_increasing_id()))
         each = materialized(requests.select("request", F.size("conditions").alias("n"), F.posexplode("conditions").alias("no", "c")).select("request", "n", "no", "c.field", "c.phrase"))
         worded = each.withColumn("words", F.split("phrase", " "))
         terms = worded.select("request", "no", "field", "phrase", "words", F.explode(_terms(F.col("words"))).alias("t")).select("request", "no", "field", "phrase", "words", "t.pos", "t.term")
@@ -69,21 +74,32 @@ class PhraseIndex:
         rarity = terms.join(counts, ["field", "term"], "left").withColumn("places", F.coalesce("places", F.lit(0).cast("long")))
         anchor = rarity.groupBy("request").agg(F.min(F.struct("places", "no", "pos", "field", "term", "phrase")).alias("a")).filter("a.places > 0")
         anchor = anchor.select("request", "a.no", F.col("a.pos").alias("offset"), "a.field", "a.term", "a.phrase")
-        at = anchor.join(known, ["field", "term"]).filter(F.col("pos") >= F.col("offset"))
-        there = F.array_join(F.slice(F.split("value", " "), F.col("pos") - F.col("offset") + 1, F.size(F.split("phrase", " "))), " ") == F.col("phrase")
-        candidates = materialized(at.filter(there).select("request", "key").distinct())
         weights = self.weights.withColumnRenamed("weight", "w")
         covered = worded.select("request", "no", F.explode("words").alias("word")).join(weights, "word").groupBy("request", "no").agg(F.sum("w").alias("covers"))
-        checks = candidates.join(each.join(covered, ["request", "no"]), "request").join(self.values, ["key", "field"])
-        holds = F.contains(F.concat(F.lit(" "), "value", F.lit(" ")), F.concat(F.lit(" "), "phrase", F.lit(" ")))
+        listed = each.join(covered, ["request", "no"]).groupBy("request", "n").agg(F.collect_list(F.struct("no", "field", "phrase", "covers")).alias("all"))
+        anchor = anchor.join(listed, "request").withColumns({
+            "others": F.filter("all", lambda c: c["no"] != F.col("no")), "covers": F.filter("all", lambda c: c["no"] == F.col("no"))[0]["covers"]
+        }).drop("all", "no")
+        anchor = materialized(anchor)
         score = F.floor(F.lit(100) * F.col("covers") / F.col("whole")).cast("int")
-        met = checks.filter(holds).groupBy("request", "n", "key", "no").agg(F.max(score).alias("score"))
-        found = met.groupBy("request", "n", "key").agg(F.count("*").alias("met"), F.sum("score").alias("score")).filter("met = n")
-        found = materialized(found.select("request", "key", F.floor(F.col("score") / F.col("n")).cast("int").alias("score")))
+        there = F.array_join(F.slice(F.split("value", " "), F.col("pos") - F.col("offset") + 1, F.size(F.split("phrase", " "))), " ") == F.col("phrase")
+
+        def met(anchors: DataFrame) -> DataFrame:
+            """The values in which an anchor's phrase stands, with its score there."""
+            return anchors.join(known, ["field", "term"]).filter(F.col("pos") >= F.col("offset")).filter(there).withColumn("first", score)
+
+        single = met(anchor.filter("n = 1")).groupBy("request", "key").agg(F.max("first").alias("score"))
+        checks = met(anchor.filter("n > 1")).select("request", "n", "key", "first", F.explode("others").alias("c")).select("request", "n", "key", "first", "c.*").join(self.values, ["key", "field"])
+        holds = F.contains(F.concat(F.lit(" "), "value", F.lit(" ")), F.concat(F.lit(" "), "phrase", F.lit(" ")))
+        rest = checks.filter(holds).groupBy("request", "n", "key", "no").agg(F.max("first").alias("first"), F.max(score).alias("score"))
+        several = rest.groupBy("request", "n", "key").agg(F.count("*").alias("met"), (F.sum("score") + F.max("first")).alias("score")).filter("met = n - 1")
+        found = single.unionByName(several.select("request", "key", F.floor(F.col("score") / F.col("n")).cast("int").alias("score")))
+        found = materialized(found)
         totals = found.groupBy("request").agg(F.count("*").alias("total"))
         rank = F.row_number().over(Window.partitionBy("request").orderBy(F.desc("score"), "key"))
         page = found.withColumn("rank", rank).filter(F.col("rank") <= offset + limit).filter(F.col("rank") > offset)
-        return wanted.select("ask_id", "request").join(page.join(totals, "request"), "request").drop("request")
+        pages = page.join(totals, "request").join(requests.select("request", "asked"), "request").drop("request")
+        return wanted.select("ask_id", "asked").join(pages, "asked").drop("asked")
 
 
 def condition(field: str, phrase: Column) -> Column:
