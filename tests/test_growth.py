@@ -144,3 +144,11 @@ def test_best_release_of_a_title_is_found_before_titles_are_compared(spark):
     for rec in (0, 1):
         pos = max(range(32 * rec, 32 * rec + 32), key=scores.get)
         assert found[rec] == (pos, scores[pos][1])
+
+
+def test_image_lists_read_those_who_ask_once(spark):
+    asked = spark.createDataFrame([(1,), (2,), (None,), (1,)], "id long")
+    images = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (3, 1, "c"), (None, 1, "d")], "id long, image_id long, kind string")
+    df = lookup.image_lists(asked, images)
+    assert sorted((r.id or 0, [x.kind for x in r.images]) for r in df.collect()) == [(0, []), (1, ["a", "b"]), (1, ["a", "b"]), (2, [])]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1

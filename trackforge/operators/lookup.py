@@ -266,7 +266,7 @@ def image_lists(asked: DataFrame, images: DataFrame) -> DataFrame:
     """
     rest = sorted(set(images.columns) - {"id", "image_id"})
     item = F.struct("image_id", *rest)
-    listed = images.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.sort_array(F.collect_list(item)).alias("images"))
+    listed = images.filter("id IS NOT NULL").groupBy("id").agg(F.sort_array(F.collect_list(item)).alias("images"))
     none = F.array().cast(listed.schema["images"].dataType)
     return asked.join(listed, "id", "left").withColumn("images", F.coalesce("images", none))
 
