@@ -60,6 +60,22 @@ def test_stream_equals_the_batch_form_over_restarts(spark, tables, tmp_path):
     assert state.PROVIDER not in str(spark.conf.get(state.PROVIDER, None)) and spark.conf.get(state.PROVIDER) != state.ROCKS
 
 
+def test_state_does_not_grow_with_keys_of_a_bucket_and_ids_stay_whole(spark, tmp_path):
+    r, big = random.Random(8), 2**53
+    asked = [(big + 2 * i + 1, f"k{i % 300}", START + 3600 + r.randrange(7200)) for i in range(12_000)]  # more than a value of the state holds
+    writes = [(f"k{i % 300}", START + r.randrange(10_800) // 60 * 60, r.choice([None, -5, big + 2 * i + 1, big + 2 * i + 1]), r.choice([300, 3600])) for i in range(3000)]
+    asked, writes = spark.createDataFrame(asked, "ask_id long, key string, asked_at long"), spark.createDataFrame(writes, "key string, written_at long, data long, ttl long")
+    state.cache_events(asked, writes, F.col("key")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = lambda: state.stream_lookups(source(spark, tmp_path), "2 hours", buckets=1)
+    held = json.loads(run(spark, stream(), tmp_path).lastProgress.json)["stateOperators"][0]["numRowsTotal"]
+    assert held <= 20  # not by key or event
+    spark.createDataFrame([("end", START + 60 * DAY, None, None, 0)], state.EVENT).write.mode("append").parquet(f"{tmp_path}/in")
+    run(spark, stream(), tmp_path)
+    found = sorted((x.ask_id, x.key, x.data or 0) for x in spark.read.parquet(f"{tmp_path}/out").collect())
+    want = sorted((x.ask_id, x.key, x.data or 0) for x in cache.lookup_as_of(asked, writes, ["key"]).collect())
+    assert found == want and {x[2] > 0 for x in found} == {True, False}
+
+
 def test_table_is_the_same_however_often_batches_come(spark, tables, tmp_path):
     _, writes = tables
     writes = writes.withColumn("key", F.coalesce("key", F.lit("")))

@@ -12,6 +12,7 @@ from trackforge.sources.catalog import view, with_views
 from trackforge.streaming import cache, state
 
 AS_OF = "2024-01-20 00:00:00"
+EVENTS_A_BUCKET = 4096
 KIND = {"purchase": "recording", "signup": "artist", "view": "release", "click": "cover_art", "error": "not_found"}
 
 
@@ -62,10 +63,12 @@ def cache_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _writes(spark, sf_dir)
     asked = w.select(F.col("data").alias("ask_id"), "user_id", (F.col("written_at") + 3600).alias("asked_at"))
     events = state.cache_events(asked, w.filter("event_type = 'view'").withColumn("ttl", F.lit(7200)), F.col("user_id"))
-    latest = events.agg(F.max("at").alias("at")).select(F.lit("").alias("key"), (F.col("at") + 86400 * 30).alias("at"), F.lit(0).cast("long").alias("ttl"))
+    end = events.agg(F.max("at").alias("at"), F.count("*").alias("n")).first()
+    latest = spark.range(1).select(F.lit("").alias("key"), (F.lit(end.at).cast("long") + 86400 * 30).alias("at"), F.lit(0).cast("long").alias("ttl"))
     folder = f"{shared_folder(spark)}/cache-stream-{uuid.uuid4()}"
     events.unionByName(latest, allowMissingColumns=True).write.parquet(f"{folder}/in")  # the last event lets the watermark pass all others
-    stream = state.stream_lookups(spark.readStream.schema(state.EVENT).parquet(f"{folder}/in"))
+    buckets = max(64, end.n // EVENTS_A_BUCKET)
+    stream = state.stream_lookups(spark.readStream.schema(state.EVENT).parquet(f"{folder}/in"), buckets=buckets)
     with state.with_rocks(spark):
         query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
