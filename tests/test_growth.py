@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from trackforge.functions import dates, text
 from trackforge.functions.text import normalize_text
 from trackforge.operators import artists, lookup, ranking
 from trackforge.plans import catalog_queries
@@ -130,6 +131,28 @@ def test_releases_of_one_title_are_added_up_before_they_meet_requests(spark):
         assert (r.plain_ok, r.any_ok, r.various) == (not given, True, True) and (r.bare_plain_ok, r.bare_any_ok, r.bare_various) == (True, True, True)
 
 
+def test_years_of_a_title_are_no_object_of_every_group(spark):
+    years = [[], [1900], [1949, 1950], [1999, 2000, 2049], [2050, 2099], [1950, 2099], [1901, 1960]]
+    rows = [(i, "Iris", f"{y}-05", False, "Other", "Live") for i, ys in enumerate(years) for y in ys or ["?"]]
+    titles = ranking.release_titles(spark.createDataFrame(rows, "rec_id long, title string, date string, various boolean, primary_type string, secondary_type string"))
+    assert "ObjectHashAggregate" not in titles._jdf.queryExecution().executedPlan().toString()
+    asked = [(i, y) for i in range(len(years)) for y in (None, 0, 1, 1850, 1895, 1899, 1900, 1903, 1944, 1948, 1951, 1955, 1966, 1995, 2001, 2005, 2044, 2049, 2051, 2094, 2098, 2100, 2104, 2105, 2150)]
+    df = ranking.release_summary(spark.createDataFrame([(100 * i + n, i, None, y) for n, (i, y) in enumerate(asked)], "ask_id long, rec_id long, album string, year int"), titles, ["ask_id", "rec_id"])
+    sums = {r.rec_id: r.points for r in titles.collect()}
+    near = lambda d: 75 if d == 0 else 40 if d <= 1 else 20 if d <= 5 else 0
+    want = {100 * i + n: sums[i] + max((near(abs(y - x)) for x in years[i] if y), default=0) for n, (i, y) in enumerate(asked)}
+    assert {r.ask_id: r.release_points for r in df.collect()} == want and len(set(want.values())) > 4
+
+
+def test_short_ways_give_what_the_patterns_give(spark):
+    texts = ["1999", "1999-05", "1999-05-01", "19990501", "1899", "2100", "+199", " 1999", "1999 x", "1999-", "1999\u0661", "１９９９", "may 2004", "", "a b", "A  b", " A b", "A b\n", "A b ", "Ab1", "A-b", "É b", "a", "$a", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    found = F.regexp_extract("t", dates.YEAR, 0)
+    whole = lambda c: text.bound(text.bound(text.latin_lookalikes(c), text.straight_quotes), lambda x: text.filled(F.coalesce(text.plain_once(x), x)))
+    for r in df.select("t", dates.year_of(F.col("t")).alias("year"), F.when(found != "", found.cast("int")).alias("slow_year"), normalize_text(F.col("t")).alias("n"), whole(F.col("t")).alias("slow_n")).collect():
+        assert (r.year, r.n) == (r.slow_year, r.slow_n), r
+
+
 def test_best_release_of_a_title_is_found_before_titles_are_compared(spark):
     k = F.col("id")
     releases = spark.range(64).select(

@@ -12,9 +12,10 @@ REISSUE_AFTER_YEARS = 1
 
 
 def year_of(c: Column) -> Column:
-    """The first year from 1900 to 2099 in a text."""
-    found = F.regexp_extract(c.cast("string"), YEAR, 0)
-    return F.when(found != "", found.cast("int"))
+    """The first year from 1900 to 2099 in a text; where a date begins with it, no pattern is tried."""
+    c = c.cast("string")
+    lead, found = F.substring(c, 1, 4).try_cast("int"), F.regexp_extract(c, YEAR, 0)
+    return F.when(lead.between(1900, 2099) & F.substring(c, 5, 1).isin("", "-"), lead).when(found != "", found.cast("int"))
 
 
 def track_year(originalyear: Column, year: Column, date: Column) -> Column:
@@ -48,11 +49,19 @@ def _table(c: Column, points: dict[str, int]) -> Column:
     return out
 
 
-def release_group_points(primary: Column, secondary: Column) -> Column:
-    off = F.aggregate(F.coalesce(secondary, F.array().cast("array<string>")), F.lit(0), lambda total, s: total + _table(s, SECONDARY_DEDUCTIONS))
+def _kind_points(primary: Column, off: Column) -> Column:
     return F.greatest(F.lit(0), F.coalesce(_table(primary, PRIMARY_POINTS), F.lit(0)) - off)
 
 
+def release_group_points(primary: Column, secondary: Column) -> Column:
+    return _kind_points(primary, F.aggregate(F.coalesce(secondary, F.array().cast("array<string>")), F.lit(0), lambda total, s: total + _table(s, SECONDARY_DEDUCTIONS)))
+
+
+def single_kind_points(primary: Column, secondary: Column) -> Column:
+    """``release_group_points`` of one secondary type at most, as text ('' or null: none)."""
+    return _kind_points(primary, _table(secondary, SECONDARY_DEDUCTIONS))
+
+
 def is_compilation_or_live(primary: Column, secondary: Column) -> Column:
     has = lambda x: F.coalesce(F.array_contains(secondary, x), F.lit(False))
     return F.coalesce(primary == "Compilation", F.lit(False)) | has("Compilation") | has("Live")

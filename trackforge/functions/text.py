@@ -31,6 +31,8 @@ TRACK_NUMBER = r"(?U)^\d{1,4}[-.]\s*"
 FEATURED = r"(?iU)[\(\[](?:ft\.?|feat\.?|featuring|with|w/)\s+([^\)\]]+)[\)\]]"
 #: Beyond ASCII, letters of common scripts, quotes and dashes; none of these stands for several letters, and this class is quick to test.
 UNCOMMON = r"[^\x00-\x7F\xC0-\u0131\u0370-\u0586\u2010-\u201F\u3041-\u3096\u4E00-\u9FFF\uAC00-\uD7A3]"
+#: Texts that are plain but for their case.
+SIMPLE = r"^[A-Za-z0-9]++(?: [A-Za-z0-9]++)*+\z"
 TOO_SMALL = "TEXT IS TOO SMALL IGNORE"
 
 _LONGEST_FIRST = "|".join(sorted(VERSION_PHRASES, key=len, reverse=True))
@@ -119,7 +121,9 @@ def plain_once(c: Column) -> Column:
 
 
 def normalize_text(c: Column) -> Column:
-    return bound(bound(latin_lookalikes(c), straight_quotes), lambda x: filled(F.coalesce(plain_once(x), x)))
+    """The plain form, or the text itself where that is empty; words of ASCII letters and digits with one space between them only lose their case."""
+    whole = lambda c: bound(bound(latin_lookalikes(c), straight_quotes), lambda x: filled(F.coalesce(plain_once(x), x)))
+    return bound(c, lambda x: F.when(x.rlike(SIMPLE), F.lower(x)).otherwise(whole(x)))
 
 
 def normalize(c: Column, sizecheck: int = 0, nospaces: bool = False) -> Column:

@@ -7,6 +7,9 @@ before the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackforge.functions import dates
@@ -86,8 +89,7 @@ def best_release(releases: DataFrame, key: str = "rec_id") -> DataFrame:
     return best.select(key, *(F.col("best")[c].alias(c) for c in rest))
 
 
-def era_points(date: Column) -> Column:
-    year = dates.year_of(date)
+def points_of_era(year: Column) -> Column:
     return F.coalesce(F.when(year < 2000, 15).when(year < 2010, 10).when(year < 2020, 5), F.lit(0))
 
 
@@ -106,20 +108,35 @@ def recording_points(title: Column, year: Column, n_isrcs: Column, n_credits: Co
     )
 
 
+def years_seen(year: Column) -> list[Column]:
+    """Which years from 1900 to 2099 a group holds, as bits: a set of them would be an object that every group writes, reads and sorts by."""
+    place = year - 1900
+    bit = lambda i: F.when((place >= 50 * i) & (place < 50 * i + 50), F.call_function("shiftleft", F.lit(1).cast("long"), place - 50 * i))
+    return [F.bit_or(bit(i)).alias(f"years_{i}") for i in range(4)]
+
+
+def year_seen(year: Column) -> Column:
+    """Whether ``years_seen`` has a year."""
+    place = year - 1900
+    part = F.get(F.array(*(f"years_{i}" for i in range(4))), F.floor(place / 50).cast("int"))
+    return F.coalesce(F.call_function("shiftright", part, F.pmod(place, F.lit(50))).bitwiseAND(1) == 1, F.lit(False))
+
+
 def release_titles(releases: DataFrame) -> DataFrame:
     """What the releases of a recording under one title add up to: a row for each rec_id and title.
 
-    date is the first, years are all years of theirs, plain and own tell whether
+    date is the first, years_0 to years_3 are all years of theirs, plain and own tell whether
     one is not by various artists (plain: nor a compilation or live).  None of
     it depends on what is asked, and a title is normalised once, not per release.
     """
-    secondary = secondary_types(F.col("secondary_type"))
-    known = releases.select(
-        "rec_id", "title", "date", "various", dates.year_of(F.col("date")).alias("released"), (dates.release_group_points(F.col("primary_type"), secondary) + era_points(F.col("date"))).alias("points"),
-        dates.is_compilation_or_live(F.col("primary_type"), secondary).alias("other_kind"),
+    released, secondary = dates.year_of(F.col("date")), F.col("secondary_type")
+    facts = releases.select("rec_id", "title", "date", "various", "primary_type", "secondary_type", released.alias("released"))
+    known = facts.select(
+        "rec_id", "title", "date", "various", "released", (dates.single_kind_points(F.col("primary_type"), secondary) + points_of_era(F.col("released"))).alias("points"),
+        (F.coalesce(F.col("primary_type") == "Compilation", F.lit(False)) | F.coalesce(secondary.isin("Compilation", "Live"), F.lit(False))).alias("other_kind"),
     )
     titled = known.groupBy("rec_id", "title").agg(
-        F.count("*").alias("n_releases"), F.min("date").alias("date"), F.collect_set("released").alias("years"), F.sum("points").alias("points"),
+        F.count("*").alias("n_releases"), F.min("date").alias("date"), *years_seen(F.col("released")), F.sum("points").alias("points"),
         F.max(~F.col("various") & ~F.col("other_kind")).alias("plain"), F.max(~F.col("various")).alias("own"), F.max("various").alias("by_various"),
     )
     return titled.withColumn("release_key", normalize(F.col("title")))
@@ -133,7 +150,8 @@ def release_summary(pairs: DataFrame, titles: DataFrame, keys: list[str]) -> Dat
     same with bare_ before it: as if no album had been asked for.
     """
     r = pairs.select(*keys, normalize(F.col("album")).alias("wanted"), F.when(F.col("year") != 0, F.col("year")).alias("when")).join(titles, "rec_id")
-    nearest = stepped(F.array_min(F.transform("years", lambda y: F.abs(y - F.col("when")))), {0: 75, 1: 40, 5: 20})
+    within = lambda *apart: reduce(or_, (year_seen(F.col("when") + k) for d in apart for k in (-d, d)))
+    nearest = F.when(within(0), 75).when(within(1), 40).when(within(2, 3, 4, 5), 20).otherwise(0)
     context = _match(F.col("release_key"), F.col("wanted"), 100, 50) + nearest
     on_album = F.col("wanted").isNull() | F.coalesce(F.col("wanted") == F.col("release_key"), F.lit(False))
     return r.groupBy(*keys).agg(
