@@ -1,6 +1,8 @@
 """Work that must not grow with the square of a frequent title, name or string."""
 
+import datetime
 import os
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 from trackforge.functions import dates, text
 from trackforge.functions.text import normalize_text
 from trackforge.operators import artists, lookup, ranking
+from trackforge.operators.common import materialized
 from trackforge.plans import catalog_queries
+from trackforge.sources import catalog
 
 
 def joined_rows(df):
@@ -175,3 +179,58 @@ def test_image_lists_read_those_who_ask_once(spark):
     df = lookup.image_lists(asked, images)
     assert sorted((r.id or 0, [x.kind for x in r.images]) for r in df.collect()) == [(0, []), (1, ["a", "b"]), (1, ["a", "b"]), (2, [])]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_releases_are_added_up_by_hash(spark, sf_dir, monkeypatch):
+    """A greatest or least text of every release would be sorted for."""
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialized(df)
+
+    monkeypatch.setattr(catalog_queries, "materialized", seen)
+    catalog_queries.score_recording(spark, sf_dir)
+    lines = [p for p in plans if "l_returnflag" in p]
+    assert len(lines) == 1 and "SortAggregate" not in lines[0] and "ObjectHashAggregate" not in lines[0]
+    assert lines[0].count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+@pytest.fixture(scope="module")
+def odd_tables(tmp_path_factory):
+    """Lines of one part and order with several flags, flags beside the usual ones or none, orders without date or priority, parts with one text for two titles or none."""
+    to = tmp_path_factory.mktemp("odd")
+    flags = [None, "", "A", "AA", "N", "R", "RR", "Z"]
+    r, flags, states = random.Random(2), [None, "", "A", "AA", "N", "R", "RR", "Z"], [None, "F", "O", "OO", "P"]
+    parts = [r.randrange(310) for _ in range(1500)]
+    lines = [(p * 3 % 41 + r.randrange(3), p, r.randrange(5), r.randrange(7), r.choice(flags), r.choice(states)) for p in parts] + [(None, 1, 1, 1, "R", "O"), (1, None, 1, 1, "R", "O")]
+    pq.write_table(pa.table(dict(zip(("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"), map(list, zip(*lines))))), to / "lineitem.parquet")
+    days = [None, "1899-12-31", "1900-01-01", "1949-10-09", "1999-12-31", "2000-01-01", "2009-02-28", "2019-07-07", "2099-12-31", "2100-01-01", "0999-03-04"]
+    orders = {
+        "o_orderkey": list(range(40)), "o_orderdate": pa.array([d and datetime.datetime.fromisoformat(d) for d in (days[i % 11] for i in range(40))], pa.timestamp("us")),
+        "o_orderpriority": [None if i == 5 else f"{i % 6}-X" for i in range(40)], "o_orderstatus": ["F"] * 40,
+    }
+    pq.write_table(pa.table(orders), to / "orders.parquet")
+    names, brands = ["Rose", None, "Iris", "Iris", "", "Édith ★", "Brand#1"], ["Brand#1", "Brand#2", "Iris", "Iris Volume 1", "B", None, "Brand#1"]
+    pq.write_table(pa.table({"p_partkey": list(range(300)), "p_name": [names[i % 7] for i in range(300)], "p_brand": [brands[i // 7 % 7] for i in range(300)]}), to / "part.parquet")
+    return str(to)
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_titles_by_number_are_those_of_the_view(spark, sf_dir, odd_tables, odd):
+    where = odd_tables if odd else sf_dir
+    want, got = ranking.release_titles(catalog.view(spark, where, "track_release")), catalog_queries._titles(spark, where)
+    assert got.dtypes == want.dtypes
+    want = sorted(map(tuple, want.collect()), key=repr)
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert not odd or len({r[3] for r in want}) > 20 and len(want) > 300
+
+
+def test_dates_as_numbers_keep_text_year_and_order(spark):
+    days = [f"{y}-{m:02}-{d:02}" for y in ("0000", "0042", "1899", "1900", "1999", "2000", "2099", "2100", "9999") for m, d in ((1, 1), (1, 31), (10, 10), (12, 31))] + [None]
+    asked = spark.createDataFrame([(d, p) for d in days for p in (1, 2, 3)], "day string, parts int").withColumn("text", F.expr("substring_index(day, '-', parts)"))
+    number = dates.date_number(F.col("day").cast("date"), F.col("parts"))
+    rows = asked.select("text", number.alias("n")).select("text", "n", dates.number_as_date(F.col("n")).alias("back"), dates.year_of(F.col("text")).alias("y"), dates.year_of_number(F.col("n")).alias("yn")).collect()
+    assert all(r.text == r.back and r.y == r.yn for r in rows)
+    dated = [r for r in rows if r.text]
+    assert [r.text for r in sorted(dated, key=lambda r: r.n)] == sorted(r.text for r in dated) and sum(r.n is None for r in rows) == 3

@@ -18,6 +18,28 @@ def year_of(c: Column) -> Column:
     return F.when(lead.between(1900, 2099) & F.substring(c, 5, 1).isin("", "-"), lead).when(found != "", found.cast("int"))
 
 
+def date_number(day: Column, parts: Column) -> Column:
+    """The partial date of a day's first parts (1: year, 2: month, else all) as a number: 19970000, 19970300, 19970315.
+
+    From year 0 to 9999 numbers have the order of the texts.
+    """
+    month = F.when(parts == 1, 0).otherwise(F.month(day))
+    return F.year(day).cast("long") * 10000 + month * 100 + F.when(parts <= 2, 0).otherwise(F.dayofmonth(day))
+
+
+def number_as_date(number: Column) -> Column:
+    """The text of a ``date_number``."""
+    digits = F.lpad(number.cast("string"), 8, "0")
+    year, month, day = (F.substring(digits, i, n) for i, n in ((1, 4), (5, 2), (7, 2)))
+    return F.when(number % 10000 == 0, year).when(number % 100 == 0, F.concat_ws("-", year, month)).when(number.isNotNull(), F.concat_ws("-", year, month, day))
+
+
+def year_of_number(number: Column) -> Column:
+    """``year_of`` the text of a ``date_number``."""
+    year = F.floor(number / 10000).cast("int")
+    return F.when(year.between(1900, 2099), year)
+
+
 def track_year(originalyear: Column, year: Column, date: Column) -> Column:
     return F.coalesce(year_of(originalyear), year_of(year), year_of(date))
 

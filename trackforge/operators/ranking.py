@@ -122,6 +122,22 @@ def year_seen(year: Column) -> Column:
     return F.coalesce(F.call_function("shiftright", part, F.pmod(place, F.lit(50))).bitwiseAND(1) == 1, F.lit(False))
 
 
+def _release_facts(releases: DataFrame, name: str, released: Column) -> DataFrame:
+    secondary = F.col("secondary_type")
+    facts = releases.select("rec_id", name, "date", "various", "primary_type", "secondary_type", released.alias("released"))
+    return facts.select(
+        "rec_id", name, "date", "various", "released", (dates.single_kind_points(F.col("primary_type"), secondary) + points_of_era(F.col("released"))).alias("points"),
+        (F.coalesce(F.col("primary_type") == "Compilation", F.lit(False)) | F.coalesce(secondary.isin("Compilation", "Live"), F.lit(False))).alias("other_kind"),
+    )
+
+
+def _added_up(facts: DataFrame, name: str) -> DataFrame:
+    return facts.groupBy("rec_id", name).agg(
+        F.count("*").alias("n_releases"), F.min("date").alias("date"), *years_seen(F.col("released")), F.sum("points").alias("points"),
+        F.max(~F.col("various") & ~F.col("other_kind")).alias("plain"), F.max(~F.col("various")).alias("own"), F.max("various").alias("by_various"),
+    )
+
+
 def release_titles(releases: DataFrame) -> DataFrame:
     """What the releases of a recording under one title add up to: a row for each rec_id and title.
 
@@ -129,19 +145,24 @@ def release_titles(releases: DataFrame) -> DataFrame:
     one is not by various artists (plain: nor a compilation or live).  None of
     it depends on what is asked, and a title is normalised once, not per release.
     """
-    released, secondary = dates.year_of(F.col("date")), F.col("secondary_type")
-    facts = releases.select("rec_id", "title", "date", "various", "primary_type", "secondary_type", released.alias("released"))
-    known = facts.select(
-        "rec_id", "title", "date", "various", "released", (dates.single_kind_points(F.col("primary_type"), secondary) + points_of_era(F.col("released"))).alias("points"),
-        (F.coalesce(F.col("primary_type") == "Compilation", F.lit(False)) | F.coalesce(secondary.isin("Compilation", "Live"), F.lit(False))).alias("other_kind"),
-    )
-    titled = known.groupBy("rec_id", "title").agg(
-        F.count("*").alias("n_releases"), F.min("date").alias("date"), *years_seen(F.col("released")), F.sum("points").alias("points"),
-        F.max(~F.col("various") & ~F.col("other_kind")).alias("plain"), F.max(~F.col("various")).alias("own"), F.max("various").alias("by_various"),
-    )
+    titled = _added_up(_release_facts(releases, "title", dates.year_of(F.col("date"))), "title")
     return titled.withColumn("release_key", normalize(F.col("title")))
 
 
+def numbered_release_titles(releases: DataFrame, names: DataFrame) -> DataFrame:
+    """``release_titles`` of releases that have a title_no and a date as a number (``dates.date_number``); names: rec_id, title_no, title.
+
+    A first date that is a text would make Spark sort all releases to add them up;
+    numbers are hashed.  The few sums meet the texts, not the releases.
+    """
+    sums = _added_up(_release_facts(releases, "title_no", dates.year_of_number(F.col("date"))), "title_no")
+    titled = sums.join(names, ["rec_id", "title_no"]).groupBy("rec_id", "title").agg(  # numbers may stand for one title
+        F.sum("n_releases").alias("n_releases"), F.min("date").alias("date"), *(F.bit_or(f"years_{i}").alias(f"years_{i}") for i in range(4)),
+        F.sum("points").alias("points"), *(F.max(c).alias(c) for c in ("plain", "own", "by_various")),
+    )
+    return titled.withColumn("date", dates.number_as_date(F.col("date"))).withColumn("release_key", normalize(F.col("title")))
+
+
 def release_summary(pairs: DataFrame, titles: DataFrame, keys: list[str]) -> DataFrame:
     """For each pair of keys (with album, year and rec_id): what its recording's releases (``release_titles``) add up to, and which kinds qualify.
 

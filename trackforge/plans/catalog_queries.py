@@ -13,7 +13,7 @@ from trackforge.operators.common import materialized
 from trackforge.plans import cascade
 from trackforge.plans.text_queries import Query, s_norm, s_plain, s_points, s_tight, s_title_key, s_year, variations_sql
 from trackforge.sources import documents
-from trackforge.sources.catalog import view, with_views
+from trackforge.sources.catalog import numbered_releases, release_names, view, with_views
 
 
 def _views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -135,20 +135,24 @@ def variant_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 VARIANT_SQL = r"""SELECT rec_id, regexp_matches(disambiguation, '\b(live|karaoke|acoustic|demo)\b') AS marked, disambiguation = 'live' AND regexp_matches(title, '(?i)\blive\b') AS shared FROM recording"""
 
 
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``release_titles`` of the releases of the catalog."""
+    return ranking.numbered_release_titles(numbered_releases(spark, sf_dir), release_names(spark, sf_dir))
+
+
 def _pairs(spark: SparkSession, sf_dir: str, titles: DataFrame) -> DataFrame:
     """Every recording with the request of its own id."""
-    recordings, requests = view(spark, sf_dir, "recording", track_release=titles), view(spark, sf_dir, "request")
+    recordings, requests = view(spark, sf_dir, "recording", track_release=titles), view(spark, sf_dir, "request", track_release=titles)
     return recordings.join(requests.select(F.col("request_id").alias("rec_id"), F.col("title").alias("asked"), "album", "year"), "rec_id")
 
 
 def score_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    releases, credits = _views(spark, sf_dir, "track_release", "credit")
-    titles = materialized(ranking.release_titles(releases))  # the first dates of recordings are read from it too
-    pairs = _pairs(spark, sf_dir, titles)
-    n = credits.groupBy("rec_id").agg(F.count("*").alias("n_credits"))
+    titles = materialized(_titles(spark, sf_dir))  # the first dates of recordings are read from it too
+    n = view(spark, sf_dir, "credit").groupBy("rec_id").agg(F.count("*").alias("n_credits"))
     own = ranking.recording_points(F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.col("n_credits"), F.col("length"), F.col("disambiguation"), F.col("first_date"))
+    pairs = materialized(_pairs(spark, sf_dir, titles).join(n, "rec_id").select("rec_id", "album", "year", own.alias("own")))
     summary = ranking.release_summary(pairs, titles, ["rec_id"])
-    return pairs.join(n, "rec_id").join(summary, "rec_id").select("rec_id", (own + F.col("release_points")).cast("long").alias("score"))
+    return pairs.join(summary, "rec_id").select("rec_id", (F.col("own") + F.col("release_points")).cast("long").alias("score"))
 
 
 SCORE_SQL = rf"""
@@ -176,9 +180,8 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits, releases = materialized(_candidates(spark, sf_dir)), view(spark, sf_dir, "track_release")
-    keys = ["request_id", "rec_id"]
-    summary = ranking.release_summary(hits, ranking.release_titles(releases), keys)
+    hits, keys = materialized(_candidates(spark, sf_dir)), ["request_id", "rec_id"]
+    summary = ranking.release_summary(hits, _titles(spark, sf_dir), keys)
     own = ranking.recording_points(F.col("asked"), F.col("year"), F.when(F.col("isrc").isNotNull(), 1).otherwise(0), F.lit(1), F.col("length"), F.col("disambiguation"), F.col("first_date"))
     ready = hits.join(summary, keys).select(
         *keys, "asked", "title", F.col("rec_id").alias("place"), (own + F.col("release_points")).alias("score"), F.lit(0).alias("days"), F.col("isrc").isNotNull().alias("has_isrc"), F.col("plain_ok").alias("qualifies"), "various"
@@ -634,8 +637,8 @@ FROM recording r LEFT JOIN best b USING (rec_id) LEFT JOIN who USING (rec_id) LE
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> cascade.Catalog:
-    releases, credits, artists = _views(spark, sf_dir, "track_release", "credit", "artist")
-    titles, credits = materialized(ranking.release_titles(releases)), materialized(credits)
+    credits, artists = _views(spark, sf_dir, "credit", "artist")
+    titles, credits = materialized(_titles(spark, sf_dir)), materialized(credits)
     return cascade.Catalog(view(spark, sf_dir, "recording", track_release=titles), titles, credits, artists, titled=True)
 
 
